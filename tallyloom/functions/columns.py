@@ -42,8 +42,13 @@ def split_words(line: ColumnOrName) -> Column:
 
 
 def split_lines(text: ColumnOrName) -> Column:
-    """Array of the lines of a text value, split as a text-file reader would."""
-    return F.split(_col(text), LINE_SEPARATOR_PATTERN)
+    """Array of the lines of a text value, split as a text-file reader would.
+
+    Text without a carriage return takes the literal ``\\n`` split, which
+    skips the regular expression.
+    """
+    text = _col(text)
+    return F.when(text.contains("\r"), F.split(text, LINE_SEPARATOR_PATTERN)).otherwise(F.split(text, "\n"))
 
 
 def pair_text(key: ColumnOrName, value: ColumnOrName) -> Column:

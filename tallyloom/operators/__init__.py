@@ -1,5 +1,6 @@
 from tallyloom.operators.aggregates import count_per_element, sum_all, sum_per_key
 from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, group_values
+from tallyloom.operators.partitioning import spread
 from tallyloom.operators.routing import branch_tags, branches, route
 from tallyloom.operators.transforms import (
     key_ones,
@@ -32,6 +33,7 @@ __all__ = [
     "parse_int_rejects",
     "route",
     "scale",
+    "spread",
     "sum_all",
     "sum_per_key",
     "text_words",

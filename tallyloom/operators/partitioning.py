@@ -1,0 +1,30 @@
+"""Partition-count guard for CPU-heavy per-row work.
+
+A scan yields one task per file split.  On a cluster reading large inputs
+there are far more splits than cores and nothing needs doing.  A small input
+(one file, one Parquet row group) is read by a single task, and the per-row
+work after it -- splitting long texts, say -- then runs on one core.
+``spread`` redistributes such an input over the available cores before the
+heavy step; it never shuffles an input that already has enough partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition ``df`` round-robin when it has fewer than ``min_partitions``.
+
+    ``min_partitions`` defaults to the session's default parallelism (total
+    executor cores).  Streaming frames are returned unchanged.  The
+    round-robin exchange sorts rows first (Spark's default), so a retried
+    task receives the same rows.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

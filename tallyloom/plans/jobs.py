@@ -22,6 +22,7 @@ from tallyloom.operators import (
     pair_text,
     parse_int,
     route,
+    spread,
     sum_per_key,
     text_words,
     words,
@@ -48,8 +49,12 @@ def word_count(lines_df: DataFrame, line: str = "line") -> DataFrame:
 
 
 def word_count_text(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(word, n)`` over every line of a multi-line text column."""
-    return count_per_element(text_words(docs, text, "word"), "word", "n")
+    """``(word, n)`` over every line of a multi-line text column.
+
+    Splitting is the costly step, so the texts are first spread over all
+    cores when the scan has fewer partitions than that (see ``spread``).
+    """
+    return count_per_element(text_words(spread(docs.select(text)), text, "word"), "word", "n")
 
 
 def word_count_job(spark: SparkSession, in_path: str, out_path: str | None = None) -> DataFrame:

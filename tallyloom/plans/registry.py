@@ -93,9 +93,8 @@ def q_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v"))
     b = _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"))
     grouped = cogroup({"a": a, "b": b}, "k", "v", chunk_size=SMALL_CHUNK)
-    side_a = grouped.select("k", F.lit("a").alias("side"), F.explode("a").alias("v"))
-    side_b = grouped.select("k", F.lit("b").alias("side"), F.explode("b").alias("v"))
-    return side_a.unionByName(side_b)
+    sides = grouped.selectExpr("k", "stack(2, 'a', a, 'b', b) AS (side, vs)")
+    return sides.select("k", "side", F.explode("vs").alias("v"))
 
 
 def q_cogroup_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,99 @@
+"""Tumbling-window sums, batch and stream (W1, A4, S5 stand-in, Q6; E16, E17)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallyloom.plans import int_stream_job, parse_messages, windowed_int_sums
+from tallyloom.sources import from_rows, kafka_records, read_stream_files
+from tallyloom.streaming import event_time, latest_windows, tumbling_sum
+
+SCHEMA = "key string, value string, timestamp timestamp"
+EPOCH = dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+def _records(spark, items):
+    return from_rows(spark, [(None, v, EPOCH + dt.timedelta(seconds=s)) for v, s in items], SCHEMA)
+
+
+def test_g5_batch_windows(spark):
+    df = parse_messages(_records(spark, [("5", 1), ("6", 4), ("7", 6)]))
+    got = rows(windowed_int_sums(df))
+    assert got == [
+        (EPOCH, EPOCH + dt.timedelta(seconds=5), 11),
+        (EPOCH + dt.timedelta(seconds=5), EPOCH + dt.timedelta(seconds=10), 7),
+    ]
+
+
+def test_empty_window_gives_no_row(spark):
+    df = parse_messages(_records(spark, [("1", 0), ("2", 20)]))
+    assert len(windowed_int_sums(df).collect()) == 2
+
+
+def test_tumbling_sum_on_timestamp_ntz(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    out = tumbling_sum(df.withColumn("k", F.lit(1)), "ts", "k")
+    assert dict(out.dtypes)["w_start"] == "timestamp_ntz"
+    assert out.agg(F.sum("s")).first()[0] == df.count()
+
+
+def test_append_mode_needs_watermark(spark, scratch):
+    _records(spark, [("1", 1)]).write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", SCHEMA)
+    agg = windowed_int_sums(parse_messages(stream))
+    with pytest.raises(PySparkException):
+        agg.writeStream.outputMode("append").format("noop").option("checkpointLocation", f"{scratch}/ck").start()
+
+
+def test_stream_equals_batch(spark, scratch):
+    items = [("5", 1), ("6", 4), ("7", 6), ("1", 12), ("2", 13)]
+    _records(spark, items).write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", SCHEMA)
+    q = int_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", watermark="1 minute", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    batch = rows(windowed_int_sums(parse_messages(_records(spark, items))))
+    assert rows(latest_windows(spark, f"{scratch}/out")) == batch
+
+
+def test_stream_late_rows_dropped_after_watermark(spark, scratch):
+    _records(spark, [("1", 100)]).write.parquet(f"{scratch}/in/a")
+    stream = read_stream_files(spark, f"{scratch}/in/*", SCHEMA)
+    run = lambda: int_stream_job(
+        stream, f"{scratch}/out", f"{scratch}/ck", watermark="10 seconds", trigger={"availableNow": True}
+    )
+    q = run()
+    q.awaitTermination()
+    # Second run from the same checkpoint: one late row, one on time.
+    _records(spark, [("50", 2), ("3", 101)]).write.parquet(f"{scratch}/in/b")
+    q = run()
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {r.w_start: r.s for r in latest_windows(spark, f"{scratch}/out").collect()}
+    assert got == {EPOCH + dt.timedelta(seconds=100): 4}
+
+
+def test_stream_over_ntz_file_column(spark, scratch):
+    df = from_rows(spark, [("a", "5", EPOCH)], "key string, value string, timestamp timestamp_ntz")
+    df.write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", df.schema)
+    q = int_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert [r.s for r in latest_windows(spark, f"{scratch}/out").collect()] == [5]
+
+
+def test_kafka_records_cast_binary(spark):
+    df = from_rows(spark, [(b"k", b"42", EPOCH, 0)], "key binary, value binary, timestamp timestamp, partition int")
+    out = kafka_records(df).collect()[0]
+    assert (out.key, out.value) == ("k", "42")
+
+
+def test_event_time_cast(spark):
+    df = from_rows(spark, [(EPOCH,)], "ts timestamp_ntz")
+    out = event_time(df, "ts")
+    assert dict(out.dtypes)["ts"] == "timestamp" and out.first().ts == EPOCH
