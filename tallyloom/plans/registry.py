@@ -64,6 +64,12 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count_text(_t(spark, sf_dir, "documents"))
 
 
+def q_word_count_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch word-count program: words -> counts -> non-null -> ``KV{word, n}``."""
+    counts = not_null(word_count_text(_t(spark, sf_dir, "documents")))
+    return pair_text(counts, "word", "n", "kv")
+
+
 def q_count_per_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_per_element(_t(spark, sf_dir, "events"), "event_type", "n")
 
@@ -203,6 +209,7 @@ def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
+    "word_count_kv": q_word_count_kv,
     "count_per_element": q_count_per_element,
     "pair_text": q_pair_text,
     "group_values": q_group_values,
@@ -248,6 +255,7 @@ _PART_TAG = "CASE WHEN suffix(p_name, 'bolt') THEN 'bolt' WHEN suffix(p_name, 'r
 
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS_OF_DOCS,
+    "word_count_kv": f"SELECT 'KV{{' || word || ', ' || n || '}}' AS kv FROM ({_WORDS_OF_DOCS}) WHERE word IS NOT NULL",
     "count_per_element": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "pair_text": "SELECT 'KV{' || event_type || ', ' || count(*) || '}' AS kv FROM events GROUP BY event_type",
     "group_values": "SELECT c_nationkey AS k, c_custkey AS v FROM customer",
