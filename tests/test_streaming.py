@@ -9,8 +9,17 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tallyloom.operators import words
 from tallyloom.plans import int_stream_job, parse_messages, windowed_int_sums
-from tallyloom.sources import from_rows, kafka_records, read_stream_files
+from tallyloom.sinks import console_stream, write_jdbc_stream, write_lines, write_lines_stream
+from tallyloom.sources import (
+    from_rows,
+    kafka_records,
+    read_jdbc,
+    read_lines,
+    read_lines_stream,
+    read_stream_files,
+)
 from tallyloom.streaming import event_time, latest_windows, tumbling_sum
 
 SCHEMA = "key string, value string, timestamp timestamp"
@@ -97,3 +106,32 @@ def test_event_time_cast(spark):
     df = from_rows(spark, [(EPOCH,)], "ts timestamp_ntz")
     out = event_time(df, "ts")
     assert dict(out.dtypes)["ts"] == "timestamp" and out.first().ts == EPOCH
+
+
+def test_text_stream_word_count_to_text_sink(spark, scratch):
+    write_lines(from_rows(spark, ["a b", "b"]), f"{scratch}/in")
+    stream = read_lines_stream(spark, f"{scratch}/in")
+    q = write_lines_stream(words(stream), f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sorted(r.line for r in read_lines(spark, f"{scratch}/out").collect()) == ["a", "b", "b"]
+
+
+def test_console_stream_runs(spark, scratch):
+    from_rows(spark, ["x"]).write.text(f"{scratch}/in")
+    q = console_stream(read_lines_stream(spark, f"{scratch}/in"), f"{scratch}/ck")
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None
+
+
+def test_jdbc_stream_sink_on_embedded_derby(spark, scratch):
+    # Derby embedded in memory: seen only by this JVM, no server, no port.
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    url = "jdbc:derby:memory:streamsink;create=true"
+    _records(spark, [("5", 1), ("6", 2)]).write.parquet(f"{scratch}/in")
+    parsed = parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA)).select("value")
+    q = write_jdbc_stream(parsed, f"{scratch}/ck", url, "ints", driver=driver)
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.value for r in read_jdbc(spark, url, table="ints", driver=driver).collect()) == [5, 6]
