@@ -11,9 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+import tallyloom
+
+# Ship this package's functions to Python workers by value, so executors need
+# no installed copy of the package (and a driver started from any folder works).
+cloudpickle.register_pickle_by_value(tallyloom)
+
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
