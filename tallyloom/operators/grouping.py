@@ -17,8 +17,9 @@ the same chunks):
 3. Count values per key (partial aggregate again) and join the count back;
    adaptive execution broadcasts the count table when its runtime size is
    small and splits skewed partitions when it is not.
-4. Spread the pieces of a key over its chunks by a hash of their content, then
-   gather each chunk's lists.
+4. Spread the pieces of a key over its chunks by a hash of their content
+   (the pieces of one heavy value over consecutive chunks), then gather each
+   chunk's lists.
 """
 
 from __future__ import annotations
@@ -58,9 +59,11 @@ def _chunked(df: DataFrame, keys: list[str], content: list[str], chunk_size: int
     )
     cond = reduce(lambda a, b: a & b, [pieces[k].eqNullSafe(totals[renamed[k]]) for k in keys])
     joined = pieces.join(totals, cond, "inner").drop(*renamed.values())
-    chunk = F.when(F.col(_NC) <= 1, F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in keys + content], F.col(_P)), F.col(_NC))
-    )
+    # A row's first piece goes to the chunk its content hashes to, its later
+    # pieces to the chunks after it, so one heavy value fills consecutive
+    # chunks instead of clumping.
+    home = F.pmod(F.xxhash64(*[F.col(c) for c in keys + content]), F.col(_NC))
+    chunk = F.when(F.col(_NC) <= 1, F.lit(0).cast("long")).otherwise(F.pmod(home + F.col(_P), F.col(_NC)))
     return joined.withColumn("chunk", chunk)
 
 
