@@ -48,6 +48,7 @@ NOTES = {
     "map_rows": "no shuffle; Python once per Arrow batch",
     "text_word_count": "text files are split by bytes across tasks; partial count per word",
     "catalog_read": "no shuffle; only column 0 is decoded",
+    "stream_parse_int": "stateless stream: parse and filter in the scan stage, files committed once per batch",
     "stream_tumbling_sum": "stream state bounded by the watermark; the read of the sink keeps the newest "
     "value per window (partial max_by)",
 }

@@ -32,7 +32,7 @@ from tallyloom.operators import (
     sum_per_key,
     words,
 )
-from tallyloom.plans.jobs import catalog_first_column, name_counts, word_count, word_count_text
+from tallyloom.plans.jobs import catalog_first_column, name_counts, parse_messages, word_count, word_count_text
 from tallyloom.session import staging_path, table_path
 from tallyloom.sinks import write_branches, write_lines
 from tallyloom.sources import read_lines, read_stream_files
@@ -185,14 +185,40 @@ def q_catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_first_column(spark, name)
 
 
-def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of message records ``(key, value, timestamp)``.
+
+    Stands in for a Kafka topic: key = event id, value = the text of ``props.k``.
+    """
     path = table_path(sf_dir, "events")
     schema = spark.read.parquet(path).schema
-    records = read_stream_files(spark, path, schema).select(
+    return read_stream_files(spark, path, schema).select(
         F.col("event_id").cast("string").alias("key"),
         F.get_json_object("props", "$.k").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live stream program: every message parsed to int, non-null ones kept, appended to files."""
+    parsed = not_null(parse_messages(_event_records(spark, sf_dir)), ["value"])
+    out = staging_path(spark, "stream-ints")
+    query = (
+        parsed.select(F.col("key").cast("long").alias("event_id"), F.col("value").alias("k"))
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", staging_path(spark, "stream-ints-ckpt"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.parquet(out)
+
+
+def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _event_records(spark, sf_dir)
     sums = tumbling_sum(parse_int(records, "value"), "timestamp", "value", "5 seconds", watermark="10 minutes")
     out = staging_path(spark, "window-sums")
     query = start_window_upserts(sums, out, staging_path(spark, "window-sums-ckpt"), {"availableNow": True})
@@ -228,6 +254,7 @@ QUERIES: dict[str, QueryFn] = {
     "map_rows": q_map_rows,
     "text_word_count": q_text_word_count,
     "catalog_read": q_catalog_read,
+    "stream_parse_int": q_stream_parse_int,
     "stream_tumbling_sum": q_stream_tumbling_sum,
 }
 
@@ -291,6 +318,7 @@ ORACLE_SQL: dict[str, str] = {
     "map_rows": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",
     "text_word_count": _WORDS_OF_DOCS,
     "catalog_read": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
+    "stream_parse_int": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",
     "stream_tumbling_sum": (
         "SELECT time_bucket(INTERVAL '5 seconds', ts) AS w_start, "
         "time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS w_end, "

@@ -68,7 +68,12 @@ def write_jdbc(
 
 
 def write_jdbc_stream(df: DataFrame, checkpoint: str, url: str, table: str, **options) -> StreamingQuery:
-    """Each micro-batch appended to a database table through ``foreachBatch``."""
+    """Each micro-batch appended to a database table through ``foreachBatch``.
+
+    At least once: a micro-batch replayed after a failure is inserted again,
+    which a primary key on the target turns into an error rather than a
+    duplicate.
+    """
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
         write_jdbc(batch, url, table, **options)
@@ -84,15 +89,21 @@ def write_branches(df: DataFrame, path: str, tag: str = "tag", mode: str = "erro
     df.write.mode(mode).partitionBy(tag).format(fmt).save(path)
 
 
-def tap(df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+def tap(
+    df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, Observation | None]:
     """Count rows (and other aggregates) as they pass, without a second job.
 
-    Returns the observed frame and an ``Observation`` whose ``.get`` gives the
-    metrics after the first action on that frame.
+    Batch: returns the observed frame and an ``Observation`` whose ``.get``
+    gives the metrics after the first action on that frame.  Stream: returns
+    ``None`` instead; each micro-batch's metrics appear in the query progress
+    under ``observedMetrics[name]``.
     """
-    obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")]
     exprs += [expr.alias(key) for key, expr in (metrics or {}).items()]
+    if df.isStreaming:
+        return df.observe(name, *exprs), None
+    obs = Observation(name)
     return df.observe(obs, *exprs), obs
 
 

@@ -140,3 +140,11 @@ def test_write_jdbc_overwrite_truncate(spark):
     write_jdbc(df, url, "TestBeamCount", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
     write_jdbc(df, url, "TestBeamCount", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
     assert read_jdbc(spark, url, table="TestBeamCount", driver=DERBY).count() == 1
+
+
+def test_jdbc_pushes_filters_and_columns(spark):
+    url = _derby(spark, "push")
+    df = read_jdbc(spark, url, table="TestBeam", driver=DERBY).filter(F.col("NAME") == "a").select("NAME")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(NAME,a)" in plan and "ReadSchema: struct<NAME:string>" in plan
+    assert df.count() == 2

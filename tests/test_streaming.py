@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import words
 from tallyloom.plans import int_stream_job, parse_messages, windowed_int_sums
-from tallyloom.sinks import console_stream, write_jdbc_stream, write_lines, write_lines_stream
+from tallyloom.sinks import console_stream, tap, write_jdbc_stream, write_lines, write_lines_stream
 from tallyloom.sources import (
     from_rows,
     kafka_records,
@@ -135,3 +135,15 @@ def test_jdbc_stream_sink_on_embedded_derby(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.value for r in read_jdbc(spark, url, table="ints", driver=driver).collect()) == [5, 6]
+
+
+def test_tap_on_stream_reports_progress_metrics(spark, scratch):
+    _records(spark, [("5", 1), ("x", 2)]).write.parquet(f"{scratch}/in")
+    parsed = parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA), strict=False)
+    observed, obs = tap(parsed, "ints", {"bad": F.count_if(F.col("value").isNull())})
+    assert obs is None
+    q = observed.writeStream.format("noop").option("checkpointLocation", f"{scratch}/ck").start()
+    q.processAllAvailable()
+    metrics = [p["observedMetrics"]["ints"] for p in q.recentProgress if p.get("observedMetrics")]
+    q.stop()
+    assert metrics and metrics[0]["rows"] == 2 and metrics[0]["bad"] == 1
