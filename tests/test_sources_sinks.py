@@ -98,10 +98,10 @@ def _derby(spark, name):
     jvm.java.lang.Class.forName(DERBY)
     conn = jvm.java.sql.DriverManager.getConnection(url)
     st = conn.createStatement()
-    st.execute("create table TestBeam (id varchar(50) not null primary key, name varchar(50))")
-    st.execute("create table TestBeamCount (name varchar(50) not null primary key, count varchar(50))")
+    st.execute("create table people (id varchar(50) not null primary key, name varchar(50))")
+    st.execute("create table name_counts_out (name varchar(50) not null primary key, count varchar(50))")
     for i, n in (("1", "'a'"), ("2", "'a'"), ("3", "'b'"), ("4", "null")):
-        st.execute(f"insert into TestBeam values ('{i}', {n})")
+        st.execute(f"insert into people values ('{i}', {n})")
     conn.close()
     return url
 
@@ -109,16 +109,16 @@ def _derby(spark, name):
 def test_g4_jdbc_round_trip_on_embedded_derby(spark):
     url = _derby(spark, "g4")
     obs = jdbc_round_trip(
-        spark, url, "select * from TestBeam", url, "TestBeamCount",
+        spark, url, "select * from people", url, "name_counts_out",
         source_options={"driver": DERBY}, target_options={"driver": DERBY},
     )
-    out = read_jdbc(spark, url, table="TestBeamCount", driver=DERBY)
+    out = read_jdbc(spark, url, table="name_counts_out", driver=DERBY)
     assert rows(out, "NAME", "COUNT") == [("a", "20"), ("b", "10")]
     assert obs.get["null_names"] == 1
     # A second append hits the primary key, as a plain insert does.
     with pytest.raises(Exception):
         jdbc_round_trip(
-            spark, url, "select * from TestBeam", url, "TestBeamCount",
+            spark, url, "select * from people", url, "name_counts_out",
             source_options={"driver": DERBY}, target_options={"driver": DERBY},
         )
 
@@ -126,25 +126,25 @@ def test_g4_jdbc_round_trip_on_embedded_derby(spark):
 def test_jdbc_parallel_reads(spark):
     url = _derby(spark, "par")
     by_range = read_jdbc(
-        spark, url, query="select cast(id as int) as nid, name from TestBeam", driver=DERBY,
+        spark, url, query="select cast(id as int) as nid, name from people", driver=DERBY,
         partition_column="nid", lower_bound=1, upper_bound=5, num_partitions=2,
     )
     assert by_range.rdd.getNumPartitions() == 2 and by_range.count() == 4
-    by_pred = read_jdbc(spark, url, table="TestBeam", driver=DERBY, predicates=["id < '3'", "id >= '3'"])
+    by_pred = read_jdbc(spark, url, table="people", driver=DERBY, predicates=["id < '3'", "id >= '3'"])
     assert by_pred.rdd.getNumPartitions() == 2 and by_pred.count() == 4
 
 
 def test_write_jdbc_overwrite_truncate(spark):
     url = _derby(spark, "ow")
     df = from_rows(spark, [("z", "1")], "NAME string, COUNT string")
-    write_jdbc(df, url, "TestBeamCount", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
-    write_jdbc(df, url, "TestBeamCount", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
-    assert read_jdbc(spark, url, table="TestBeamCount", driver=DERBY).count() == 1
+    write_jdbc(df, url, "name_counts_out", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
+    write_jdbc(df, url, "name_counts_out", mode="overwrite", driver=DERBY, extra={"truncate": "true"})
+    assert read_jdbc(spark, url, table="name_counts_out", driver=DERBY).count() == 1
 
 
 def test_jdbc_pushes_filters_and_columns(spark):
     url = _derby(spark, "push")
-    df = read_jdbc(spark, url, table="TestBeam", driver=DERBY).filter(F.col("NAME") == "a").select("NAME")
+    df = read_jdbc(spark, url, table="people", driver=DERBY).filter(F.col("NAME") == "a").select("NAME")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(NAME,a)" in plan and "ReadSchema: struct<NAME:string>" in plan
     assert df.count() == 2
