@@ -1,5 +1,6 @@
 from tallyloom.plans.jobs import (
     catalog_first_column,
+    int_parse_stream_job,
     int_stream_job,
     jdbc_round_trip,
     line_branches,
@@ -15,6 +16,7 @@ from tallyloom.plans.jobs import (
 
 __all__ = [
     "catalog_first_column",
+    "int_parse_stream_job",
     "int_stream_job",
     "jdbc_round_trip",
     "line_branches",

@@ -163,5 +163,20 @@ def int_stream_job(
     return start_window_upserts(sums, out_path, checkpoint, trigger)
 
 
+def int_parse_stream_job(
+    records: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    strict: bool = True,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Start the live program: every message parsed to int, non-null values appended to Parquet files."""
+    parsed = not_null(parse_messages(records, strict=strict), ["value"])
+    writer = parsed.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def _is_ntz(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() == "timestamp_ntz"

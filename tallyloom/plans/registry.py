@@ -32,7 +32,13 @@ from tallyloom.operators import (
     sum_per_key,
     words,
 )
-from tallyloom.plans.jobs import catalog_first_column, name_counts, parse_messages, word_count, word_count_text
+from tallyloom.plans.jobs import (
+    catalog_first_column,
+    int_parse_stream_job,
+    name_counts,
+    word_count,
+    word_count_text,
+)
 from tallyloom.session import staging_path, table_path
 from tallyloom.sinks import write_branches, write_lines
 from tallyloom.sources import read_lines, read_stream_files
@@ -201,20 +207,14 @@ def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live stream program: every message parsed to int, non-null ones kept, appended to files."""
-    parsed = not_null(parse_messages(_event_records(spark, sf_dir)), ["value"])
     out = staging_path(spark, "stream-ints")
-    query = (
-        parsed.select(F.col("key").cast("long").alias("event_id"), F.col("value").alias("k"))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", staging_path(spark, "stream-ints-ckpt"))
-        .trigger(availableNow=True)
-        .start()
+    query = int_parse_stream_job(
+        _event_records(spark, sf_dir), out, staging_path(spark, "stream-ints-ckpt"), trigger={"availableNow": True}
     )
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(F.col("key").cast("long").alias("event_id"), F.col("value").alias("k"))
 
 
 def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:

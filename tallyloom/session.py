@@ -76,6 +76,25 @@ def build_session(
     return spark
 
 
+def suggested_shuffle_partitions(
+    shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024
+) -> int:
+    """Initial shuffle partitions for a job whose largest shuffle writes ``shuffle_bytes``.
+
+    Size from the shuffled bytes, not the raw input: after column pruning and
+    partial aggregation a word count over 100 TB of text shuffles a few TB.
+    Each partition then holds about ``target_partition_bytes`` (aggregates and
+    sorts fit in executor memory without heavy spilling), there are at least
+    two waves of tasks over all cores, and the number is a multiple of the
+    core count.  Adaptive execution coalesces partitions that turn out small,
+    but it cannot split an aggregate's partitions, so the initial number must
+    be large enough for the biggest stage.
+    """
+    by_size = -(-shuffle_bytes // target_partition_bytes)
+    n = max(by_size, 2 * total_cores)
+    return -(-n // total_cores) * total_cores
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

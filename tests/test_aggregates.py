@@ -79,3 +79,11 @@ def test_no_python_in_builtin_plans(spark):
     out = sum_per_key(key_ones(df, "event_type"), factor=10).withColumn("x", F.col("value") + 1)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_suggested_shuffle_partitions():
+    from tallyloom.session import suggested_shuffle_partitions
+
+    assert suggested_shuffle_partitions(0, 8) == 16
+    assert suggested_shuffle_partitions(4 * 2**40, 12_000) == 24_000  # 4 TB shuffled on 12k cores
+    assert suggested_shuffle_partitions(50 * 2**30, 8) % 8 == 0

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyloom.operators import words
-from tallyloom.plans import int_stream_job, parse_messages, windowed_int_sums
+from tallyloom.plans import int_parse_stream_job, int_stream_job, parse_messages, windowed_int_sums
 from tallyloom.sinks import console_stream, tap, write_jdbc_stream, write_lines, write_lines_stream
 from tallyloom.sources import (
     from_rows,
@@ -147,3 +147,11 @@ def test_tap_on_stream_reports_progress_metrics(spark, scratch):
     metrics = [p["observedMetrics"]["ints"] for p in q.recentProgress if p.get("observedMetrics")]
     q.stop()
     assert metrics and metrics[0]["rows"] == 2 and metrics[0]["bad"] == 1
+
+
+def test_live_int_stream_appends_parsed_values(spark, scratch):
+    _records(spark, [("5", 1), ("6", 2)]).write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", SCHEMA)
+    q = int_parse_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(f"{scratch}/out").collect()) == [5, 6]
