@@ -4,6 +4,7 @@ from tallyloom.plans.jobs import (
     int_stream_job,
     jdbc_round_trip,
     line_branches,
+    line_branches_written,
     line_routing,
     name_counts,
     parse_messages,
@@ -20,6 +21,7 @@ __all__ = [
     "int_stream_job",
     "jdbc_round_trip",
     "line_branches",
+    "line_branches_written",
     "line_routing",
     "name_counts",
     "parse_messages",

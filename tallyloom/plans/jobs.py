@@ -27,9 +27,9 @@ from tallyloom.operators import (
     text_words,
     words,
 )
-from tallyloom.operators.routing import SuffixRules, branches
-from tallyloom.sinks import tap, write_jdbc, write_lines
-from tallyloom.sources import read_jdbc, read_lines, read_table
+from tallyloom.operators.routing import SuffixRules, branch_tags, branches
+from tallyloom.sinks import tap, write_branches, write_jdbc, write_lines
+from tallyloom.sources import read_branches, read_jdbc, read_lines, read_table
 from tallyloom.streaming import DEFAULT_WINDOW, event_time, start_window_upserts, tumbling_sum
 
 # Fixed values of the reference's routing program: lines ending in "world" go
@@ -90,6 +90,23 @@ def line_branches(
     return branches(df, column, rules, default)
 
 
+def line_branches_written(
+    df: DataFrame,
+    path: str,
+    column: str = "line",
+    rules: SuffixRules = ROUTING_RULES,
+    default: str = ROUTING_DEFAULT,
+) -> dict[str, DataFrame]:
+    """Route once, write all outputs in one pass under ``path``, return one frame per output.
+
+    The source is read once however many branches are processed later, and
+    the branch inputs are files in ``path`` (put it in the shared folder), so
+    a lost executor costs no recomputation of the routing.
+    """
+    write_branches(line_routing(df, column, rules, default), path)
+    return read_branches(df.sparkSession, path, branch_tags(rules, default))
+
+
 # Q4: JDBC round trip ------------------------------------------------------
 
 def name_counts(rows: DataFrame, name_position: int = 1, factor: int = JDBC_FACTOR) -> tuple[DataFrame, object]:

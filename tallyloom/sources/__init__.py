@@ -115,6 +115,16 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**jdbc_options(url, query, table, **options)).load()
 
 
+def read_branches(spark: SparkSession, path: str, tags: Sequence[str], tag: str = "tag") -> dict[str, DataFrame]:
+    """One frame per tag over a folder written by ``sinks.write_branches``.
+
+    Each frame's tag filter prunes the other tags' folders, so a branch
+    reads only its own files.
+    """
+    rows = spark.read.parquet(path)
+    return {t: rows.filter(F.col(tag) == t) for t in tags}
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A table of the session catalog (Hive metastore when the session has one).
 
@@ -160,7 +170,9 @@ def read_kafka(
 ) -> DataFrame:
     """A Kafka topic as a stream of ``(key, value, timestamp)`` text records.
 
-    Needs Spark's Kafka connector on the class path (``--packages``).
+    Needs Spark's Kafka connector on the class path (``--packages``).  Pass
+    ``extra={"maxOffsetsPerTrigger": ...}`` to bound each micro-batch when
+    catching up on a large backlog; Kafka partitions become Spark tasks.
     """
     raw = spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, starting_offsets, extra)).load()
     return kafka_records(raw)
@@ -193,6 +205,7 @@ def read_stream_files(
 
 __all__ = [
     "from_rows",
+    "read_branches",
     "jdbc_options",
     "kafka_options",
     "kafka_records",

@@ -6,7 +6,7 @@ from conftest import natural, rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import branches, route
-from tallyloom.plans import line_branches, line_routing
+from tallyloom.plans import line_branches, line_branches_written, line_routing
 from tallyloom.sinks import write_branches
 from tallyloom.sources import from_rows
 
@@ -53,3 +53,14 @@ def test_write_branches_one_pass_and_pruned_read(spark, scratch):
     one = back.filter(F.col("tag") == "spark")
     assert "PartitionFilters: [isnotnull(tag" in one._jdf.queryExecution().executedPlan().toString()
     assert [r.line for r in one.collect()] == ["hello flink spark"]
+
+
+def test_written_branches_read_only_their_folder(spark, scratch):
+    parts = line_branches_written(from_rows(spark, G3 + ["x world"]), scratch)
+    assert {t: sorted(r.line for r in f.collect()) for t, f in parts.items()} == {
+        "world": ["hello world", "x world"],
+        "spark": ["hello flink spark"],
+        "flink": ["hello flink"],
+    }
+    plan = parts["spark"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tag" in plan and "(tag#" in plan and "= spark)" in plan
