@@ -103,24 +103,28 @@ def suffix_branch_predicate(
 
     Written on the source column itself (not on a derived tag), so the
     suffix tests reach the Parquet scan as ``StringEndsWith`` filters.
-    A rule's branch needs its own suffix and none of the earlier ones; the
-    default branch needs no suffix at all, or a null value.
+    A rule routes a row when its suffix matches and no earlier rule's does; a
+    tag is the union of its rules; the default takes rows no rule matches,
+    and null values.
     """
     value = _col(value)
-    earlier: list[Column] = []
-    for suffix, rule_tag in rules:
-        hit = value.endswith(suffix)
-        if rule_tag == tag:
-            pred = hit
-            for e in earlier:
-                pred = pred & ~e
-            return pred
-        earlier.append(hit)
-    if tag != default:
+    hits = [value.endswith(suffix) for suffix, _ in rules]
+    pred = None
+    for i, (_, rule_tag) in enumerate(rules):
+        if rule_tag != tag:
+            continue
+        routed = hits[i]
+        for earlier in hits[:i]:
+            routed = routed & ~earlier
+        pred = routed if pred is None else pred | routed
+    if tag == default:
+        if not hits:
+            return F.lit(True)
+        any_hit = hits[0]
+        for h in hits[1:]:
+            any_hit = any_hit | h
+        unrouted = value.isNull() | ~any_hit
+        pred = unrouted if pred is None else pred | unrouted
+    if pred is None:
         raise ValueError(f"unknown tag {tag!r}")
-    if not earlier:
-        return F.lit(True)
-    none_hit = earlier[0]
-    for e in earlier[1:]:
-        none_hit = none_hit | e
-    return value.isNull() | ~none_hit
+    return pred

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tallyloom.functions import suffix_tag
+from tallyloom.functions import suffix_branch_predicate, suffix_tag
 from tallyloom.operators import cogroup, group_values, words
 from tallyloom.sources import from_rows
 
@@ -90,3 +90,16 @@ def test_suffix_tag_matches_python(spark, values):
     for i, v in enumerate(values):
         want = next((t for s, t in rules if v is not None and v.endswith(s)), "D")
         assert got[i] == want
+
+
+@SETTINGS
+@given(
+    values=st.lists(st.one_of(st.none(), st.text(alphabet="abx", max_size=4)), max_size=20),
+    rules=st.lists(st.tuples(st.text(alphabet="abx", max_size=2), st.sampled_from(["P", "Q", "D"])), max_size=4),
+)
+def test_branch_predicates_partition_like_tags(spark, values, rules):
+    df = from_rows(spark, list(enumerate(values)), "id int, v string")
+    tags = {r.id: r.tag for r in df.select("id", suffix_tag("v", rules, "D").alias("tag")).collect()}
+    for tag in sorted({t for _, t in rules} | {"D"}):
+        ids = {r.id for r in df.filter(suffix_branch_predicate("v", rules, "D", tag)).collect()}
+        assert ids == {i for i, t in tags.items() if t == tag}, (tag, rules, values)
