@@ -31,6 +31,8 @@ NOTES = {
     "pair_text": "as count_per_element",
     "group_values": "duplicate collapse (partial), per-key totals from the reused exchange, totals "
     "broadcast only after AQE measured them, then one shuffle by (key, chunk); every list is bounded",
+    "group_values_hot": "as group_values; each key holds a third of lineitem and is spread over "
+    "ceil(n / 1000) chunks, so no task gathers a whole key",
     "sum_per_key_x10": "partial sums; the value list of the reference is never built",
     "jdbc_counts": "partial sums; null names counted by an observation in the same pass",
     "cogroup": "one union and the group_values plan; no chain of outer joins",

@@ -52,6 +52,8 @@ PART_DEFAULT = "other"
 # Chunk size of the registered group/co-group queries: small enough that the
 # larger keys at sf0.01 are split into several chunks.
 SMALL_CHUNK = 50
+# Chunk size of the hot-key query: each return flag holds a third of lineitem.
+HOT_CHUNK = 1000
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +92,13 @@ def q_group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("k", F.explode("vs").alias("v"))
 
 
+def q_group_values_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three keys, each holding a third of lineitem: every key is split into many chunks."""
+    li = _t(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("k"), F.col("l_orderkey").alias("v"))
+    grouped = group_values(li, "k", "v", "vs", chunk_size=HOT_CHUNK)
+    return grouped.select("k", F.explode("vs").alias("v"))
+
+
 def q_sum_per_key_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = key_ones(_t(spark, sf_dir, "orders"), "o_orderpriority", "k", "one")
     return sum_per_key(pairs, "k", "one", 10, "v")
@@ -239,6 +248,7 @@ QUERIES: dict[str, QueryFn] = {
     "count_per_element": q_count_per_element,
     "pair_text": q_pair_text,
     "group_values": q_group_values,
+    "group_values_hot": q_group_values_hot,
     "sum_per_key_x10": q_sum_per_key_x10,
     "jdbc_counts": q_jdbc_counts,
     "cogroup": q_cogroup,
@@ -286,6 +296,7 @@ ORACLE_SQL: dict[str, str] = {
     "count_per_element": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "pair_text": "SELECT 'KV{' || event_type || ', ' || count(*) || '}' AS kv FROM events GROUP BY event_type",
     "group_values": "SELECT c_nationkey AS k, c_custkey AS v FROM customer",
+    "group_values_hot": "SELECT l_returnflag AS k, l_orderkey AS v FROM lineitem",
     "sum_per_key_x10": "SELECT o_orderpriority AS k, CAST(count(*) * 10 AS BIGINT) AS v FROM orders GROUP BY o_orderpriority",
     "jdbc_counts": (
         "SELECT c_mktsegment AS name, CAST(count(*) * 10 AS VARCHAR) AS count FROM customer "

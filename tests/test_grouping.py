@@ -97,3 +97,14 @@ def test_cogroup_hot_key_across_inputs(spark):
     assert sorted(v for r in hot for v in r.a) == list(range(0, 3000, 3))
     assert sorted(-v for r in hot for v in r.b) == list(range(1, 3000, 3))
     assert sum(len(r.a) for r in out) == 3000 and sum(len(r.b) for r in out) == 3000
+
+
+def test_hot_keys_of_real_table_are_balanced(spark):
+    # Each return flag holds a third of lineitem.
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    pairs = li.select(F.col("l_returnflag").alias("key"), F.col("l_orderkey").alias("value"))
+    sizes = group_values(pairs, chunk_size=100).select("key", F.size("values").alias("n")).collect()
+    per_key = Counter(r.key for r in sizes)
+    assert all(c >= 15 for c in per_key.values())
+    assert max(r.n for r in sizes) <= 200
+    assert sum(r.n for r in sizes) == li.count()
