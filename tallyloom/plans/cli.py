@@ -80,7 +80,7 @@ def _int_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.no_window:
         query = int_parse_stream_job(records, a.output, checkpoint, trigger=trigger)
     else:
-        query = int_stream_job(records, a.output, checkpoint, a.watermark, a.window, trigger)
+        query = int_stream_job(records, a.output, checkpoint, a.watermark, a.window, trigger, a.output_mode)
     query.awaitTermination()
 
 
@@ -129,6 +129,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--watermark", default="10 seconds")
     s.add_argument("--window", default="5 seconds")
     s.add_argument("--no-window", action="store_true", help="write every parsed value, no window sums")
+    s.add_argument("--output-mode", choices=["update", "append"], default="update",
+                   help="update: upsert changed windows per batch; append: each window once, when final")
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.set_defaults(run=_int_stream)
     return p

@@ -30,7 +30,7 @@ from tallyloom.operators import (
 from tallyloom.operators.routing import SuffixRules, branch_tags, branches
 from tallyloom.sinks import tap, write_branches, write_jdbc, write_lines
 from tallyloom.sources import read_branches, read_jdbc, read_lines, read_table
-from tallyloom.streaming import DEFAULT_WINDOW, event_time, start_window_upserts, tumbling_sum
+from tallyloom.streaming import DEFAULT_WINDOW, event_time, start_window_appends, start_window_upserts, tumbling_sum
 
 # Fixed values of the reference's routing program: lines ending in "world" go
 # to output "world", then lines ending in "spark" to "spark", all others to the
@@ -173,10 +173,20 @@ def int_stream_job(
     watermark: str = "10 seconds",
     duration: str = DEFAULT_WINDOW,
     trigger: Mapping[str, object] | None = None,
+    output_mode: str = "update",
 ) -> StreamingQuery:
-    """Start the windowed integer sum on a record stream (Kafka or files)."""
+    """Start the windowed integer sum on a record stream (Kafka or files).
+
+    ``update`` (default): changed windows are upserted per micro-batch, read
+    the result with ``latest_windows``.  ``append``: each window is written
+    once, final, when the watermark passes it.
+    """
     parsed = parse_messages(event_time(records, "timestamp") if _is_ntz(records, "timestamp") else records)
     sums = windowed_int_sums(parsed, "timestamp", duration, watermark)
+    if output_mode == "append":
+        return start_window_appends(sums, out_path, checkpoint, trigger)
+    if output_mode != "update":
+        raise ValueError("output_mode must be 'update' or 'append'")
     return start_window_upserts(sums, out_path, checkpoint, trigger)
 
 

@@ -2,8 +2,9 @@ from tallyloom.streaming.windows import (
     DEFAULT_WINDOW,
     event_time,
     latest_windows,
+    start_window_appends,
     start_window_upserts,
     tumbling_sum,
 )
 
-__all__ = ["DEFAULT_WINDOW", "event_time", "latest_windows", "start_window_upserts", "tumbling_sum"]
+__all__ = ["DEFAULT_WINDOW", "event_time", "latest_windows", "start_window_appends", "start_window_upserts", "tumbling_sum"]

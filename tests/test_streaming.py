@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyloom.operators import words
+from tallyloom.functions import map_rows
+from tallyloom.operators import sum_all, words
 from tallyloom.plans import int_parse_stream_job, int_stream_job, parse_messages, windowed_int_sums
 from tallyloom.sinks import console_stream, tap, write_jdbc_stream, write_lines, write_lines_stream
 from tallyloom.sources import (
@@ -155,3 +156,43 @@ def test_live_int_stream_appends_parsed_values(spark, scratch):
     q = int_parse_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True})
     q.awaitTermination()
     assert sorted(r.value for r in spark.read.parquet(f"{scratch}/out").collect()) == [5, 6]
+
+
+def test_global_sum_on_stream(spark, scratch):
+    _records(spark, [("5", 1), ("6", 2), ("7", 3)]).write.parquet(f"{scratch}/in")
+    parsed = parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA))
+    q = (
+        sum_all(parsed, "value").writeStream.outputMode("complete").format("memory")
+        .queryName("global_sum_test").option("checkpointLocation", f"{scratch}/ck").start()
+    )
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("global_sum_test").collect()[0].s == 18
+
+
+def test_map_rows_on_stream(spark, scratch):
+    _records(spark, [("5", 1), ("6", 2)]).write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", SCHEMA)
+    doubled = map_rows(stream.select("value"), lambda b: b.assign(value=b["value"] + b["value"]), "value string")
+    q = doubled.writeStream.format("parquet").option("path", f"{scratch}/out").option(
+        "checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(f"{scratch}/out").collect()) == ["55", "66"]
+
+
+def test_append_mode_writes_each_closed_window_once(spark, scratch):
+    _records(spark, [("5", 1), ("6", 4)]).write.parquet(f"{scratch}/in/a")
+    stream = read_stream_files(spark, f"{scratch}/in/*", SCHEMA)
+    run = lambda: int_stream_job(
+        stream, f"{scratch}/out", f"{scratch}/ck", watermark="1 second",
+        trigger={"availableNow": True}, output_mode="append",
+    )
+    q = run()
+    q.awaitTermination()
+    # Later data moves the watermark past the first window, which is then written, final.
+    _records(spark, [("7", 30)]).write.parquet(f"{scratch}/in/b")
+    q = run()
+    q.awaitTermination()
+    assert q.exception() is None
+    got = [(r.w_start, r.s) for r in spark.read.parquet(f"{scratch}/out").collect()]
+    assert got == [(EPOCH, 11)]
