@@ -9,12 +9,14 @@ compare plain columns.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.functions import map_rows
 from tallyloom.operators import (
@@ -56,8 +58,25 @@ SMALL_CHUNK = 50
 HOT_CHUNK = 1000
 
 
+_SCHEMAS: dict[tuple[str, int, int], StructType] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan of one driver table.
+
+    The Parquet footer schema is inferred once per file version and then
+    passed to the reader, which saves the small schema-inference job Spark
+    would otherwise run on every read.
+    """
+    path = table_path(sf_dir, name)
+    try:
+        st = os.stat(path)
+        key = (path, st.st_size, int(st.st_mtime_ns))
+    except OSError:  # not a local path: let Spark infer
+        return spark.read.parquet(path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +225,7 @@ def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Stands in for a Kafka topic: key = event id, value = the text of ``props.k``.
     """
     path = table_path(sf_dir, "events")
-    schema = spark.read.parquet(path).schema
+    schema = _t(spark, sf_dir, "events").schema
     return read_stream_files(spark, path, schema).select(
         F.col("event_id").cast("string").alias("key"),
         F.get_json_object("props", "$.k").alias("value"),

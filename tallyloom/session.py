@@ -65,6 +65,10 @@ def build_session(
             # 1 GB default makes aggregations spend their time in GC.
             if "spark.driver.memory" not in (extra_conf or {}):
                 builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
+            # Few cores and small shuffles: let adaptive execution keep more,
+            # smaller partitions so CPU-heavy stages (list building, text
+            # splitting) still use every core.  Clusters keep the default.
+            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     for key, value in BASE_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
