@@ -12,15 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import (
-    pair_text as pair_text_expr,
-)
-from tallyloom.functions.columns import (
-    parse_int_strict,
-    parse_int_tolerant,
-    split_lines,
-    split_words,
-)
+from tallyloom.functions.columns import pair_text as pair_text_expr
+from tallyloom.functions.columns import parse_int_strict, parse_int_tolerant, split_lines, split_words
 
 ColumnRef = str | int
 

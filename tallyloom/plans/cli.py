@@ -117,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("catalog-column", help="first column of a catalog table as text lines")
     s.add_argument("--table", required=True)
+    s.add_argument("--metastore", help="Hive metastore URI, thrift://host:port")
     s.add_argument("--output", required=True)
     s.set_defaults(run=_catalog_column)
 
@@ -138,7 +139,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(spark or build_session(app_name=f"tallyloom-{args.job}"), args)
+    if spark is None:
+        spark = build_session(app_name=f"tallyloom-{args.job}", hive_metastore_uri=getattr(args, "metastore", None))
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -45,14 +45,19 @@ def build_session(
     app_name: str = "tallyloom",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    hive_metastore_uri: str | None = None,
 ) -> SparkSession:
     """Return a session with the library's defaults.
 
     ``master`` is left unset when None so that ``spark-submit`` decides it on a
     cluster.  ``shuffle_partitions`` defaults to Spark's own value; on a cluster
-    pass roughly ``input_bytes / 200MB`` and let AQE coalesce the rest.
+    see ``suggested_shuffle_partitions`` and let AQE coalesce the rest.
+    ``hive_metastore_uri`` (``thrift://host:port``) makes the session catalog a
+    Hive metastore, so ``read_table`` reads its tables.
     """
     builder = SparkSession.builder.appName(app_name)
+    if hive_metastore_uri:
+        builder = builder.enableHiveSupport().config("spark.hadoop.hive.metastore.uris", hive_metastore_uri)
     if master:
         builder = builder.master(master)
         if master.startswith("local"):

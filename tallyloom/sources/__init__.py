@@ -30,7 +30,9 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], out: str = "line"
     """One row per line of the text files at ``path`` (any Hadoop file system path).
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; the separators are removed,
-    empty lines are kept.  Large files are split across tasks.
+    empty lines are kept, a leading byte-order mark is dropped.  Uncompressed
+    files are split across tasks by bytes.  An HDFS address goes in the path
+    (``hdfs://namenode:port/dir``) or in ``spark.hadoop.fs.defaultFS``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.text(paths).withColumnRenamed("value", out)
