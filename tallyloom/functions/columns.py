@@ -11,15 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.fixed import LINE_SEPARATOR_PATTERN, PAIR_TEXT_FORMAT, WORD_SEPARATOR
+
 ColumnOrName = Column | str
 
-# Fixed values that must equal the reference's behaviour.
-# Word separator: exactly one ASCII space; tabs and other blanks do not split.
-WORD_SEPARATOR = " "
-# Text of a key/value pair: "KV{<key>, <value>}".
-PAIR_TEXT_FORMAT = "KV{%s, %d}"
-# Line separators of a text file: "\r\n", "\r" and "\n".
-LINE_SEPARATOR_PATTERN = "\r\n|\r|\n"
 
 
 def _col(c: ColumnOrName) -> Column:

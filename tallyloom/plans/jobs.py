@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyloom.fixed import JDBC_FACTOR, ROUTING_DEFAULT, ROUTING_RULES
 from tallyloom.operators import (
     cogroup,
     count_per_element,
@@ -32,13 +33,6 @@ from tallyloom.sinks import tap, write_branches, write_jdbc, write_lines
 from tallyloom.sources import read_branches, read_jdbc, read_lines, read_table
 from tallyloom.streaming import DEFAULT_WINDOW, event_time, start_window_appends, start_window_upserts, tumbling_sum
 
-# Fixed values of the reference's routing program: lines ending in "world" go
-# to output "world", then lines ending in "spark" to "spark", all others to the
-# default output "flink".
-ROUTING_RULES: list[tuple[str, str]] = [("world", "world"), ("spark", "spark")]
-ROUTING_DEFAULT = "flink"
-# Fixed value of the JDBC program: every per-name count is multiplied by 10.
-JDBC_FACTOR = 10
 
 
 # Q1: word count -----------------------------------------------------------

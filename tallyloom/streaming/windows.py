@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Fixed value of the reference's dormant window step: 5-second tumbling windows.
-DEFAULT_WINDOW = "5 seconds"
+from tallyloom.fixed import WINDOW_DURATION
+
+DEFAULT_WINDOW = WINDOW_DURATION
 
 
 def event_time(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
