@@ -104,6 +104,7 @@ def cogroup(
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     keep_nulls: bool = False,
     sort_values: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Co-group keyed inputs: ``(key, chunk, <tag1>, <tag2>, ...)``.
 
@@ -112,6 +113,11 @@ def cogroup(
     values for the key contributes an empty list, never null; values are not
     multiplied across inputs.  One union feeds one grouping, for any number of
     inputs, instead of a chain of full outer joins.
+
+    ``unique_keys=True`` states that every input holds at most one row per
+    key (per-key aggregates, such as word counts).  Each list then has at most
+    one element, no group can grow, and the co-group needs a single shuffle
+    and no chunking (``chunk`` is 0).
     """
     keys = _as_list(key)
     if not inputs:
@@ -121,6 +127,18 @@ def cogroup(
         for tag, frame in inputs.items()
     ]
     union = reduce(lambda a, b: a.unionByName(b), tagged)
+    if unique_keys:
+        value_of = F.col("_tl_v") if keep_nulls else None
+        aggs = []
+        for tag in inputs:
+            mine = F.col("_tl_tag") == tag
+            if keep_nulls:
+                # collect_list skips nulls; wrap the value so a null one is kept
+                lst = F.transform(F.collect_list(F.when(mine, F.struct(value_of.alias("v")))), lambda x: x["v"])
+            else:
+                lst = F.collect_list(F.when(mine, F.col("_tl_v")))
+            aggs.append(lst.alias(tag))
+        return union.groupBy(*keys).agg(*aggs).select(*keys, F.lit(0).cast("long").alias("chunk"), *inputs)
     rows = _chunked(union, keys, ["_tl_tag", "_tl_v"], chunk_size)
     aggs = []
     for tag in inputs:

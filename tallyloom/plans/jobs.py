@@ -63,9 +63,12 @@ def word_count_job(spark: SparkSession, in_path: str, out_path: str | None = Non
 # Q2: two inputs, word counts co-grouped by word ---------------------------
 
 def word_cogroup(inputs: Mapping[str, DataFrame], line: str = "line", **kwargs) -> DataFrame:
-    """``(word, chunk, <tag>...)``: the count list of each input per word."""
+    """``(word, chunk, <tag>...)``: the count list of each input per word.
+
+    Each input's counts hold one row per word, so the co-group is one shuffle.
+    """
     counted = {tag: word_count(df, line) for tag, df in inputs.items()}
-    return cogroup(counted, key="word", value="n", **kwargs)
+    return cogroup(counted, key="word", value="n", unique_keys=True, **kwargs)
 
 
 # Q3: route lines to three outputs ------------------------------------------

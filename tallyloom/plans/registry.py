@@ -141,8 +141,8 @@ def q_cogroup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _t(spark, sf_dir, "part")
     a = count_per_element(words(part, "p_name", "word"), "word", "n")
     b = count_per_element(words(part, "p_type", "word"), "word", "n")
-    grouped = cogroup({"a": a, "b": b}, "word", "n")
     # One count per word and input, so every list has at most one element.
+    grouped = cogroup({"a": a, "b": b}, "word", "n", unique_keys=True)
     as_text = lambda c: F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",")
     return grouped.select("word", as_text("a").alias("a"), as_text("b").alias("b"))
 

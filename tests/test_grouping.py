@@ -108,3 +108,14 @@ def test_hot_keys_of_real_table_are_balanced(spark):
     assert all(c >= 15 for c in per_key.values())
     assert max(r.n for r in sizes) <= 200
     assert sum(r.n for r in sizes) == li.count()
+
+
+def test_cogroup_unique_keys_single_shuffle(spark):
+    a = from_rows(spark, [("x", 1), ("y", None)], "key string, value int")
+    b = from_rows(spark, [("y", 2)], "key string, value int")
+    out = cogroup({"a": a, "b": b}, unique_keys=True)
+    assert {r.key: (r.chunk, r.a, r.b) for r in out.collect()} == {"x": (0, [1], []), "y": (0, [], [2])}
+    kept = cogroup({"a": a, "b": b}, unique_keys=True, keep_nulls=True)
+    assert {r.key: r.a for r in kept.collect()} == {"x": [1], "y": [None]}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -69,3 +69,10 @@ def test_scans_read_only_used_columns(spark):
 def test_branch_filters_pushed_to_parquet(spark):
     plan = final_plan(spark, "branches")
     assert "PushedFilters: [IsNotNull(p_name), StringEndsWith(p_name,bolt)]" in plan
+
+
+def test_cogroup_of_word_counts_adds_no_shuffle(spark):
+    # Two word counts, one shuffle each.  Both come out hash-partitioned by
+    # word, the union keeps that partitioning, and the co-group by word needs
+    # no exchange of its own.
+    assert shuffles(final_plan(spark, "cogroup_words")) == 2
