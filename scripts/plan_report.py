@@ -59,7 +59,7 @@ NOTES = {
 
 def summarize(plan: str) -> dict[str, str]:
     final = plan.split("== Initial Plan ==")[0]
-    kinds = [m.group(1) for m in SHUFFLE.finditer(final)]
+    kinds = [m.group(1) for line in final.splitlines() if "ReusedExchange" not in line for m in SHUFFLE.finditer(line)]
     return {
         "shuffles": str(len(kinds)) + (f" ({', '.join(sorted(set(kinds)))})" if kinds else ""),
         "reused": str(final.count("ReusedExchange")),
@@ -78,8 +78,8 @@ def main() -> None:
         "# Final physical plans of the registered queries",
         "",
         f"Generated by `scripts/plan_report.py` on `{sf_dir}` with adaptive execution on.",
-        "Shuffles count the exchanges of the final adaptive plan; reused exchanges",
-        "are computed once.  `read` is the columns the Parquet scan decodes, `pushed`",
+        "Shuffles count the exchanges the final adaptive plan computes; `reused` counts",
+        "exchanges read a second time without recomputation.  `read` is the columns the Parquet scan decodes, `pushed`",
         "the filters handed to it.  Stream queries show the plan that reads their output.",
         "",
         "| query | shuffles | reused | broadcasts | python | read | pushed | why |",
