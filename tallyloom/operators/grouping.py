@@ -41,8 +41,8 @@ def _as_list(cols: str | Sequence[str]) -> list[str]:
 
 def _chunked(df: DataFrame, keys: list[str], content: list[str], chunk_size: int) -> DataFrame:
     """Rows ``(keys, content, piece multiplicity, chunk)`` -- steps 1 to 3 above."""
-    if chunk_size < 1:
-        raise ValueError("chunk_size must be positive")
+    if not 1 <= chunk_size < 2**31:
+        raise ValueError("chunk_size must be between 1 and 2**31 - 1")
     dup = df.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
     n_pieces = F.ceil(F.col(_M) / F.lit(chunk_size))
     pieces = dup.select(
