@@ -89,6 +89,27 @@ def write_branches(df: DataFrame, path: str, tag: str = "tag", mode: str = "erro
     df.write.mode(mode).partitionBy(tag).format(fmt).save(path)
 
 
+def write_branches_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    tag: str = "tag",
+    fmt: str = "parquet",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Streaming twin of ``write_branches``: each micro-batch's rows land in
+    their branch's ``tag=<t>`` folder, committed exactly once by the file sink."""
+    writer = (
+        df.writeStream.format(fmt)
+        .partitionBy(tag)
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def tap(
     df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, Observation | None]:
@@ -129,6 +150,7 @@ __all__ = [
     "print_rows",
     "tap",
     "write_branches",
+    "write_branches_stream",
     "write_jdbc",
     "write_jdbc_stream",
     "write_lines",

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions import map_rows
 from tallyloom.operators import sum_all, words
 from tallyloom.plans import int_parse_stream_job, int_stream_job, parse_messages, windowed_int_sums
-from tallyloom.sinks import console_stream, tap, write_jdbc_stream, write_lines, write_lines_stream
+from tallyloom.plans import line_routing
+from tallyloom.sinks import console_stream, tap, write_branches_stream, write_jdbc_stream, write_lines, write_lines_stream
 from tallyloom.sources import (
     from_rows,
     kafka_records,
@@ -196,3 +197,15 @@ def test_append_mode_writes_each_closed_window_once(spark, scratch):
     assert q.exception() is None
     got = [(r.w_start, r.s) for r in spark.read.parquet(f"{scratch}/out").collect()]
     assert got == [(EPOCH, 11)]
+
+
+def test_routed_stream_written_per_branch(spark, scratch):
+    write_lines(from_rows(spark, ["hello world", "hello flink", "hello flink spark"]), f"{scratch}/in")
+    routed = line_routing(read_lines_stream(spark, f"{scratch}/in"))
+    q = write_branches_stream(routed, f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    back = spark.read.parquet(f"{scratch}/out")
+    assert sorted((r.tag, r.line) for r in back.collect()) == [
+        ("flink", "hello flink"), ("spark", "hello flink spark"), ("world", "hello world")
+    ]
