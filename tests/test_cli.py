@@ -37,3 +37,24 @@ def test_cogroup_words_command(spark, scratch):
 def test_unknown_job_is_rejected():
     with pytest.raises(SystemExit):
         parser().parse_args(["no-such-job"])
+
+
+def test_catalog_column_command(spark, scratch):
+    from_rows(spark, [("x", 1), ("y", 2)], "c0 string, c1 int").write.parquet(f"{scratch}/t")
+    spark.catalog.createTable("cli_table", path=f"{scratch}/t", source="parquet")
+    main(["catalog-column", "--table", "cli_table", "--output", f"{scratch}/out"], spark)
+    assert sorted(r.line for r in read_lines(spark, f"{scratch}/out").collect()) == ["x", "y"]
+
+
+def test_jdbc_counts_command_on_embedded_derby(spark, capsys):
+    # Derby embedded in memory: seen only by this JVM, no server, no port.
+    from test_sources_sinks import DERBY, _derby
+
+    from tallyloom.sources import read_jdbc
+
+    url = _derby(spark, "cli")
+    main(["jdbc-counts", "--source-url", url, "--query", "select * from people", "--target-table",
+          "name_counts_out", "--driver", DERBY], spark)
+    got = sorted((r.NAME, r.COUNT) for r in read_jdbc(spark, url, table="name_counts_out", driver=DERBY).collect())
+    assert got == [("a", "20"), ("b", "10")]
+    assert "rows with a null name left out: 1" in capsys.readouterr().out
