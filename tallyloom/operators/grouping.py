@@ -128,13 +128,13 @@ def cogroup(
     ]
     union = reduce(lambda a, b: a.unionByName(b), tagged)
     if unique_keys:
-        value_of = F.col("_tl_v") if keep_nulls else None
         aggs = []
         for tag in inputs:
             mine = F.col("_tl_tag") == tag
             if keep_nulls:
                 # collect_list skips nulls; wrap the value so a null one is kept
-                lst = F.transform(F.collect_list(F.when(mine, F.struct(value_of.alias("v")))), lambda x: x["v"])
+                wrapped = F.collect_list(F.when(mine, F.struct(F.col("_tl_v").alias("v"))))
+                lst = F.transform(wrapped, lambda x: x["v"])
             else:
                 lst = F.collect_list(F.when(mine, F.col("_tl_v")))
             aggs.append(lst.alias(tag))
