@@ -49,7 +49,8 @@ NOTES = {
     "tumbling_sum": "partial sums per window: a window holding a third of all rows costs one row per map task",
     "nth_column": "no shuffle; only column 0 is decoded",
     "map_rows": "no shuffle; Python once per Arrow batch",
-    "text_word_count": "text files are split by bytes across tasks; partial count per word",
+    "text_word_count": "the query first writes the documents as text files (to run the text source and sink "
+    "on the given data); the text read is split by bytes across tasks; partial count per word",
     "catalog_read": "no shuffle; only column 0 is decoded",
     "stream_parse_int": "stateless stream: parse and filter in the scan stage, files committed once per batch",
     "stream_tumbling_sum": "stream state bounded by the watermark; the read of the sink keeps the newest "
