@@ -176,7 +176,16 @@ def read_kafka(
     ``extra={"maxOffsetsPerTrigger": ...}`` to bound each micro-batch when
     catching up on a large backlog; Kafka partitions become Spark tasks.
     """
-    raw = spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, starting_offsets, extra)).load()
+    reader = spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, starting_offsets, extra))
+    try:
+        raw = reader.load()
+    except Exception as exc:
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise RuntimeError(
+                "Spark's Kafka connector is not on the class path; add it with "
+                f"--packages org.apache.spark:spark-sql-kafka-0-10_2.13:{spark.version}"
+            ) from exc
+        raise
     return kafka_records(raw)
 
 

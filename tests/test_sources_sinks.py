@@ -19,6 +19,7 @@ from tallyloom.sources import (
     jdbc_options,
     kafka_options,
     read_jdbc,
+    read_kafka,
     read_lines,
     read_stream_files,
     read_table,
@@ -148,3 +149,12 @@ def test_jdbc_pushes_filters_and_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(NAME,a)" in plan and "ReadSchema: struct<NAME:string>" in plan
     assert df.count() == 2
+
+
+def test_read_kafka_without_connector_says_what_to_add(spark):
+    try:
+        df = read_kafka(spark, "localhost:9092", "topic")
+    except RuntimeError as exc:
+        assert "--packages org.apache.spark:spark-sql-kafka" in str(exc)
+    else:  # connector present: the frame has the record columns
+        assert df.columns == ["key", "value", "timestamp"]
