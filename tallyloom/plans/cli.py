@@ -77,10 +77,11 @@ def _int_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     records = read_kafka(spark, a.bootstrap_servers, a.topic, a.starting_offsets)
     checkpoint = a.checkpoint or staging_path(spark, "int-stream-checkpoint")
     trigger = {"availableNow": True} if a.available_now else None
+    strict = not a.tolerant
     if a.no_window:
-        query = int_parse_stream_job(records, a.output, checkpoint, trigger=trigger)
+        query = int_parse_stream_job(records, a.output, checkpoint, strict=strict, trigger=trigger)
     else:
-        query = int_stream_job(records, a.output, checkpoint, a.watermark, a.window, trigger, a.output_mode)
+        query = int_stream_job(records, a.output, checkpoint, a.watermark, a.window, trigger, a.output_mode, strict)
     query.awaitTermination()
 
 
@@ -132,6 +133,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--no-window", action="store_true", help="write every parsed value, no window sums")
     s.add_argument("--output-mode", choices=["update", "append"], default="update",
                    help="update: upsert changed windows per batch; append: each window once, when final")
+    s.add_argument("--tolerant", action="store_true",
+                   help="leave out messages that are not integers (counted in the progress) instead of failing")
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.set_defaults(run=_int_stream)
     return p

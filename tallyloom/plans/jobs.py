@@ -171,14 +171,18 @@ def int_stream_job(
     duration: str = DEFAULT_WINDOW,
     trigger: Mapping[str, object] | None = None,
     output_mode: str = "update",
+    strict: bool = True,
 ) -> StreamingQuery:
     """Start the windowed integer sum on a record stream (Kafka or files).
 
     ``update`` (default): changed windows are upserted per micro-batch, read
     the result with ``latest_windows``.  ``append``: each window is written
-    once, final, when the watermark passes it.
+    once, final, when the watermark passes it.  ``strict=False`` leaves
+    malformed messages out instead of failing; each micro-batch's count of
+    them appears in the query progress under ``observedMetrics["messages"]``.
     """
-    parsed = parse_messages(event_time(records, "timestamp") if _is_ntz(records, "timestamp") else records)
+    records = event_time(records, "timestamp") if _is_ntz(records, "timestamp") else records
+    parsed = _observed_parse(records, strict)
     sums = windowed_int_sums(parsed, "timestamp", duration, watermark)
     if output_mode == "append":
         return start_window_appends(sums, out_path, checkpoint, trigger)
@@ -194,13 +198,27 @@ def int_parse_stream_job(
     strict: bool = True,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Start the live program: every message parsed to int, non-null values appended to Parquet files."""
-    parsed = not_null(parse_messages(records, strict=strict), ["value"])
+    """Start the live program: every message parsed to int, non-null values appended to Parquet files.
+
+    With ``strict=False`` malformed messages are left out and counted in the
+    query progress under ``observedMetrics["messages"]``.
+    """
+    parsed = not_null(_observed_parse(records, strict), ["value"])
     writer = parsed.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
 
 
+def _observed_parse(records: DataFrame, strict: bool) -> DataFrame:
+    """Parse messages; in tolerant mode count the ones that do not parse."""
+    if strict:
+        return parse_messages(records)
+    observed, _ = tap(
+        records, "messages", {"malformed": F.count_if(F.col("value").try_cast("int").isNull())}
+    )
+    return parse_messages(observed, strict=False)
+
+
 def _is_ntz(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() == "timestamp_ntz"

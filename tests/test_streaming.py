@@ -209,3 +209,14 @@ def test_routed_stream_written_per_branch(spark, scratch):
     assert sorted((r.tag, r.line) for r in back.collect()) == [
         ("flink", "hello flink"), ("spark", "hello flink spark"), ("world", "hello world")
     ]
+
+
+def test_tolerant_stream_skips_and_counts_bad_messages(spark, scratch):
+    _records(spark, [("5", 1), ("x", 2), ("7", 3), (None, 4)]).write.parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", SCHEMA)
+    q = int_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True}, strict=False)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert [r.s for r in latest_windows(spark, f"{scratch}/out").collect()] == [12]
+    bad = [p["observedMetrics"]["messages"]["malformed"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(bad) == 2
