@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyloom.functions import suffix_branch_predicate, suffix_tag
-from tallyloom.operators import cogroup, group_values, words
+from tallyloom.operators import cogroup, group_values, sum_per_key, words
+from tallyloom.plans import word_count_text
 from tallyloom.sources import from_rows
+from tallyloom.streaming import tumbling_sum
 
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -103,3 +106,48 @@ def test_branch_predicates_partition_like_tags(spark, values, rules):
     for tag in sorted({t for _, t in rules} | {"D"}):
         ids = {r.id for r in df.filter(suffix_branch_predicate("v", rules, "D", tag)).collect()}
         assert ids == {i for i, t in tags.items() if t == tag}, (tag, rules, values)
+
+
+texts_st = st.lists(st.one_of(st.none(), st.text(alphabet="ab \n\r", max_size=14)), max_size=15)
+
+
+def python_lines(text: str) -> list[str]:
+    """Lines of a text value split at \\r\\n, \\r or \\n (all pieces kept)."""
+    return text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+
+
+@SETTINGS
+@given(texts=texts_st)
+def test_word_count_text_matches_python(spark, texts):
+    df = from_rows(spark, texts, "text string")
+    expected = Counter()
+    for t in texts:
+        if t is not None:
+            for line in python_lines(t):
+                if line and set(line) == {" "}:
+                    continue
+                expected.update(java_split_space(line))
+    assert {r.word: r.n for r in word_count_text(df).collect()} == dict(expected)
+
+
+@SETTINGS
+@given(items=st.lists(st.tuples(st.integers(0, 40), st.integers(-5, 5)), max_size=30))
+def test_tumbling_sum_matches_python(spark, items):
+    base = dt.datetime(2024, 1, 1)
+    df = from_rows(spark, [(base + dt.timedelta(seconds=s), v) for s, v in items], "ts timestamp_ntz, value int")
+    expected = Counter()
+    for s, v in items:
+        expected[s // 5 * 5] += v
+    got = {int((r.w_start - base).total_seconds()): r.s for r in tumbling_sum(df).collect()}
+    assert got == dict(expected)
+    assert all((r.w_end - r.w_start).total_seconds() == 5 for r in tumbling_sum(df).collect())
+
+
+@SETTINGS
+@given(items=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-3, 3)), max_size=30))
+def test_sum_per_key_matches_python(spark, items):
+    df = from_rows(spark, items, "key string, value int")
+    expected = Counter()
+    for k, v in items:
+        expected[k] += v * 10
+    assert {r.key: r.value for r in sum_per_key(df, factor=10).collect()} == {k: expected[k] for k, _ in items}

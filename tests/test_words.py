@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyloom.operators import count_per_element, lines, text_words, words
+from tallyloom.operators import count_per_element, lines, spread, text_words, words
 from tallyloom.plans import word_count, word_count_text
 from tallyloom.sources import from_rows
 
@@ -70,3 +70,11 @@ def test_word_count_text_on_table(spark):
     total = counts.agg(F.sum("n")).first()[0]
     direct = text_words(docs).count()
     assert total == direct > 0
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    many = spark.range(0, 100, numPartitions=64)
+    assert spread(many, 8) is many
+    few = spark.range(0, 100, numPartitions=1)
+    spread_plan = spread(few, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(8)" in spread_plan
