@@ -122,6 +122,9 @@ def cogroup(
     keys = _as_list(key)
     if not inputs:
         raise ValueError("cogroup needs at least one input")
+    clash = set(inputs) & (set(keys) | {"chunk"})
+    if clash:
+        raise ValueError(f"input tags {sorted(clash)} collide with the key or chunk columns")
     tagged = [
         frame.select(*[F.col(k) for k in keys], F.lit(tag).alias("_tl_tag"), F.col(value).alias("_tl_v"))
         for tag, frame in inputs.items()

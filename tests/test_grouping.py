@@ -119,3 +119,11 @@ def test_cogroup_unique_keys_single_shuffle(spark):
     assert {r.key: r.a for r in kept.collect()} == {"x": [1], "y": [None]}
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_cogroup_rejects_tag_equal_to_key(spark):
+    import pytest
+
+    a = from_rows(spark, [("x", 1)], "key string, value int")
+    with pytest.raises(ValueError):
+        cogroup({"key": a})
