@@ -37,6 +37,23 @@ BASE_CONF: dict[str, str] = {
 }
 
 
+# Opt-in settings for large clusters where executors come and go (spot or
+# preemptible nodes): a leaving executor first hands its shuffle and cached
+# blocks to others, tasks and stages get more attempts, nodes that keep
+# failing are excluded, and adaptive execution aims at larger partitions
+# instead of maximal parallelism.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.excludeOnFailure.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+}
+
 LOCAL_DRIVER_MEMORY = "8g"
 
 
@@ -46,6 +63,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
     hive_metastore_uri: str | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Return a session with the library's defaults.
 
@@ -53,7 +71,8 @@ def build_session(
     cluster.  ``shuffle_partitions`` defaults to Spark's own value; on a cluster
     see ``suggested_shuffle_partitions`` and let AQE coalesce the rest.
     ``hive_metastore_uri`` (``thrift://host:port``) makes the session catalog a
-    Hive metastore, so ``read_table`` reads its tables.
+    Hive metastore, so ``read_table`` reads its tables.  ``cluster`` adds
+    ``CLUSTER_CONF`` (executor loss tolerance, larger adaptive partitions).
     """
     builder = SparkSession.builder.appName(app_name)
     if hive_metastore_uri:
@@ -74,7 +93,7 @@ def build_session(
             # smaller partitions so CPU-heavy stages (list building, text
             # splitting) still use every core.  Clusters keep the default.
             builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-    for key, value in BASE_CONF.items():
+    for key, value in {**BASE_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
