@@ -40,5 +40,8 @@ def sum_per_key(
 
 
 def sum_all(df: DataFrame, value: str = "value", out: str = "s") -> DataFrame:
-    """One row: the sum of ``value`` over all rows, 0 for empty input."""
-    return df.agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(out))
+    """One row: the sum of ``value`` over all rows, 0 for empty input.
+
+    Integral values sum to ``bigint`` (ANSI mode raises on overflow).
+    """
+    return df.agg(F.coalesce(F.sum(value), F.lit(0)).alias(out))

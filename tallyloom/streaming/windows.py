@@ -40,14 +40,13 @@ def tumbling_sum(
 ) -> DataFrame:
     """``(w_start, w_end, *keys, s)``: sum of ``value`` per tumbling window.
 
-    An all-null window sums to 0, the identity of an integer sum.
+    Integral values sum to ``bigint``, fractional ones keep their type.  An
+    all-null window sums to 0, the identity of a sum.
     ``watermark`` is required on a stream in append or update mode.
     """
     if watermark:
         df = df.withWatermark(ts, watermark)
-    agg = df.groupBy(F.window(ts, duration).alias("_w"), *keys).agg(
-        F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(out)
-    )
+    agg = df.groupBy(F.window(ts, duration).alias("_w"), *keys).agg(F.coalesce(F.sum(value), F.lit(0)).alias(out))
     return agg.select(F.col("_w.start").alias("w_start"), F.col("_w.end").alias("w_end"), *keys, out)
 
 

@@ -87,3 +87,14 @@ def test_suggested_shuffle_partitions():
     assert suggested_shuffle_partitions(0, 8) == 16
     assert suggested_shuffle_partitions(4 * 2**40, 12_000) == 24_000  # 4 TB shuffled on 12k cores
     assert suggested_shuffle_partitions(50 * 2**30, 8) % 8 == 0
+
+
+def test_sums_keep_fractions(spark):
+    from tallyloom.streaming import tumbling_sum
+
+    df = from_rows(spark, [(1.25,), (2.5,)], "value double")
+    assert sum_all(df).collect()[0].s == 3.75
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    out = tumbling_sum(ev, "ts", "value")
+    assert dict(out.dtypes)["s"] == "double"
+    assert abs(out.agg(F.sum("s")).first()[0] - ev.agg(F.sum("value")).first()[0]) < 1e-6
