@@ -22,7 +22,7 @@ from tallyloom.sources import (
     read_lines_stream,
     read_stream_files,
 )
-from tallyloom.streaming import event_time, latest_windows, tumbling_sum
+from tallyloom.streaming import event_time, latest_windows, start_window_upserts, tumbling_sum
 
 SCHEMA = "key string, value string, timestamp timestamp"
 EPOCH = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -220,3 +220,13 @@ def test_tolerant_stream_skips_and_counts_bad_messages(spark, scratch):
     assert [r.s for r in latest_windows(spark, f"{scratch}/out").collect()] == [12]
     bad = [p["observedMetrics"]["messages"]["malformed"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(bad) == 2
+
+
+def test_one_shot_run_without_idle_batch_gives_same_windows(spark, scratch):
+    items = [("5", 1), ("6", 4), ("7", 6), ("1", 12)]
+    _records(spark, items).write.parquet(f"{scratch}/in")
+    sums = windowed_int_sums(parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA)), watermark="1 minute")
+    q = start_window_upserts(sums, f"{scratch}/out", f"{scratch}/ck", {"availableNow": True}, idle_batches=False)
+    q.awaitTermination()
+    assert rows(latest_windows(spark, f"{scratch}/out")) == rows(windowed_int_sums(parse_messages(_records(spark, items))))
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
