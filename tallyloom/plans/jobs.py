@@ -65,7 +65,9 @@ def word_count_job(spark: SparkSession, in_path: str, out_path: str | None = Non
 def word_cogroup(inputs: Mapping[str, DataFrame], line: str = "line", **kwargs) -> DataFrame:
     """``(word, chunk, <tag>...)``: the count list of each input per word.
 
-    Each input's counts hold one row per word, so the co-group is one shuffle.
+    Each input's counts hold one row per word, so no list can grow and the
+    co-group needs no chunking; both counts come out partitioned by word, so
+    it adds no shuffle of its own.
     """
     counted = {tag: word_count(df, line) for tag, df in inputs.items()}
     return cogroup(counted, key="word", value="n", unique_keys=True, **kwargs)

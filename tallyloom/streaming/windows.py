@@ -3,7 +3,7 @@
 Windows are epoch-aligned and start-inclusive; a window without rows gives no
 row.  On a stream the watermark bounds the state: once the watermark passes
 a window's end, the window's state is dropped and later rows for it are
-ignored.
+dropped as late.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ def tumbling_sum(
 
     Integral values sum to ``bigint``, fractional ones keep their type.  An
     all-null window sums to 0, the identity of a sum.
-    ``watermark`` is required on a stream in append or update mode.
+    On a stream ``watermark`` is required for append mode and bounds the
+    state in update mode (without it every window stays in state forever).
     """
     if watermark:
         df = df.withWatermark(ts, watermark)
