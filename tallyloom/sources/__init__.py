@@ -31,8 +31,10 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], out: str = "line"
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; the separators are removed,
     empty lines are kept, a leading byte-order mark is dropped.  Uncompressed
-    files are split across tasks by bytes.  An HDFS address goes in the path
-    (``hdfs://namenode:port/dir``) or in ``spark.hadoop.fs.defaultFS``.
+    (or bzip2) files are split across tasks by bytes; a gzip file cannot be
+    split and is read by one task, so keep gzip inputs to many small files.
+    An HDFS address goes in the path (``hdfs://namenode:port/dir``) or in
+    ``spark.hadoop.fs.defaultFS``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.text(paths).withColumnRenamed("value", out)
