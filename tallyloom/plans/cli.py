@@ -11,6 +11,7 @@ The master, resources, Kerberos principal and keytab, and the catalog are
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 import sys
 from collections.abc import Sequence
@@ -29,7 +30,7 @@ from tallyloom.plans.jobs import (
     word_cogroup,
     word_count_job,
 )
-from tallyloom.session import build_session, staging_path
+from tallyloom.session import build_session, shared_dir
 from tallyloom.sinks import write_branches, write_lines
 from tallyloom.sources import read_kafka, read_lines
 
@@ -75,7 +76,10 @@ def _catalog_column(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _int_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     records = read_kafka(spark, a.bootstrap_servers, a.topic, a.starting_offsets)
-    checkpoint = a.checkpoint or staging_path(spark, "int-stream-checkpoint")
+    # The same topic and output always use the same checkpoint, so a restarted
+    # job resumes where it stopped instead of starting over.
+    digest = hashlib.sha1(f"{a.topic}\n{a.output}".encode()).hexdigest()[:16]
+    checkpoint = a.checkpoint or f"{shared_dir(spark)}/int-stream-checkpoints/{digest}"
     trigger = {"availableNow": True} if a.available_now else None
     strict = not a.tolerant
     if a.no_window:
@@ -126,7 +130,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bootstrap-servers", required=True)
     s.add_argument("--topic", required=True)
     s.add_argument("--output", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", help="default: a folder in spark.checkpoint.dir fixed by topic and output")
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--watermark", default="10 seconds")
     s.add_argument("--window", default="5 seconds")
