@@ -78,3 +78,12 @@ def test_spread_only_when_too_few_partitions(spark):
     few = spark.range(0, 100, numPartitions=1)
     spread_plan = spread(few, 8)._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning(8)" in spread_plan
+
+
+def test_spread_assignment_is_deterministic(spark):
+    df = spark.range(0, 2000, numPartitions=1).select((F.col("id") * 7 % 13).alias("x"), "id")
+
+    def placement():
+        return sorted(spread(df, 4).select(F.spark_partition_id().alias("p"), "id").collect())
+
+    assert placement() == placement()
