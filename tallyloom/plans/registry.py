@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyloom.fixed import JDBC_FACTOR
 from tallyloom.functions import map_rows
 from tallyloom.operators import (
     branches,
@@ -120,7 +121,7 @@ def q_group_values_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sum_per_key_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = key_ones(_t(spark, sf_dir, "orders"), "o_orderpriority", "k", "one")
-    return sum_per_key(pairs, "k", "one", 10, "v")
+    return sum_per_key(pairs, "k", "one", JDBC_FACTOR, "v")
 
 
 def q_jdbc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
