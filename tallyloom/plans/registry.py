@@ -219,7 +219,10 @@ def q_catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(sf_dir, "events")
     name = "events_" + hashlib.sha1(path.encode()).hexdigest()[:12]
     if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
+        try:
+            spark.catalog.createTable(name, path=path, source="parquet")
+        except Exception:  # e.g. a Hive catalog that wants a folder as location
+            _t(spark, sf_dir, "events").createOrReplaceTempView(name)
     return catalog_first_column(spark, name)
 
 
