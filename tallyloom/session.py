@@ -165,8 +165,13 @@ def stage_once(spark: SparkSession, kind: str, source: str, write: Callable[[str
     running), the copy is written to a new folder instead; nothing is
     renamed or deleted.
     """
-    fs, src = _hadoop_fs(spark, source)
-    st = fs.getFileStatus(src)
+    try:
+        fs, src = _hadoop_fs(spark, source)
+        st = fs.getFileStatus(src)
+    except Exception:  # no JVM access (e.g. Spark Connect) or no such file: write a fresh copy
+        fresh = staging_path(spark, kind)
+        write(fresh)
+        return fresh
     digest = hashlib.sha1(f"{source}|{st.getLen()}|{st.getModificationTime()}".encode()).hexdigest()[:20]
     path = f"{shared_dir(spark)}/{kind}-{digest}"
     fs_out, out = _hadoop_fs(spark, path)
