@@ -102,8 +102,9 @@ def line_branches_written(
     the branch inputs are files in ``path`` (put it in the shared folder), so
     a lost executor costs no recomputation of the routing.
     """
-    write_branches(line_routing(df, column, rules, default), path)
-    return read_branches(df.sparkSession, path, branch_tags(rules, default))
+    routed = line_routing(df, column, rules, default)
+    write_branches(routed, path)
+    return read_branches(df.sparkSession, path, branch_tags(rules, default), schema=routed.schema)
 
 
 # Q4: JDBC round trip ------------------------------------------------------

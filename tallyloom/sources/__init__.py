@@ -119,13 +119,17 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**jdbc_options(url, query, table, **options)).load()
 
 
-def read_branches(spark: SparkSession, path: str, tags: Sequence[str], tag: str = "tag") -> dict[str, DataFrame]:
+def read_branches(
+    spark: SparkSession, path: str, tags: Sequence[str], tag: str = "tag", schema: StructType | str | None = None
+) -> dict[str, DataFrame]:
     """One frame per tag over a folder written by ``sinks.write_branches``.
 
     Each frame's tag filter prunes the other tags' folders, so a branch
-    reads only its own files.
+    reads only its own files.  Give ``schema`` (with the tag column) when the
+    output may be empty: there is then no file to infer it from.
     """
-    rows = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    rows = reader.parquet(path)
     return {t: rows.filter(F.col(tag) == t) for t in tags}
 
 

@@ -64,3 +64,8 @@ def test_written_branches_read_only_their_folder(spark, scratch):
     }
     plan = parts["spark"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tag" in plan and "(tag#" in plan and "= spark)" in plan
+
+
+def test_written_branches_of_empty_input(spark, scratch):
+    parts = line_branches_written(from_rows(spark, [], "line string"), scratch)
+    assert {t: f.count() for t, f in parts.items()} == {"world": 0, "spark": 0, "flink": 0}
