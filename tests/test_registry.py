@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF_SMALL
-from oracle import compare, duck
+from oracle import TABLES, compare, duck
 
 import __spark_entry__ as entry
+from tallyloom.session import staging_path
 
 NAMES = sorted(entry.queries())
 
@@ -35,10 +36,6 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.fixture(scope="module")
 def empty_dir(spark):
     """Empty copies (same schemas, no rows) of every driver table."""
-    from oracle import TABLES
-
-    from tallyloom.session import staging_path
-
     path = staging_path(spark, "empty-tables")
     for t in TABLES:
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).coalesce(1).write.parquet(f"{path}/{t}.parquet")
