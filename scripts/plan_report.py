@@ -36,6 +36,7 @@ NOTES = {
     "sum_per_key_x10": "partial sums; the value list of the reference is never built",
     "jdbc_counts": "partial sums; null names counted by an observation in the same pass",
     "cogroup": "one union and the group_values plan; no chain of outer joins",
+    "cogroup_hot": "as cogroup; the shared statuses each hold about half of lineitem, spread over chunks",
     "cogroup_words": "two word counts (one shuffle each); both are partitioned by word, the union keeps "
     "that, so the co-group (at most one count per word and input: no chunking) adds no shuffle",
     "route": "no shuffle: a tag expression in the scan stage",

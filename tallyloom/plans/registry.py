@@ -138,6 +138,15 @@ def q_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides.select("k", "side", F.explode("vs").alias("v"))
 
 
+def q_cogroup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources sharing hot keys: each status holds about half of lineitem and a third of orders."""
+    a = _t(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("k"), F.col("l_orderkey").alias("v"))
+    b = _t(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.col("o_orderkey").alias("v"))
+    grouped = cogroup({"a": a, "b": b}, "k", "v", chunk_size=HOT_CHUNK)
+    sides = grouped.selectExpr("k", "stack(2, 'a', a, 'b', b) AS (side, vs)")
+    return sides.select("k", "side", F.explode("vs").alias("v"))
+
+
 def q_cogroup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _t(spark, sf_dir, "part")
     a = count_per_element(words(part, "p_name", "word"), "word", "n")
@@ -283,6 +292,7 @@ QUERIES: dict[str, QueryFn] = {
     "sum_per_key_x10": q_sum_per_key_x10,
     "jdbc_counts": q_jdbc_counts,
     "cogroup": q_cogroup,
+    "cogroup_hot": q_cogroup_hot,
     "cogroup_words": q_cogroup_words,
     "route": q_route,
     "branches": q_branches,
@@ -337,6 +347,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT c_nationkey AS k, 'a' AS side, c_custkey AS v FROM customer "
         "UNION ALL SELECT s_nationkey AS k, 'b' AS side, s_suppkey AS v FROM supplier"
     ),
+    "cogroup_hot": (
+        "SELECT l_linestatus AS k, 'a' AS side, l_orderkey AS v FROM lineitem "
+        "UNION ALL SELECT o_orderstatus AS k, 'b' AS side, o_orderkey AS v FROM orders"
+    ),
     "cogroup_words": (
         f"WITH a AS ({_words_sql('part', 'p_name')}), b AS ({_words_sql('part', 'p_type')}) "
         "SELECT coalesce(a.word, b.word) AS word, coalesce(CAST(a.n AS VARCHAR), '') AS a, "

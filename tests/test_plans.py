@@ -36,7 +36,7 @@ def test_word_count_partial_aggregate_after_split(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("name", ["group_values", "cogroup", "group_values_hot"])
+@pytest.mark.parametrize("name", ["group_values", "cogroup", "group_values_hot", "cogroup_hot"])
 def test_bounded_grouping_plan(spark, name):
     plan = final_plan(spark, name)
     # duplicate collapse, totals (reusing the collapse exchange), chunk grouping
