@@ -60,6 +60,9 @@ def _route_lines(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _jdbc_counts(spark: SparkSession, a: argparse.Namespace) -> None:
     common = {"driver": a.driver, "user": a.user, "password": _password(a.password_file)}
+    source = dict(common)
+    if a.partition_column:
+        source.update(partition_column=a.partition_column, num_partitions=a.num_partitions)
     obs = jdbc_round_trip(
         spark,
         a.source_url,
@@ -67,7 +70,7 @@ def _jdbc_counts(spark: SparkSession, a: argparse.Namespace) -> None:
         a.target_url or a.source_url,
         a.target_table,
         name_position=a.name_position,
-        source_options=common,
+        source_options=source,
         target_options=common,
     )
     print(f"rows read: {obs.get['rows']}, rows with a null name left out: {obs.get['null_names']}")
@@ -126,6 +129,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--driver")
     s.add_argument("--user")
     s.add_argument("--password-file", help="file holding the password (kept off the command line)")
+    s.add_argument("--partition-column", help="numeric column to split the read on (bounds are looked up)")
+    s.add_argument("--num-partitions", type=int, default=8, help="parallel reads when --partition-column is set")
     s.set_defaults(run=_jdbc_counts)
 
     s = sub.add_parser("catalog-column", help="first column of a catalog table as text lines")

@@ -104,10 +104,11 @@ def read_jdbc(
 ) -> DataFrame:
     """Rows of a database query or table.
 
-    Parallel reads: either a numeric ``partition_column`` with bounds and
-    ``num_partitions`` (see ``jdbc_options``), or ``predicates``, one WHERE
-    clause per task.  Column choice and simple filters applied later are
-    pushed into the database query by Spark.
+    Parallel reads: either a numeric ``partition_column`` with
+    ``num_partitions`` (bounds are asked of the database when not given; see
+    ``jdbc_options``), or ``predicates``, one WHERE clause per task.  Column
+    choice and simple filters applied later are pushed into the database
+    query by Spark.
     """
     if predicates:
         if query is not None:
@@ -116,9 +117,34 @@ def read_jdbc(
         opts = jdbc_options(url, table=table, **options)
         props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
         return spark.read.jdbc(url, opts["dbtable"], predicates=list(predicates), properties=props)
+    column = options.get("partition_column")
+    if column and (options.get("lower_bound") is None or options.get("upper_bound") is None):
+        options["lower_bound"], options["upper_bound"] = jdbc_bounds(spark, url, column, query, table, **options)
     return spark.read.format("jdbc").options(**jdbc_options(url, query, table, **options)).load()
 
 
+def jdbc_bounds(
+    spark: SparkSession, url: str, column: str, query: str | None = None, table: str | None = None, **options
+) -> tuple[int, int]:
+    """``(min, max)`` of a numeric column, asked of the database in one row.
+
+    The bounds only shape the ranges of a partitioned read; rows outside
+    them are still read (by the first and last task).
+    """
+    source = f"({query}) q" if query is not None else table
+    conn = {k: options[k] for k in ("driver", "user", "password", "extra") if options.get(k) is not None}
+    row = (
+        spark.read.format("jdbc")
+        .options(**jdbc_options(url, query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {source}", **conn))
+        .load()
+        .first()
+    )
+    lo, hi = row[0], row[1]
+    if lo is None:  # empty source: any range reads nothing
+        return 0, 1
+    return int(lo), int(hi) + 1
+
+
 def read_branches(
     spark: SparkSession, path: str, tags: Sequence[str], tag: str = "tag", schema: StructType | str | None = None
 ) -> dict[str, DataFrame]:
@@ -223,6 +249,7 @@ def read_stream_files(
 __all__ = [
     "from_rows",
     "read_branches",
+    "jdbc_bounds",
     "jdbc_options",
     "kafka_options",
     "kafka_records",

@@ -55,8 +55,9 @@ def test_jdbc_counts_command_on_embedded_derby(spark, capsys):
     from tallyloom.sources import read_jdbc
 
     url = _derby(spark, "cli")
-    main(["jdbc-counts", "--source-url", url, "--query", "select * from people", "--target-table",
-          "name_counts_out", "--driver", DERBY], spark)
+    main(["jdbc-counts", "--source-url", url, "--query", "select cast(id as int) as nid, name from people",
+          "--target-table", "name_counts_out", "--driver", DERBY, "--partition-column", "nid",
+          "--num-partitions", "2"], spark)
     got = sorted((r.NAME, r.COUNT) for r in read_jdbc(spark, url, table="name_counts_out", driver=DERBY).collect())
     assert got == [("a", "20"), ("b", "10")]
     assert "rows with a null name left out: 1" in capsys.readouterr().out

@@ -158,3 +158,13 @@ def test_read_kafka_without_connector_says_what_to_add(spark):
         assert "--packages org.apache.spark:spark-sql-kafka" in str(exc)
     else:  # connector present: the frame has the record columns
         assert df.columns == ["key", "value", "timestamp"]
+
+
+def test_jdbc_partitioned_read_finds_its_bounds(spark):
+    url = _derby(spark, "bounds")
+    df = read_jdbc(
+        spark, url, query="select cast(id as int) as nid, name from people", driver=DERBY,
+        partition_column="nid", num_partitions=3,
+    )
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(r.NID for r in df.collect()) == [1, 2, 3, 4]
