@@ -43,8 +43,8 @@ NOTES = {
     "cogroup_words": "two word counts (one shuffle each); both are partitioned by word, the union keeps "
     "that, so the co-group (at most one count per word and input: no chunking) adds no shuffle",
     "route": "no shuffle: a tag expression in the scan stage",
-    "branches": "each branch's filter is pushed into the Parquet scan; the global counts need one "
-    "single-partition exchange each (one row per map task)",
+    "branches": "all branches counted in one scan (one count per branch predicate), partial counts to a "
+    "single partition; reading one branch alone pushes its suffix filter into the scan (routing tests)",
     "branch_files": "one-pass write partitioned by tag, once per table version; the read decodes no data "
     "column, only folders",
     "parse_int": "no shuffle",
