@@ -45,6 +45,7 @@ NOTES = {
     "route": "no shuffle: a tag expression in the scan stage",
     "branches": "all branches counted in one scan (one count per branch predicate), partial counts to a "
     "single partition; reading one branch alone pushes its suffix filter into the scan (routing tests)",
+    "branch_bolt": "one output alone: its suffix filter is pushed into the Parquet scan; no shuffle",
     "branch_files": "one-pass write partitioned by tag, once per table version; the read decodes no data "
     "column, only folders",
     "parse_int": "no shuffle",

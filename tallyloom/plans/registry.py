@@ -22,6 +22,7 @@ from tallyloom.fixed import JDBC_FACTOR
 from tallyloom.functions import map_rows, suffix_branch_predicate
 from tallyloom.operators import (
     branch_tags,
+    branches,
     cogroup,
     count_per_element,
     group_values,
@@ -177,6 +178,12 @@ def q_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.selectExpr(f"stack({len(tags)}, {pairs}) AS (tag, n)")
 
 
+def q_branch_bolt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One output alone: its suffix filter is pushed into the Parquet scan."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return branches(part, "p_name", PART_RULES, PART_DEFAULT)["bolt"]
+
+
 def q_branch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed parts written once per table version, one folder per branch; counted per branch."""
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -299,6 +306,7 @@ QUERIES: dict[str, QueryFn] = {
     "cogroup_words": q_cogroup_words,
     "route": q_route,
     "branches": q_branches,
+    "branch_bolt": q_branch_bolt,
     "branch_files": q_branch_files,
     "parse_int": q_parse_int,
     "not_null": q_not_null,
@@ -361,6 +369,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "route": f"SELECT p_partkey, p_name, {_PART_TAG} AS tag FROM part",
     "branches": f"SELECT {_PART_TAG} AS tag, count(*) AS n FROM part GROUP BY 1",
+    "branch_bolt": "SELECT p_partkey, p_name FROM part WHERE suffix(p_name, 'bolt')",
     "branch_files": f"SELECT {_PART_TAG} AS tag, count(*) AS n FROM part GROUP BY 1",
     "parse_int": f"SELECT event_id, {_K} AS k FROM events",
     "not_null": (

@@ -46,7 +46,7 @@ def test_bounded_grouping_plan(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["route", "parse_int", "nth_column", "catalog_read"])
+@pytest.mark.parametrize("name", ["route", "branch_bolt", "parse_int", "nth_column", "catalog_read"])
 def test_row_level_queries_do_not_shuffle(spark, name):
     assert shuffles(final_plan(spark, name)) == 0
 
@@ -77,3 +77,9 @@ def test_cogroup_of_word_counts_adds_no_shuffle(spark):
     # word, the union keeps that partitioning, and the co-group by word needs
     # no exchange of its own.
     assert shuffles(final_plan(spark, "cogroup_words")) == 2
+
+
+def test_single_branch_filter_pushed_to_parquet(spark):
+    plan = final_plan(spark, "branch_bolt")
+    assert "PushedFilters: [IsNotNull(p_name), StringEndsWith(p_name,bolt)]" in plan
+    assert shuffles(plan) == 0
