@@ -32,14 +32,17 @@ NOTES = {
     "word_count_kv": "as word_count; the text rendering fuses into the final aggregate's stage",
     "count_per_element": "partial + final count: one shuffle of at most one row per key per map task",
     "pair_text": "as count_per_element",
-    "group_values": "duplicate collapse (partial), per-key totals from the reused exchange, totals "
-    "broadcast only after AQE measured them, then one shuffle by (key, chunk); every list is bounded",
-    "group_values_hot": "as group_values; each key holds a third of lineitem and is spread over "
-    "ceil(n / 1000) chunks, so no task gathers a whole key",
+    "group_values": "per-key totals are counted from the key column in a small job, checkpointed and "
+    "sized, then broadcast; ids do not repeat (distinct_values), so the rows are shuffled once, by "
+    "(key, chunk); every list is bounded",
+    "group_values_hot": "order keys repeat within a flag, so duplicates are collapsed first (partial "
+    "aggregate, shuffle by (key, value)), then one shuffle by (key, chunk); each key holds a third of "
+    "lineitem and is spread over about n / 1000 chunks, so no task gathers a whole key",
     "sum_per_key_x10": "partial sums; the value list of the reference is never built",
     "jdbc_counts": "partial sums; null names counted by an observation in the same pass",
-    "cogroup": "one union and the group_values plan; no chain of outer joins",
-    "cogroup_hot": "as cogroup; the shared statuses each hold about half of lineitem, spread over chunks",
+    "cogroup": "one union and the group_values plan (one shuffle of the rows); no chain of outer joins",
+    "cogroup_hot": "as group_values_hot for two sources; the shared statuses each hold about half of "
+    "lineitem, spread over chunks",
     "cogroup_words": "two word counts (one shuffle each); both are partitioned by word, the union keeps "
     "that, so the co-group (at most one count per word and input: no chunking) adds no shuffle",
     "route": "no shuffle: a tag expression in the scan stage",

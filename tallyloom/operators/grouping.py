@@ -12,16 +12,17 @@ row with ``chunk = 0``, which is the plain "key with its list" result.
 Plan (all built-in expressions, deterministic, so a lost executor recomputes
 the same chunks):
 
-1. Collapse identical rows into ``(key, tag, value, m)`` -- a partial
-   aggregate, so a hot key with few distinct values shrinks before any
-   shuffle.
-2. Split a multiplicity ``m`` larger than ``chunk_size`` into pieces.
-3. Count values per key (partial aggregate again) and join the count back;
-   adaptive execution broadcasts the count table when its runtime size is
-   small and splits skewed partitions when it is not.
+1. Count rows per key from the key columns alone (a partial aggregate),
+   checkpoint the counts to the shared folder and count them: they are
+   broadcast when that measured size is small, else joined by key (adaptive
+   execution then splits a hot key's partition).
+2. Collapse identical rows into ``(key, tag, value, m)`` -- a partial
+   aggregate, so a hot key with few distinct values shrinks before the
+   shuffle.  Skipped with ``distinct_values=True``.
+3. Split a multiplicity ``m`` larger than ``chunk_size`` into pieces.
 4. Spread the pieces of a key over its chunks by a hash of their content
    (the pieces of one heavy value over consecutive chunks), then gather each
-   chunk's lists.
+   chunk's lists: one shuffle by ``(key, chunk)``.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import shared_dir
+
 DEFAULT_CHUNK_SIZE = 100_000
 
 _M, _P, _PM, _N, _NC = "_tl_m", "_tl_p", "_tl_pm", "_tl_n", "_tl_nc"
@@ -41,32 +44,64 @@ def _as_list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _chunked(df: DataFrame, keys: list[str], content: list[str], chunk_size: int) -> DataFrame:
-    """Rows ``(keys, content, piece multiplicity, chunk)`` -- steps 1 to 3 above."""
+# Broadcast the per-key totals only when their measured size is below this.
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8, "date": 4}
+
+
+def _key_totals(df: DataFrame, keys: list[str], chunk_size: int) -> DataFrame:
+    """``(renamed keys, number of chunks)`` per key, sized before use.
+
+    The counts come from the key columns alone (a partial count, so a hot key
+    costs one row per map task) and are checkpointed to the shared folder, so
+    their real row count is known before the big join is planned: they are
+    broadcast when that size is below ``BROADCAST_LIMIT_BYTES``, otherwise
+    joined by key (adaptive execution then splits a hot key's partition).
+    Without this, a planning-time size estimate -- the input's size -- would
+    pick a shuffle join and the big side would be shuffled before adaptive
+    execution could switch to a broadcast.
+    """
+    shared_dir(df.sparkSession)  # a checkpoint folder exists (set from the session, or made in tests)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+    totals = counts.select(
+        *[F.col(k).alias(f"_tl_k{i}") for i, k in enumerate(keys)],
+        F.ceil(F.col(_N) / F.lit(chunk_size)).alias(_NC),
+    ).checkpoint(eager=True)
+    width = sum(_FIXED_WIDTH.get(df.schema[k].dataType.typeName(), 64) for k in keys) + 16
+    return F.broadcast(totals) if totals.count() * width * 2 <= BROADCAST_LIMIT_BYTES else totals
+
+
+def _chunked(
+    df: DataFrame, keys: list[str], content: list[str], chunk_size: int, distinct_values: bool
+) -> DataFrame:
+    """Rows ``(keys, content, piece, piece multiplicity, chunk)`` -- steps 1 to 4 above."""
     if not 1 <= chunk_size < 2**31:
         raise ValueError("chunk_size must be between 1 and 2**31 - 1")
-    dup = df.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
-    n_pieces = F.ceil(F.col(_M) / F.lit(chunk_size))
-    pieces = dup.select(
-        *keys,
-        *content,
-        F.col(_M),
-        F.explode(F.sequence(F.lit(0).cast("long"), n_pieces - 1)).alias(_P),
-    ).withColumn(_PM, F.least(F.lit(chunk_size).cast("long"), F.col(_M) - F.col(_P) * chunk_size))
-
-    renamed = {k: f"_tl_k{i}" for i, k in enumerate(keys)}
-    totals = dup.groupBy(*keys).agg(F.sum(_M).alias(_N))
-    totals = totals.select(
-        *[F.col(k).alias(renamed[k]) for k in keys], F.ceil(F.col(_N) / F.lit(chunk_size)).alias(_NC)
-    )
-    cond = reduce(lambda a, b: a & b, [pieces[k].eqNullSafe(totals[renamed[k]]) for k in keys])
-    joined = pieces.join(totals, cond, "inner").drop(*renamed.values())
+    totals = _key_totals(df, keys, chunk_size)
+    if distinct_values:
+        pieces = df.select(*keys, *content, F.lit(0).cast("long").alias(_P), F.lit(1).cast("long").alias(_PM))
+    else:
+        dup = df.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
+        n_pieces = F.ceil(F.col(_M) / F.lit(chunk_size))
+        pieces = dup.select(
+            *keys,
+            *content,
+            F.col(_M),
+            F.explode(F.sequence(F.lit(0).cast("long"), n_pieces - 1)).alias(_P),
+        ).withColumn(_PM, F.least(F.lit(chunk_size).cast("long"), F.col(_M) - F.col(_P) * chunk_size))
+    renamed = [f"_tl_k{i}" for i in range(len(keys))]
+    cond = reduce(lambda a, b: a & b, [pieces[k].eqNullSafe(totals[r]) for k, r in zip(keys, renamed)])
+    joined = pieces.join(totals, cond, "inner").drop(*renamed)
     # A row's first piece goes to the chunk its content hashes to, its later
     # pieces to the chunks after it, so one heavy value fills consecutive
     # chunks instead of clumping.
     home = F.pmod(F.xxhash64(*[F.col(c) for c in keys + content]), F.col(_NC))
     chunk = F.when(F.col(_NC) <= 1, F.lit(0).cast("long")).otherwise(F.pmod(home + F.col(_P), F.col(_NC)))
-    return joined.withColumn("chunk", chunk)
+    # Shuffle the rows by (key, chunk) before building lists: a map-side
+    # partial list does not shrink the data, so the lists are built only after
+    # the shuffle, spread over all reduce tasks.
+    return joined.withColumn("chunk", chunk).repartition(*keys, "chunk")
 
 
 def _repeat(value: Column, keep_nulls: bool) -> Column:
@@ -82,17 +117,26 @@ def group_values(
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     keep_nulls: bool = False,
     sort_values: bool = False,
+    distinct_values: bool = False,
 ) -> DataFrame:
     """``(key, chunk, values)``: the values of each key, in bounded chunks.
 
     Duplicated values are kept.  Null values are dropped unless
     ``keep_nulls``; a key whose values are all null still appears, with an
     empty list.  ``sort_values`` sorts each chunk's list.
-    Prefer ``sum_per_key`` / ``count_per_element`` when only a fold of the
-    list is wanted: they never build it.
+
+    ``distinct_values=True`` states that a value repeats at most a few times
+    within a key (ids, for instance).  Duplicates are then not collapsed
+    first, which saves a shuffle of every row; results are the same, only a
+    value repeated ``r`` times may add up to ``r`` values to its chunk.
+
+    Runs one small job when called: the per-key totals are counted and
+    sized first (see ``_key_totals``).  Prefer ``sum_per_key`` /
+    ``count_per_element`` when only a fold of the list is wanted: they never
+    build it.
     """
     keys = _as_list(key)
-    rows = _chunked(df.select(*keys, value), keys, [value], chunk_size)
+    rows = _chunked(df.select(*keys, value), keys, [value], chunk_size, distinct_values)
     values = F.flatten(F.collect_list(_repeat(F.col(value), keep_nulls)))
     if sort_values:
         values = F.array_sort(values)
@@ -107,6 +151,7 @@ def cogroup(
     keep_nulls: bool = False,
     sort_values: bool = False,
     unique_keys: bool = False,
+    distinct_values: bool = False,
 ) -> DataFrame:
     """Co-group keyed inputs: ``(key, chunk, <tag1>, <tag2>, ...)``.
 
@@ -119,7 +164,8 @@ def cogroup(
     ``unique_keys=True`` states that every input holds at most one row per
     key (per-key aggregates, such as word counts).  Each list then has at most
     one element, no group can grow, and the co-group needs a single shuffle
-    and no chunking (``chunk`` is 0).
+    and no chunking (``chunk`` is 0).  ``distinct_values`` is as for
+    ``group_values``.
     """
     keys = _as_list(key)
     if not inputs:
@@ -144,7 +190,7 @@ def cogroup(
                 lst = F.collect_list(F.when(mine, F.col("_tl_v")))
             aggs.append(lst.alias(tag))
         return union.groupBy(*keys).agg(*aggs).select(*keys, F.lit(0).cast("long").alias("chunk"), *inputs)
-    rows = _chunked(union, keys, ["_tl_tag", "_tl_v"], chunk_size)
+    rows = _chunked(union, keys, ["_tl_tag", "_tl_v"], chunk_size, distinct_values)
     aggs = []
     for tag in inputs:
         rep = _repeat(F.col("_tl_v"), keep_nulls)

@@ -127,3 +127,22 @@ def test_cogroup_rejects_tag_equal_to_key(spark):
     a = from_rows(spark, [("x", 1)], "key string, value int")
     with pytest.raises(ValueError):
         cogroup({"key": a})
+
+
+def test_distinct_values_path_gives_the_same_groups(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 4).alias("key"), F.col("id").alias("value"))
+    plain = rows(group_values(df, chunk_size=100, sort_values=True).select("key", F.explode("values").alias("v")))
+    fast = rows(group_values(df, chunk_size=100, distinct_values=True).select("key", F.explode("values").alias("v")))
+    assert plain == fast and len(fast) == 3000
+    sizes = [len(r["values"]) for r in group_values(df, chunk_size=100, distinct_values=True).collect()]
+    assert max(sizes) < 200 and len(sizes) >= 28
+
+
+def test_distinct_values_with_some_repeats_is_still_exact(spark):
+    df = from_rows(spark, [("k", 1), ("k", 1), ("k", 2), ("j", None)], "key string, value int")
+    out = {r.key: sorted(r["values"]) for r in group_values(df, distinct_values=True).collect()}
+    assert out == {"k": [1, 1, 2], "j": []}
+    a = from_rows(spark, [("x", 1), ("x", 1)], "key string, value int")
+    b = from_rows(spark, [("x", 2)], "key string, value int")
+    got = cogroup({"a": a, "b": b}, distinct_values=True).collect()
+    assert [(sorted(r.a), r.b) for r in got] == [([1, 1], [2])]
