@@ -78,6 +78,8 @@ def _chunked(
     """Rows ``(keys, content, piece, piece multiplicity, chunk)`` -- steps 1 to 4 above."""
     if not 1 <= chunk_size < 2**31:
         raise ValueError("chunk_size must be between 1 and 2**31 - 1")
+    if df.isStreaming:
+        raise ValueError("grouping values into lists is a batch operation; aggregate streams per window")
     totals = _key_totals(df, keys, chunk_size)
     if distinct_values:
         pieces = df.select(*keys, *content, F.lit(0).cast("long").alias(_P), F.lit(1).cast("long").alias(_PM))

@@ -146,3 +146,13 @@ def test_distinct_values_with_some_repeats_is_still_exact(spark):
     b = from_rows(spark, [("x", 2)], "key string, value int")
     got = cogroup({"a": a, "b": b}, distinct_values=True).collect()
     assert [(sorted(r.a), r.b) for r in got] == [([1, 1], [2])]
+
+
+def test_grouping_refuses_streams(spark, scratch):
+    import pytest
+
+    from tallyloom.sources import read_stream_files
+
+    from_rows(spark, [("k", 1)], "key string, value int").write.parquet(scratch)
+    with pytest.raises(ValueError):
+        group_values(read_stream_files(spark, scratch, "key string, value int"))
