@@ -6,8 +6,9 @@ with ``n`` values gets up to ``ceil(n / chunk_size)`` rows, numbered by
 ``chunk``, each holding about ``chunk_size`` values (placement is by hash, so
 a chunk can exceed the target by the statistical spread; with 1.2 million
 values of one key and a 10,000 target the largest chunk held 16,341).  Every
-value lands in exactly one chunk; none is dropped or sampled.  A key that fits one chunk gets exactly one
-row with ``chunk = 0``, which is the plain "key with its list" result.
+value lands in exactly one chunk; none is dropped or sampled.  A key that
+fits one chunk gets exactly one row with ``chunk = 0``, which is the plain
+"key with its list" result.
 
 Plan (all built-in expressions, deterministic, so a lost executor recomputes
 the same chunks):
