@@ -1,5 +1,6 @@
 from tallyloom.streaming.windows import (
     DEFAULT_WINDOW,
+    compact_windows,
     event_time,
     latest_windows,
     start_window_appends,
@@ -7,4 +8,4 @@ from tallyloom.streaming.windows import (
     tumbling_sum,
 )
 
-__all__ = ["DEFAULT_WINDOW", "event_time", "latest_windows", "start_window_appends", "start_window_upserts", "tumbling_sum"]
+__all__ = ["DEFAULT_WINDOW", "compact_windows", "event_time", "latest_windows", "start_window_appends", "start_window_upserts", "tumbling_sum"]

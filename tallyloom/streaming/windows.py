@@ -128,3 +128,14 @@ def latest_windows(
     """The newest value of every window written by ``start_window_upserts``."""
     rows = spark.read.parquet(path)
     return rows.groupBy(*window_keys).agg(F.max_by(value, "batch").alias(value))
+
+
+def compact_windows(
+    spark: SparkSession, path: str, out: str, window_keys: Sequence[str] = ("w_start", "w_end"), value: str = "s"
+) -> None:
+    """Write the newest value of every window under ``path`` to a new table ``out``.
+
+    For long-running update-mode streams, whose sink adds a folder per
+    micro-batch: later reads use ``out``; the stream keeps writing to ``path``.
+    """
+    latest_windows(spark, path, window_keys, value).write.mode("errorifexists").parquet(out)

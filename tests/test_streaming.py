@@ -22,7 +22,7 @@ from tallyloom.sources import (
     read_lines_stream,
     read_stream_files,
 )
-from tallyloom.streaming import event_time, latest_windows, start_window_upserts, tumbling_sum
+from tallyloom.streaming import compact_windows, event_time, latest_windows, start_window_upserts, tumbling_sum
 
 SCHEMA = "key string, value string, timestamp timestamp"
 EPOCH = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -230,3 +230,15 @@ def test_one_shot_run_without_idle_batch_gives_same_windows(spark, scratch):
     q.awaitTermination()
     assert rows(latest_windows(spark, f"{scratch}/out")) == rows(windowed_int_sums(parse_messages(_records(spark, items))))
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_compact_windows_keeps_newest_values(spark, scratch):
+    items = [("5", 1), ("6", 4)]
+    _records(spark, items).write.parquet(f"{scratch}/in/a")
+    stream = read_stream_files(spark, f"{scratch}/in/*", SCHEMA)
+    run = lambda: int_stream_job(stream, f"{scratch}/out", f"{scratch}/ck", watermark="1 hour", trigger={"availableNow": True})
+    run().awaitTermination()
+    _records(spark, [("7", 2)]).write.parquet(f"{scratch}/in/b")
+    run().awaitTermination()
+    compact_windows(spark, f"{scratch}/out", f"{scratch}/compact")
+    assert [(r.w_start, r.s) for r in spark.read.parquet(f"{scratch}/compact").collect()] == [(EPOCH, 18)]
