@@ -1,5 +1,5 @@
 from tallyloom.operators.aggregates import count_per_element, sum_all, sum_per_key
-from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, group_values
+from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, fold_sum, group_values
 from tallyloom.operators.partitioning import spread
 from tallyloom.operators.routing import branch_tags, branches, route
 from tallyloom.operators.transforms import (
@@ -22,6 +22,7 @@ __all__ = [
     "branches",
     "cogroup",
     "count_per_element",
+    "fold_sum",
     "group_values",
     "key_ones",
     "key_value",

@@ -207,3 +207,24 @@ def cogroup(
         lst = F.flatten(F.collect_list(F.when(F.col("_tl_tag") == tag, rep)))
         aggs.append((F.array_sort(lst) if sort_values else lst).alias(tag))
     return rows.groupBy(*keys, "chunk").agg(*aggs)
+
+
+def fold_sum(
+    grouped: DataFrame,
+    key: str | Sequence[str] = "key",
+    values: str = "values",
+    factor: int = 1,
+    out: str = "value",
+) -> DataFrame:
+    """``(key, factor * sum of all listed values)`` over ``group_values`` output.
+
+    Each chunk's list is added up in place, then the chunk sums are added per
+    key (a partial aggregate), so no key's values are gathered again.  For
+    data not yet grouped, ``sum_per_key`` does the same without the lists.
+    """
+    keys = _as_list(key)
+    per_chunk = F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: acc + F.coalesce(v, F.lit(0)))
+    total = F.sum(per_chunk)
+    if factor != 1:
+        total = total * F.lit(factor)
+    return grouped.groupBy(*keys).agg(total.alias(out))

@@ -7,7 +7,7 @@ from collections import Counter
 from conftest import natural, rows
 from pyspark.sql import functions as F
 
-from tallyloom.operators import cogroup, group_values
+from tallyloom.operators import cogroup, fold_sum, group_values, sum_per_key
 from tallyloom.plans import word_cogroup
 from tallyloom.sources import from_rows
 
@@ -156,3 +156,9 @@ def test_grouping_refuses_streams(spark, scratch):
     from_rows(spark, [("k", 1)], "key string, value int").write.parquet(scratch)
     with pytest.raises(ValueError):
         group_values(read_stream_files(spark, scratch, "key string, value int"))
+
+
+def test_fold_sum_of_chunked_lists_equals_sum_per_key(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("key"), (F.col("id") % 7).cast("int").alias("value"))
+    folded = fold_sum(group_values(df, chunk_size=200), factor=10)
+    assert rows(folded) == rows(sum_per_key(df, factor=10))
