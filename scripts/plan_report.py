@@ -39,6 +39,8 @@ NOTES = {
     "aggregate, shuffle by (key, value)), then one shuffle by (key, chunk); each key holds a third of "
     "lineitem and is spread over about n / 1000 chunks, so no task gathers a whole key",
     "sum_per_key_x10": "partial sums; the value list of the reference is never built",
+    "group_fold_x10": "identical (name, 1) rows collapse to one row per name before any shuffle of rows; "
+    "pieces fill consecutive chunks; lists are folded in place and chunk sums added per key",
     "jdbc_counts": "partial sums; null names counted by an observation in the same pass",
     "cogroup": "one union and the group_values plan (one shuffle of the rows); no chain of outer joins",
     "cogroup_hot": "as group_values_hot for two sources; the shared statuses each hold about half of "

@@ -25,6 +25,7 @@ from tallyloom.operators import (
     branches,
     cogroup,
     count_per_element,
+    fold_sum,
     group_values,
     key_ones,
     not_null,
@@ -126,6 +127,15 @@ def q_sum_per_key_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sum_per_key(pairs, "k", "one", JDBC_FACTOR, "v")
 
 
+def q_group_fold_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JDBC program's literal shape: (name, 1) pairs grouped into lists, each list
+    folded to a sum, times ten.  Every value is 1, so the lists are made of one
+    heavy repeated value, split into pieces over consecutive chunks."""
+    pairs = key_ones(_t(spark, sf_dir, "customer"), "c_mktsegment", "k", "one")
+    grouped = group_values(pairs, "k", "one", "ones", chunk_size=SMALL_CHUNK)
+    return fold_sum(grouped, "k", "ones", JDBC_FACTOR, "v")
+
+
 def q_jdbc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     counts, _ = name_counts(rows, name_position=1)
@@ -302,6 +312,7 @@ QUERIES: dict[str, QueryFn] = {
     "group_values": q_group_values,
     "group_values_hot": q_group_values_hot,
     "sum_per_key_x10": q_sum_per_key_x10,
+    "group_fold_x10": q_group_fold_x10,
     "jdbc_counts": q_jdbc_counts,
     "cogroup": q_cogroup,
     "cogroup_hot": q_cogroup_hot,
@@ -352,6 +363,7 @@ ORACLE_SQL: dict[str, str] = {
     "group_values": "SELECT c_nationkey AS k, c_custkey AS v FROM customer",
     "group_values_hot": "SELECT l_returnflag AS k, l_orderkey AS v FROM lineitem",
     "sum_per_key_x10": "SELECT o_orderpriority AS k, CAST(count(*) * 10 AS BIGINT) AS v FROM orders GROUP BY o_orderpriority",
+    "group_fold_x10": "SELECT c_mktsegment AS k, CAST(count(*) * 10 AS BIGINT) AS v FROM customer GROUP BY c_mktsegment",
     "jdbc_counts": (
         "SELECT c_mktsegment AS name, CAST(count(*) * 10 AS VARCHAR) AS count FROM customer "
         "WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment"
