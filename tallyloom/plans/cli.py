@@ -86,7 +86,8 @@ def _int_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     else:
         if not a.bootstrap_servers:
             raise SystemExit("int-stream needs --bootstrap-servers (or --source-files)")
-        records = read_kafka(spark, a.bootstrap_servers, a.topic, a.starting_offsets)
+        extra = {"maxOffsetsPerTrigger": str(a.max_offsets_per_trigger)} if a.max_offsets_per_trigger else None
+        records = read_kafka(spark, a.bootstrap_servers, a.topic, a.starting_offsets, extra)
     # The same topic and output always use the same checkpoint, so a restarted
     # job resumes where it stopped instead of starting over.
     digest = hashlib.sha1(f"{a.topic}\n{a.output}".encode()).hexdigest()[:16]
@@ -146,6 +147,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", help="default: a folder in spark.checkpoint.dir fixed by topic and output")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--max-offsets-per-trigger", type=int,
+                   help="bound each micro-batch when catching up on a backlog (spread over the topic's partitions)")
     s.add_argument("--watermark", default="10 seconds")
     s.add_argument("--window", default="5 seconds")
     s.add_argument("--no-window", action="store_true", help="write every parsed value, no window sums")
