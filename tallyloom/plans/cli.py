@@ -82,7 +82,7 @@ def _catalog_column(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _int_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.source_files:
-        records = read_stream_files(spark, a.source_files, RECORD_SCHEMA)
+        records = read_stream_files(spark, a.source_files, RECORD_SCHEMA, max_files_per_trigger=a.max_files_per_trigger)
     else:
         if not a.bootstrap_servers:
             raise SystemExit("int-stream needs --bootstrap-servers (or --source-files)")
@@ -144,6 +144,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bootstrap-servers")
     s.add_argument("--topic", required=True)
     s.add_argument("--source-files", help="replay records (key, value, timestamp) from Parquet files instead of Kafka")
+    s.add_argument("--max-files-per-trigger", type=int, help="bound each micro-batch of a file replay")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", help="default: a folder in spark.checkpoint.dir fixed by topic and output")
     s.add_argument("--starting-offsets", default="latest")
