@@ -83,3 +83,19 @@ def test_int_stream_command_resumes_after_restart(spark, scratch):
     batches = sorted(n for n in os.listdir(f"{scratch}/out") if n.startswith("batch="))
     assert batches == ["batch=0", "batch=1", "batch=2", "batch=3"]
     assert [r.s for r in spark.read.parquet(f"{scratch}/out/batch=2").collect()] == [18]
+
+
+def test_int_stream_command_replays_files_in_bounded_batches(spark, scratch):
+    import datetime as dt
+
+    from tallyloom.streaming import latest_windows
+
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "key string, value string, timestamp timestamp"
+    from_rows(spark, [(None, "1", t0)], schema).write.parquet(f"{scratch}/in/a")
+    from_rows(spark, [(None, "2", t0 + dt.timedelta(seconds=1))], schema).write.parquet(f"{scratch}/in/b")
+    main(["int-stream", "--topic", "t", "--source-files", f"{scratch}/in/*", "--output", f"{scratch}/out",
+          "--available-now", "--watermark", "1 hour", "--max-files-per-trigger", "1"], spark)
+    assert [r.s for r in latest_windows(spark, f"{scratch}/out").collect()] == [3]
+    data_batches = [n for n in os.listdir(f"{scratch}/out") if n.startswith("batch=")]
+    assert len(data_batches) >= 2
