@@ -92,7 +92,9 @@ def main() -> None:
         f"Generated by `scripts/plan_report.py` on `{sf_dir}` with adaptive execution on.",
         "Shuffles count the exchanges the final adaptive plan computes; `reused` counts",
         "exchanges read a second time without recomputation.  `read` is the columns the Parquet scan decodes, `pushed`",
-        "the filters handed to it.  Stream queries show the plan that reads their output.",
+        "the filters handed to it.  Stream queries show the plan that reads their output.  Grouping",
+        "queries (group_values, cogroup) first run a small job that counts, checkpoints and sizes the",
+        "per-key totals; the plan shown reads that checkpoint (the broadcast side).",
         "",
         "| query | shuffles | reused | broadcasts | python | read | pushed | why |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",
