@@ -66,8 +66,8 @@ def test_group_values_matches_python(spark, pairs, chunk, distinct):
 
 
 @SETTINGS
-@given(a=pairs_st, b=pairs_st, chunk=st.integers(1, 5))
-def test_cogroup_matches_python(spark, a, b, chunk):
+@given(a=pairs_st, b=pairs_st, chunk=st.integers(1, 5), distinct=st.booleans())
+def test_cogroup_matches_python(spark, a, b, chunk, distinct):
     fa = from_rows(spark, a, "key string, value int")
     fb = from_rows(spark, b, "key string, value int")
     expected: dict = {}
@@ -77,7 +77,7 @@ def test_cogroup_matches_python(spark, a, b, chunk):
             if v is not None:
                 expected[k][tag][v] += 1
     got: dict = {}
-    for r in cogroup({"a": fa, "b": fb}, chunk_size=chunk).collect():
+    for r in cogroup({"a": fa, "b": fb}, chunk_size=chunk, distinct_values=distinct).collect():
         entry = got.setdefault(r.key, {"a": Counter(), "b": Counter()})
         entry["a"].update(r.a)
         entry["b"].update(r.b)
