@@ -162,3 +162,15 @@ def test_fold_sum_of_chunked_lists_equals_sum_per_key(spark):
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("key"), (F.col("id") % 7).cast("int").alias("value"))
     folded = fold_sum(group_values(df, chunk_size=200), factor=10)
     assert rows(folded) == rows(sum_per_key(df, factor=10))
+
+
+def test_large_totals_are_joined_by_key_not_broadcast(spark, monkeypatch):
+    from tallyloom.operators import grouping
+
+    monkeypatch.setattr(grouping, "BROADCAST_LIMIT_BYTES", 0)
+    df = spark.range(0, 2000).select((F.col("id") % 50).alias("key"), F.col("id").alias("value"))
+    out = group_values(df, chunk_size=10)
+    got = rows(out.select("key", F.explode("values").alias("v")))
+    assert got == rows(df.select("key", F.col("value").alias("v")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
