@@ -133,7 +133,13 @@ def shared_dir(spark: SparkSession) -> str:
     folder is created and registered as the checkpoint folder, so that later
     ``checkpoint()`` calls and staged tables land in the same place.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext access (e.g. a remote session): the runtime conf only
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach") from None
+        return configured.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
