@@ -3,8 +3,9 @@
 Everything here is plain Spark configuration.  The defaults are written for a
 cluster: adaptive execution re-plans joins and shuffles from runtime sizes,
 skewed shuffle partitions are split, and small partitions are coalesced, so the
-same job runs at sf0.01 on a laptop and at 100 TB on a large cluster without
-hand tuning.
+same job runs at sf0.01 on a laptop and at 100 TB on a large cluster; the one
+setting to size for the data is the initial shuffle partition count
+(``suggested_shuffle_partitions``).
 """
 
 from __future__ import annotations
