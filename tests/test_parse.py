@@ -59,3 +59,14 @@ def test_map_rows_zero_to_many_outputs(spark):
         return pd.DataFrame({"word": w[w != ""]})
 
     assert rows(map_rows(df, explode_words, "word string")) == [("a",), ("b",), ("c",)]
+
+
+def test_strict_parse_raises_without_ansi_mode(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException):
+            parse_int(from_rows(spark, ["x"], "value string")).collect()
+        assert parse_int(from_rows(spark, ["x"], "value string"), strict=False).collect()[0].value is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
