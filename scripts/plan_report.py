@@ -32,9 +32,10 @@ NOTES = {
     "word_count_kv": "as word_count; the text rendering fuses into the final aggregate's stage",
     "count_per_element": "partial + final count: one shuffle of at most one row per key per map task",
     "pair_text": "as count_per_element",
-    "group_values": "per-key totals are counted from the key column in a small job, checkpointed and "
-    "sized, then broadcast; ids do not repeat (distinct_values), so the rows are shuffled once, by "
-    "(key, chunk); every list is bounded",
+    "group_values": "per-key counts from the key column (partial count, one small shuffle) are broadcast; "
+    "ids do not repeat (distinct_values), so the rows are shuffled once, by (key, chunk); every list is "
+    "bounded.  On inputs of more than 64 partitions the counts are first checkpointed and sized in a "
+    "separate job, so the big side is never shuffled for a join that ends up broadcast",
     "group_values_hot": "order keys repeat within a flag, so duplicates are collapsed first (partial "
     "aggregate, shuffle by (key, value)), then one shuffle by (key, chunk); each key holds a third of "
     "lineitem and is spread over about n / 1000 chunks, so no task gathers a whole key",
@@ -93,8 +94,9 @@ def main() -> None:
         "Shuffles count the exchanges the final adaptive plan computes; `reused` counts",
         "exchanges read a second time without recomputation.  `read` is the columns the Parquet scan decodes, `pushed`",
         "the filters handed to it.  Stream queries show the plan that reads their output.  Grouping",
-        "queries (group_values, cogroup) first run a small job that counts, checkpoints and sizes the",
-        "per-key totals; the plan shown reads that checkpoint (the broadcast side).",
+        "queries (group_values, cogroup) on inputs of more than 64 partitions first run a small job that",
+        "counts, checkpoints and sizes the per-key totals; at these sizes the counts are a small shuffle",
+        "inside the plan.",
         "",
         "| query | shuffles | reused | broadcasts | python | read | pushed | why |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",

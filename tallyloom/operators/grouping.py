@@ -13,10 +13,11 @@ fits one chunk gets exactly one row with ``chunk = 0``, which is the plain
 Plan (all built-in expressions, deterministic, so a lost executor recomputes
 the same chunks):
 
-1. Count rows per key from the key columns alone (a partial aggregate),
-   checkpoint the counts to the shared folder and count them: they are
-   broadcast when that measured size is small, else joined by key (adaptive
-   execution then splits a hot key's partition).
+1. Count rows per key from the key columns alone (a partial aggregate).
+   For large inputs, checkpoint the counts to the shared folder and count
+   them first: they are broadcast when that measured size is small, else
+   joined by key (adaptive execution then splits a hot key's partition).
+   Small inputs leave that choice to adaptive execution.
 2. Collapse identical rows into ``(key, tag, value, m)`` -- a partial
    aggregate, so a hot key with few distinct values shrinks before the
    shuffle.  Skipped with ``distinct_values=True``.
@@ -47,6 +48,11 @@ def _as_list(cols: str | Sequence[str]) -> list[str]:
 
 # Broadcast the per-key totals only when their measured size is below this.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Inputs read in at most this many partitions (about 8 GB at 128 MB splits)
+# skip the sizing job: a shuffle join that adaptive execution turns into a
+# broadcast wastes at most one shuffle of that little data, less than the
+# extra pass the sizing costs.
+SIZING_MIN_PARTITIONS = 64
 
 _FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8, "date": 4}
 
@@ -61,13 +67,19 @@ def _key_totals(df: DataFrame, keys: list[str], chunk_size: int) -> DataFrame:
     joined by key (adaptive execution then splits a hot key's partition).
     Without this, a planning-time size estimate -- the input's size -- would
     pick a shuffle join and the big side would be shuffled before adaptive
-    execution could switch to a broadcast.
+    execution could switch to a broadcast.  Inputs of at most
+    ``SIZING_MIN_PARTITIONS`` partitions skip the sizing job.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
     totals = counts.select(
         *[F.col(k).alias(f"_tl_k{i}") for i, k in enumerate(keys)],
         F.ceil(F.col(_N) / F.lit(chunk_size)).alias(_NC),
     )
+    try:
+        if df.rdd.getNumPartitions() <= SIZING_MIN_PARTITIONS:
+            return totals  # small input: adaptive execution picks the join from measured sizes
+    except Exception:
+        pass
     try:
         shared_dir(df.sparkSession)  # a checkpoint folder exists (set from the session, or made in tests)
         totals = totals.checkpoint(eager=True)
@@ -140,8 +152,8 @@ def group_values(
     for instance).  On 3 million rows whose values each repeat 240 times,
     both paths made the same chunks, the second in half the time.
 
-    Runs one small job when called: the per-key totals are counted and
-    sized first (see ``_key_totals``).  Prefer ``sum_per_key`` /
+    On large inputs runs one small job when called: the per-key totals are
+    counted and sized first (see ``_key_totals``).  Prefer ``sum_per_key`` /
     ``count_per_element`` when only a fold of the list is wanted: they never
     build it.
     """

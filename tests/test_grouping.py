@@ -164,9 +164,22 @@ def test_fold_sum_of_chunked_lists_equals_sum_per_key(spark):
     assert rows(folded) == rows(sum_per_key(df, factor=10))
 
 
+def test_sized_totals_are_broadcast(spark, monkeypatch):
+    from tallyloom.operators import grouping
+
+    monkeypatch.setattr(grouping, "SIZING_MIN_PARTITIONS", 0)  # size as for a large input
+    df = spark.range(0, 2000, numPartitions=4).select((F.col("id") % 50).alias("key"), F.col("id").alias("value"))
+    out = group_values(df, chunk_size=10)
+    assert rows(out.select("key", F.explode("values").alias("v"))) == rows(df.select("key", F.col("value").alias("v")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the counts come from the checkpoint (an existing RDD), hinted as the broadcast side
+    assert "BroadcastHashJoin" in plan and "ExistingRDD" in plan
+
+
 def test_large_totals_are_joined_by_key_not_broadcast(spark, monkeypatch):
     from tallyloom.operators import grouping
 
+    monkeypatch.setattr(grouping, "SIZING_MIN_PARTITIONS", 0)
     monkeypatch.setattr(grouping, "BROADCAST_LIMIT_BYTES", 0)
     df = spark.range(0, 2000).select((F.col("id") % 50).alias("key"), F.col("id").alias("value"))
     out = group_values(df, chunk_size=10)

@@ -37,13 +37,13 @@ def test_word_count_partial_aggregate_after_split(spark):
 
 
 @pytest.mark.parametrize(
-    "name,expected", [("group_values", 1), ("cogroup", 1), ("group_values_hot", 2), ("cogroup_hot", 2)]
+    "name,expected", [("group_values", 2), ("cogroup", 2), ("group_values_hot", 3), ("cogroup_hot", 3)]
 )
 def test_bounded_grouping_plan(spark, name, expected):
     plan = final_plan(spark, name)
-    # per-key totals come sized from a checkpoint and are broadcast: the big
-    # rows are shuffled once by (key, chunk), plus once by (key, value) when
-    # duplicates are collapsed first
+    # small inputs: the per-key counts are one small shuffle and are
+    # broadcast; the rows are shuffled once by (key, chunk), plus once by
+    # (key, value) when duplicates are collapsed first
     assert shuffles(plan) == expected
     assert "BroadcastHashJoin" in plan and "partial_collect_list" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
