@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from conftest import natural, rows
 from pyspark.sql import functions as F
 
-from tallyloom.operators import cogroup, fold_sum, group_values, sum_per_key
+from tallyloom.operators import cogroup, fold_sum, group_values, grouping, sum_per_key
 from tallyloom.plans import word_cogroup
-from tallyloom.sources import from_rows
+from tallyloom.sources import from_rows, read_stream_files
 
 
 def test_g2_word_cogroup(spark):
@@ -122,8 +123,6 @@ def test_cogroup_unique_keys_single_shuffle(spark):
 
 
 def test_cogroup_rejects_tag_equal_to_key(spark):
-    import pytest
-
     a = from_rows(spark, [("x", 1)], "key string, value int")
     with pytest.raises(ValueError):
         cogroup({"key": a})
@@ -149,10 +148,6 @@ def test_distinct_values_with_some_repeats_is_still_exact(spark):
 
 
 def test_grouping_refuses_streams(spark, scratch):
-    import pytest
-
-    from tallyloom.sources import read_stream_files
-
     from_rows(spark, [("k", 1)], "key string, value int").write.parquet(scratch)
     with pytest.raises(ValueError):
         group_values(read_stream_files(spark, scratch, "key string, value int"))
@@ -165,8 +160,6 @@ def test_fold_sum_of_chunked_lists_equals_sum_per_key(spark):
 
 
 def test_sized_totals_are_broadcast(spark, monkeypatch):
-    from tallyloom.operators import grouping
-
     monkeypatch.setattr(grouping, "SIZING_MIN_PARTITIONS", 0)  # size as for a large input
     df = spark.range(0, 2000, numPartitions=4).select((F.col("id") % 50).alias("key"), F.col("id").alias("value"))
     out = group_values(df, chunk_size=10)
@@ -177,8 +170,6 @@ def test_sized_totals_are_broadcast(spark, monkeypatch):
 
 
 def test_large_totals_are_joined_by_key_not_broadcast(spark, monkeypatch):
-    from tallyloom.operators import grouping
-
     monkeypatch.setattr(grouping, "SIZING_MIN_PARTITIONS", 0)
     monkeypatch.setattr(grouping, "BROADCAST_LIMIT_BYTES", 0)
     df = spark.range(0, 2000).select((F.col("id") % 50).alias("key"), F.col("id").alias("value"))
