@@ -13,6 +13,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom.plans import catalog_first_column, jdbc_round_trip, word_count_job
+from tallyloom.session import shared_dir
 from tallyloom.sinks import tap, write_jdbc, write_lines
 from tallyloom.sources import (
     from_rows,
@@ -96,6 +97,8 @@ def test_tap_counts_rows_in_the_same_job(spark):
 def _derby(spark, name):
     url = f"jdbc:derby:memory:{name};create=true"
     jvm = spark.sparkContext._jvm
+    # keep Derby's log out of the working folder (read when Derby first starts)
+    jvm.java.lang.System.setProperty("derby.stream.error.file", f"{shared_dir(spark)}/derby.log")
     jvm.java.lang.Class.forName(DERBY)
     conn = jvm.java.sql.DriverManager.getConnection(url)
     st = conn.createStatement()
