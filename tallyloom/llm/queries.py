@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, mixing
+from tallyloom.llm import bpe, exact_dedup, mixing, token_output
 from tallyloom.llm.common import documents
+from tallyloom.session import staging_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +24,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded.drop("text"), ranks).select(
+        "doc_id",
+        bpe.count_ids(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "tokens")
+    token_output.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_output.read_tokens(spark, path).select(
+        "doc_id", "start", bpe.count_ids(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_bpe": op7_bpe,
+    "op8_token_output": op8_token_output,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
