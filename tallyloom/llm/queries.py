@@ -8,13 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, mixing, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, mixing, secret_scan, token_output
 from tallyloom.llm.common import documents
 from tallyloom.session import staging_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(documents(spark, sf_dir))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rule_sets = [secret_scan.BASE, secret_scan.ADDED]
+    ledger = secret_scan.update_ledger(spark, staging_path(spark, "ledger"), docs, rule_sets, new=True)
+    found = secret_scan.findings(docs, ledger, rule_sets)
+    base, added = F.col(f"`{secret_scan.BASE.version}`"), F.col(f"`{secret_scan.ADDED.version}`")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(rule.kind) for rule in secret_scan.BASE.rules],
+        F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.array_sort(F.concat(base, added))).alias("spans"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -44,6 +63,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_fingerprints": op1_fingerprints,
+    "op3_secret_scan": op3_secret_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
