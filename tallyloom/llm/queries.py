@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, mixing, secret_scan, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, minhash, mixing, secret_scan, token_output
 from tallyloom.llm.common import documents
 from tallyloom.session import staging_path
 
@@ -62,6 +62,11 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_dedup(documents(spark, sf_dir), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_secret_scan": op3_secret_scan,
@@ -69,6 +74,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
     "op8_token_output": op8_token_output,
+    "op9_minhash": op9_minhash,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
