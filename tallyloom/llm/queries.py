@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, minhash, mixing, secret_scan, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, minhash, mixing, repeats, secret_scan, token_output
 from tallyloom.llm.common import documents
 from tallyloom.session import staging_path
 
@@ -67,6 +67,11 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_secret_scan": op3_secret_scan,
@@ -75,6 +80,7 @@ QUERIES: dict[str, QueryFn] = {
     "op7_bpe": op7_bpe,
     "op8_token_output": op8_token_output,
     "op9_minhash": op9_minhash,
+    "op10_repeats": op10_repeats,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
