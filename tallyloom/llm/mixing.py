@@ -6,12 +6,14 @@ equal length.  Slot ``i`` of the mix looks up the golden-ratio point
 source evenly over the mix; a source's slots are ranked, and slot rank ``r``
 takes block ``r mod blocks`` of its source (so a source is repeated only after
 all its blocks were used).  All ranks and running sums are taken in two steps
-(within small buckets, then over bucket totals), so that a source with most of
-the rows is spread over many tasks.
+(within buckets, then over bucket totals; about as many buckets as rows in one),
+so that a source with most of the rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +28,13 @@ BLOCK_WORDS, MIN_SLOTS, MIN_BLOCKS = 2048, 1 << 16, 64
 #: Golden ratio less one, to 18 places.
 _PHI = "0.618033988749894848"
 _CELLS = 1 << 12
-_BUCKET_ROWS = 4096
 _SEED = 17
 
 
+def _buckets(rows: int) -> int:
+    return isqrt(max(rows, 1)) + 1
+
+
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(_rid, doc_id, source, size)``: words (runs of anything but ASCII white space) of every row."""
     words = F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
@@ -98,7 +103,7 @@ def schedule(plan: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("lo") * _CELLS), F.floor(F.col("hi") * _CELLS))).alias("cell"),
     )
     hits = points.join(cells, "cell").filter("u >= lo AND u < hi")
-    hits = hits.select("slot", "position", "quota", "blocks", F.floor(F.col("slot") / _BUCKET_ROWS).alias("bucket"))
+    hits = hits.select("slot", "position", "quota", "blocks", F.floor(F.col("slot") / _buckets(slots)).alias("bucket"))
     counts = hits.groupBy("position", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("position").orderBy("bucket")
     counts = counts.select("position", "bucket", (F.sum("n").over(earlier) - F.col("n")).alias("before"))
@@ -122,10 +127,9 @@ def schedule(plan: DataFrame) -> DataFrame:
 
 def _streams(sizes: DataFrame, plan: DataFrame, rows: int) -> DataFrame:
     """Rows with their place ``start`` in the shuffled word stream of their source."""
-    buckets = max(1, -(-rows // _BUCKET_ROWS))
     h = F.xxhash64(F.lit(_SEED), F.col("doc_id"))
     placed = sizes.join(plan, sizes["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    placed = placed.withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)))
+    placed = placed.withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(_buckets(rows))))
     sums = placed.groupBy("position", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("position").orderBy("bucket")
     sums = sums.select("position", "bucket", (F.sum("words").over(earlier) - F.col("words")).alias("base"))
