@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, minhash, mixing, repeats, secret_scan, token_output
-from tallyloom.llm.common import documents
+from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, minhash, mixing, quality, repeats, secret_scan, token_output
+from tallyloom.llm.common import crc_mod, documents
 from tallyloom.session import staging_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(documents(spark, sf_dir))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rule_sets = [secret_scan.BASE, secret_scan.ADDED]
@@ -34,6 +40,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -74,7 +85,9 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_langid": op2_langid,
     "op3_secret_scan": op3_secret_scan,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
