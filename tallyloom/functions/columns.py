@@ -31,7 +31,8 @@ def split_words(line: ColumnOrName) -> Column:
     blank-line guard.  A null line gives a null array, which explodes to nothing.
     """
     line = _col(line)
-    return F.when(line.rlike("^ +$"), F.array().cast("array<string>")).otherwise(
+    blanks_only = (line != "") & (F.rtrim(line) == "")
+    return F.when(blanks_only, F.array().cast("array<string>")).otherwise(
         F.split(F.rtrim(line), WORD_SEPARATOR)
     )
 
@@ -63,13 +64,13 @@ def parse_int_strict(text: ColumnOrName, label: str = "value") -> Column:
     """Text to int that fails the job on anything Java's ``Integer.valueOf`` rejects.
 
     Accepted: an optional sign and ASCII digits, within the 32-bit range.
-    Rejected (the query raises): null, empty, blanks around the digits,
-    decimals, exponents, hex and out-of-range values.  Independent of the
+    Rejected (the query raises): null, empty, blanks or line ends around the
+    digits, decimals, exponents, hex and out-of-range values.  Independent of the
     session's ANSI setting.
     """
     text = _col(text)
     parsed = text.try_cast("int")
-    ok = text.rlike("^[+-]?[0-9]+$") & parsed.isNotNull()
+    ok = text.rlike(r"\A[+-]?[0-9]+\z") & parsed.isNotNull()
     message = F.concat(
         F.lit(f"cannot parse {label} as int: "), F.coalesce(F.concat(F.lit("'"), text, F.lit("'")), F.lit("null"))
     )

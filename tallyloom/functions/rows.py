@@ -11,15 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-import tallyloom
-
-# Ship this package's functions to Python workers by value, so executors need
-# no installed copy of the package (and a driver started from any folder works).
-cloudpickle.register_pickle_by_value(tallyloom)
+from tallyloom.session import ship_package
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -30,7 +25,9 @@ def map_rows(df: DataFrame, fn: BatchFn, schema: StructType | str) -> DataFrame:
     ``fn`` receives a pandas frame holding some rows and returns a frame with
     the columns of ``schema``; it may return more or fewer rows than it got
     (0..n outputs per input).  It must not depend on batch boundaries.
+    Executors need no installed copy of this package.
     """
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -1,6 +1,5 @@
 from tallyloom.operators.aggregates import count_per_element, sum_all, sum_per_key
-from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, fold_sum, group_values
-from tallyloom.operators.partitioning import spread
+from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, fold_repeats, fold_sum, group_values
 from tallyloom.operators.routing import branch_tags, branches, route
 from tallyloom.operators.transforms import (
     key_ones,
@@ -22,6 +21,8 @@ __all__ = [
     "branches",
     "cogroup",
     "count_per_element",
+    "fold_repeats",
+    "fold_sum",
     "fold_sum",
     "group_values",
     "key_ones",
@@ -34,7 +35,6 @@ __all__ = [
     "parse_int_rejects",
     "route",
     "scale",
-    "spread",
     "sum_all",
     "sum_per_key",
     "text_words",

@@ -1,30 +1,26 @@
 """Group values by key, and co-group several keyed inputs, in bounded chunks.
 
 A group that gathers all values of a key is unbounded: one key may hold a
-third of all rows.  So the value lists here are emitted in *chunks*: a key
-with ``n`` values gets up to ``ceil(n / chunk_size)`` rows, numbered by
-``chunk``, each holding about ``chunk_size`` values (placement is by hash, so
-a chunk can exceed the target by the statistical spread; with 1.2 million
-values of one key and a 10,000 target the largest chunk held 16,341).  Every
-value lands in exactly one chunk; none is dropped or sampled.  A key that
-fits one chunk gets exactly one row with ``chunk = 0``, which is the plain
-"key with its list" result.
-
-Plan (all built-in expressions, deterministic, so a lost executor recomputes
-the same chunks):
-
-1. Count rows per key from the key columns alone (a partial aggregate).
-   For large inputs, checkpoint the counts to the shared folder and count
-   them first: they are broadcast when that measured size is small, else
-   joined by key (adaptive execution then splits a hot key's partition).
-   Small inputs leave that choice to adaptive execution.
-2. Collapse identical rows into ``(key, tag, value, m)`` -- a partial
-   aggregate, so a hot key with few distinct values shrinks before the
-   shuffle.  Skipped with ``distinct_values=True``.
-3. Split a multiplicity ``m`` larger than ``chunk_size`` into pieces.
-4. Spread the pieces of a key over its chunks by a hash of their content
-   (the pieces of one heavy value over consecutive chunks), then gather each
-   chunk's lists: one shuffle by ``(key, chunk)``.
+third of all rows.  So the value lists here are emitted in *chunks*: rows of
+one key told apart by ``chunk``, whose lists together hold at most
+``chunk_size`` values, always.  Every value lands in exactly one chunk; none is
+dropped or sampled.  A key whose values fit one chunk, none of them repeated
+``chunk_size`` times, gets exactly one row with ``chunk = 0``, which is the
+plain "key with its list" result.
+
+One plan at every size (all built-in expressions, deterministic, nothing runs
+before the action):
+
+1. Collapse identical rows into ``(key, content, m)`` -- a partial aggregate,
+   so a hot key with few distinct values shrinks before the shuffle.  Skipped
+   with ``distinct_values=True``.
+2. ``m // chunk_size`` whole lists of one value are made at once, in blocks of
+   at most 1024 per input row and level, spread over the tasks in between.
+3. The rest of every row: keys with more than ``chunk_size`` values left (few)
+   are looked up in a left join, so that a key without a total keeps its rows,
+   and spread over ``ceil(n / chunk_size)`` salts by a hash of their content.
+4. Running sums within ``(key, salt)`` cut the rows at exact multiples of
+   ``chunk_size``, and each chunk's lists are gathered.
 """
 
 from __future__ import annotations
@@ -32,100 +28,82 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import shared_dir
-
 DEFAULT_CHUNK_SIZE = 100_000
+#: Rows that one row becomes per level when whole lists of one value are made.
+_BLOCK = 1024
 
-_M, _P, _PM, _N, _NC = "_tl_m", "_tl_p", "_tl_pm", "_tl_n", "_tl_nc"
+_M, _N, _NC, _SALT, _COPIES, _LAST = "_tl_m", "_tl_n", "_tl_nc", "_tl_salt", "_tl_copies", "_tl_last"
 
 
 def _as_list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-# Broadcast the per-key totals only when their measured size is below this.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# Inputs read in at most this many partitions (about 8 GB at 128 MB splits)
-# skip the sizing job: a shuffle join that adaptive execution turns into a
-# broadcast wastes at most one shuffle of that little data, less than the
-# extra pass the sizing costs.
-SIZING_MIN_PARTITIONS = 64
-
-_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8, "date": 4}
-
+def _div(a: Column, b: int) -> Column:
+    return F.floor(a / F.lit(b))
 
-def _key_totals(df: DataFrame, keys: list[str], chunk_size: int) -> DataFrame:
-    """``(renamed keys, number of chunks)`` per key, sized before use.
 
-    The counts come from the key columns alone (a partial count, so a hot key
-    costs one row per map task) and are checkpointed to the shared folder, so
-    their real row count is known before the big join is planned: they are
-    broadcast when that size is below ``BROADCAST_LIMIT_BYTES``, otherwise
-    joined by key (adaptive execution then splits a hot key's partition).
-    Without this, a planning-time size estimate -- the input's size -- would
-    pick a shuffle join and the big side would be shuffled before adaptive
-    execution could switch to a broadcast.  Inputs of at most
-    ``SIZING_MIN_PARTITIONS`` partitions skip the sizing job.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    totals = counts.select(
-        *[F.col(k).alias(f"_tl_k{i}") for i, k in enumerate(keys)],
-        F.ceil(F.col(_N) / F.lit(chunk_size)).alias(_NC),
-    )
-    try:
-        if df.rdd.getNumPartitions() <= SIZING_MIN_PARTITIONS:
-            return totals  # small input: adaptive execution picks the join from measured sizes
-    except Exception:
-        pass
-    try:
-        shared_dir(df.sparkSession)  # a checkpoint folder exists (set from the session, or made in tests)
-        totals = totals.checkpoint(eager=True)
-    except Exception:  # no checkpoint support (e.g. a remote session): adaptive execution decides the join
-        return totals
-    width = sum(_FIXED_WIDTH.get(df.schema[k].dataType.typeName(), 64) for k in keys) + 16
-    return F.broadcast(totals) if totals.count() * width * 2 <= BROADCAST_LIMIT_BYTES else totals
-
-
-def _chunked(
-    df: DataFrame, keys: list[str], content: list[str], chunk_size: int, distinct_values: bool
-) -> DataFrame:
-    """Rows ``(keys, content, piece, piece multiplicity, chunk)`` -- steps 1 to 4 above."""
+def _counted(df: DataFrame, keys: list[str], content: list[str], keep_nulls: bool, distinct_values: bool) -> DataFrame:
+    """``(keys, content, m)``: rows with how often they count; nulls that are not kept count 0 times."""
+    value = F.col(content[-1])
+    one = F.lit(1).cast("long")
+    collapsed = df.filter(value.isNull()) if distinct_values else df
+    rows = collapsed.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
+    if not keep_nulls:
+        rows = rows.withColumn(_M, F.when(value.isNull(), F.lit(0).cast("long")).otherwise(F.col(_M)))
+    if distinct_values:
+        rows = rows.unionByName(df.filter(value.isNotNull()).select(*keys, *content, one.alias(_M)))
+    return rows
+
+
+def _whole(rows: DataFrame, keys: list[str], content: list[str], chunk_size: int) -> DataFrame:
+    """One row per whole list of one value: ``(keys, content, copies, chunk)`` with a chunk number below 0."""
+    n = "_tl_whole"
+    heavy = rows.filter(F.col(_M) >= chunk_size).select(*keys, *content, _div(F.col(_M), chunk_size).alias(n))
+    upto = lambda left: F.sequence(F.lit(0).cast("long"), F.least(left, F.lit(_BLOCK).cast("long")) - 1)
+    too_many = F.raise_error(F.lit(f"a value repeats more than {_BLOCK}**3 * chunk_size times; use a larger chunk_size"))
+    heavy = heavy.withColumn(n, F.when(F.col(n) > _BLOCK**3, too_many.cast("long")).otherwise(F.col(n)))
+    heavy = heavy.withColumn("_tl_a", F.explode(upto(F.ceil(F.col(n) / _BLOCK**2))))
+    heavy = heavy.withColumn(n, F.col(n) - F.col("_tl_a") * _BLOCK**2)
+    heavy = heavy.withColumn("_tl_b", F.explode(upto(F.ceil(F.col(n) / _BLOCK)))).repartition(*keys, *content, "_tl_a", "_tl_b")
+    heavy = heavy.withColumn("_tl_c", F.explode(upto(F.col(n) - F.col("_tl_b") * _BLOCK)))
+    number = F.pmod(F.xxhash64(*content, "_tl_a", "_tl_b", "_tl_c"), F.lit(1 << 62))
+    return heavy.select(*keys, *content, F.lit(chunk_size).cast("int").alias(_COPIES), (-1 - number).alias("chunk"))
+
+
+def _parts(
+    df: DataFrame, keys: list[str], content: list[str], chunk_size: int, keep_nulls: bool, distinct_values: bool
+) -> tuple[DataFrame, DataFrame]:
+    """``(parts, whole)``: rows ``(keys, content, copies, chunk)`` to gather, and whole lists of one value."""
     if not 1 <= chunk_size < 2**31:
         raise ValueError("chunk_size must be between 1 and 2**31 - 1")
     if df.isStreaming:
         raise ValueError("grouping values into lists is a batch operation; aggregate streams per window")
-    totals = _key_totals(df, keys, chunk_size)
-    if distinct_values:
-        pieces = df.select(*keys, *content, F.lit(0).cast("long").alias(_P), F.lit(1).cast("long").alias(_PM))
-    else:
-        dup = df.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
-        n_pieces = F.ceil(F.col(_M) / F.lit(chunk_size))
-        pieces = dup.select(
-            *keys,
-            *content,
-            F.col(_M),
-            F.explode(F.sequence(F.lit(0).cast("long"), n_pieces - 1)).alias(_P),
-        ).withColumn(_PM, F.least(F.lit(chunk_size).cast("long"), F.col(_M) - F.col(_P) * chunk_size))
+    counted = _counted(df, keys, content, keep_nulls, distinct_values)
+    light = counted.withColumn(_M, F.when(F.col(_M) < chunk_size, F.col(_M)).otherwise(F.col(_M) % chunk_size))
+    light = light.filter((F.col(_M) > 0) | F.col(content[-1]).isNull() & F.lit(not keep_nulls))
     renamed = [f"_tl_k{i}" for i in range(len(keys))]
-    cond = reduce(lambda a, b: a & b, [pieces[k].eqNullSafe(totals[r]) for k, r in zip(keys, renamed)])
-    joined = pieces.join(totals, cond, "inner").drop(*renamed)
-    # A row's first piece goes to the chunk its content hashes to, its later
-    # pieces to the chunks after it, so one heavy value fills consecutive
-    # chunks instead of clumping.
-    home = F.pmod(F.xxhash64(*[F.col(c) for c in keys + content]), F.col(_NC))
-    chunk = F.when(F.col(_NC) <= 1, F.lit(0).cast("long")).otherwise(F.pmod(home + F.col(_P), F.col(_NC)))
-    # Shuffle the rows by (key, chunk) before building lists: a map-side
-    # partial list does not shrink the data, so the lists are built only after
-    # the shuffle, spread over all reduce tasks.
-    return joined.withColumn("chunk", chunk).repartition(*keys, "chunk")
-
-
-def _repeat(value: Column, keep_nulls: bool) -> Column:
-    rep = F.array_repeat(value, F.col(_PM).cast("int"))
-    return rep if keep_nulls else F.when(value.isNotNull(), rep)
+    totals = light.groupBy(*keys).agg(F.sum(_M).alias(_N)).filter(F.col(_N) > chunk_size)
+    totals = totals.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.ceil(F.col(_N) / chunk_size).alias(_NC))
+    cond = reduce(lambda a, b: a & b, [light[k].eqNullSafe(totals[r]) for k, r in zip(keys, renamed)])
+    salted = light.join(totals, cond, "left").drop(*renamed).withColumn(_NC, F.coalesce(_NC, F.lit(1).cast("long")))
+    h = F.xxhash64(*keys, *content)
+    salted = salted.withColumn(_SALT, F.pmod(h, F.col(_NC)))
+    upto = Window.partitionBy(*keys, _SALT).orderBy(F.xxhash64(*content)).rowsBetween(Window.unboundedPreceding, 0)
+    placed = salted.withColumn(_LAST, F.sum(_M).over(upto))
+    first = F.col(_LAST) - F.col(_M)
+    lo = F.when(F.col(_M) > 0, _div(first, chunk_size)).otherwise(_div(F.greatest(first - 1, F.lit(0)), chunk_size))
+    hi = F.when(F.col(_M) > 0, _div(F.col(_LAST) - 1, chunk_size)).otherwise(lo)
+    cut = placed.withColumn("_tl_sub", F.explode(F.sequence(lo, hi)))  # at most two: m is below chunk_size
+    sub = F.col("_tl_sub")
+    copies = F.least(F.col(_LAST), (sub + 1) * chunk_size) - F.greatest(first, sub * chunk_size)
+    parts = cut.select(
+        *keys, *content, _SALT, F.greatest(copies, F.lit(0)).cast("int").alias(_COPIES), (sub * F.col(_NC) + F.col(_SALT)).alias("chunk")
+    )
+    return parts, _whole(counted, keys, content, chunk_size)
 
 
 def group_values(
@@ -138,31 +116,27 @@ def group_values(
     sort_values: bool = False,
     distinct_values: bool = False,
 ) -> DataFrame:
-    """``(key, chunk, values)``: the values of each key, in bounded chunks.
+    """``(key, chunk, values)``: the values of each key, in lists of at most ``chunk_size``.
 
     Duplicated values are kept.  Null values are dropped unless
     ``keep_nulls``; a key whose values are all null still appears, with an
-    empty list.  ``sort_values`` sorts each chunk's list.
+    empty list.  ``sort_values`` sorts each chunk's list.  ``chunk`` tells the
+    rows of a key apart (0 and up; below 0 for whole lists of one value).
 
     ``distinct_values=True`` skips collapsing identical rows first, which
-    saves a shuffle of every row.  Results are identical; placement differs
-    only for a value repeated more than ``chunk_size`` times within one key:
-    collapsed, its copies are spread over consecutive chunks, otherwise they
-    all land in one chunk.  Set it when no value repeats that often (ids,
-    for instance).  On 3 million rows whose values each repeat 240 times,
-    both paths made the same chunks, the second in half the time.
-
-    On large inputs runs one small job when called: the per-key totals are
-    counted and sized first (see ``_key_totals``).  Prefer ``sum_per_key`` /
-    ``count_per_element`` when only a fold of the list is wanted: they never
-    build it.
+    saves a shuffle of every row; it states that no value repeats often within
+    a key (ids, for instance).  Where that is false the result is the same and
+    the bound holds, but the copies of a value are sorted in one task.
+
+    Prefer ``sum_per_key`` / ``count_per_element`` when only a fold of the
+    list is wanted: they never build it.
     """
     keys = _as_list(key)
-    rows = _chunked(df.select(*keys, value), keys, [value], chunk_size, distinct_values)
-    values = F.flatten(F.collect_list(_repeat(F.col(value), keep_nulls)))
-    if sort_values:
-        values = F.array_sort(values)
-    return rows.groupBy(*keys, "chunk").agg(values.alias(out))
+    parts, whole = _parts(df.select(*keys, value), keys, [value], chunk_size, keep_nulls, distinct_values)
+    copies = F.array_repeat(F.col(value), F.col(_COPIES))
+    values = F.flatten(F.collect_list(copies))
+    gathered = parts.groupBy(*keys, _SALT, "chunk").agg((F.array_sort(values) if sort_values else values).alias(out))
+    return gathered.select(*keys, "chunk", out).unionByName(whole.select(*keys, "chunk", copies.alias(out)))
 
 
 def cogroup(
@@ -181,13 +155,14 @@ def cogroup(
     columns and ``value``.  Every key of any input appears; an input without
     values for the key contributes an empty list, never null; values are not
     multiplied across inputs.  One union feeds one grouping, for any number of
-    inputs, instead of a chain of full outer joins.
+    inputs, instead of a chain of full outer joins.  The lists of one row hold
+    at most ``chunk_size`` values together.
 
     ``unique_keys=True`` states that every input holds at most one row per
     key (per-key aggregates, such as word counts).  Each list then has at most
-    one element, no group can grow, and the co-group needs a single shuffle
-    and no chunking (``chunk`` is 0).  ``distinct_values`` is as for
-    ``group_values``.
+    one element and the co-group needs a single shuffle and no chunking
+    (``chunk`` is 0); a second row for a key fails the query.
+    ``distinct_values`` is as for ``group_values``.
     """
     keys = _as_list(key)
     if not inputs:
@@ -201,24 +176,27 @@ def cogroup(
     ]
     union = reduce(lambda a, b: a.unionByName(b), tagged)
     if unique_keys:
-        aggs = []
-        for tag in inputs:
+        aggs, lists = [], []
+        empty = F.array().cast(f"array<{union.schema['_tl_v'].dataType.simpleString()}>")
+        for i, tag in enumerate(inputs):
             mine = F.col("_tl_tag") == tag
-            if keep_nulls:
-                # collect_list skips nulls; wrap the value so a null one is kept
-                wrapped = F.collect_list(F.when(mine, F.struct(F.col("_tl_v").alias("v"))))
-                lst = F.transform(wrapped, lambda x: x["v"])
-            else:
-                lst = F.collect_list(F.when(mine, F.col("_tl_v")))
-            aggs.append(lst.alias(tag))
-        return union.groupBy(*keys).agg(*aggs).select(*keys, F.lit(0).cast("long").alias("chunk"), *inputs)
-    rows = _chunked(union, keys, ["_tl_tag", "_tl_v"], chunk_size, distinct_values)
-    aggs = []
+            aggs += [F.count_if(mine).alias(f"_tl_n{i}"), F.max(F.when(mine, F.col("_tl_v"))).alias(f"_tl_v{i}")]
+            n, v = F.col(f"_tl_n{i}"), F.col(f"_tl_v{i}")
+            second = F.raise_error(F.lit(f"input {tag} has several rows for a key, unique_keys is not true")).cast("string")
+            none = (n == 0) if keep_nulls else v.isNull()
+            checked = F.when(n > 1, second).isNull()  # raises, or is true
+            lists.append(F.when(checked & none, empty).otherwise(F.array(v)).alias(tag))
+        return union.groupBy(*keys).agg(*aggs).select(*keys, F.lit(0).cast("long").alias("chunk"), *lists)
+    parts, whole = _parts(union, keys, ["_tl_tag", "_tl_v"], chunk_size, keep_nulls, distinct_values)
+    copies = F.array_repeat(F.col("_tl_v"), F.col(_COPIES))
+    aggs, single = [], []
     for tag in inputs:
-        rep = _repeat(F.col("_tl_v"), keep_nulls)
-        lst = F.flatten(F.collect_list(F.when(F.col("_tl_tag") == tag, rep)))
-        aggs.append((F.array_sort(lst) if sort_values else lst).alias(tag))
-    return rows.groupBy(*keys, "chunk").agg(*aggs)
+        mine = F.col("_tl_tag") == tag
+        values = F.flatten(F.collect_list(F.when(mine, copies)))
+        aggs.append((F.array_sort(values) if sort_values else values).alias(tag))
+        single.append(F.array_repeat(F.col("_tl_v"), F.when(mine, F.col(_COPIES)).otherwise(F.lit(0))).alias(tag))
+    gathered = parts.groupBy(*keys, _SALT, "chunk").agg(*aggs)
+    return gathered.select(*keys, "chunk", *inputs).unionByName(whole.select(*keys, "chunk", *single))
 
 
 def fold_sum(
@@ -232,7 +210,7 @@ def fold_sum(
 
     Each chunk's list is added up in place, then the chunk sums are added per
     key (a partial aggregate), so no key's values are gathered again.  For
-    data not yet grouped, ``sum_per_key`` does the same without the lists.
+    data not yet grouped, ``fold_repeats`` does the same without the lists.
     """
     keys = _as_list(key)
     per_chunk = F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: acc + F.coalesce(v, F.lit(0)))
@@ -240,3 +218,17 @@ def fold_sum(
     if factor != 1:
         total = total * F.lit(factor)
     return grouped.groupBy(*keys).agg(total.alias(out))
+
+
+def fold_repeats(
+    df: DataFrame, key: str | Sequence[str] = "key", value: str = "value", factor: int = 1, out: str = "value"
+) -> DataFrame:
+    """``(key, factor * sum of the key's values)``: what ``fold_sum`` gives over the key's list, without the list.
+
+    Repeated values are counted first, so a fold costs one product per
+    distinct value of a key.
+    """
+    keys = _as_list(key)
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(_M))
+    total = F.coalesce(F.sum(F.col(value) * F.col(_M)), F.lit(0))
+    return counted.groupBy(*keys).agg((total * F.lit(factor) if factor != 1 else total).alias(out))

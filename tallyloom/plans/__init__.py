@@ -3,6 +3,7 @@ from tallyloom.plans.jobs import (
     int_parse_stream_job,
     int_stream_job,
     jdbc_round_trip,
+    line_branch_steps,
     line_branches,
     line_branches_written,
     line_routing,
@@ -20,6 +21,7 @@ __all__ = [
     "int_parse_stream_job",
     "int_stream_job",
     "jdbc_round_trip",
+    "line_branch_steps",
     "line_branches",
     "line_branches_written",
     "line_routing",

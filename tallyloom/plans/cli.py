@@ -63,6 +63,10 @@ def _jdbc_counts(spark: SparkSession, a: argparse.Namespace) -> None:
     source = dict(common)
     if a.partition_column:
         source.update(partition_column=a.partition_column, num_partitions=a.num_partitions)
+    elif a.single_task:
+        source["single_task"] = True
+    else:
+        raise SystemExit("jdbc-counts needs --partition-column (or --single-task for a small query)")
     obs = jdbc_round_trip(
         spark,
         a.source_url,
@@ -132,6 +136,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--password-file", help="file holding the password (kept off the command line)")
     s.add_argument("--partition-column", help="numeric column to split the read on (bounds are looked up)")
     s.add_argument("--num-partitions", type=int, default=8, help="parallel reads when --partition-column is set")
+    s.add_argument("--single-task", action="store_true", help="read the whole query in one task")
     s.set_defaults(run=_jdbc_counts)
 
     s = sub.add_parser("catalog-column", help="first column of a catalog table as text lines")
@@ -144,11 +149,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bootstrap-servers")
     s.add_argument("--topic", required=True)
     s.add_argument("--source-files", help="replay records (key, value, timestamp) from Parquet files instead of Kafka")
-    s.add_argument("--max-files-per-trigger", type=int, help="bound each micro-batch of a file replay")
+    s.add_argument("--max-files-per-trigger", type=int, default=100, help="bound each micro-batch of a file replay")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", help="default: a folder in spark.checkpoint.dir fixed by topic and output")
     s.add_argument("--starting-offsets", default="latest")
-    s.add_argument("--max-offsets-per-trigger", type=int,
+    s.add_argument("--max-offsets-per-trigger", type=int, default=10_000_000,
                    help="bound each micro-batch when catching up on a backlog (spread over the topic's partitions)")
     s.add_argument("--watermark", default="10 seconds")
     s.add_argument("--window", default="5 seconds")

@@ -6,7 +6,7 @@ can run on any frame, and a thin runner that binds sources and sinks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,6 @@ from tallyloom.operators import (
     pair_text,
     parse_int,
     route,
-    spread,
     sum_per_key,
     text_words,
     words,
@@ -45,10 +44,9 @@ def word_count(lines_df: DataFrame, line: str = "line") -> DataFrame:
 def word_count_text(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)`` over every line of a multi-line text column.
 
-    Splitting is the costly step, so the texts are first spread over all
-    cores when the scan has fewer partitions than that (see ``spread``).
+    Scan, split and partial count are one stage; only counts are shuffled.
     """
-    return count_per_element(text_words(spread(docs.select(text)), text, "word"), "word", "n")
+    return count_per_element(text_words(docs, text, "word"), "word", "n")
 
 
 def word_count_job(spark: SparkSession, in_path: str, out_path: str | None = None) -> DataFrame:
@@ -107,6 +105,26 @@ def line_branches_written(
     return read_branches(df.sparkSession, path, branch_tags(rules, default), schema=routed.schema)
 
 
+def line_branch_steps(
+    df: DataFrame,
+    path: str,
+    steps: Mapping[str, Callable[[DataFrame], DataFrame]],
+    column: str = "line",
+    rules: SuffixRules = ROUTING_RULES,
+    default: str = ROUTING_DEFAULT,
+) -> dict[str, DataFrame]:
+    """Each output with a step of its own, the source read once: ``{tag: step(rows of tag)}``.
+
+    Outputs without a step pass through unchanged; a step for an unknown tag
+    is an error.
+    """
+    unknown = set(steps) - set(branch_tags(rules, default))
+    if unknown:
+        raise ValueError(f"no output is tagged {sorted(unknown)}")
+    parts = line_branches_written(df, path, column, rules, default)
+    return {tag: steps[tag](rows) if tag in steps else rows for tag, rows in parts.items()}
+
+
 # Q4: JDBC round trip ------------------------------------------------------
 
 def name_counts(rows: DataFrame, name_position: int = 1, factor: int = JDBC_FACTOR) -> tuple[DataFrame, object]:
@@ -134,9 +152,14 @@ def jdbc_round_trip(
 ) -> object:
     """Read a query, count rows per name times ten, append to a table.
 
+    The read must say how it is split over tasks (``partition_column`` with
+    ``num_partitions``, or ``predicates``), or state ``single_task=True``.
     Returns the observation with the number of rows read and of null names.
     """
-    rows = read_jdbc(spark, source_url, query=query, **dict(source_options or {}))
+    source_options = dict(source_options or {})
+    if not source_options.pop("single_task", False) and not {"partition_column", "predicates"} & set(source_options):
+        raise ValueError("give partition_column or predicates, or single_task=True for a read by one task")
+    rows = read_jdbc(spark, source_url, query=query, **source_options)
     counts, obs = name_counts(rows, name_position)
     write_jdbc(counts, target_url, target_table, **dict(target_options or {}))
     return obs

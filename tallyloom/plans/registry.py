@@ -1,38 +1,41 @@
 """Registered queries over the driver's tables, each with its DuckDB oracle.
 
 Every query reads whole tables (or data Spark derives from them) and returns a
-lazy DataFrame; column names match the oracle's.  Lists are exploded back to
-rows, or joined to text only where a list is provably short, so the oracle can
-compare plain columns.
+lazy DataFrame; column names match the oracle's.  Value lists are folded per key
+(with what the oracle can tell of their sizes), or joined to text where they are
+short, so that an ungrouped table does not pass.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
 import re
-from collections.abc import Callable
+import uuid
+from collections import Counter
+from collections.abc import Callable, Sequence
+from functools import reduce
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.fixed import JDBC_FACTOR
-from tallyloom.functions import map_rows, suffix_branch_predicate
+from tallyloom.functions import map_rows
 from tallyloom.operators import (
-    branch_tags,
     branches,
     cogroup,
     count_per_element,
-    fold_sum,
+    fold_repeats,
     group_values,
     key_ones,
     not_null,
     nth_column,
     pair_text,
     parse_int,
+    parse_int_rejects,
     route,
+    scale,
     sum_all,
     sum_per_key,
     words,
@@ -40,14 +43,16 @@ from tallyloom.operators import (
 from tallyloom.plans.jobs import (
     catalog_first_column,
     int_parse_stream_job,
+    int_stream_job,
+    line_branch_steps,
     name_counts,
     word_count,
     word_count_text,
 )
-from tallyloom.session import stage_once, staging_path, table_path
-from tallyloom.sinks import write_branches, write_lines
+from tallyloom.session import staging_path, table_path
+from tallyloom.sinks import tap, write_branches, write_lines
 from tallyloom.sources import read_lines, read_stream_files
-from tallyloom.streaming import latest_windows, start_window_upserts, tumbling_sum
+from tallyloom.streaming import event_time, latest_windows, tumbling_sum
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -61,25 +66,12 @@ SMALL_CHUNK = 50
 HOT_CHUNK = 1000
 
 
-_SCHEMAS: dict[tuple[str, int, int], StructType] = {}
+# Files of one micro-batch of the registered streams.
+STREAM_FILES = 16
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table.
-
-    The Parquet footer schema is inferred once per file version and then
-    passed to the reader, which saves the small schema-inference job Spark
-    would otherwise run on every read.
-    """
-    path = table_path(sf_dir, name)
-    try:
-        st = os.stat(path)
-        key = (path, st.st_size, int(st.st_mtime_ns))
-    except OSError:  # not a local path: let Spark infer
-        return spark.read.parquet(path)
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,18 +100,50 @@ def q_pair_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_text(count_per_element(_t(spark, sf_dir, "events"), "event_type", "n"), "event_type", "n", "kv")
 
 
+def _chunk_facts(grouped: DataFrame, lists: Sequence[str]) -> DataFrame:
+    """Per key and list, folded from the lists themselves: ``k, side, n, s, lo, hi``, and the
+    sizes of the key's chunks: ``chunks``, ``longest`` (values of all lists in one row)."""
+    sizes = sum((F.size(c) for c in lists), F.lit(0))
+    sides = ", ".join(f"'{c}', `{c}`" for c in lists)
+    rows = grouped.withColumn("size", sizes).selectExpr("k", "chunk", "size", f"stack({len(lists)}, {sides}) AS (side, vs)")
+    add = lambda acc, v: acc + v
+    return rows.groupBy("k", "side").agg(
+        F.sum(F.size("vs")).cast("long").alias("n"),
+        F.sum(F.aggregate("vs", F.lit(0).cast("long"), add)).alias("s"),
+        F.min(F.array_min("vs")).alias("lo"),
+        F.max(F.array_max("vs")).alias("hi"),
+        F.count(F.lit(1)).alias("chunks"),
+        F.max("size").alias("longest"),
+    )
+
+
+def _chunk_check(grouped: DataFrame, lists: Sequence[str], chunk_size: int) -> DataFrame:
+    """``_chunk_facts`` with the sizes as what the oracle can tell: ``one_chunk`` (the key has one
+    row) and ``bounded`` (no row's lists hold more than ``chunk_size`` values)."""
+    facts = _chunk_facts(grouped, lists)
+    return facts.select(
+        "k", "side", "n", "s", "lo", "hi", (F.col("chunks") == 1).alias("one_chunk"), (F.col("longest") <= chunk_size).alias("bounded")
+    )
+
+
 def q_group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v"))
     # customer keys are unique, so no value repeats within a nation
-    grouped = group_values(cust, "k", "v", "vs", chunk_size=SMALL_CHUNK, distinct_values=True)
-    return grouped.select("k", F.explode("vs").alias("v"))
+    return _chunk_check(group_values(cust, "k", "v", "vs", SMALL_CHUNK, distinct_values=True), ["vs"], SMALL_CHUNK)
 
 
 def q_group_values_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three keys, each holding a third of lineitem: every key is split into many chunks."""
     li = _t(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("k"), F.col("l_orderkey").alias("v"))
-    grouped = group_values(li, "k", "v", "vs", chunk_size=HOT_CHUNK)
-    return grouped.select("k", F.explode("vs").alias("v"))
+    return _chunk_check(group_values(li, "k", "v", "vs", HOT_CHUNK), ["vs"], HOT_CHUNK)
+
+
+def q_group_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that fit one chunk: the whole sorted list of every customer's orders, as text."""
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    grouped = group_values(orders, "k", "v", "vs", HOT_CHUNK, sort_values=True)
+    text = F.array_join(F.transform("vs", lambda v: v.cast("string")), ",")
+    return grouped.select("k", "chunk", text.alias("vs"))
 
 
 def q_sum_per_key_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +152,9 @@ def q_sum_per_key_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_group_fold_x10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The JDBC program's literal shape: (name, 1) pairs grouped into lists, each list
-    folded to a sum, times ten.  Every value is 1, so the lists are made of one
-    heavy repeated value, split into pieces over consecutive chunks."""
+    """The JDBC program's literal shape: (name, 1) pairs grouped, each group folded to a sum, times ten."""
     pairs = key_ones(_t(spark, sf_dir, "customer"), "c_mktsegment", "k", "one")
-    grouped = group_values(pairs, "k", "one", "ones", chunk_size=SMALL_CHUNK)
-    return fold_sum(grouped, "k", "ones", JDBC_FACTOR, "v")
+    return fold_repeats(pairs, "k", "one", JDBC_FACTOR, "v")
 
 
 def q_jdbc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,17 +168,14 @@ def q_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"))
     # customer and supplier keys are unique, so no value repeats within a nation
     grouped = cogroup({"a": a, "b": b}, "k", "v", chunk_size=SMALL_CHUNK, distinct_values=True)
-    sides = grouped.selectExpr("k", "stack(2, 'a', a, 'b', b) AS (side, vs)")
-    return sides.select("k", "side", F.explode("vs").alias("v"))
+    return _chunk_check(grouped, ["a", "b"], SMALL_CHUNK)
 
 
 def q_cogroup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources sharing hot keys: each status holds about half of lineitem and a third of orders."""
     a = _t(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("k"), F.col("l_orderkey").alias("v"))
     b = _t(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.col("o_orderkey").alias("v"))
-    grouped = cogroup({"a": a, "b": b}, "k", "v", chunk_size=HOT_CHUNK)
-    sides = grouped.selectExpr("k", "stack(2, 'a', a, 'b', b) AS (side, vs)")
-    return sides.select("k", "side", F.explode("vs").alias("v"))
+    return _chunk_check(cogroup({"a": a, "b": b}, "k", "v", chunk_size=HOT_CHUNK), ["a", "b"], HOT_CHUNK)
 
 
 def q_cogroup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,18 +194,23 @@ def q_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per output, all outputs in one scan: one count per branch predicate.
-
-    (A single branch is read with ``branches()``, whose filter reaches the scan;
-    counting every branch that way would scan the input once per branch.)
-    """
+    """Rows per output that has any, all outputs in one scan."""
     part = _t(spark, sf_dir, "part").select("p_name")
-    tags = branch_tags(PART_RULES, PART_DEFAULT)
-    counts = part.agg(
-        *[F.count_if(suffix_branch_predicate("p_name", PART_RULES, PART_DEFAULT, t)).alias(t) for t in tags]
-    )
-    pairs = ", ".join(f"'{t}', `{t}`" for t in tags)
-    return counts.selectExpr(f"stack({len(tags)}, {pairs}) AS (tag, n)")
+    return count_per_element(route(part, "p_name", PART_RULES, PART_DEFAULT), "tag", "n")
+
+
+def q_branch_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step of its own for every output, the table read once: bolts counted by first word,
+    rings in upper case, the rest by their last word."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    one = F.lit(1).cast("long").alias("n")
+    steps = {
+        "bolt": lambda df: count_per_element(df.select(F.split("p_name", " ")[0].alias("v")), "v", "n"),
+        "ring": lambda df: df.select(F.upper("p_name").alias("v"), one),
+        PART_DEFAULT: lambda df: df.select(F.element_at(F.split("p_name", " "), -1).alias("v"), one),
+    }
+    done = line_branch_steps(part, staging_path(spark, "branch-steps"), steps, "p_name", PART_RULES, PART_DEFAULT)
+    return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(tag).alias("tag"), "v", "n") for tag, df in done.items()])
 
 
 def q_branch_bolt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,18 +220,49 @@ def q_branch_bolt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_branch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routed parts written once per table version, one folder per branch; counted per branch."""
+    """Routed parts written in one pass, one folder per branch, and all rows read back."""
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
     routed = route(part, "p_name", PART_RULES, PART_DEFAULT)
-    path = stage_once(spark, "branches", table_path(sf_dir, "part"), lambda p: write_branches(routed, p))
+    path = staging_path(spark, "branches")
+    write_branches(routed, path)
     # the known schema also reads an empty output, which has no file to infer from
-    return count_per_element(spark.read.schema(routed.schema).parquet(path), "tag", "n")
+    return spark.read.schema(routed.schema).parquet(path)
 
 
 def q_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events_k(spark, sf_dir).select("event_id", "k")
 
 
+def _page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the last part of their address, which is a number for some."""
+    last = F.element_at(F.split("url", "/"), -1)
+    return _t(spark, sf_dir, "pages").select("page_id", F.element_at(F.split(last, "[?#]"), 1).alias("part"))
+
+
+def q_parse_int_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad text in one column: null for what does not parse."""
+    return parse_int(_page_numbers(spark, sf_dir), "part", "k", strict=False)
+
+
+def q_parse_int_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the same column that do not parse."""
+    return parse_int_rejects(_page_numbers(spark, sf_dir), "part")
+
+
+def q_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return scale(lines, "l_linenumber", JDBC_FACTOR, "v").select("l_orderkey", F.col("v").cast("long").alias("v"))
+
+
+def q_tap_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``tap`` counts while the joined rows pass to a sink, as a row."""
+    docs, labels = _t(spark, sf_dir, "documents").select("doc_id"), _t(spark, sf_dir, "labels").select("doc_id", "quality")
+    metrics = {"unlabelled": F.count_if(F.col("quality").isNull())}
+    seen, obs = tap(docs.join(labels, "doc_id", "left"), "labelled", metrics)
+    seen.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(obs.get["rows"], obs.get["unlabelled"])], "rows long, unlabelled long")
+
+
 def q_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents").select("doc_id")
     labels = _t(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -227,35 +281,50 @@ def q_nth_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nth_column(_t(spark, sf_dir, "events"), 0, "first_col")
 
 
-def _k_of_props(batch: pd.DataFrame) -> pd.DataFrame:
-    """Per-element user function: ``props`` JSON text -> ``(event_id, k)``, none if absent."""
-    k = batch["props"].str.extract(r'"k"\s*:\s*(-?\d+)', expand=False)
-    keep = k.notna()
-    return pd.DataFrame({"event_id": batch.loc[keep, "event_id"], "k": k[keep].astype("int32")})
+class _Links(HTMLParser):
+    """Targets of the links of a page, in order."""
+
+    def __init__(self, html: str):
+        super().__init__()
+        self.found: list[str] = []
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "a":
+            self.found += [value for name, value in attrs if name == "href" and value]
+
+
+def _page_links(batch: pd.DataFrame) -> pd.DataFrame:
+    """Per-element user function: none or more ``(page_id, link, n)`` per page, by an HTML parser."""
+    out = []
+    for page, html in zip(batch["page_id"], batch["html"]):
+        links = Counter(_Links(html).found if html else [])
+        out += [(page, link, n) for link, n in links.items()]
+    return pd.DataFrame(out, columns=["page_id", "link", "n"])
 
 
 def q_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _t(spark, sf_dir, "events").select("event_id", "props")
-    return map_rows(ev, _k_of_props, "event_id long, k int")
+    pages = _t(spark, sf_dir, "pages").select("page_id", "html")
+    return map_rows(pages, _page_links, "page_id long, link string, n long")
 
 
 def q_text_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word count over text files: the documents are written as text once per
-    table version (the text sink), then every run reads and counts them all."""
-    docs = _t(spark, sf_dir, "documents").select("text")
-    path = stage_once(spark, "lines", table_path(sf_dir, "documents"), lambda p: write_lines(docs, p))
+    """Word count over text files: the documents are written as text, read back and counted."""
+    path = staging_path(spark, "lines")
+    write_lines(_t(spark, sf_dir, "documents"), path, "text")
     return word_count(read_lines(spark, path))
 
 
 def q_catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = table_path(sf_dir, "events")
-    name = "events_" + hashlib.sha1(path.encode()).hexdigest()[:12]
-    if not spark.catalog.tableExists(name):
-        try:
-            spark.catalog.createTable(name, path=path, source="parquet")
-        except Exception:  # e.g. a Hive catalog that wants a folder as location
-            _t(spark, sf_dir, "events").createOrReplaceTempView(name)
-    return catalog_first_column(spark, name)
+    """The events through the session catalog, under a name of this run's own that is dropped
+    once it is resolved (the table is external: its files stay)."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyloom_runs")
+    name = f"tallyloom_runs.events_{uuid.uuid4().hex}"
+    spark.catalog.createTable(name, path=table_path(sf_dir, "events"), source="parquet")
+    column = catalog_first_column(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return column
 
 
 def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,37 +334,42 @@ def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = table_path(sf_dir, "events")
     schema = _t(spark, sf_dir, "events").schema
-    return read_stream_files(spark, path, schema).select(
+    return read_stream_files(spark, path, schema, max_files_per_trigger=STREAM_FILES).select(
         F.col("event_id").cast("string").alias("key"),
         F.get_json_object("props", "$.k").alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("ts").alias("timestamp"),
     )
 
 
-def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live stream program: every message parsed to int, non-null ones kept, appended to files."""
-    out = staging_path(spark, "stream-ints")
-    query = int_parse_stream_job(
-        _event_records(spark, sf_dir), out, staging_path(spark, "stream-ints-ckpt"), trigger={"availableNow": True}
-    )
+def _finished(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+
+
+def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live stream program: every message parsed to int, non-null ones kept, appended to files."""
+    out = staging_path(spark, "stream-ints")
+    records = event_time(_event_records(spark, sf_dir), "timestamp")
+    _finished(int_parse_stream_job(records, out, staging_path(spark, "stream-ints-ckpt"), trigger={"availableNow": True}))
     return spark.read.parquet(out).select(F.col("key").cast("long").alias("event_id"), F.col("value").alias("k"))
 
 
 def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _event_records(spark, sf_dir)
-    sums = tumbling_sum(parse_int(records, "value"), "timestamp", "value", "5 seconds", watermark="10 minutes")
+    """The windowed stream program as shipped, over micro-batches of files in any order.
+
+    The watermark is the lateness that the data can have at most: the span of
+    its event times (from the file footers), so no row is late.
+    """
+    lo, hi = _t(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    span = int((hi - lo).total_seconds()) + 1 if lo else 1
     out = staging_path(spark, "window-sums")
-    # One-shot run over a finished table: no later run needs the watermark
-    # moved, so the trailing idle micro-batch is skipped.
-    query = start_window_upserts(
-        sums, out, staging_path(spark, "window-sums-ckpt"), {"availableNow": True}, idle_batches=False
-    )
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+    _finished(
+        int_stream_job(
+            _event_records(spark, sf_dir), out, staging_path(spark, "window-sums-ckpt"),
+            watermark=f"{span} seconds", duration="5 seconds", trigger={"availableNow": True},
+        )
+    )
     latest = latest_windows(spark, out)
     return latest.select(
         F.col("w_start").cast("timestamp_ntz").alias("w_start"),
@@ -311,6 +385,7 @@ QUERIES: dict[str, QueryFn] = {
     "pair_text": q_pair_text,
     "group_values": q_group_values,
     "group_values_hot": q_group_values_hot,
+    "group_lists": q_group_lists,
     "sum_per_key_x10": q_sum_per_key_x10,
     "group_fold_x10": q_group_fold_x10,
     "jdbc_counts": q_jdbc_counts,
@@ -319,9 +394,14 @@ QUERIES: dict[str, QueryFn] = {
     "cogroup_words": q_cogroup_words,
     "route": q_route,
     "branches": q_branches,
+    "branch_steps": q_branch_steps,
     "branch_bolt": q_branch_bolt,
     "branch_files": q_branch_files,
     "parse_int": q_parse_int,
+    "parse_int_tolerant": q_parse_int_tolerant,
+    "parse_int_rejects": q_parse_int_rejects,
+    "scale": q_scale,
+    "tap_metrics": q_tap_metrics,
     "not_null": q_not_null,
     "sum_all": q_sum_all,
     "tumbling_sum": q_tumbling_sum,
@@ -355,26 +435,50 @@ def _words_sql(table: str, column: str) -> str:
 
 _PART_TAG = "CASE WHEN suffix(p_name, 'bolt') THEN 'bolt' WHEN suffix(p_name, 'ring') THEN 'ring' ELSE 'other' END"
 
+_PAGE_PARTS = (
+    "SELECT page_id, regexp_split_to_array(string_split(url, '/')[-1], '[?#]')[1] AS part FROM pages"
+)
+_PAGE_NUMBER = "CASE WHEN regexp_full_match(trim(part), '[+-]?[0-9]+') THEN TRY_CAST(part AS INTEGER) END"
+
+
+def _chunk_sql(rows: str, sides: list[str], chunk_size: int) -> str:
+    """Facts of every key and side of ``rows (k, side, v)``; a side without values has n and s 0."""
+    listed = ", ".join(f"('{s}')" for s in sides)
+    return (
+        f"WITH r AS ({rows}), t AS (SELECT k, count(*) AS total FROM r GROUP BY k) "
+        "SELECT t.k AS k, x.side AS side, count(r.v) AS n, CAST(coalesce(sum(r.v), 0) AS BIGINT) AS s, min(r.v) AS lo, "
+        f"max(r.v) AS hi, t.total <= {chunk_size} AS one_chunk, true AS bounded "
+        f"FROM t CROSS JOIN (VALUES {listed}) x(side) LEFT JOIN r ON r.k = t.k AND r.side = x.side "
+        "GROUP BY t.k, x.side, t.total"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS_OF_DOCS,
     "word_count_kv": f"SELECT 'KV{{' || word || ', ' || n || '}}' AS kv FROM ({_WORDS_OF_DOCS}) WHERE word IS NOT NULL",
     "count_per_element": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "pair_text": "SELECT 'KV{' || event_type || ', ' || count(*) || '}' AS kv FROM events GROUP BY event_type",
-    "group_values": "SELECT c_nationkey AS k, c_custkey AS v FROM customer",
-    "group_values_hot": "SELECT l_returnflag AS k, l_orderkey AS v FROM lineitem",
+    "group_values": _chunk_sql("SELECT c_nationkey AS k, 'vs' AS side, c_custkey AS v FROM customer", ["vs"], SMALL_CHUNK),
+    "group_values_hot": _chunk_sql("SELECT l_returnflag AS k, 'vs' AS side, l_orderkey AS v FROM lineitem", ["vs"], HOT_CHUNK),
+    "group_lists": (
+        "SELECT o_custkey AS k, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS vs "
+        "FROM orders GROUP BY o_custkey"
+    ),
     "sum_per_key_x10": "SELECT o_orderpriority AS k, CAST(count(*) * 10 AS BIGINT) AS v FROM orders GROUP BY o_orderpriority",
     "group_fold_x10": "SELECT c_mktsegment AS k, CAST(count(*) * 10 AS BIGINT) AS v FROM customer GROUP BY c_mktsegment",
     "jdbc_counts": (
         "SELECT c_mktsegment AS name, CAST(count(*) * 10 AS VARCHAR) AS count FROM customer "
         "WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment"
     ),
-    "cogroup": (
+    "cogroup": _chunk_sql(
         "SELECT c_nationkey AS k, 'a' AS side, c_custkey AS v FROM customer "
-        "UNION ALL SELECT s_nationkey AS k, 'b' AS side, s_suppkey AS v FROM supplier"
+        "UNION ALL SELECT s_nationkey AS k, 'b' AS side, s_suppkey AS v FROM supplier",
+        ["a", "b"], SMALL_CHUNK,
     ),
-    "cogroup_hot": (
+    "cogroup_hot": _chunk_sql(
         "SELECT l_linestatus AS k, 'a' AS side, l_orderkey AS v FROM lineitem "
-        "UNION ALL SELECT o_orderstatus AS k, 'b' AS side, o_orderkey AS v FROM orders"
+        "UNION ALL SELECT o_orderstatus AS k, 'b' AS side, o_orderkey AS v FROM orders",
+        ["a", "b"], HOT_CHUNK,
     ),
     "cogroup_words": (
         f"WITH a AS ({_words_sql('part', 'p_name')}), b AS ({_words_sql('part', 'p_type')}) "
@@ -384,7 +488,20 @@ ORACLE_SQL: dict[str, str] = {
     "route": f"SELECT p_partkey, p_name, {_PART_TAG} AS tag FROM part",
     "branches": f"SELECT {_PART_TAG} AS tag, count(*) AS n FROM part GROUP BY 1",
     "branch_bolt": "SELECT p_partkey, p_name FROM part WHERE suffix(p_name, 'bolt')",
-    "branch_files": f"SELECT {_PART_TAG} AS tag, count(*) AS n FROM part GROUP BY 1",
+    "branch_files": f"SELECT p_partkey, p_name, {_PART_TAG} AS tag FROM part",
+    "branch_steps": (
+        "SELECT 'bolt' AS tag, string_split(p_name, ' ')[1] AS v, count(*) AS n FROM part WHERE suffix(p_name, 'bolt') GROUP BY 2 "
+        "UNION ALL SELECT 'ring' AS tag, upper(p_name) AS v, 1 AS n FROM part WHERE suffix(p_name, 'ring') "
+        "UNION ALL SELECT 'other' AS tag, string_split(p_name, ' ')[-1] AS v, 1 AS n FROM part "
+        "WHERE NOT suffix(p_name, 'bolt') AND NOT suffix(p_name, 'ring')"
+    ),
+    "parse_int_tolerant": f"SELECT page_id, part, {_PAGE_NUMBER} AS k FROM ({_PAGE_PARTS})",
+    "parse_int_rejects": f"SELECT page_id, part FROM ({_PAGE_PARTS}) WHERE {_PAGE_NUMBER} IS NULL",
+    "scale": "SELECT l_orderkey, CAST(l_linenumber * 10 AS BIGINT) AS v FROM lineitem",
+    "tap_metrics": (
+        "SELECT count(*) AS rows, count(*) FILTER (WHERE l.quality IS NULL) AS unlabelled "
+        "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+    ),
     "parse_int": f"SELECT event_id, {_K} AS k FROM events",
     "not_null": (
         "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id "
@@ -397,7 +514,10 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST(sum({_K}) AS BIGINT) AS s FROM events GROUP BY 1, 2"
     ),
     "nth_column": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
-    "map_rows": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",
+    "map_rows": (
+        "SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, "
+        "'<a href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY page_id, link"
+    ),
     "text_word_count": _WORDS_OF_DOCS,
     "catalog_read": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
     "stream_parse_int": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",

@@ -4,17 +4,17 @@ Everything here is plain Spark configuration.  The defaults are written for a
 cluster: adaptive execution re-plans joins and shuffles from runtime sizes,
 skewed shuffle partitions are split, and small partitions are coalesced, so the
 same job runs at sf0.01 on a laptop and at 100 TB on a large cluster; the one
-setting to size for the data is the initial shuffle partition count
-(``suggested_shuffle_partitions``).
+setting to size for the data is the initial shuffle partition count (the bytes
+of the largest shuffle over about 256 MB).
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Callable
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +59,8 @@ CLUSTER_CONF: dict[str, str] = {
 
 LOCAL_DRIVER_MEMORY = "8g"
 
+_shipped_to: set[str] = set()
+
 
 def build_session(
     master: str | None = None,
@@ -107,43 +109,20 @@ def build_session(
     return spark
 
 
-def suggested_shuffle_partitions(
-    shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024
-) -> int:
-    """Initial shuffle partitions for a job whose largest shuffle writes ``shuffle_bytes``.
-
-    Size from the shuffled bytes, not the raw input: after column pruning and
-    partial aggregation a word count over 100 TB of text shuffles a few TB.
-    Each partition then holds about ``target_partition_bytes`` (aggregates and
-    sorts fit in executor memory without heavy spilling), there are at least
-    two waves of tasks over all cores, and the number is a multiple of the
-    core count.  Adaptive execution coalesces partitions that turn out small,
-    but it cannot split an aggregate's partitions, so the initial number must
-    be large enough for the biggest stage.
-    """
-    by_size = -(-shuffle_bytes // target_partition_bytes)
-    n = max(by_size, 2 * total_cores)
-    return -(-n // total_cores) * total_cores
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a distributed file system path
-    every executor can reach).  Only when it is unset -- local tests -- a fresh
-    folder is created and registered as the checkpoint folder, so that later
-    ``checkpoint()`` calls and staged tables land in the same place.
+    every executor can reach); without it a job that stages data fails.  Only
+    a local master, whose executors are the driver's own threads, gets a fresh
+    folder when it is unset.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext access (e.g. a remote session): the runtime conf only
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach") from None
-        return configured.rstrip("/")
+    sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     local = tempfile.mkdtemp(prefix="tallyloom-shared-")
     sc.setCheckpointDir(local)
     # getCheckpointDir() now reports a per-application sub folder; keep using it.
@@ -155,45 +134,21 @@ def staging_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem and Path objects for ``path`` (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def stage_once(spark: SparkSession, kind: str, source: str, write: Callable[[str], None]) -> str:
-    """Path of a copy derived from ``source``, written at most once per source version.
-
-    The copy lives under the shared folder in ``<kind>-<digest>``, the digest
-    taken from the source's path, size and modification time.  A complete
-    copy (``_SUCCESS`` present) is reused; otherwise ``write(path)`` makes it.
-    If that folder exists but is incomplete (a writer failed or is still
-    running), the copy is written to a new folder instead; nothing is
-    renamed or deleted.
-    """
-    try:
-        fs, src = _hadoop_fs(spark, source)
-        st = fs.getFileStatus(src)
-    except Exception:  # no JVM access (e.g. Spark Connect) or no such file: write a fresh copy
-        fresh = staging_path(spark, kind)
-        write(fresh)
-        return fresh
-    digest = hashlib.sha1(f"{source}|{st.getLen()}|{st.getModificationTime()}".encode()).hexdigest()[:20]
-    path = f"{shared_dir(spark)}/{kind}-{digest}"
-    fs_out, out = _hadoop_fs(spark, path)
-    if fs_out.exists(_hadoop_fs(spark, f"{path}/_SUCCESS")[1]):
-        return path
-    if not fs_out.exists(out):
-        try:
-            write(path)
-            return path
-        except Exception:
-            if fs_out.exists(_hadoop_fs(spark, f"{path}/_SUCCESS")[1]):  # another writer finished it
-                return path
-    fresh = staging_path(spark, kind)
-    write(fresh)
-    return fresh
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers of every executor, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped_to:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tallyloom-code-")), "tallyloom-code.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(out)
+    _shipped_to.add(sc.applicationId)
 
 
 def table_path(sf_dir: str, name: str) -> str:

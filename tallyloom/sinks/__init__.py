@@ -14,19 +14,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def write_lines(df: DataFrame, path: str, column: str | None = None, mode: str = "errorifexists") -> None:
-    """Write one string column as text lines (one file per partition)."""
-    col = column or df.columns[0]
-    df.select(F.col(col).cast("string")).write.mode(mode).text(path)
+def write_lines(
+    df: DataFrame, path: str, column: str | None = None, mode: str = "errorifexists"
+) -> dict[str, int]:
+    """Write one string column as text lines (one file per partition).
+
+    A null is no line (the text format would make it an empty one): nulls are
+    left out.  Returns ``{"rows": rows seen, "null_lines": nulls left out}``,
+    counted during the write.
+    """
+    lines = df.select(F.col(column or df.columns[0]).cast("string").alias("line"))
+    seen, obs = tap(lines, "write_lines", {"null_lines": F.count_if(F.col("line").isNull())})
+    seen.filter(F.col("line").isNotNull()).write.mode(mode).text(path)
+    return dict(obs.get)
 
 
 def write_lines_stream(
     df: DataFrame, path: str, checkpoint: str, column: str | None = None, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
-    """Streaming text sink (append only; files are committed exactly once)."""
-    col = column or df.columns[0]
+    """Streaming text sink (append only; files are committed exactly once; nulls are left out)."""
+    col = F.col(column or df.columns[0]).cast("string").alias("line")
     writer = (
-        df.select(F.col(col).cast("string"))
+        df.select(col)
+        .filter(F.col("line").isNotNull())
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

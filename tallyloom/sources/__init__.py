@@ -22,10 +22,6 @@ def from_rows(spark: SparkSession, rows: Iterable, schema: StructType | str = "l
     return spark.createDataFrame(data, schema)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_lines(spark: SparkSession, path: str | Sequence[str], out: str = "line") -> DataFrame:
     """One row per line of the text files at ``path`` (any Hadoop file system path).
 
@@ -257,7 +253,6 @@ __all__ = [
     "read_kafka",
     "read_lines",
     "read_lines_stream",
-    "read_parquet",
     "read_stream_files",
     "read_table",
     "stream_path",

@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom.fixed import WINDOW_DURATION
 
 DEFAULT_WINDOW = WINDOW_DURATION
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def event_time(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
@@ -73,20 +75,14 @@ def start_window_upserts(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     query_name: str | None = None,
-    idle_batches: bool = True,
 ) -> StreamingQuery:
     """Run a windowed streaming aggregate in update mode into ``path``.
 
     Every micro-batch writes the windows it changed into its own folder
     ``batch=<id>``, replacing that folder, so a batch replayed after a failure
     writes the same files again instead of adding duplicates.  State is kept
-    only until the watermark passes; ``latest_windows`` reads the result.
-
-    ``idle_batches=False`` skips the extra micro-batch Spark runs without new
-    data to move the watermark on.  Every data batch already writes all the
-    windows it changed, so a one-shot run (``availableNow`` over a finished
-    input) gives the same result faster; but the moved watermark is then not
-    recorded, so after a restart rows that would have been late are counted.
+    until the watermark passes, in RocksDB on the executors' disks (with a
+    copy in the checkpoint folder); ``latest_windows`` reads the result.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -97,7 +93,7 @@ def start_window_upserts(
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    with _conf(agg.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower()):
+    with _conf(agg.sparkSession, _STATE_STORE, _ROCKSDB):
         return writer.start()
 
 
@@ -119,23 +115,20 @@ def start_window_appends(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    with _conf(agg.sparkSession, _STATE_STORE, _ROCKSDB):
+        return writer.start()
 
 
-def latest_windows(
-    spark: SparkSession, path: str, window_keys: Sequence[str] = ("w_start", "w_end"), value: str = "s"
-) -> DataFrame:
-    """The newest value of every window written by ``start_window_upserts``."""
+def latest_windows(spark: SparkSession, path: str, value: str = "s") -> DataFrame:
+    """The newest value of every window (and key) written by ``start_window_upserts``."""
     rows = spark.read.parquet(path)
-    return rows.groupBy(*window_keys).agg(F.max_by(value, "batch").alias(value))
+    return rows.groupBy(*[c for c in rows.columns if c not in (value, "batch")]).agg(F.max_by(value, "batch").alias(value))
 
 
-def compact_windows(
-    spark: SparkSession, path: str, out: str, window_keys: Sequence[str] = ("w_start", "w_end"), value: str = "s"
-) -> None:
+def compact_windows(spark: SparkSession, path: str, out: str, value: str = "s") -> None:
     """Write the newest value of every window under ``path`` to a new table ``out``.
 
     For long-running update-mode streams, whose sink adds a folder per
     micro-batch: later reads use ``out``; the stream keeps writing to ``path``.
     """
-    latest_windows(spark, path, window_keys, value).write.mode("errorifexists").parquet(out)
+    latest_windows(spark, path, value).write.mode("errorifexists").parquet(out)

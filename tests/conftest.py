@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,7 +18,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[*]", app_name="tallyloom-tests", shuffle_partitions=8)
+    shared = tempfile.mkdtemp(prefix="tallyloom-tests-")
+    conf = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+    session = build_session("local[*]", app_name="tallyloom-tests", shuffle_partitions=8, extra_conf=conf)
     yield session
     session.stop()
 

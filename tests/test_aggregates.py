@@ -81,14 +81,6 @@ def test_no_python_in_builtin_plans(spark):
     assert "Python" not in plan and "ArrowEval" not in plan
 
 
-def test_suggested_shuffle_partitions():
-    from tallyloom.session import suggested_shuffle_partitions
-
-    assert suggested_shuffle_partitions(0, 8) == 16
-    assert suggested_shuffle_partitions(4 * 2**40, 12_000) == 24_000  # 4 TB shuffled on 12k cores
-    assert suggested_shuffle_partitions(50 * 2**30, 8) % 8 == 0
-
-
 def test_sums_keep_fractions(spark):
     from tallyloom.streaming import tumbling_sum
 

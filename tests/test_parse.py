@@ -11,7 +11,7 @@ from tallyloom.functions import map_rows
 from tallyloom.operators import key_value, nth_column, pair_text, parse_int, parse_int_rejects
 from tallyloom.sources import from_rows
 
-BAD = [None, "x", "", "1.5", "2147483648", " 5 ", "1e3", "0x1", "5L"]
+BAD = [None, "x", "", "1.5", "2147483648", " 5 ", "1e3", "0x1", "5L", "5\n", "5\r\n", "\n5"]
 
 
 @pytest.mark.parametrize("text", BAD)

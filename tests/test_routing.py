@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import natural, rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import branches, route
-from tallyloom.plans import line_branches, line_branches_written, line_routing
+from tallyloom.plans import line_branch_steps, line_branches, line_branches_written, line_routing
 from tallyloom.sinks import write_branches
 from tallyloom.sources import from_rows
 
@@ -69,3 +70,16 @@ def test_written_branches_read_only_their_folder(spark, scratch):
 def test_written_branches_of_empty_input(spark, scratch):
     parts = line_branches_written(from_rows(spark, [], "line string"), scratch)
     assert {t: f.count() for t, f in parts.items()} == {"world": 0, "spark": 0, "flink": 0}
+
+
+def test_every_output_gets_its_own_step_in_one_pass(spark, scratch):
+    df = from_rows(spark, G3 + ["x world"])
+    steps = {"world": lambda rows_: rows_.select(F.upper("line").alias("line"))}
+    done = line_branch_steps(df, scratch, steps)
+    plain = line_branches(df)
+    assert set(done) == set(plain)
+    assert rows(done["world"], "line") == sorted((r.line.upper(),) for r in plain["world"].collect())
+    for tag in set(plain) - {"world"}:
+        assert rows(done[tag], "line") == rows(plain[tag], "line")
+    with pytest.raises(ValueError):
+        line_branch_steps(df, f"{scratch}-2", {"nowhere": lambda x: x})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tallyloom.session import BASE_CONF, CLUSTER_CONF, shared_dir, stage_once, staging_path, suggested_shuffle_partitions
+import pytest
+
+from tallyloom.session import BASE_CONF, CLUSTER_CONF, shared_dir, staging_path
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -25,57 +27,21 @@ def test_settings_are_public_spark_keys():
     assert all(k.startswith("spark.") for k in {**BASE_CONF, **CLUSTER_CONF})
 
 
-def test_partition_sizing_scales_with_bytes():
-    small = suggested_shuffle_partitions(1 << 30, 100)
-    large = suggested_shuffle_partitions(1 << 42, 100)
-    assert small == 200 and large > 10_000 and large % 100 == 0
-
-
-def test_stage_once_writes_a_copy_once_per_source_version(spark, scratch):
-    import os
-    import time
-
-    src = f"{scratch}/src.txt"
-    os.makedirs(scratch)
-    with open(src, "w") as fh:
-        fh.write("a b\n")
-    calls = []
-
-    def write(path):
-        calls.append(path)
-        spark.read.text(src).write.text(path)
-
-    first = stage_once(spark, "copy", src, write)
-    assert stage_once(spark, "copy", src, write) == first and len(calls) == 1
-    time.sleep(1.1)
-    with open(src, "w") as fh:  # a new version of the source gets a new copy
-        fh.write("a b c\n")
-    second = stage_once(spark, "copy", src, write)
-    assert second != first and len(calls) == 2
-    assert [r.value for r in spark.read.text(second).collect()] == ["a b c"]
-
-
-def test_stage_once_skips_an_incomplete_copy(spark, scratch):
-    import os
-
-    src = f"{scratch}/src.txt"
-    os.makedirs(scratch)
-    with open(src, "w") as fh:
-        fh.write("x\n")
-    made = []
-    # first writer fails half way: the folder exists without _SUCCESS
-    def broken(path):
-        os.makedirs(path)
-        raise RuntimeError("lost")
-
-    try:
-        stage_once(spark, "half", src, broken)
-    except RuntimeError:
-        pass
-
-    def good(path):
-        made.append(path)
-        spark.read.text(src).write.text(path)
-
-    out = stage_once(spark, "half", src, good)
-    assert made == [out] and [r.value for r in spark.read.text(out).collect()] == ["x"]
+class _Session:
+    """Just what ``shared_dir`` asks of a session on some master, with no folder configured."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.master = master
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(_Session(master))

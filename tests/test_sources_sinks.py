@@ -114,7 +114,7 @@ def test_g4_jdbc_round_trip_on_embedded_derby(spark):
     url = _derby(spark, "g4")
     obs = jdbc_round_trip(
         spark, url, "select * from people", url, "name_counts_out",
-        source_options={"driver": DERBY}, target_options={"driver": DERBY},
+        source_options={"driver": DERBY, "single_task": True}, target_options={"driver": DERBY},
     )
     out = read_jdbc(spark, url, table="name_counts_out", driver=DERBY)
     assert rows(out, "NAME", "COUNT") == [("a", "20"), ("b", "10")]
@@ -123,10 +123,20 @@ def test_g4_jdbc_round_trip_on_embedded_derby(spark):
     with pytest.raises(Exception):
         jdbc_round_trip(
             spark, url, "select * from people", url, "name_counts_out",
-            source_options={"driver": DERBY}, target_options={"driver": DERBY},
+            source_options={"driver": DERBY, "single_task": True}, target_options={"driver": DERBY},
         )
 
 
+def test_jdbc_round_trip_must_say_how_it_reads(spark):
+    with pytest.raises(ValueError):
+        jdbc_round_trip(spark, "jdbc:x", "select 1", "jdbc:x", "t")
+
+
+def test_null_lines_are_left_out_and_counted(spark, scratch):
+    assert write_lines(from_rows(spark, ["a", None, "", None]), scratch) == {"rows": 4, "null_lines": 2}
+    assert sorted(r.line for r in read_lines(spark, scratch).collect()) == ["", "a"]
+
+
 def test_jdbc_parallel_reads(spark):
     url = _derby(spark, "par")
     by_range = read_jdbc(

@@ -222,14 +222,24 @@ def test_tolerant_stream_skips_and_counts_bad_messages(spark, scratch):
     assert sum(bad) == 2
 
 
-def test_one_shot_run_without_idle_batch_gives_same_windows(spark, scratch):
-    items = [("5", 1), ("6", 4), ("7", 6), ("1", 12)]
-    _records(spark, items).write.parquet(f"{scratch}/in")
-    sums = windowed_int_sums(parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA)), watermark="1 minute")
-    q = start_window_upserts(sums, f"{scratch}/out", f"{scratch}/ck", {"availableNow": True}, idle_batches=False)
-    q.awaitTermination()
-    assert rows(latest_windows(spark, f"{scratch}/out")) == rows(windowed_int_sums(parse_messages(_records(spark, items))))
-    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+def test_windows_keep_their_keys(spark, scratch):
+    items = [("x", "5", 1), ("y", "6", 2), ("x", "1", 3)]
+    df = from_rows(spark, [(k, v, EPOCH + dt.timedelta(seconds=s)) for k, v, s in items], SCHEMA)
+    df.write.parquet(f"{scratch}/in")
+    parsed = parse_messages(read_stream_files(spark, f"{scratch}/in", SCHEMA))
+    sums = tumbling_sum(parsed, "timestamp", "value", watermark="1 minute", keys=["key"])
+    start_window_upserts(sums, f"{scratch}/out", f"{scratch}/ck", {"availableNow": True}).awaitTermination()
+    assert rows(latest_windows(spark, f"{scratch}/out"), "key", "s") == [("x", 6), ("y", 6)]
+
+
+def test_registered_stream_is_exact_over_several_unsorted_batches(spark, scratch, monkeypatch):
+    from tallyloom.plans import registry
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(5).write.parquet(f"{scratch}/events.parquet")
+    monkeypatch.setattr(registry, "STREAM_FILES", 2)
+    got = registry.q_stream_tumbling_sum(spark, scratch)
+    assert rows(got) == rows(registry.q_tumbling_sum(spark, scratch))
 
 
 def test_compact_windows_keeps_newest_values(spark, scratch):

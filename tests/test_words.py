@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyloom.operators import count_per_element, lines, spread, text_words, words
+from tallyloom.operators import count_per_element, lines, text_words, words
 from tallyloom.plans import word_count, word_count_text
 from tallyloom.sources import from_rows
 
@@ -20,6 +20,9 @@ EDGE_LINES = [
     (" ", []),
     ("   ", []),
     ("a\tb", ["a\tb"]),
+    ("  \u2028", ["", "", "\u2028"]),
+    ("  \u0085", ["", "", "\u0085"]),
+    ("  \n", ["", "", "\n"]),
     (None, []),
 ]
 
@@ -72,18 +75,7 @@ def test_word_count_text_on_table(spark):
     assert total == direct > 0
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    many = spark.range(0, 100, numPartitions=64)
-    assert spread(many, 8) is many
-    few = spark.range(0, 100, numPartitions=1)
-    spread_plan = spread(few, 8)._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning(8)" in spread_plan
-
-
-def test_spread_assignment_is_deterministic(spark):
-    df = spark.range(0, 2000, numPartitions=1).select((F.col("id") * 7 % 13).alias("x"), "id")
-
-    def placement():
-        return sorted(spread(df, 4).select(F.spark_partition_id().alias("p"), "id").collect())
-
-    assert placement() == placement()
+def test_word_count_text_is_one_exchange(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = word_count_text(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
