@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from bisect import bisect_right
 from collections.abc import Iterable
 
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import ship_package as ship  # noqa: F401
 from tallyloom.session import staging_path, table_path
 
-#: Name of the row number that the operators add; no input column may be named so.
+#: Name of the row number that the operators add.
 RID = "_rid"
 #: Running sums are built in blocks of this many elements.
 _SUM_BLOCK = 128
 
-_shipped_to: set[str] = set()
-
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -42,14 +37,25 @@ def materialize(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def number_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number ``_rid``, unique and ascending in scan order.
+def number_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``columns`` of ``docs`` with a row number ``_rid``, unique and ascending in scan order.
 
     The number repeats when the same files are scanned again, so it can join
     rows of two scans of one table; give operators a table scan, not a frame
-    whose row order changes from run to run.
+    whose row order changes from run to run.  Only the named columns are
+    taken, so no other column can clash with those an operator adds.
     """
-    return docs.withColumn(RID, F.monotonically_increasing_id())
+    return docs.select(F.monotonically_increasing_id().alias(RID), *columns)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``(_rid, row)``: whole rows as one struct, to be joined by number and opened again with ``row.*``."""
+    return number_rows(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose number is in ``kept (_rid)``; columns unchanged."""
+    return whole_rows(docs).join(kept.select(RID), RID, "left_semi").select("row.*")
 
 
 def crc_mod(column: str, divisor: int) -> Column:
@@ -116,23 +122,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable by the Python workers of every executor."""
-    sc: SparkContext = spark.sparkContext
-    if sc.applicationId in _shipped_to:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tallyloom-code-")), "tallyloom-code.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(package):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    sc.addPyFile(out)
-    _shipped_to.add(sc.applicationId)
-
-
 def by_size(items: Iterable[str], limit: int) -> Iterable[tuple[int, int]]:
     """Index ranges ``[i, j)`` over ``items`` whose texts sum to about ``limit`` characters; a longer text goes alone."""
     start, total, i = 0, 0, -1

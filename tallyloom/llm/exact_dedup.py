@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, text_or_empty
+from tallyloom.llm.common import RID, keep_rows, materialize, number_rows, text_or_empty
 
 #: White space runs that are not already one space.
 _SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -64,7 +64,7 @@ def _verified(numbered: DataFrame, table: DataFrame, bits: int) -> DataFrame:
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64) -> DataFrame:
     """``(_rid, id_col, recipe, text_sha256)`` per row: the verified chunk identifiers in order."""
-    numbered = number_rows(docs).select(RID, F.col(id_col), normalise(text_col).alias("_norm"))
+    numbered = number_rows(docs, F.col(id_col), normalise(text_col).alias("_norm"))
     recipe = F.transform(
         chunks(F.col("_norm")), lambda c: F.struct(chunk_id(c, bits).alias("id"), F.lit(0).alias("variant"))
     )
@@ -101,5 +101,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns unchanged."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(RID)
-    return number_rows(docs).join(kept, RID, "left_semi").drop(RID)
+    return keep_rows(docs, exact_dedup(docs, id_col, text_col).filter("kept"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, by_size, materialize, number_rows, ship, text_or_empty
+from tallyloom.llm.common import RID, by_size, keep_rows, materialize, number_rows, ship, text_or_empty
 from tallyloom.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -131,7 +131,7 @@ def sketch_table(docs: DataFrame, width: int, id_col: str, text_col: str) -> Dat
                     }
                 )
 
-    rows = number_rows(docs).select(RID, text_or_empty(text_col).alias("text"))
+    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
     return rows.mapInPandas(run, f"{RID} long, n_shingles long, set_id binary, bands array<long>")
 
 
@@ -144,7 +144,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int, text_col: str) -> DataF
                 {"node": batch[RID], "shingles": [shingles(t, width).astype("<u8").tobytes() for t in batch["text"]]}
             )
 
-    rows = number_rows(docs).select(RID, text_or_empty(text_col).alias("text"))
+    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
     return rows.join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInPandas(run, "node long, shingles binary")
 
 
@@ -178,7 +178,7 @@ def near_dedup(
     an empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    ids = number_rows(docs).select(RID, F.col(id_col).alias("doc_id"))
+    ids = number_rows(docs, F.col(id_col).alias("doc_id"))
     table = materialize(sketch_table(docs, width, id_col, text_col), "sketches")
     full = table.filter("n_shingles > 0")
     first = full.groupBy("set_id").agg(F.min(RID).alias("node"))
@@ -218,5 +218,4 @@ def near_dedup(
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every group of near copies; columns unchanged."""
-    kept = near_dedup(docs, id_col, text_col).filter("kept").select(RID)
-    return number_rows(docs).join(kept, RID, "left_semi").drop(RID)
+    return keep_rows(docs, near_dedup(docs, id_col, text_col).filter("kept"))

@@ -17,7 +17,7 @@ from math import isqrt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, text_or_empty
+from tallyloom.llm.common import RID, materialize, number_rows, text_or_empty, whole_rows
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -38,8 +38,8 @@ def _buckets(rows: int) -> int:
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(_rid, doc_id, source, size)``: words (runs of anything but ASCII white space) of every row."""
     words = F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    return number_rows(docs).select(
-        RID, F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")
+    return number_rows(
+        docs, F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")
     )
 
 
@@ -181,9 +181,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     result = mix(docs, id_col, text_col, source_col)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     plan = result.filter("size > 0").select(RID, copies.alias("_copies")).filter("_copies > 0")
-    return (
-        number_rows(docs)
-        .join(plan, RID)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    copied = whole_rows(docs).join(plan, RID).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+    return copied.select("row.*")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, crc_mod, materialize, number_rows, ship, text_or_empty
+from tallyloom.llm.common import RID, crc_mod, keep_rows, materialize, number_rows, ship, text_or_empty
 
 #: Bound of the training sample, in labelled rows chosen by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -185,7 +185,7 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def features_of(texts: pd.Series) -> pd.Series:
         return pd.Series(list(features(texts.tolist())))
 
-    return number_rows(docs).select(RID, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"))
+    return number_rows(docs, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"))
 
 
 def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", fold: int = 1, folds: int = 3) -> Model:
@@ -233,5 +233,4 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted to be of low quality; columns unchanged."""
-    good = quality(docs, labels, id_col, text_col).filter("predicted = 1").select(RID)
-    return number_rows(docs).join(good, RID, "left_semi").drop(RID)
+    return keep_rows(docs, quality(docs, labels, id_col, text_col).filter("predicted = 1"))

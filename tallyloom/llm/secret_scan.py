@@ -143,7 +143,7 @@ def findings(
     or both) each get their blob's spans; other columns are ignored; an empty
     table gives an empty result.
     """
-    paths = materialize(number_rows(docs).select(RID, id_col, F.sha2(text_or_empty(text_col), 256).alias("blob")), "paths")
+    paths = materialize(number_rows(docs, id_col, F.sha2(text_or_empty(text_col), 256).alias("blob")), "paths")
     wide = ledger.groupBy("blob").agg(
         *[F.any_value(F.when(F.col("version") == r.version, F.col("spans")), ignoreNulls=True).alias(r.version) for r in rule_sets]
     )
