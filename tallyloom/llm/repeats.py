@@ -33,10 +33,13 @@ from tallyloom.llm.common import RID, materialize, number_rows, ship, shuffle_pa
 LEAST = 200
 #: Bytes of an anchor; a 200-byte string has LEAST - ANCHOR + 1 of them.
 ANCHOR = 32
-#: Largest group that one task compares.
-GROUP_VARIANTS = 4096
+#: Largest group that one task compares (contexts of up to 368 bytes each), and
+#: the largest whose repeats are listed one by one.
+GROUP_VARIANTS, SMALL_GROUP = 1 << 16, 32
 #: Bytes hashed at a time; longer texts are cut with an overlap.
 PIECE = 1 << 19
+#: Anchors passed on at a time.
+FRAME_ROWS = 100_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M = np.uint64(0xBF58476D1CE4E5B9)
@@ -143,27 +146,40 @@ def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFram
     """``(anchor, context, _rid, at, lo, hi)``: every anchor with a hash of its context ``[lo, hi)``."""
     reach = least - k
 
+    def frame(found: list[tuple]) -> pd.DataFrame:
+        rid, count, h, context, at, lo, hi = zip(*found)
+        at = np.concatenate(at)
+        return pd.DataFrame(
+            {
+                "anchor": np.concatenate(h).view(np.int64),
+                "context": np.array([c for own in context for c in own], np.uint64).view(np.int64),
+                RID: np.repeat(np.array(rid, np.int64), count),
+                "at": at.astype(np.int32),
+                "lo": (at - np.concatenate(lo)).astype(np.int16),
+                "hi": (np.concatenate(hi) - at).astype(np.int16),
+            }
+        )
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             texts = [t.encode("utf-8") for t in batch["text"]]
-            rids = batch[RID].to_numpy()
+            rids = batch[RID].tolist()
+            found, total = [], 0
             for i, at, h in text_anchors(texts, least, k):
-                text, digest = texts[i], xxhash.xxh3_64_intdigest
+                text = texts[i]
                 lo = np.maximum(at - reach, 0)
                 hi = np.minimum(at + least, len(text))
                 context = [digest(text[a:b], p - a) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())]
-                yield pd.DataFrame(
-                    {
-                        "anchor": h.view(np.int64),
-                        "context": np.array(context, np.uint64).view(np.int64),
-                        RID: np.full(len(at), rids[i]),
-                        "at": at.astype(np.int32),
-                        "lo": (at - lo).astype(np.int16),
-                        "hi": (hi - at).astype(np.int16),
-                    }
-                )
-
-    rows = number_rows(docs).select(RID, text_or_empty(text_col).alias("text"))
+                found.append((rids[i], len(at), h, context, at, lo, hi))
+                total += len(at)
+                if total >= FRAME_ROWS:
+                    yield frame(found)
+                    found, total = [], 0
+            if found:
+                yield frame(found)
+
+    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
     return rows.mapInPandas(run, f"anchor long, context long, {RID} long, at int, lo short, hi short")
 
 
@@ -210,11 +226,52 @@ def maximal_repeats(rights: list[bytes], lefts: list[bytes], least: int) -> Iter
                 yield left, right, own[i : j + 1]
 
 
+def _reaches(rights: list[bytes], lefts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far the maximal repeats of ``maximal_repeats`` reach before and after the place, per occurrence.
+
+    For large groups: the left contexts are sorted once, common suffixes of
+    any two members are range minima over that order, and of every interval
+    only the deepest repeat of each member is looked at.
+    """
+    n = len(rights)
+    order = np.array(sorted(range(n), key=rights.__getitem__))
+    lcp = [common_prefix(rights[a], rights[b]) for a, b in zip(order[:-1].tolist(), order[1:].tolist())]
+    by_left = sorted(range(n), key=lefts.__getitem__)
+    levels = [np.array([common_prefix(lefts[a], lefts[b]) for a, b in zip(by_left, by_left[1:])], np.int32)]
+    while len(levels[-1]) > 1 << (len(levels) - 1):
+        last, step = levels[-1], 1 << (len(levels) - 1)
+        levels.append(np.minimum(last[:-step], last[step:]))
+    table = np.zeros((len(levels), n - 1), np.int32)
+    for k, level in enumerate(levels):
+        table[k, : len(level)] = level
+    rank = np.empty(n, np.int64)
+    rank[by_left] = np.arange(n)
+    member = np.array(by_left)
+    ranks = rank[order]
+    before, after = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    longest = max(map(len, lefts))
+    for right, first, last in intervals(lcp):
+        if right + longest < least:
+            continue
+        own = np.sort(ranks[first : last + 1])
+        k = np.frexp((own[1:] - own[:-1]).astype(np.float64))[1] - 1  # floor of log2
+        shared = np.minimum(table[k, own[:-1]], table[k, own[1:] - (1 << k)])
+        deepest = np.maximum(np.append(shared, 0), np.insert(shared, 0, 0))
+        good = deepest + right >= least
+        m = member[own[good]]
+        before[m] = np.maximum(before[m], deepest[good])
+        after[m] = np.maximum(after[m], right)
+    return before, after
+
+
 def _covers(variants: list[tuple[int, bytes, int]], least: int) -> list[tuple[int, int, int]]:
     """``(context, before, after)``: how far repeats of at least ``least`` bytes reach around the anchor of each variant."""
     reach: dict[int, tuple[int, int]] = {}
     rights = [c[p:] for _, c, p in variants]
     lefts = [c[:p][::-1] for _, c, p in variants]
+    if len(variants) > SMALL_GROUP:
+        before, after = _reaches(rights, lefts, least)
+        return [(variants[m][0], int(before[m]), int(after[m])) for m in np.flatnonzero(after)]
     for left, right, members in maximal_repeats(rights, lefts, least):
         for m in members:
             before, after = reach.get(m, (0, 0))
@@ -274,7 +331,7 @@ def repeated_intervals(
     chosen = materialize(variants.join(groups, "anchor").select("anchor", "context", "n", "variants", "one.*"), "variants")
     # the bytes of one occurrence per variant, cut out of its text in place
     wanted = chosen.groupBy(RID).agg(F.collect_list(F.struct("anchor", "context", "n", "variants", "at", "lo", "hi")).alias("w"))
-    rows = number_rows(docs).select(RID, text_or_empty(text_col).cast("binary").alias("data"))
+    rows = number_rows(docs, text_or_empty(text_col).cast("binary").alias("data"))
     cut = rows.join(wanted, RID).select(F.explode("w").alias("w"), "data")
     contexts = cut.select(
         "w.anchor", "w.context", "w.n", "w.variants", "w.lo",
@@ -332,7 +389,7 @@ def remove_repeats(
             frame.insert(0, "doc_id", batch["doc_id"].array)
             yield frame
 
-    rows = number_rows(docs).select(RID, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = number_rows(docs, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     joined = rows.join(spans, RID, "left").select(
         "doc_id", "text", F.coalesce("first", empty).alias("first"), F.coalesce("last", empty).alias("last")
     )
