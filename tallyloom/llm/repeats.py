@@ -37,7 +37,7 @@ ANCHOR = 32
 #: the largest whose repeats are listed one by one.
 GROUP_VARIANTS, SMALL_GROUP = 1 << 16, 32
 #: Bytes hashed at a time; longer texts are cut with an overlap.
-PIECE = 1 << 19
+PIECE = 1 << 17
 #: Anchors passed on at a time.
 FRAME_ROWS = 100_000
 
@@ -143,18 +143,23 @@ def text_anchors(texts: list[bytes], least: int = LEAST, k: int = ANCHOR) -> Ite
 
 
 def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFrame:
-    """``(anchor, context, _rid, at, lo, hi)``: every anchor with a hash of its context ``[lo, hi)``."""
+    """``(anchor, context, _rid, at, more, lo, hi)``: every anchor with a hash of its context ``[at - lo, at + hi)``.
+
+    Anchors of one text with equal contexts are one row: ``at`` is the first
+    place, ``more`` has the others (null if there are none).
+    """
     reach = least - k
 
     def frame(found: list[tuple]) -> pd.DataFrame:
-        rid, count, h, context, at, lo, hi = zip(*found)
+        rid, count, h, context, at, lo, hi, more = zip(*found)
         at = np.concatenate(at)
         return pd.DataFrame(
             {
                 "anchor": np.concatenate(h).view(np.int64),
-                "context": np.array([c for own in context for c in own], np.uint64).view(np.int64),
+                "context": np.concatenate(context).view(np.int64),
                 RID: np.repeat(np.array(rid, np.int64), count),
                 "at": at.astype(np.int32),
+                "more": [x for own in more for x in own],
                 "lo": (at - np.concatenate(lo)).astype(np.int16),
                 "hi": (np.concatenate(hi) - at).astype(np.int16),
             }
@@ -170,9 +175,16 @@ def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFram
                 text = texts[i]
                 lo = np.maximum(at - reach, 0)
                 hi = np.minimum(at + least, len(text))
-                context = [digest(text[a:b], p - a) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())]
-                found.append((rids[i], len(at), h, context, at, lo, hi))
-                total += len(at)
+                context = np.fromiter(
+                    (digest(text[a:b], p - a) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())), np.uint64, len(at)
+                )
+                _, first, count = np.unique(context, return_index=True, return_counts=True)
+                more: list = [None] * len(first)
+                if len(first) < len(at):
+                    places = np.split(at[np.argsort(context, kind="stable")], np.cumsum(count)[:-1])
+                    more = [p[1:].astype(np.int32) if len(p) > 1 else None for p in places]
+                found.append((rids[i], len(first), h[first], context[first], at[first], lo[first], hi[first], more))
+                total += len(first)
                 if total >= FRAME_ROWS:
                     yield frame(found)
                     found, total = [], 0
@@ -180,7 +192,7 @@ def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFram
                 yield frame(found)
 
     rows = number_rows(docs, text_or_empty(text_col).alias("text"))
-    return rows.mapInPandas(run, f"anchor long, context long, {RID} long, at int, lo short, hi short")
+    return rows.mapInPandas(run, f"anchor long, context long, {RID} long, at int, more array<int>, lo short, hi short")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -323,10 +335,11 @@ def repeated_intervals(
     """``(_rid, first, last)``: byte ranges ``[first, last)``, together all bytes that repeated strings cover."""
     ship(docs.sparkSession)
     occurrences = _occurrences(docs, text_col, least, k)
-    repeated = occurrences.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    places = F.lit(1) + F.coalesce(F.array_size("more"), F.lit(0))
+    repeated = occurrences.groupBy("anchor").agg(F.sum(places).alias("n")).filter("n > 1").select("anchor")
     hits = materialize(occurrences.join(repeated, "anchor"), "anchor-hits")
     one = F.min(F.struct(RID, "at", "lo", "hi")).alias("one")
-    variants = hits.groupBy("anchor", "context").agg(F.count("*").alias("n"), one)
+    variants = hits.groupBy("anchor", "context").agg(F.sum(places).alias("n"), one)
     groups = variants.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1")
     chosen = materialize(variants.join(groups, "anchor").select("anchor", "context", "n", "variants", "one.*"), "variants")
     # the bytes of one occurrence per variant, cut out of its text in place
@@ -341,9 +354,13 @@ def repeated_intervals(
     small = _small_groups(contexts.filter(F.col("variants") <= group_variants), least)
     large = _large_groups(contexts.filter(F.col("variants") > group_variants), least)
     covers = small.unionByName(large).withColumnRenamed("context", "c").withColumnRenamed("anchor", "a")
-    covers = materialize(covers, "covers")
+    # what equal contexts share whole needs no cover
+    alone = chosen.filter("n = 1").select(F.col("anchor").alias("a"), F.col("context").alias("c"))
+    covers = materialize(covers.join(alone, ["a", "c"], "left_semi"), "covers")
     equal = variants.filter("n > 1").select(F.col("anchor").alias("a"), F.col("context").alias("c"))
     whole = hits.join(equal, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c")), "left_semi")
+    at = F.explode(F.concat(F.array("at"), F.coalesce("more", F.array().cast("array<int>")))).alias("at")
+    whole = whole.select(RID, at, "lo", "hi")
     whole = whole.select(RID, (F.col("at") - F.col("lo")).alias("first"), (F.col("at") + F.col("hi")).alias("last"))
     parts = hits.join(covers, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c")))
     parts = parts.select(RID, (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last"))
@@ -373,8 +390,7 @@ def remove_repeats(
     table gives an empty result.
     """
     found = repeated_intervals(docs, text_col, least, k, group_variants)
-    # neighbouring anchors of one text give overlapping ranges: joined map-side where they are equal
-    spans = found.distinct().groupBy(RID).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
+    spans = found.groupBy(RID).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
     empty = F.array().cast("array<int>")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
