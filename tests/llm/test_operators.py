@@ -143,7 +143,7 @@ def test_op3_many_matches_and_hard_cases(spark, scratch):
 
 def test_op3_ledger_scans_only_unseen_pairs(spark, scratch):
     old = spark.createDataFrame([(1, "token=abcdefg"), (2, "plain")], "doc_id long, text string")
-    new = spark.createDataFrame([(1, "token=abcdefg"), (3, "ghp_" + "a" * 36)], "doc_id long, text string")
+    new = spark.createDataFrame([(1, "token=abcdefg"), (3, "ghp_" + "Z" * 36)], "doc_id long, text string")
     path, base, added = f"{scratch}/ledger", secret_scan.BASE, secret_scan.ADDED
     assert secret_scan.update_ledger(spark, path, old, [base], new=True).count() == 2
     assert secret_scan.scan_new(old, spark.read.parquet(path), [base]).count() == 0
