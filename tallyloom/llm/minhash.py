@@ -9,10 +9,12 @@ similarity, and the share of agreeing places is as concentrated as with
 independent permutations, at about the cost of one pass.
 
 Documents that agree in all places of a band meet in a bucket.  Equal sets are
-one node.  Of every bucket the members are verified against its least node;
-buckets whose members are then still in different components get their
-remaining cross-component pairs verified too.  No pair within one component is
-made, and no link between a bucket's members is left out.
+one node.  In a few turns, the members of every bucket are verified against a
+leader of it, the node that meets the most others first; buckets whose members
+are then in one component are done.  The members of the others are compared
+across components by an exact join: candidates share one of their rarest
+shingles early enough in a common order.  No pair within one component is made,
+and no link between members of a bucket is left out.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import RID, by_size, keep_rows, materialize, number_rows, ship, text_or_empty
@@ -31,6 +33,8 @@ from tallyloom.llm.components import components
 WIDTH, PERCENT = 5, 80
 #: At similarity 0.8 all bands miss with probability (1 - 0.8**4)**32 < 1e-7.
 COORDINATES, ROWS = 128, 4
+#: Turns in which the members of a bucket are compared with one leader.
+LEADERS = 2
 #: Words remembered by a worker; characters sketched at a time.
 CACHE_WORDS, BATCH_CHARS = 300_000, 2 << 20
 
@@ -165,6 +169,77 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(linked("sa", "sb")).select("a", "b")
 
 
+def _open_entries(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Entries of the buckets whose members are not yet in one component, with their components."""
+    if joined is None:
+        return shared.withColumn("component", F.col("node"))
+    labelled = shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    return labelled.join(split.select("key"), "key", "left_semi")
+
+
+def _similar(a: str, b: str, percent: int) -> Column:
+    """Sets of other sizes cannot be linked."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _star_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Every member of a bucket with the bucket's leader of this turn: its heaviest, second heaviest, ... node."""
+    order = F.struct("w", (-F.col("node")).alias("m"), "n", "component")
+    lead = open_.groupBy("key").agg(F.max(order).alias("lead"))
+    for _ in range(turn):
+        below = open_.join(lead, "key").filter(F.struct("w", (-F.col("node")).alias("m")) < F.struct("lead.w", "lead.m"))
+        lead = below.groupBy("key").agg(F.max(order).alias("lead"))
+    stars = open_.join(lead, "key").withColumn("leader", -F.col("lead.m")).withColumn("size", F.col("lead.n"))
+    stars = stars.filter(F.col("component") != F.col("lead.component")).filter(_similar("n", "size", percent))
+    return stars.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+
+
+def _prefixes(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(shingle, node, n, component, i, index)``: the rarest shingles of every open node in a common order.
+
+    Two linked sets of ``n`` and at most ``n`` shingles share one of the first
+    ``n - ceil(p n) + 1`` of the larger and of the first
+    ``n - ceil(2 p n / (1 + p)) + 1`` of the smaller (``index``), whatever the
+    order; rare shingles first, few sets share one.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [np.frombuffer(raw, "<i8") for raw in batch["shingles"]]
+            for i, j in by_size(batch["shingles"], BATCH_CHARS):
+                size = [len(x) for x in own[i:j]]
+                yield pd.DataFrame({"shingle": np.concatenate(own[i:j]), "node": np.repeat(batch["node"].to_numpy()[i:j], size)})
+
+    nodes = open_.select("node", "n", "component").distinct()
+    single = materialize(sets.join(nodes.select("node"), "node", "left_semi").mapInPandas(run, "shingle long, node long"), "open-shingles")
+    use = single.groupBy("shingle").agg(F.count("*").alias("df"))
+    order = F.sort_array(F.collect_list(F.struct("df", "shingle")))
+    ordered = single.join(use, "shingle").groupBy("node").agg(order.alias("o")).join(nodes, "node")
+    probe = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    index = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
+    rows = ordered.select("node", "n", "component", index.alias("upto"), F.posexplode(F.slice("o", F.lit(1), probe.cast("int"))).alias("i", "e"))
+    return rows.select(F.col("e.shingle").alias("shingle"), "node", "n", "component", "i", (F.col("i") < F.col("upto")).alias("index"))
+
+
+def _cross_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of open nodes in different components that can be linked: prefix and position filters.
+
+    If a shingle is the first in order that two sets share, what stands before
+    it is in no intersection.
+    """
+    rows = materialize(_prefixes(open_, sets, percent), "prefixes")
+    left = rows.select("shingle", F.col("node").alias("a"), "n", "i", F.col("component").alias("ca"))
+    right = rows.filter("index").select(
+        "shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("cb")
+    )
+    smaller = (F.col("m") < F.col("n")) | (F.col("m") == F.col("n")) & (F.col("b") < F.col("a"))
+    both = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    possible = both * 100 >= (F.col("n") + F.col("m") - both) * percent
+    pairs = left.join(right, "shingle").filter(smaller & (F.col("ca") != F.col("cb")) & possible)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -186,25 +261,28 @@ def near_dedup(
     entries = materialize(
         nodes.select(F.explode("bands").alias("key"), F.col(RID).alias("node"), F.col("n_shingles").alias("n")), "band-entries"
     )
-    buckets = entries.groupBy("key").agg(F.min("node").alias("leader"), F.min_by("n", "node").alias("m"), F.count("*").alias("c"))
-    similar = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)  # sets of other sizes cannot be linked
-    stars = entries.join(buckets.filter("c > 1"), "key").filter("node <> leader").filter(similar)
-    stars = materialize(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    # every member of a bucket of two or more may be asked for again below
-    members = entries.join(buckets.filter("c > 1").select("key"), "key", "left_semi").select("node").distinct()
-    sets = materialize(_sets(docs, members, width, text_col), "shingle-sets")
-    links = materialize(verified(stars, sets, percent), "links")
-    joined = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    labelled = entries.join(joined, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_ = materialize(labelled.join(split.select("key"), "key", "left_semi"), "open-entries")
-    left = open_.select("key", F.col("node").alias("a"), "n", F.col("component").alias("ca"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"))
-    rest = left.join(right, "key").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).filter(similar)
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialize(verified(rest, sets, percent), "links")
-    if not more.isEmpty():
-        joined = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    buckets = entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = materialize(entries.join(buckets, "key"), "shared-entries")
+    # a node that meets many others is likely their common original: the leader of its buckets
+    weight = shared.groupBy("node").agg(F.sum("c").alias("w"))
+    shared = materialize(shared.join(weight, "node").select("key", "node", "n", "w"), "shared-entries")
+    sets = materialize(_sets(docs, weight.select("node"), width, text_col), "shingle-sets")
+    links = joined = tried = None
+    for turn in range(LEADERS + 1):
+        open_ = materialize(_open_entries(shared, joined), "open-entries")
+        if open_.isEmpty():
+            break
+        pairs = _star_pairs(open_, turn, percent) if turn < LEADERS else _cross_pairs(open_, sets, percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        found = materialize(verified(pairs, sets, percent), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        if joined is None or not found.isEmpty():
+            joined = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if joined is None:
+        joined = shared.select("node", F.col("node").alias("component")).limit(0)
     member = full.select(RID, "set_id").join(first, "set_id").join(joined, "node", "left")
     member = member.select(RID, F.coalesce("component", "node").alias("component"))
     placed = ids.join(table.select(RID, "n_shingles"), RID).join(member, RID, "left")
