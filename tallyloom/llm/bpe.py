@@ -1,12 +1,12 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of byte positions.  Every adjacent pair that is a
-vocabulary entry waits in the bucket of its rank; a hierarchy of bitmaps says
-which buckets hold anything, so the lowest rank is found by find-first-set on
-one word per level.  The leftmost position of that bucket merges next; entries
-whose pair has changed meanwhile are stale and skipped.  Every step costs the
-depth of the hierarchy (two for 50,000 ranks) and a small heap operation, at
-any length of the pre-token.
+vocabulary entry waits in the bucket of its rank; a hierarchy of two bitmap
+levels says which buckets hold anything, so the lowest rank is found by
+find-first-set on one word per level.  The leftmost position of that bucket
+merges next; entries whose pair has changed meanwhile are stale and skipped.
+Every step costs two words and a small heap operation, at any length of the
+pre-token.
 """
 
 from __future__ import annotations
@@ -14,111 +14,99 @@ from __future__ import annotations
 import base64
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tallyloom.llm.common import ship, text_or_empty
+from tallyloom.llm.common import by_lengths, ship, text_or_empty
 
-#: Bits of one bitmap word.
-_WORD = 256
-#: Pre-tokens remembered by a worker, and the longest remembered one.
-CACHE_TOKENS, CACHE_LENGTH = 300_000, 64
+#: Pre-tokens of a generation remembered by a worker (it keeps two), and the longest remembered one.
+CACHE_TOKENS, CACHE_LENGTH = 400_000, 32
+#: Rows turned at a time are those of about this many characters or ids.
+BATCH_CHARS = 1 << 20
 #: Longer texts are split into pre-tokens piecemeal.
 _LONG_TEXT, _PIECES = 1 << 20, 100_000
 
 
-class RankQueue:
-    """Positions by rank: ``push(rank, position)``, ``pop()`` gives the lowest rank's leftmost position."""
-
-    def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        n = max(ranks, 1)
-        while True:
-            n = -(-n // _WORD)
-            self.levels.append([0] * n)
-            if n == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        i = rank
-        for level in self.levels:
-            i, bit = divmod(i, _WORD)
-            had = level[i]
-            level[i] = had | (1 << bit)
-            if had:
-                break
-
-    def pop(self) -> tuple[int, int] | None:
-        i = 0
-        for level in reversed(self.levels):
-            word = level[i]
-            if not word:
-                return None
-            i = i * _WORD + (word & -word).bit_length() - 1
-        bucket = self.buckets[i]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[i]
-            j = i
-            for level in self.levels:
-                j, bit = divmod(j, _WORD)
-                level[j] &= ~(1 << bit)
-                if level[j]:
-                    break
-        return i, position
-
-
 class Encoder(dict):
-    """Ids of pre-tokens as little-endian unsigned 32-bit integers; a bounded memory of those seen."""
+    """Ids of pre-tokens as little-endian unsigned 32-bit integers; a bounded memory of those seen.
+
+    The rank queue is two bitmap levels of about sqrt(ranks) bits a word and a
+    heap of positions per rank that holds any.  It is empty between calls.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=1)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.shift = (max(ranks.values(), default=0).bit_length() + 1) // 2
         self.pattern = regex.compile(pattern)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, token: str) -> bytes:
-        ids = array("I", self.merge(token.encode("utf-8")))
-        if sys.byteorder == "big":
-            ids.byteswap()
-        out = ids.tobytes()
+        out = self.older.get(token)
+        if out is None:
+            ids = array("I", self.merge(token.encode("utf-8")))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out = ids.tobytes()
         if len(token) <= CACHE_LENGTH:
-            if len(self) >= CACHE_TOKENS:
+            if len(self) >= CACHE_TOKENS:  # keep the last two generations
+                self.older = dict(self)
                 self.clear()
             self[token] = out
         return out
 
     def merge(self, piece: bytes) -> list[int]:
-        ranks, longest, queue = self.ranks, self.longest, self.queue
+        ranks = self.ranks
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
+        get, longest, shift = ranks.get, self.longest, self.shift
+        mask = (1 << shift) - 1
         n = len(piece)
         after = list(range(1, n + 2))  # the start of the next part
         before = list(range(-1, n))
         pair = [-1] * (n + 1)  # rank of a part joined with the next one
-        push, get = queue.push, ranks.get
+        buckets: dict[int, list[int]] = {}  # by rank: positions, some of them stale
+        leaves: dict[int, int] = {}  # by high bits of a rank: which low bits have a bucket
+        top = 0  # which high bits have a leaf
         for i in range(n - 1):
             r = get(piece[i : i + 2])
             if r is not None:
                 pair[i] = r
-                push(r, i)
-        while (top := queue.pop()) is not None:
-            rank, i = top
+                if r in buckets:
+                    buckets[r].append(i)  # ascending, so a heap
+                else:
+                    buckets[r] = [i]
+                    high = r >> shift
+                    leaves[high] = leaves.get(high, 0) | 1 << (r & mask)
+                    top |= 1 << high
+        while top:
+            high = (top & -top).bit_length() - 1
+            leaf = leaves[high]
+            low = leaf & -leaf
+            rank = high << shift | low.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                leaf ^= low
+                if leaf:
+                    leaves[high] = leaf
+                else:
+                    del leaves[high]
+                    top ^= 1 << high
             if pair[i] != rank:
                 continue  # stale
             j = after[i]
@@ -126,17 +114,23 @@ class Encoder(dict):
             after[i] = k
             before[k] = i
             pair[j] = -1
-            for left, end in ((i, after[k] if k < n else 0), (before[i], k)):
-                if left < 0 or not end:
-                    if left >= 0:
-                        pair[left] = -1
+            # the merged part with the next one, and the one before with the merged part
+            end = after[k] if k < n else 0
+            for at, to in ((i, end), (before[i], k)):
+                if at < 0:
                     continue
-                r = get(piece[left:end]) if end - left <= longest else None
+                r = get(piece[at:to]) if 0 < to - at <= longest else None
                 if r is None:
-                    pair[left] = -1
-                elif pair[left] != r:
-                    pair[left] = r
-                    push(r, left)
+                    pair[at] = -1
+                elif pair[at] != r:
+                    pair[at] = r
+                    if r in buckets:
+                        heappush(buckets[r], at)
+                    else:
+                        buckets[r] = [at]
+                        high = r >> shift
+                        leaves[high] = leaves.get(high, 0) | 1 << (r & mask)
+                        top |= 1 << high
         out, i = [], 0
         while i < n:
             j = after[i]
@@ -182,35 +176,47 @@ def _from_bytes(ids: bytes) -> array:
     return out
 
 
+def _turned(docs: DataFrame, column: str, out: str, turn: Callable[[], Callable[[object], bytes]]) -> DataFrame:
+    """``docs`` with the binary column ``out``: ``turn()`` applied to every value of ``column``, a bounded batch at a time."""
+    schema = StructType([f for f in docs.schema if f.name != out] + [StructField(out, BinaryType())])
+    names = schema.names[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = turn()
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            size = pc.binary_length(batch.column(at)).to_pylist()
+            for i, j in by_lengths(size, BATCH_CHARS):
+                part = batch.slice(i, j - i)
+                made = pa.array([one(x) for x in part.column(at).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), made], [*names, out])
+
+    return docs.mapInArrow(run, schema)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the binary column ``out``: the text's ids, little-endian unsigned 32-bit.
 
-    A null text counts as empty and gives no ids; repeated rows are encoded
-    each; other columns pass through untouched.  Special tokens in a text are
-    ordinary text.
+    A null text counts as empty (and is null no more) and gives no ids;
+    repeated rows are encoded each; an older column ``out`` is replaced, other
+    columns pass through untouched.  Special tokens in a text are ordinary
+    text.
     """
     ship(docs.sparkSession)
-
-    @F.pandas_udf("binary")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(ranks_path, pattern)
-        for texts in batches:
-            yield pd.Series([encoder.encode(t) for t in texts], dtype=object)
-
-    return docs.withColumn(out, ids_of(text_or_empty(text_col)))
+    known = docs.withColumn(text_col, text_or_empty(text_col))
+    return _turned(known, text_col, out, lambda: _encoder(ranks_path, pattern).encode)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the binary column ``out``: the bytes that the ids stand for (null ids: none)."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("binary")
-    def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def turn() -> Callable[[bytes], bytes]:
         token = _vocabulary(ranks_path).__getitem__
-        for ids in batches:
-            yield pd.Series([b"".join(map(token, _from_bytes(x))) for x in ids], dtype=object)
+        return lambda ids: b"".join(map(token, _from_bytes(ids)))
 
-    return docs.withColumn(out, bytes_of(F.coalesce(F.col(ids_col), F.lit(b""))))
+    known = docs.withColumn(ids_col, F.coalesce(F.col(ids_col), F.lit(b"")))
+    return _turned(known, ids_col, out, turn)
 
 
 def count_ids(ids: Column) -> Column:

@@ -122,13 +122,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_size(items: Iterable[str], limit: int) -> Iterable[tuple[int, int]]:
-    """Index ranges ``[i, j)`` over ``items`` whose texts sum to about ``limit`` characters; a longer text goes alone."""
+def by_lengths(sizes: Iterable[int], limit: int) -> Iterable[tuple[int, int]]:
+    """Index ranges ``[i, j)`` whose sizes sum to about ``limit``; a larger one goes alone."""
     start, total, i = 0, 0, -1
-    for i, x in enumerate(items):
-        if total and total + len(x) > limit:
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
             yield start, i
             start, total = i, 0
-        total += len(x)
+        total += n
     if i >= start:
         yield start, i + 1
+
+
+def by_size(items: Iterable[str], limit: int) -> Iterable[tuple[int, int]]:
+    """``by_lengths`` of the items."""
+    return by_lengths(map(len, items), limit)

@@ -16,8 +16,8 @@ from tokenizers import Tokenizer
 
 from awkward import docs, docs_dir, empty_dir, table  # noqa: F401  (fixtures)
 
-from tallyloom.llm import exact_dedup, fingerprint, langid, minhash, mixing, quality, queries, repeats, secret_scan, token_output
-from tallyloom.llm.bpe import Encoder, RankQueue, load_ranks
+from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, minhash, mixing, quality, queries, repeats, secret_scan, token_output
+from tallyloom.llm.bpe import Encoder, load_ranks
 from tallyloom.session import staging_path
 
 SF = "/root/testdata/sf0.001"
@@ -256,22 +256,25 @@ def test_op7_bpe(spark, docs_dir, table, reference_encoding):
     assert multiset(queries.op7_bpe(spark, docs_dir), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
 
 
-def test_op7_rank_queue_and_long_pre_tokens(reference_encoding):
-    rng, queue, held = np.random.default_rng(3), RankQueue(70_000), []
-    for _ in range(3000):
-        if held and rng.random() < 0.5:
-            held.sort()
-            assert queue.pop() == held.pop(0)
-        else:
-            entry = int(rng.integers(70_000)) % int(rng.integers(1, 70_000)), int(rng.integers(1000))
-            held.append(entry)
-            queue.push(*entry)
-    assert [queue.pop() for _ in range(len(held))] == sorted(held) and queue.pop() is None
+def test_op7_long_pre_tokens(reference_encoding):
     encoder = Encoder(RANKS, public_tokenizers.PATTERN)
     for text in ("a" * 5000, "ab" * 4000, "é" * 700, "xyz" * 999 + "\n" * 300, "=" * 1234):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference_encoding.encode_ordinary(text)
 
 
+def test_op7_random_texts_and_forgetting(reference_encoding, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(bpe, "CACHE_TOKENS", 20)
+    monkeypatch.setattr(bpe, "_LONG_TEXT", 150)
+    monkeypatch.setattr(bpe, "_PIECES", 7)
+    encoder = Encoder(RANKS, public_tokenizers.PATTERN)
+    parts = ["a", "ab", "the", " ", "\n", "é", "日本", "!", "\x1c", "\x85", "\u2028", "\xa0", "12", "²", "'s", "\U0001f600", "aaaa", "<|endoftext|>"]
+    for _ in range(200):
+        text = "".join(rng.choice(parts, int(rng.integers(0, 120))))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference_encoding.encode_ordinary(text)
+    assert len(encoder) <= 20
+
+
 def test_op8_token_output(spark, docs_dir, table):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     start, expected = 0, Counter()
