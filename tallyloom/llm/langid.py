@@ -34,7 +34,7 @@ EPOCHS, RATE, SEQUENCE, BATCH = 2, 0.3, 48, 64
 #: Hashed features; features of one word.
 BUCKETS, WORD_FEATURES = 1 << 15, 32
 #: Words remembered by a worker; characters labelled at a time; words of a block.
-CACHE_WORDS, BATCH_CHARS, BLOCK = 300_000, 2 << 20, 32
+CACHE_WORDS, BATCH_CHARS, BLOCK = 700_000, 2 << 20, 32
 LEXICON_WORDS, LEXICON_LEAST = 20_000, 3
 UNKNOWN = "und"
 

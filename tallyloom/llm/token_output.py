@@ -21,6 +21,7 @@ import os
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,8 @@ from tallyloom.llm.common import by_size, ship, shuffle_partitions, text_or_empt
 BLOCK, PERCENTILE = 256, 95
 #: A shard is closed after the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
-#: Words remembered by a worker; texts encoded at a time, in characters.
-CACHE_WORDS, BATCH_CHARS = 300_000, 4 << 20
+#: Words of a generation remembered by a worker (it keeps two); texts encoded at a time, in characters.
+CACHE_WORDS, BATCH_CHARS = 300_000, 2 << 20
 END_ID = 1
 
 _HEAD = struct.Struct("<4sHIQI")
@@ -136,19 +137,22 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # The tokenizer drops white space and never looks across it, so a
         # text's ids are its words' ids joined; only new words are encoded.
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self})
-        if len(self) + len(new) > CACHE_WORDS:
+        words = set(chain.from_iterable(split))
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-            self[""] = b""
-            new = list({w for words in split for w in words if w})
+        missing = words.difference(self)
+        self.update((w, self.older[w]) for w in missing & self.older.keys())
+        new = list(missing.difference(self.older))
         for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+            self[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
