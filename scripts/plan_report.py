@@ -15,8 +15,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
-
+from tallyloom.plans import registry  # noqa: E402
 from tallyloom.session import build_session  # noqa: E402
 
 SHUFFLE = re.compile(r"Exchange (hashpartitioning|RoundRobinPartitioning|SinglePartition|rangepartitioning)")
@@ -27,21 +26,17 @@ APPENDIX = ("word_count", "cogroup_hot", "branches", "tumbling_sum")
 
 # Why each query shuffles what it shuffles, and what happens at 1000x the data.
 NOTES = {
-    "word_count": "round-robin spread only because the input is one row group (a no-op on a cluster, "
-    "where scans have more splits than cores); then partial count per word, one shuffle of partial counts",
+    "word_count": "scan, split and partial count in one stage; one shuffle of partial counts",
     "word_count_kv": "as word_count; the text rendering fuses into the final aggregate's stage",
     "count_per_element": "partial + final count: one shuffle of at most one row per key per map task",
     "pair_text": "as count_per_element",
-    "group_values": "per-key counts from the key column (partial count, one small shuffle) are broadcast; "
-    "ids do not repeat (distinct_values), so the rows are shuffled once, by (key, chunk); every list is "
-    "bounded.  On inputs of more than 64 partitions the counts are first checkpointed and sized in a "
-    "separate job, so the big side is never shuffled for a join that ends up broadcast",
-    "group_values_hot": "order keys repeat within a flag, so duplicates are collapsed first (partial "
-    "aggregate, shuffle by (key, value)), then one shuffle by (key, chunk); each key holds a third of "
-    "lineitem and is spread over about n / 1000 chunks, so no task gathers a whole key",
+    "group_values": "ids do not repeat (distinct_values): totals of keys above the chunk size joined from the "
+    "left, then one shuffle by (key, salt); every list is bounded; the folds of the lists add the last shuffle",
+    "group_values_hot": "duplicates are collapsed first (partial aggregate); each key holds a third of lineitem "
+    "and is spread over n / 1000 salts, so no task gathers a whole key",
+    "group_lists": "as group_values_hot; every key fits one chunk",
     "sum_per_key_x10": "partial sums; the value list of the reference is never built",
-    "group_fold_x10": "identical (name, 1) rows collapse to one row per name before any shuffle of rows; "
-    "pieces fill consecutive chunks; lists are folded in place and chunk sums added per key",
+    "group_fold_x10": "repeated (name, 1) rows are counted and folded as products; no list is built",
     "jdbc_counts": "partial sums; null names counted by an observation in the same pass",
     "cogroup": "one union and the group_values plan (one shuffle of the rows); no chain of outer joins",
     "cogroup_hot": "as group_values_hot for two sources; the shared statuses each hold about half of "
@@ -49,11 +44,10 @@ NOTES = {
     "cogroup_words": "two word counts (one shuffle each); both are partitioned by word, the union keeps "
     "that, so the co-group (at most one count per word and input: no chunking) adds no shuffle",
     "route": "no shuffle: a tag expression in the scan stage",
-    "branches": "all branches counted in one scan (one count per branch predicate), partial counts to a "
-    "single partition; reading one branch alone pushes its suffix filter into the scan (routing tests)",
+    "branches": "partial count per tag",
+    "branch_steps": "one pass writes all outputs; every step reads its own folder",
     "branch_bolt": "one output alone: its suffix filter is pushed into the Parquet scan; no shuffle",
-    "branch_files": "one-pass write partitioned by tag, once per table version; the read decodes no data "
-    "column, only folders",
+    "branch_files": "one-pass write partitioned by tag; all rows read back",
     "parse_int": "no shuffle",
     "not_null": "Catalyst turns the null-rejecting filter into an inner join; the small side is "
     "broadcast only under the size bounds",
@@ -61,8 +55,7 @@ NOTES = {
     "tumbling_sum": "partial sums per window: a window holding a third of all rows costs one row per map task",
     "nth_column": "no shuffle; only column 0 is decoded",
     "map_rows": "no shuffle; Python once per Arrow batch",
-    "text_word_count": "the documents are written as text files once per table version (text sink), then "
-    "read split by bytes across tasks (text source); partial count per word",
+    "text_word_count": "the documents are written as text files (text sink), then read split by bytes across tasks (text source); partial count per word",
     "catalog_read": "no shuffle; only column 0 is decoded",
     "stream_parse_int": "stateless stream: parse and filter in the scan stage, files committed once per batch",
     "stream_tumbling_sum": "stream state bounded by the watermark; the read of the sink keeps the newest "
@@ -93,16 +86,13 @@ def main() -> None:
         f"Generated by `scripts/plan_report.py` on `{sf_dir}` with adaptive execution on.",
         "Shuffles count the exchanges the final adaptive plan computes; `reused` counts",
         "exchanges read a second time without recomputation.  `read` is the columns the Parquet scan decodes, `pushed`",
-        "the filters handed to it.  Stream queries show the plan that reads their output.  Grouping",
-        "queries (group_values, cogroup) on inputs of more than 64 partitions first run a small job that",
-        "counts, checkpoints and sizes the per-key totals; at these sizes the counts are a small shuffle",
-        "inside the plan.",
+        "the filters handed to it.  Stream queries show the plan that reads their output.",
         "",
         "| query | shuffles | reused | broadcasts | python | read | pushed | why |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
     appendix: list[str] = []
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         df = fn(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -29,7 +29,7 @@ CHUNK = 10_000
 
 
 def timed(build) -> tuple[float, object]:
-    """Seconds to build the query (which may run sizing jobs) and run it; and the frame."""
+    """Seconds to build and run the query, and the frame."""
     t0 = time.perf_counter()
     df = build()
     df.write.format("noop").mode("overwrite").save()
@@ -47,9 +47,9 @@ def main() -> None:
         f"Generated by `scripts/scale_report.py` from `{sf_dir}/lineitem.parquet` (`local[8]`, 64 shuffle",
         "partitions, adaptive execution on).  Input ×k repeats every row k times with distinct values;",
         "each return flag stays a third of all rows.  Time is one run after a warm-up, through the",
-        f"`noop` sink, building the query included; `group_values` uses chunks of {CHUNK:,} (this input",
-        "has few partitions, so no separate sizing job runs).  The naive plan is the fastest on one node but its longest list is a",
-        "third of the input: at 100 TB it cannot run; the chunked plans keep every list near the target.",
+        f"`noop` sink, building the query included; `group_values` uses chunks of {CHUNK:,} (a hard",
+        "bound).  The naive plan is the fastest on one node but its longest list is a",
+        "third of the input: at 100 TB it cannot run; the chunked plans keep every list within the bound.",
         "",
         "| ×k | rows | plan | seconds | rows / s | longest list |",
         "| --- | --- | --- | --- | --- | --- |",
