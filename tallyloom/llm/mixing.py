@@ -93,14 +93,15 @@ def schedule(plan: DataFrame) -> DataFrame:
     the few that the points leave over are appended.
     """
     spark = plan.sparkSession
-    slots = plan.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+    slots, sources = plan.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.count("*")).first()
+    cells_in_all = max(_CELLS, 4 * sources)  # a cell meets a few sources, however many there are
     product = F.col("id").cast("decimal(19,0)") * F.lit(_PHI).cast("decimal(18,18)")
     point = (product - F.floor(product)).cast("double")
     points = spark.range(slots).select(F.col("id").alias("slot"), point.alias("u"))
-    points = points.withColumn("cell", F.floor(F.col("u") * _CELLS))
+    points = points.withColumn("cell", F.floor(F.col("u") * cells_in_all))
     cells = plan.filter("quota > 0").select(
         "position", "quota", "blocks", "lo", "hi",
-        F.explode(F.sequence(F.floor(F.col("lo") * _CELLS), F.floor(F.col("hi") * _CELLS))).alias("cell"),
+        F.explode(F.sequence(F.floor(F.col("lo") * cells_in_all), F.floor(F.col("hi") * cells_in_all))).alias("cell"),
     )
     hits = points.join(cells, "cell").filter("u >= lo AND u < hi")
     hits = hits.select("slot", "position", "quota", "blocks", F.floor(F.col("slot") / _buckets(slots)).alias("bucket"))
