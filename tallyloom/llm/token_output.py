@@ -36,7 +36,11 @@ BLOCK, PERCENTILE = 256, 95
 SHARD_IDS = 1 << 18
 #: Words of a generation remembered by a worker (it keeps two); texts encoded at a time, in characters.
 CACHE_WORDS, BATCH_CHARS = 300_000, 2 << 20
+#: New words encoded together.
+TOGETHER = 1000
 END_ID = 1
+#: A shard row: its partition and number, the ids of the partition's earlier shards, its ids, its image.
+SHARDS = "part int, shard int, before long, n_ids long, image binary"
 
 _HEAD = struct.Struct("<4sHIQI")
 _MAGIC = b"TLPF"
@@ -139,6 +143,26 @@ class _Words(dict):
         super().__init__({"": b""})
         self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        # a token whose text always stands alone, to tell words apart that are encoded together
+        alone = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.mark, self.mark_text = (alone[0][0], alone[0][1].content) if alone else (None, None)
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words, many at a time where a mark can part them."""
+        if self.mark is None:
+            rest = words
+        else:
+            rest = [w for w in words if self.mark_text[0] in w]  # might hold the mark, or a part of it
+            words = [w for w in words if self.mark_text[0] not in w]
+            for i in range(0, len(words), TOGETHER):
+                part = words[i : i + TOGETHER]
+                ids = np.array(self.tokenizer.encode(self.mark_text.join(part), add_special_tokens=False).ids, "<u4")
+                raw, at = ids.tobytes(), 0
+                for w, end in zip(part, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
+                    self[w] = raw[4 * at : 4 * end]
+                    at = end + 1
+        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # The tokenizer drops white space and never looks across it, so a
@@ -150,9 +174,7 @@ class _Words(dict):
             self.clear()
         missing = words.difference(self)
         self.update((w, self.older[w]) for w in missing & self.older.keys())
-        new = list(missing.difference(self.older))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self.learn(list(missing.difference(self.older)))
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
@@ -176,10 +198,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         encoder = _words(tokenizer_path)
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
-        held = 0
+        held = before = 0
 
         def row() -> pd.DataFrame:
-            return pd.DataFrame({"part": [part], "shard": [number], "n_ids": [held], "image": [write_shard(doc_ids, ids)]})
+            image = write_shard(doc_ids, ids)
+            return pd.DataFrame({"part": [part], "shard": [number], "before": [before], "n_ids": [held], "image": [image]})
 
         for batch in batches:
             texts, known = batch["text"].tolist(), batch["known"].tolist()
@@ -191,7 +214,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
                     held += len(own) // 4 + 1
                     if held >= SHARD_IDS:
                         yield row()
-                        number, doc_ids, ids, held = number + 1, [], [], 0
+                        number, before, doc_ids, ids, held = number + 1, before + held, [], [], 0
         if doc_ids:
             yield row()
 
@@ -199,41 +222,35 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = docs.select(key.alias("key"), text_or_empty(text_col).alias("text"))
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "key").sortWithinPartitions("key", "text")
     ready = ordered.select(F.coalesce("key", F.lit(0)).alias("key"), F.col("key").isNotNull().alias("known"), "text")
-    ready.mapInPandas(shards, "part int, shard int, n_ids long, image binary").write.parquet(path)
+    ready.mapInPandas(shards, SHARDS).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, ids)`` from the files: ids as little-endian bytes, ``start`` counts all ids before.
 
-    Starts are summed over partitions first (a row each), then over the shards
-    of a partition, then within a shard.
+    A start is the ids of earlier partitions (a sum over one row per
+    partition, which is broadcast), of earlier shards of the partition (kept
+    with the shard), and of earlier documents of the shard.
     """
     ship(spark)
-    table = spark.read.schema("part int, shard int, n_ids long, image binary").parquet(path)
+    table = spark.read.schema(SHARDS).parquet(path)
     total = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = total.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    own = Window.partitionBy("part").orderBy("shard")
-    index = table.select("part", "shard", "n_ids").join(before, "part").select(
-        "part", "shard", (F.col("base") + F.sum("n_ids").over(own) - F.col("n_ids")).alias("base")
-    )
+    base = total.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
 
     def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part, shard, image in zip(batch["part"], batch["shard"], batch["image"]):
+            for part, before, image in zip(batch["part"], batch["before"], batch["image"]):
                 keys, counts, ids = read_shard(image)
                 ends = np.cumsum(counts, dtype=np.int64)
                 raw = ids.astype("<u4").tobytes()
                 yield pd.DataFrame(
                     {
                         "part": part,
-                        "shard": shard,
                         "doc_id": pd.array(keys, dtype="Int64"),
-                        "local": ends - counts,
+                        "local": before + ends - counts,
                         "ids": [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist())],
                     }
                 )
 
-    read = table.select("part", "shard", "image").mapInPandas(
-        documents, "part int, shard int, doc_id long, local long, ids binary"
-    )
-    return read.join(index, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "ids")
+    read = table.select("part", "before", "image").mapInPandas(documents, "part int, doc_id long, local long, ids binary")
+    return read.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "ids")
