@@ -17,7 +17,9 @@ values; the rest are exceptions.  All integers are little-endian.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,9 +37,26 @@ BLOCK, PERCENTILE = 256, 95
 #: A shard is closed after the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
 #: Words of a generation remembered by a worker (it keeps two); texts encoded at a time, in characters.
-CACHE_WORDS, BATCH_CHARS = 300_000, 2 << 20
+CACHE_WORDS, BATCH_CHARS = 500_000, 2 << 20
 #: New words encoded together.
 TOGETHER = 1000
+# The normaliser and the first pre-tokenizer of a word tokenizer
+# that encodes the pieces of a word one by one, and its pattern for ASCII.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 END_ID = 1
 #: A shard row: its partition and number, the ids of the partition's earlier shards, its ids, its image.
 SHARDS = "part int, shard int, before long, n_ids long, image binary"
@@ -147,8 +166,22 @@ class _Words(dict):
         alone = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.mark, self.mark_text = (alone[0][0], alone[0][1].content) if alone else (None, None)
 
+        parts = json.loads(self.tokenizer.to_str())
+        self.by_piece = parts["normalizer"] == _NORMALIZER and (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0] == _SPLIT
+
     def learn(self, words: list[str]) -> None:
-        """Encode new words, many at a time where a mark can part them."""
+        """Ids of new words; printable ASCII words by their pieces where the tokenizer's rules for these are known."""
+        if self.by_piece:
+            simple = [w for w in words if w.isascii() and w.isprintable() and "<" not in w]
+            pieces = [_PIECE.findall(w.lower()) for w in simple]
+            self._encode(list({p for own in pieces for p in own if p not in self}))
+            for w, own in zip(simple, pieces):
+                self[w] = b"".join(map(self.__getitem__, own))
+            words = [w for w in words if w not in self]
+        self._encode(words)
+
+    def _encode(self, words: list[str]) -> None:
+        """Encode words, many at a time where a mark can part them."""
         if self.mark is None:
             rest = words
         else:

@@ -297,6 +297,22 @@ def test_op8_many_shards(spark, docs_dir, monkeypatch):
     assert spark.read.parquet(path).count() > 5
 
 
+def test_op8_words_by_piece():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer = token_output._Words(path), Tokenizer.from_file(path)
+    assert words.by_piece and words.mark is not None
+    rng = np.random.default_rng(9)
+    parts = ["a", "Don't", "'S", "'", "!", "12", "x_y", "<|endoftext|>", "<", "é", "Σ", "\t", "\x1c", "日本", "--", "'ll", "e\u0301", "\u0130", " ", "\n"]
+    texts = ["".join(rng.choice(parts, int(rng.integers(0, 30)))) for _ in range(400)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == [
+        e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)
+    ]
+    words.by_piece, words.mark = False, None
+    words.clear()
+    words[""] = b""
+    assert len(words.encode(texts[:5])) == 5
+
+
 def test_op8_blocks_round_trip():
     rng = np.random.default_rng(5)
     for n in (0, 1, 255, 256, 257, 5000):
