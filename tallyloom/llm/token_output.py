@@ -23,7 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -36,8 +36,8 @@ from tallyloom.llm.common import by_size, ship, shuffle_partitions, text_or_empt
 BLOCK, PERCENTILE = 256, 95
 #: A shard is closed after the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
-#: Words of a generation remembered by a worker (it keeps two); texts encoded at a time, in characters.
-CACHE_WORDS, BATCH_CHARS = 500_000, 2 << 20
+#: Words of a generation (a worker keeps two) and pieces of words remembered; texts encoded at a time, in characters.
+CACHE_WORDS, CACHE_PIECES, BATCH_CHARS = 300_000, 700_000, 2 << 20
 #: New words encoded together.
 TOGETHER = 1000
 # The normaliser and the first pre-tokenizer of a word tokenizer
@@ -161,6 +161,7 @@ class _Words(dict):
 
         super().__init__({"": b""})
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         # a token whose text always stands alone, to tell words apart that are encoded together
         alone = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
@@ -174,13 +175,15 @@ class _Words(dict):
         if self.by_piece:
             simple = [w for w in words if w.isascii() and w.isprintable() and "<" not in w]
             pieces = [_PIECE.findall(w.lower()) for w in simple]
-            self._encode(list({p for own in pieces for p in own if p not in self}))
+            if len(self.pieces) > CACHE_PIECES:
+                self.pieces.clear()
+            self._encode(list(set(filterfalse(self.pieces.__contains__, chain.from_iterable(pieces)))), self.pieces)
             for w, own in zip(simple, pieces):
-                self[w] = b"".join(map(self.__getitem__, own))
+                self[w] = b"".join(map(self.pieces.__getitem__, own))
             words = [w for w in words if w not in self]
-        self._encode(words)
+        self._encode(words, self)
 
-    def _encode(self, words: list[str]) -> None:
+    def _encode(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode words, many at a time where a mark can part them."""
         if self.mark is None:
             rest = words
@@ -192,20 +195,19 @@ class _Words(dict):
                 ids = np.array(self.tokenizer.encode(self.mark_text.join(part), add_special_tokens=False).ids, "<u4")
                 raw, at = ids.tobytes(), 0
                 for w, end in zip(part, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
-                    self[w] = raw[4 * at : 4 * end]
+                    into[w] = raw[4 * at : 4 * end]
                     at = end + 1
         for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+            into[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # The tokenizer drops white space and never looks across it, so a
         # text's ids are its words' ids joined; only new words are encoded.
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set(chain.from_iterable(split))
         if len(self) > CACHE_WORDS:
             self.older = dict(self)
             self.clear()
-        missing = words.difference(self)
+        missing = set(filterfalse(self.__contains__, chain.from_iterable(split)))
         self.update((w, self.older[w]) for w in missing & self.older.keys())
         self.learn(list(missing.difference(self.older)))
         return [b"".join(map(self.__getitem__, words)) for words in split]
