@@ -40,22 +40,33 @@ def materialize(df: DataFrame, kind: str) -> DataFrame:
 def number_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` of ``docs`` with a row number ``_rid``, unique and ascending in scan order.
 
-    The number repeats when the same files are scanned again, so it can join
-    rows of two scans of one table; give operators a table scan, not a frame
-    whose row order changes from run to run.  Only the named columns are
-    taken, so no other column can clash with those an operator adds.
+    The number depends on how the scan is split, which may differ from one scan
+    to the next: numbers of two scans must never meet in a join.  What is read
+    more than once is numbered by ``store_numbered`` or ``store_rows``.  Only
+    the named columns are taken, so no other column can clash with those an
+    operator adds.
     """
     return docs.select(F.monotonically_increasing_id().alias(RID), *columns)
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """``(_rid, row)``: whole rows as one struct, to be joined by number and opened again with ``row.*``."""
-    return number_rows(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+def store_numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``number_rows``, written and read back: the number is stored with its row and never computed again."""
+    return materialize(number_rows(docs, *columns), "numbered")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``kept (_rid)``; columns unchanged."""
-    return whole_rows(docs).join(kept.select(RID), RID, "left_semi").select("row.*")
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``row``, to be opened again with ``row.*``."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def store_rows(docs: DataFrame) -> DataFrame:
+    """``(_rid, row)``: whole rows under a stored number."""
+    return store_numbered(docs, whole_row(docs))
+
+
+def keep_rows(stored: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``store_rows`` whose number is in ``kept (_rid)``, with their own columns."""
+    return stored.join(kept.select(RID), RID, "left_semi").select("row.*")
 
 
 def crc_mod(column: str, divisor: int) -> Column:

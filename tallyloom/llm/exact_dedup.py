@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, keep_rows, materialize, number_rows, text_or_empty
+from tallyloom.llm.common import RID, keep_rows, materialize, store_numbered, store_rows, text_or_empty
 
 #: White space runs that are not already one space.
 _SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -62,9 +62,8 @@ def _verified(numbered: DataFrame, table: DataFrame, bits: int) -> DataFrame:
     return table.join(fixes, RID, "left").withColumn("recipe", resolved).drop("fix")
 
 
-def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64) -> DataFrame:
-    """``(_rid, id_col, recipe, text_sha256)`` per row: the verified chunk identifiers in order."""
-    numbered = number_rows(docs, F.col(id_col), normalise(text_col).alias("_norm"))
+def recipes(numbered: DataFrame, id_col: str, bits: int = 64) -> DataFrame:
+    """``(_rid, id_col, recipe, text_sha256)`` per row of stored ``(_rid, id_col, _norm)``: the verified chunk identifiers in order."""
     recipe = F.transform(
         chunks(F.col("_norm")), lambda c: F.struct(chunk_id(c, bits).alias("id"), F.lit(0).alias("variant"))
     )
@@ -83,7 +82,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text counts as empty, and all empty texts are one group.  An empty
     table gives an empty result; other input columns are ignored.
     """
-    table = recipes(docs, id_col, text_col, bits)
+    return _groups(store_numbered(docs, F.col(id_col), normalise(text_col).alias("_norm")), id_col, bits)
+
+
+def _groups(numbered: DataFrame, id_col: str, bits: int = 64) -> DataFrame:
+    """``exact_dedup`` of stored ``(_rid, id_col, _norm)``."""
+    table = recipes(numbered, id_col, bits)
     order = F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col(RID))
     groups = table.groupBy("recipe").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
     # the narrow side of a join on recipes: the hash first, so that long lists are seldom compared in full
@@ -101,4 +105,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns unchanged."""
-    return keep_rows(docs, exact_dedup(docs, id_col, text_col).filter("kept"))
+    stored, row = store_rows(docs), F.col("row")
+    numbered = stored.select(RID, row[id_col].alias(id_col), normalise(row[text_col]).alias("_norm"))
+    return keep_rows(stored, _groups(numbered, id_col).filter("kept"))

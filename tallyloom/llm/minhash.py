@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, by_size, keep_rows, materialize, number_rows, ship, text_or_empty
+from tallyloom.llm.common import RID, by_size, keep_rows, materialize, ship, store_numbered, store_rows, text_or_empty
 from tallyloom.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -113,8 +113,8 @@ def bands(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketch_table(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``(_rid, doc_id, n_shingles, set_id, bands)`` per row; ``set_id`` is a 128-bit hash of the whole set."""
+def sketch_table(rows: DataFrame, width: int) -> DataFrame:
+    """``(_rid, n_shingles, set_id, bands)`` per row of ``(_rid, text)``; ``set_id`` is a 128-bit hash of the whole set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,11 +135,10 @@ def sketch_table(docs: DataFrame, width: int, id_col: str, text_col: str) -> Dat
                     }
                 )
 
-    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
-    return rows.mapInPandas(run, f"{RID} long, n_shingles long, set_id binary, bands array<long>")
+    return rows.select(RID, "text").mapInPandas(run, f"{RID} long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int, text_col: str) -> DataFrame:
+def _sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """``(node, shingles)``: the sorted shingle hashes of the given rows as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,8 +147,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int, text_col: str) -> DataF
                 {"node": batch[RID], "shingles": [shingles(t, width).astype("<u8").tobytes() for t in batch["text"]]}
             )
 
-    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
-    return rows.join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInPandas(run, "node long, shingles binary")
+    return rows.select(RID, "text").join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInPandas(run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -252,9 +250,14 @@ def near_dedup(
     shingles, are linked with nothing and are kept.  Other columns are ignored;
     an empty table gives an empty result.
     """
-    ship(docs.sparkSession)
-    ids = number_rows(docs, F.col(id_col).alias("doc_id"))
-    table = materialize(sketch_table(docs, width, id_col, text_col), "sketches")
+    return _near(store_numbered(docs, F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")), width, percent)
+
+
+def _near(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``near_dedup`` of stored ``(_rid, doc_id, text)``."""
+    ship(rows.sparkSession)
+    ids = rows.select(RID, "doc_id")
+    table = materialize(sketch_table(rows, width), "sketches")
     full = table.filter("n_shingles > 0")
     first = full.groupBy("set_id").agg(F.min(RID).alias("node"))
     nodes = full.join(first.select(F.col("node").alias(RID)), RID)
@@ -266,7 +269,7 @@ def near_dedup(
     # a node that meets many others is likely their common original: the leader of its buckets
     weight = shared.groupBy("node").agg(F.sum("c").alias("w"))
     shared = materialize(shared.join(weight, "node").select("key", "node", "n", "w"), "shared-entries")
-    sets = materialize(_sets(docs, weight.select("node"), width, text_col), "shingle-sets")
+    sets = materialize(_sets(rows, weight.select("node"), width), "shingle-sets")
     links = joined = tried = None
     for turn in range(LEADERS + 1):
         open_ = materialize(_open_entries(shared, joined), "open-entries")
@@ -296,4 +299,6 @@ def near_dedup(
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every group of near copies; columns unchanged."""
-    return keep_rows(docs, near_dedup(docs, id_col, text_col).filter("kept"))
+    stored, row = store_rows(docs), F.col("row")
+    rows = stored.select(RID, row[id_col].alias("doc_id"), text_or_empty(row[text_col]).alias("text"))
+    return keep_rows(stored, _near(rows).filter("kept"))

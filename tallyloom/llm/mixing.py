@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from math import isqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, text_or_empty, whole_rows
+from tallyloom.llm.common import RID, materialize, number_rows, store_rows, text_or_empty
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -35,12 +35,15 @@ def _buckets(rows: int) -> int:
     return isqrt(max(rows, 1)) + 1
 
 
+def _sized(doc_id: Column, text: Column, source: Column) -> list[Column]:
+    """``doc_id, source, size``: the size is words (runs of anything but ASCII white space)."""
+    words = F.regexp_count(text_or_empty(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    return [doc_id.alias("doc_id"), source.cast("string").alias("source"), words.alias("size")]
+
+
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(_rid, doc_id, source, size)``: words (runs of anything but ASCII white space) of every row."""
-    words = F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    return number_rows(
-        docs, F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")
-    )
+    """``(_rid, doc_id, source, size)`` of every row."""
+    return number_rows(docs, *_sized(F.col(id_col), F.col(text_col), F.col(source_col)))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -152,7 +155,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     result.  Ties in the shuffle go by id, size and place in the scan, and
     reruns over the same rows agree.
     """
-    sizes = materialize(document_sizes(docs, id_col, text_col, source_col), "sizes")
+    return _mix(materialize(document_sizes(docs, id_col, text_col, source_col), "sizes"))
+
+
+def _mix(sizes: DataFrame) -> DataFrame:
+    """``mix`` of stored ``(_rid, doc_id, source, size)``."""
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     plan = materialize(_plan(source_targets(sizes), total), "mix-plan")
     uses = schedule(plan).groupBy("position", "block").agg(F.count("*").alias("uses"))
@@ -179,8 +186,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Columns are those of ``docs``.  Rows without words are left out (they
     weigh nothing).
     """
-    result = mix(docs, id_col, text_col, source_col)
+    stored, row = store_rows(docs), F.col("row")
+    result = _mix(materialize(stored.select(RID, *_sized(row[id_col], row[text_col], row[source_col])), "sizes"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     plan = result.filter("size > 0").select(RID, copies.alias("_copies")).filter("_copies > 0")
-    copied = whole_rows(docs).join(plan, RID).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+    copied = stored.join(plan, RID).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
     return copied.select("row.*")

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, crc_mod, keep_rows, materialize, number_rows, ship, text_or_empty
+from tallyloom.llm.common import RID, crc_mod, materialize, number_rows, ship, text_or_empty, whole_row
 
 #: Bound of the training sample, in labelled rows chosen by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -177,15 +177,15 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     return model
 
 
-def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_rid, doc_id, x)``: the features of every whole text."""
+def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """``(_rid, doc_id, x)``: the features of every whole text; ``more`` columns are taken along."""
     ship(docs.sparkSession)
 
     @F.pandas_udf("array<double>")
     def features_of(texts: pd.Series) -> pd.Series:
         return pd.Series(list(features(texts.tolist())))
 
-    return number_rows(docs, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"))
+    return number_rows(docs, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"), *more)
 
 
 def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", fold: int = 1, folds: int = 3) -> Model:
@@ -203,8 +203,8 @@ def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", fold:
     return fit(x, (rows["y"].to_numpy() > 0).astype(float))
 
 
-def predict(table: DataFrame, model: Model, fold: int = 1, folds: int = 3) -> DataFrame:
-    """``(_rid, doc_id, held_out, score, predicted)`` of a feature table."""
+def scored(table: DataFrame, model: Model) -> DataFrame:
+    """A feature table with ``score``."""
     shared = table.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -213,8 +213,12 @@ def predict(table: DataFrame, model: Model, fold: int = 1, folds: int = 3) -> Da
         for x in batches:
             yield pd.Series(own.score(np.array(x.tolist(), float).reshape(len(x), len(FEATURES))))
 
-    scored = table.withColumn("score", score_of("x"))
-    return scored.select(
+    return table.withColumn("score", score_of("x"))
+
+
+def predict(table: DataFrame, model: Model, fold: int = 1, folds: int = 3) -> DataFrame:
+    """``(_rid, doc_id, held_out, score, predicted)`` of a feature table."""
+    return scored(table, model).select(
         RID, "doc_id", (crc_mod("doc_id", folds) == fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
@@ -233,4 +237,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted to be of low quality; columns unchanged."""
-    return keep_rows(docs, quality(docs, labels, id_col, text_col).filter("predicted = 1"))
+    table = materialize(feature_table(docs, id_col, text_col, whole_row(docs)), "features")
+    return scored(table, train(table, labels)).filter("score >= 0.5").select("row.*")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, ship, shuffle_partitions, text_or_empty
+from tallyloom.llm.common import RID, materialize, ship, shuffle_partitions, store_numbered, text_or_empty
 
 LEAST = 200
 #: Bytes of an anchor; a 200-byte string has LEAST - ANCHOR + 1 of them.
@@ -142,8 +142,8 @@ def text_anchors(texts: list[bytes], least: int = LEAST, k: int = ANCHOR) -> Ite
         yield from flush()
 
 
-def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFrame:
-    """``(anchor, context, _rid, at, more, lo, hi)``: every anchor with a hash of its context ``[at - lo, at + hi)``.
+def _occurrences(rows: DataFrame, least: int, k: int) -> DataFrame:
+    """``(anchor, context, _rid, at, more, lo, hi)`` of stored ``(_rid, text)``: every anchor with a hash of its context ``[at - lo, at + hi)``.
 
     Anchors of one text with equal contexts are one row: ``at`` is the first
     place, ``more`` has the others (null if there are none).
@@ -191,8 +191,7 @@ def _occurrences(docs: DataFrame, text_col: str, least: int, k: int) -> DataFram
             if found:
                 yield frame(found)
 
-    rows = number_rows(docs, text_or_empty(text_col).alias("text"))
-    return rows.mapInPandas(run, f"anchor long, context long, {RID} long, at int, more array<int>, lo short, hi short")
+    return rows.select(RID, "text").mapInPandas(run, f"anchor long, context long, {RID} long, at int, more array<int>, lo short, hi short")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -329,12 +328,10 @@ def _large_groups(contexts: DataFrame, least: int) -> DataFrame:
     return hit.agg(F.max("before").alias("before"), (F.lit(least) - F.min("before")).alias("after"))
 
 
-def repeated_intervals(
-    docs: DataFrame, text_col: str = "text", least: int = LEAST, k: int = ANCHOR, group_variants: int = GROUP_VARIANTS
-) -> DataFrame:
-    """``(_rid, first, last)``: byte ranges ``[first, last)``, together all bytes that repeated strings cover."""
-    ship(docs.sparkSession)
-    occurrences = _occurrences(docs, text_col, least, k)
+def repeated_intervals(rows: DataFrame, least: int = LEAST, k: int = ANCHOR, group_variants: int = GROUP_VARIANTS) -> DataFrame:
+    """``(_rid, first, last)`` of stored ``(_rid, text)``: byte ranges ``[first, last)``, together all bytes that repeated strings cover."""
+    ship(rows.sparkSession)
+    occurrences = _occurrences(rows, least, k)
     places = F.lit(1) + F.coalesce(F.array_size("more"), F.lit(0))
     repeated = occurrences.groupBy("anchor").agg(F.sum(places).alias("n")).filter("n > 1").select("anchor")
     hits = materialize(occurrences.join(repeated, "anchor"), "anchor-hits")
@@ -344,8 +341,7 @@ def repeated_intervals(
     chosen = materialize(variants.join(groups, "anchor").select("anchor", "context", "n", "variants", "one.*"), "variants")
     # the bytes of one occurrence per variant, cut out of its text in place
     wanted = chosen.groupBy(RID).agg(F.collect_list(F.struct("anchor", "context", "n", "variants", "at", "lo", "hi")).alias("w"))
-    rows = number_rows(docs, text_or_empty(text_col).cast("binary").alias("data"))
-    cut = rows.join(wanted, RID).select(F.explode("w").alias("w"), "data")
+    cut = rows.select(RID, F.col("text").cast("binary").alias("data")).join(wanted, RID).select(F.explode("w").alias("w"), "data")
     contexts = cut.select(
         "w.anchor", "w.context", "w.n", "w.variants", "w.lo",
         F.col("data").substr(F.col("w.at") - F.col("w.lo") + 1, F.col("w.lo") + F.col("w.hi")).alias("bytes"),
@@ -389,7 +385,8 @@ def remove_repeats(
     all of it; matches never cross rows; other columns are ignored; an empty
     table gives an empty result.
     """
-    found = repeated_intervals(docs, text_col, least, k, group_variants)
+    rows = store_numbered(docs, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    found = repeated_intervals(rows, least, k, group_variants)
     spans = found.groupBy(RID).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
     empty = F.array().cast("array<int>")
 
@@ -405,7 +402,6 @@ def remove_repeats(
             frame.insert(0, "doc_id", batch["doc_id"].array)
             yield frame
 
-    rows = number_rows(docs, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     joined = rows.join(spans, RID, "left").select(
         "doc_id", "text", F.coalesce("first", empty).alias("first"), F.coalesce("last", empty).alias("last")
     )
