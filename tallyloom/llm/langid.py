@@ -25,14 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_size, crc_mod, ship, text_or_empty
+from tallyloom.llm.common import by_lengths, by_size, crc_mod, ship, text_or_empty
 
 #: Bounds of the training sample: texts of each language, characters of each
 #: (a window at a place chosen by a hash), and languages (the most frequent).
 DOCS_PER_LANG, SAMPLE_CHARS, MAX_LANGS = 400, 1500, 64
 EPOCHS, RATE, SEQUENCE, BATCH = 2, 0.3, 48, 64
-#: Hashed features; features of one word.
-BUCKETS, WORD_FEATURES = 1 << 15, 32
+#: Hashed features; features summed at a time.
+BUCKETS, SUM_FEATURES = 1 << 15, 1 << 16
 #: Words remembered by a worker; characters labelled at a time; words of a block.
 CACHE_WORDS, BATCH_CHARS, BLOCK = 700_000, 2 << 20, 32
 LEXICON_WORDS, LEXICON_LEAST = 20_000, 3
@@ -48,7 +48,7 @@ def words_of(text: str) -> list[str]:
 @dataclass
 class Model:
     langs: list[str]
-    emission: np.ndarray  # (features, languages); row 0 stays zero
+    emission: np.ndarray  # (features, languages)
     transition: np.ndarray  # (languages, languages), logarithms
     lexicon: dict[str, int]
     _seen: dict[str, int] = field(default_factory=dict, repr=False)
@@ -58,20 +58,29 @@ class Model:
         return {**self.__dict__, "_seen": {}, "_rows": None}
 
     def features(self, word: str) -> list[int]:
-        base = 1 + len(self.langs)
+        """All features of a word, however long: affixes and every character n-gram."""
+        base = len(self.langs)
         mark = f"^{word}$"
         own = [f"w{word}"]
         own += [f"p{word[:n]}" for n in (1, 2, 3) if len(word) > n] + [f"s{word[-n:]}" for n in (1, 2, 3) if len(word) > n]
         own += [f"g{mark[i : i + n]}" for n in (3, 2) for i in range(len(mark) - n + 1)]
-        out = [base + crc32(f.encode()) % BUCKETS for f in own[: WORD_FEATURES - 1]]
+        out = [base + crc32(f.encode()) % BUCKETS for f in own]
         lex = self.lexicon.get(word)
-        return out if lex is None else [1 + lex, *out]
-
-    def feature_rows(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), WORD_FEATURES), np.int32)
-        for i, w in enumerate(words):
-            f = self.features(w)
-            out[i, : len(f)] = f
+        return out if lex is None else [lex, *out]
+
+    def feature_lists(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(self.features(w), np.int32) for w in words]
+
+    def sums(self, features: list[np.ndarray]) -> np.ndarray:
+        """Emission scores of words given by their features, ``SUM_FEATURES`` or one longer word at a time."""
+        out = np.zeros((len(features), len(self.langs)), np.float32)
+        sizes = [len(f) for f in features]
+        for i, j in by_lengths(sizes, SUM_FEATURES):
+            if sizes[i] > SUM_FEATURES:
+                out[i] = np.bincount(features[i], minlength=len(self.emission)) @ self.emission
+            else:
+                starts = np.cumsum([0, *sizes[i : j - 1]])
+                out[i:j] = np.add.reduceat(self.emission[np.concatenate(features[i:j])], starts, axis=0)
         return out
 
     def emissions(self, words: list[str]) -> np.ndarray:
@@ -85,7 +94,7 @@ class Model:
         at = len(seen)
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
-            self._rows[at + i : at + i + len(part)] = self.emission[self.feature_rows(part)].sum(axis=1)
+            self._rows[at + i : at + i + len(part)] = self.sums(self.feature_lists(part))
         seen.update(zip(new, range(at, at + len(new))))
         return self._rows[np.fromiter(map(seen.__getitem__, words), np.int64, len(words))]
 
@@ -185,10 +194,10 @@ def fit(langs: list[str], rows: list[tuple[str, str]], seed: int = 7) -> Model:
     totals = np.array([max(1, sum(c[i] for c in use.values())) for i in range(k)])
     common = sorted((w for w, c in use.items() if c.total() >= LEXICON_LEAST), key=lambda w: (-use[w].total(), w))
     lexicon = {w: int(np.argmax([use[w][i] / totals[i] for i in range(k)])) for w in common[:LEXICON_WORDS]}
-    model = Model(langs, np.zeros((1 + k + BUCKETS, k), np.float32), np.zeros((k, k)), lexicon)
+    model = Model(langs, np.zeros((k + BUCKETS, k), np.float32), np.zeros((k, k)), lexicon)
     words = sorted(use)
     number = {w: i for i, w in enumerate(words)}
-    feature = model.feature_rows(words)
+    features = model.feature_lists(words)
     # sequences of SEQUENCE words, cut across pieces
     rng.shuffle(pieces)
     xs = np.array([number[w] for _, p in pieces for w in p], np.int64)
@@ -200,20 +209,24 @@ def fit(langs: list[str], rows: list[tuple[str, str]], seed: int = 7) -> Model:
     square_w, square_t = np.full(model.emission.shape, 1e-6, np.float32), np.full((k, k), 1e-6)
     for _ in range(EPOCHS):
         for at in np.array_split(rng.permutation(n), -(-n // BATCH)):
-            grad_w, grad_t = _gradient(model, feature[xs[at]], ys[at])
-            square_w += grad_w**2
+            rows, grad_w, grad_t = _gradient(model, features, xs[at], ys[at])
+            square_w[rows] += grad_w**2
             square_t += grad_t**2
-            model.emission -= RATE * grad_w / np.sqrt(square_w)
+            model.emission[rows] -= RATE * grad_w / np.sqrt(square_w[rows])
             model.transition -= RATE * grad_t / np.sqrt(square_t)
-            model.emission[0] = 0
     return model
 
 
-def _gradient(model: Model, f: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient of the mean negative log-likelihood of a batch of equal-length sequences."""
-    b, t, _ = f.shape
+def _gradient(model: Model, features: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradient of the mean negative log-likelihood of a batch of equal-length sequences of words.
+
+    That of the emissions is given for the features that occur, with their numbers first.
+    """
+    b, t = x.shape
     k = len(model.langs)
-    scores = model.emission[f].sum(axis=2)
+    own, word = np.unique(x.ravel(), return_inverse=True)
+    lists = [features[i] for i in own]
+    scores = model.sums(lists)[word].reshape(b, t, k)
     e = np.exp(scores - scores.max(axis=2, keepdims=True)).astype(np.float64)
     w = np.exp(model.transition)
     a = w / w.sum(axis=1, keepdims=True)
@@ -237,11 +250,14 @@ def _gradient(model: Model, f: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, n
     grad_t = gap - a * gap.sum(axis=1, keepdims=True)
     diff = np.swapaxes(post, 0, 1).copy()
     diff[np.arange(b)[:, None], np.arange(t), y] -= 1
-    ids, diff = f.reshape(-1), diff.reshape(-1, k) / b
-    grad_w = np.empty(model.emission.shape, np.float32)
+    diff = diff.reshape(-1, k) / b
+    rows, place = np.unique(np.concatenate(lists), return_inverse=True)
+    sizes = [len(f) for f in lists]
+    grad_w = np.empty((len(rows), k), np.float32)
     for j in range(k):
-        grad_w[:, j] = np.bincount(ids, np.repeat(diff[:, j], f.shape[2]), minlength=len(grad_w))
-    return grad_w, grad_t / b
+        of_word = np.bincount(word, diff[:, j], minlength=len(own))
+        grad_w[:, j] = np.bincount(place, np.repeat(of_word, sizes), minlength=len(rows))
+    return rows, grad_w, grad_t / b
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: int = 2, folds: int = 4) -> Model:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections import Counter
 from itertools import cycle
 
+import numpy as np
 import pytest
 
 from awkward import docs, docs_dir, table  # noqa: F401  (fixtures)
 
-from tallyloom.llm import common, exact_dedup, minhash, mixing, quality, repeats
+from tallyloom.llm import common, exact_dedup, langid, minhash, mixing, quality, repeats
 
 SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -51,3 +52,19 @@ def test_scans_may_be_split_differently(spark, docs, docs_dir, scratch, monkeypa
         assert rows_of(found) == expected
     finally:
         spark.conf.unset(SPLITS)
+
+
+def test_op2_long_words_are_judged_whole():
+    rng = np.random.default_rng(3)
+    text = lambda letters, n: "".join(rng.choice(list(letters), n))
+    rows = [(lang, " ".join(text(letters, 12) for _ in range(120))) for lang, letters in (("xa", "abcdef"), ("xb", "uvwxyz")) for _ in range(30)]
+    model = langid.fit(["xa", "xb"], rows)
+    ends_alike = "abcdef" * 5, "fedcba"
+    for middle, lang in (("uvwxyz", 1), ("abcdef", 0)):
+        for n in (400, 90_000):
+            word = ends_alike[0] + text(middle, n) + ends_alike[1]
+            assert model.posteriors([[word]])[0].argmax() == lang
+            assert len(model.features(word)) >= 2 * len(word)
+    short = ["abc", "uvw", "a"]
+    one = np.array([model.emission[model.features(w)].sum(axis=0) for w in short])
+    np.testing.assert_allclose(model.sums(model.feature_lists(short)), one, atol=1e-4)
