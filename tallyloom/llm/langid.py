@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import by_lengths, by_size, crc_mod, ship, text_or_empty
 
-#: Bounds of the training sample: texts of each language, characters of each
-#: (a window at a place chosen by a hash), and languages (the most frequent).
-DOCS_PER_LANG, SAMPLE_CHARS, MAX_LANGS = 400, 1500, 64
+#: Bounds of the training sample: texts of each language (of more than
+#: ``FULL_LANGS`` languages fewer each, but at least ``LEAST_DOCS``) and
+#: characters of each (a window at a place chosen by a hash).
+DOCS_PER_LANG, LEAST_DOCS, FULL_LANGS, SAMPLE_CHARS = 400, 20, 64, 1500
 EPOCHS, RATE, SEQUENCE, BATCH = 2, 0.3, 48, 64
 #: Hashed features; features summed at a time.
 BUCKETS, SUM_FEATURES = 1 << 15, 1 << 16
 #: Words remembered by a worker; characters labelled at a time; words of a block.
+#: The first two hold for up to ``FULL_LANGS`` languages and shrink with more.
 CACHE_WORDS, BATCH_CHARS, BLOCK = 700_000, 2 << 20, 32
 LEXICON_WORDS, LEXICON_LEAST = 20_000, 3
 UNKNOWN = "und"
@@ -45,6 +47,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def docs_per_lang(langs: int) -> int:
+    """How many texts of each language train: all of them together stay bounded as languages grow."""
+    return max(LEAST_DOCS, DOCS_PER_LANG * FULL_LANGS // max(FULL_LANGS, langs))
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -83,14 +90,18 @@ class Model:
                 out[i:j] = np.add.reduceat(self.emission[np.concatenate(features[i:j])], starts, axis=0)
         return out
 
+    def share(self, bound: int) -> int:
+        """A bound that holds for up to ``FULL_LANGS`` languages, for as many as the model has."""
+        return max(1, bound * FULL_LANGS // max(FULL_LANGS, len(self.langs)))
+
     def emissions(self, words: list[str]) -> np.ndarray:
         """Emission scores of every word; new words are added to a bounded memory."""
         seen = self._seen
         new = list({w for w in words if w not in seen})
-        if self._rows is None or len(seen) + len(new) > CACHE_WORDS:
+        if self._rows is None or len(seen) + len(new) > len(self._rows):
             seen.clear()
             new = list(set(words))
-            self._rows = np.zeros((max(CACHE_WORDS, len(new)), len(self.langs)), np.float32)
+            self._rows = np.zeros((max(self.share(CACHE_WORDS), len(new)), len(self.langs)), np.float32)
         at = len(seen)
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
@@ -113,6 +124,8 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transition: np.nda
     a = transition / transition.sum(axis=1, keepdims=True)
     e = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float64)
     e = np.maximum(e, 1e-12)
+    if k > FULL_LANGS:
+        return _stepwise(e, lengths, a)
     count = -(-lengths // block)
     first = np.cumsum(count) - count
     total = int(count.sum())
@@ -159,20 +172,43 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transition: np.nda
     return out / out.sum(axis=1, keepdims=True)
 
 
+def _stepwise(e: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """``forward_backward`` a word of every chain at a time: with many languages transfer matrices cost more than steps."""
+    order = np.argsort(-lengths, kind="stable")
+    sizes, starts = lengths[order], (np.cumsum(lengths) - lengths)[order]
+    alpha = np.empty_like(e)
+    v = np.full((len(lengths), e.shape[1]), 1.0 / e.shape[1])
+    longest = int(sizes[0])
+    open_ = np.searchsorted(-sizes, -np.arange(longest), side="left")
+    for t in range(longest):
+        at = starts[: open_[t]] + t
+        step = (v[: open_[t]] @ a) * e[at]
+        v = step / step.sum(axis=1, keepdims=True)
+        alpha[at] = v
+    v = np.ones((len(lengths), e.shape[1]))
+    for t in range(longest - 1, -1, -1):
+        at = starts[: open_[t]] + t
+        alpha[at] *= v[: open_[t]]
+        step = (e[at] * v[: open_[t]]) @ a.T
+        v[: open_[t]] = step / step.sum(axis=1, keepdims=True)
+    return alpha / alpha.sum(axis=1, keepdims=True)
+
+
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fold: int, folds: int) -> tuple[list[str], list[tuple[str, str]]]:
     """The languages and the bounded training sample of ``(lang, text)``; rows of the held-out fold are never used."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_mod(id_col, folds) != fold))
     known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return [], []
     langs = sorted(r["lang"] for r in counts)
+    bound = docs_per_lang(len(langs))
     h = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1_000_000))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, DOCS_PER_LANG / r["count"])))])
-    picked = known.filter(h < F.try_element_at(share, F.col("lang")) * 1_000_000)
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, bound / r["count"])) for r in counts], "lang string, share double")
+    picked = known.join(F.broadcast(share), "lang").filter(h < F.col("share") * 1_000_000)
     offset = F.pmod(F.xxhash64(F.lit("window"), "id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
     window = F.substring("text", offset.cast("int"), SAMPLE_CHARS)
-    rows = picked.select("lang", window.alias("text")).limit(2 * DOCS_PER_LANG * len(langs)).collect()
+    rows = picked.select("lang", window.alias("text")).limit(2 * bound * len(langs)).collect()
     return langs, sorted((r["lang"], r["text"]) for r in rows)
 
 
@@ -241,12 +277,14 @@ def _gradient(model: Model, features: list[np.ndarray], x: np.ndarray, y: np.nda
         beta[i] = v / v.sum(axis=1, keepdims=True)
     post = alpha * beta
     post /= post.sum(axis=2, keepdims=True)
-    pair = alpha[:-1, :, :, None] * a * (np.swapaxes(e, 0, 1)[1:] * beta[1:])[:, :, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    # expected pairs, summed over all places, without a matrix for each place
+    after = (np.swapaxes(e, 0, 1)[1:] * beta[1:]).reshape(-1, k)
+    before = alpha[:-1].reshape(-1, k)
+    pair = a * ((before / ((before @ a) * after).sum(axis=1, keepdims=True)).T @ after)
     want = np.zeros((k, k))
     np.add.at(want, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
     # transitions are normalised by row: the gradient of log a given expected and observed pairs
-    gap = pair.sum(axis=(0, 1)) - want
+    gap = pair - want
     grad_t = gap - a * gap.sum(axis=1, keepdims=True)
     diff = np.swapaxes(post, 0, 1).copy()
     diff[np.arange(b)[:, None], np.arange(t), y] -= 1
@@ -283,7 +321,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         own = shared.value
         for batch in batches:
             texts = batch["text"].tolist()
-            for i, j in by_size(texts, BATCH_CHARS):
+            for i, j in by_size(texts, own.share(BATCH_CHARS)):
                 words = [words_of(t) for t in texts[i:j]]
                 yield _summary(own, words).assign(doc_id=batch["doc_id"].iloc[i:j].array)[
                     ["doc_id", "lang_pred", "score", "n_words", "n_switches"]

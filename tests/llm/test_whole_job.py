@@ -10,7 +10,7 @@ import pytest
 
 from awkward import docs, docs_dir, table  # noqa: F401  (fixtures)
 
-from tallyloom.llm import common, exact_dedup, langid, minhash, mixing, quality, repeats
+from tallyloom.llm import common, exact_dedup, langid, minhash, mixing, quality, queries, repeats
 
 SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -68,3 +68,27 @@ def test_op2_long_words_are_judged_whole():
     short = ["abc", "uvw", "a"]
     one = np.array([model.emission[model.features(w)].sum(axis=0) for w in short])
     np.testing.assert_allclose(model.sums(model.feature_lists(short)), one, atol=1e-4)
+
+
+def test_op2_learns_every_language(spark, scratch):
+    # 70 languages, each with words of its own; the rarest come last in number and name
+    rng = np.random.default_rng(5)
+    own = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(12)] for k in range(70)}
+    rows = [(lang, " ".join(rng.choice(words, 40))) for k, (lang, words) in enumerate(own.items()) for _ in range(20 if k < 64 else 12)]
+    data = [(i, *row) for i, row in enumerate(rows)]
+    spark.createDataFrame(data, "doc_id long, lang string, text string").write.parquet(f"{scratch}/documents.parquet")
+    found = queries.op2_langid(spark, scratch).collect()
+    lang = {i: x for i, x, _ in data}
+    for rare in (False, True):
+        held = [r for r in found if r.held_out and (lang[r.doc_id] >= "l64") == rare]
+        assert held and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_op2_forward_backward_of_many_languages_is_exact(monkeypatch):
+    rng = np.random.default_rng(0)
+    lengths, w = np.array([1, 70, 33, 64, 70]), np.exp(rng.normal(size=(3, 3)))
+    scores = rng.normal(size=(lengths.sum(), 3))
+    blocked = langid.forward_backward(scores, lengths, w)
+    monkeypatch.setattr(langid, "FULL_LANGS", 2)
+    np.testing.assert_allclose(langid.forward_backward(scores, lengths, w), blocked, atol=1e-12)
+    assert [langid.docs_per_lang(k) for k in (0, 1, 2, 4, 1000)] == [400, 400, 400, 200, 20]
