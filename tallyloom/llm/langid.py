@@ -195,20 +195,25 @@ def _stepwise(e: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fold: int, folds: int) -> tuple[list[str], list[tuple[str, str]]]:
-    """The languages and the bounded training sample of ``(lang, text)``; rows of the held-out fold are never used."""
+    """The languages and the bounded training sample of ``(lang, text)``; rows of the held-out fold are never used.
+
+    Rows are chosen by a hash of id and text, and copies of a row count once.
+    """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_mod(id_col, folds) != fold))
     known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = known.groupBy("lang").count().collect()
+    known = known.withColumn("key", F.xxhash64(F.lit("langid"), "id", "text"))
+    counts = known.select("lang", "key").distinct().groupBy("lang").count().collect()
     if not counts:
         return [], []
     langs = sorted(r["lang"] for r in counts)
     bound = docs_per_lang(len(langs))
-    h = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1_000_000))
+    h = F.pmod("key", F.lit(1 << 40))
     share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, bound / r["count"])) for r in counts], "lang string, share double")
-    picked = known.join(F.broadcast(share), "lang").filter(h < F.col("share") * 1_000_000)
+    picked = known.join(F.broadcast(share), "lang").filter(h < F.col("share") * (1 << 40))
     offset = F.pmod(F.xxhash64(F.lit("window"), "id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
     window = F.substring("text", offset.cast("int"), SAMPLE_CHARS)
-    rows = picked.select("lang", window.alias("text")).limit(2 * bound * len(langs)).collect()
+    once = picked.select("lang", "key", window.alias("text")).dropDuplicates(["lang", "key"])
+    rows = once.orderBy("key", "lang").limit(2 * bound * len(langs)).collect()
     return langs, sorted((r["lang"], r["text"]) for r in rows)
 
 

@@ -192,13 +192,15 @@ def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", fold:
     """A model from at most ``TRAIN_ROWS`` labelled rows outside the held-out fold (crc32 of the id, modulo ``folds``).
 
     A label is the greatest of a document's labels; null labels are not used.
+    Rows that repeat an id train once, by the least of their features.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", folds) != fold))
     known = known.groupBy("doc_id").agg(F.max(label_col).cast("double").alias("y"))
     size = max(1, known.count())
     h = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000))
     picked = known.filter(h < 1_000_000 * min(1.0, TRAIN_ROWS / size)).join(table.select("doc_id", "x"), "doc_id")
-    rows = picked.select("doc_id", "y", "x").limit(TRAIN_ROWS + TRAIN_ROWS // 10).toPandas().sort_values("doc_id")
+    once = picked.groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id")
+    rows = once.limit(TRAIN_ROWS + TRAIN_ROWS // 10).toPandas().sort_values("doc_id")
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(x, (rows["y"].to_numpy() > 0).astype(float))
 
@@ -228,7 +230,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     Only the text is scored: null and empty texts have all features 0 and are
     scored like any other; repeated rows are scored each (and, if labelled,
-    train each).  Without labelled rows, or with one label only, the score is
+    train once).  Without labelled rows, or with one label only, the score is
     the smoothed share of label 1.  An empty table gives an empty result.
     """
     table = materialize(feature_table(docs, id_col, text_col), "features")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from itertools import cycle
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -92,3 +93,24 @@ def test_op2_forward_backward_of_many_languages_is_exact(monkeypatch):
     monkeypatch.setattr(langid, "FULL_LANGS", 2)
     np.testing.assert_allclose(langid.forward_backward(scores, lengths, w), blocked, atol=1e-12)
     assert [langid.docs_per_lang(k) for k in (0, 1, 2, 4, 1000)] == [400, 400, 400, 200, 20]
+
+
+def test_op2_copies_of_one_row_leave_room_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "DOCS_PER_LANG", 80)
+    rows = [(0, "xa", "hot text")] * 3000 + [(i, "xa", f"text {i}") for i in range(1, 40)] + [(None, "xa", f"no id {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    used = {t for i, _, t in rows if crc32(str("" if i is None else i).encode()) % 4 != 2}
+    assert "no id 3" in used and "hot text" in used
+    langs, found = langid.sample(df, "doc_id", "text", "lang", 2, 4)
+    assert langs == ["xa"] and sorted(t for _, t in found) == sorted(used)
+
+
+def test_op4_copies_of_one_id_leave_room_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 200)
+    width, got = len(quality.FEATURES), []
+    monkeypatch.setattr(quality, "fit", lambda x, y: got.append((x, y)))
+    rows = [(0, [0.0] * width)] * 3000 + [(i, [float(i)] * width) for i in range(1, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    quality.train(spark.createDataFrame(rows, "doc_id long, x array<double>"), labels)
+    used = [i for i in range(60) if crc32(str(i).encode()) % 3 != 1]
+    assert 0 in used and got[0][0][:, 0].tolist() == used and got[0][1].tolist() == [i % 2 for i in used]
