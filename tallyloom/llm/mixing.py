@@ -155,11 +155,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     result.  Ties in the shuffle go by id, size and place in the scan, and
     reruns over the same rows agree.
     """
-    return _mix(materialize(document_sizes(docs, id_col, text_col, source_col), "sizes"))
+    return _mix(materialize(document_sizes(docs, id_col, text_col, source_col), "sizes")).drop("position")
 
 
 def _mix(sizes: DataFrame) -> DataFrame:
-    """``mix`` of stored ``(_rid, doc_id, source, size)``."""
+    """``mix`` of stored ``(_rid, doc_id, source, size)``, with the ``position`` of the source."""
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     plan = materialize(_plan(source_targets(sizes), total), "mix-plan")
     uses = schedule(plan).groupBy("position", "block").agg(F.count("*").alias("uses"))
@@ -176,7 +176,7 @@ def _mix(sizes: DataFrame) -> DataFrame:
         .agg(F.sum(words * F.col("uses")).cast("long").alias("taken"))
     )
     return streams.join(taken, RID, "left").select(
-        RID, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        RID, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "position"
     )
 
 
@@ -184,11 +184,19 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix as whole documents: every row as often as its taken words, rounded, hold its size.
 
     Columns are those of ``docs``.  Rows without words are left out (they
-    weigh nothing).
+    weigh nothing).  A source takes a prefix of its stream once more than the
+    rest, so only the document at the end of that prefix is rounded.  A source
+    with a target above 0 of which rounding would leave nothing gives the
+    document with the most taken words once (ties: the shortest, then the first
+    of the scan).
     """
     stored, row = store_rows(docs), F.col("row")
     result = _mix(materialize(stored.select(RID, *_sized(row[id_col], row[text_col], row[source_col])), "sizes"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    plan = result.filter("size > 0").select(RID, copies.alias("_copies")).filter("_copies > 0")
+    plan = materialize(result.filter("size > 0").select(RID, "position", "size", "target", "taken", copies.alias("_copies")), "copies")
+    most = F.max(F.struct("taken", (-F.col("size")).alias("s"), (-F.col(RID)).alias("r"))).alias("most")
+    lost = plan.groupBy("position").agg(most, F.max("_copies").alias("n"), F.max("target").alias("t")).filter("n = 0 AND t > 0")
+    plan = plan.join(lost.select((-F.col("most.r")).alias(RID), F.lit(1).alias("once")), RID, "left")
+    plan = plan.select(RID, F.coalesce("once", "_copies").alias("_copies")).filter("_copies > 0")
     copied = stored.join(plan, RID).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
     return copied.select("row.*")

@@ -114,3 +114,17 @@ def test_op4_copies_of_one_id_leave_room_in_the_sample(spark, monkeypatch):
     quality.train(spark.createDataFrame(rows, "doc_id long, x array<double>"), labels)
     used = [i for i in range(60) if crc32(str(i).encode()) % 3 != 1]
     assert 0 in used and got[0][0][:, 0].tolist() == used and got[0][1].tolist() == [i % 2 for i in used]
+
+
+def test_mixing_stage_leaves_no_source_out(spark, scratch):
+    # source b is one long document with a target below half its size; c has one above
+    rows = [(0, "w " * 5000, "b"), (1, "w " * 30, "a"), (2, "w " * 30, "c")]
+    rows += [(10 + i, "w " * 50, f"d{i:02}") for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{scratch}/documents.parquet")
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    mix = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert 0 < mix[0].target < 0.5 * mix[0]["size"]
+    copies = Counter(r.doc_id for r in mixing.mixed(docs).collect())
+    assert copies[0] == 1
+    for i, r in mix.items():
+        assert i == 0 or copies[i] == int(r.taken / r["size"] + 0.5)
