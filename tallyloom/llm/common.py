@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,32 +75,72 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.crc32(text.cast("binary")) % divisor
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    A column named inside a lambda is computed again for every element that the
+    lambda sees; a lambda's own variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _running_small(values: Column) -> Column:
     start = F.array().cast("array<bigint>")
     step = lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x))
     return F.aggregate(values, start, step)
 
 
-def running_sums(values: Column) -> Column:
+def running_sums(values: Column, levels: int = 2) -> Column:
     """Inclusive running sums of an array<bigint>.
 
     Appending to an array copies it, so long arrays are summed in blocks:
-    within each block, over the block totals, then both added.
+    within each block, over the block totals (in blocks again), then both added.
     """
+    return let(values, lambda v: _running_sums(v, levels))
+
+
+def _running_sums(values: Column, levels: int) -> Column:
     n = F.size(values)
+
+    def add_up(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.element_at(b, -1))
+        before = running_sums(totals, levels - 1) if levels > 1 else _running_small(totals)
+        return let(before, lambda t: F.flatten(F.transform(blocks, lambda b, i: shifted(b, F.coalesce(F.get(t, i - 1), F.lit(0))))))
+
+    def shifted(block: Column, by: Column) -> Column:
+        return let(by, lambda d: F.transform(block, lambda x: x + d))
+
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((n - 1) / _SUM_BLOCK).cast("int")),
         lambda b: _running_small(F.slice(values, b * _SUM_BLOCK + 1, _SUM_BLOCK)),
     )
-    totals = _running_small(F.transform(blocks, lambda b: F.element_at(b, -1)))
-    shifted = F.transform(
-        blocks, lambda b, i: F.transform(b, lambda x: x + F.coalesce(F.get(totals, i - 1), F.lit(0)))
-    )
     return F.when(n == 0, F.array().cast("array<bigint>")).when(n <= _SUM_BLOCK, _running_small(values)).otherwise(
-        F.flatten(shifted)
+        let(blocks, add_up)
     )
 
 
+def find_all(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches: array<struct<start, end, match, before, after>>, in code points, end exclusive.
+
+    ``before`` and ``after`` are the texts between a match and the matches
+    next to it.  Matches and the texts between them alternate, so running sums
+    of their lengths are the places; the expression takes each text once.
+    """
+    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
+
+    def placed(v: Column) -> Column:
+        found, between = v["found"], v["between"]
+        steps = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
+        around = F.zip_with(
+            F.slice(between, 1, F.size(found)), F.slice(between, 2, F.size(found)), lambda b, a: F.struct(b.alias("before"), a.alias("after"))
+        )
+        ends = F.zip_with(found, running_sums(steps), lambda m, e: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("match")))
+        return F.zip_with(ends, around, lambda e, x: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after")))
+
+    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string,before:string,after:string>>")
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(none)
+
+
 def range_bounds(df: DataFrame, column: str, parts: int) -> list[float]:
     """At most ``parts - 1`` ascending values that cut ``column`` into ranges of similar counts."""
     if parts < 2:

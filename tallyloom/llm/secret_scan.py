@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, running_sums, text_or_empty
+from tallyloom.llm.common import RID, find_all, materialize, number_rows, text_or_empty
 
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 LEDGER = f"blob string, version string, spans {SPAN}"
@@ -69,27 +69,15 @@ ADDED = RuleSet(
 
 
 def matches(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of one rule, in code points, end exclusive.
-
-    The matches and the pieces between them alternate, so running sums of
-    their lengths are the places.
-    """
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), 0)
-    between = F.split(text, rule.pattern, -1)
-    steps = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
-    ends = running_sums(steps)
-    spans = F.zip_with(
-        found,
-        ends,
-        lambda m, e: F.struct(
-            (e - F.length(m)).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), e.alias("end"), m.alias("match")
-        ),
-    )
+    """Spans of one rule, in code points, end exclusive."""
+    spans = find_all(text, rule.pattern)
     if rule.least:
         own = (lambda m: F.regexp_extract(m, rule.pattern, rule.group)) if rule.group else (lambda m: m)
         spans = F.filter(spans, lambda s: F.length(own(s["match"])) >= rule.least)
-    plain = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return F.when(F.regexp_like(text, F.lit(rule.pattern)), plain).otherwise(F.array().cast(SPAN)).cast(SPAN)
+    return F.transform(
+        spans,
+        lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), s["end"].alias("end")),
+    ).cast(SPAN)
 
 
 def scan(text: Column, rules: RuleSet) -> Column:
