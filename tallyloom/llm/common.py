@@ -119,26 +119,42 @@ def _running_sums(values: Column, levels: int) -> Column:
     )
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches: array<struct<start, end, match, before, after>>, in code points, end exclusive.
-
-    ``before`` and ``after`` are the texts between a match and the matches
-    next to it.  Matches and the texts between them alternate, so running sums
-    of their lengths are the places; the expression takes each text once.
+def find_each(text: Column, patterns: list[str]) -> Column:
+    """Leftmost non-overlapping matches of every pattern.
+
+    array<array<struct<start, end, match, before, after>>>, in code points, end
+    exclusive.  ``before`` and ``after`` are the texts between a match and the
+    matches of its pattern next to it.  Matches and the texts between them
+    alternate, so running sums of their lengths are the places; every pattern
+    goes over the text once.
     """
-    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
+
+    def parts(pattern: str) -> Column:
+        both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
+        none = F.array().cast("array<string>")
+        return F.when(F.regexp_like(text, F.lit(pattern)), both).otherwise(F.struct(none.alias("found"), none.alias("between")))
 
     def placed(v: Column) -> Column:
         found, between = v["found"], v["between"]
         steps = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
+        ends = F.zip_with(found, running_sums(steps), lambda m, e: F.struct(m.alias("match"), e.alias("end")))
         around = F.zip_with(
             F.slice(between, 1, F.size(found)), F.slice(between, 2, F.size(found)), lambda b, a: F.struct(b.alias("before"), a.alias("after"))
         )
-        ends = F.zip_with(found, running_sums(steps), lambda m, e: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("match")))
-        return F.zip_with(ends, around, lambda e, x: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after")))
+        return F.zip_with(
+            ends,
+            around,
+            lambda e, x: F.struct(
+                (e["end"] - F.length(e["match"])).alias("start"), e["end"].alias("end"), e["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after")
+            ),
+        )
+
+    return F.transform(F.array(*map(parts, patterns)), placed)
+
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string,before:string,after:string>>")
-    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(none)
+def as_text(spans: Column) -> Column:
+    """``kind:start:end`` of every span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.format_string("%s:%d:%d", s["kind"], s["start"], s["end"])), ",")
 
 
 def range_bounds(df: DataFrame, column: str, parts: int) -> list[float]:

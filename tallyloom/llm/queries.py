@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, minhash, mixing, quality, repeats, secret_scan, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, minhash, mixing, pii, quality, repeats, secret_scan, token_output
 from tallyloom.llm.common import crc_mod, documents
 from tallyloom.session import staging_path
 
@@ -83,6 +83,19 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    base = [k.name for k in pii.KINDS if not k.scored]
+    of = lambda kinds: F.filter("pii", lambda s: s["kind"].isin(kinds))
+    return pii.detect(docs).select(
+        "doc_id",
+        *[F.size(of([k])).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(pii.as_text(of(base)), 256).alias("base_sha256"),
+        pii.as_text(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"),
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_langid": op2_langid,
@@ -94,6 +107,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_token_output": op8_token_output,
     "op9_minhash": op9_minhash,
     "op10_repeats": op10_repeats,
+    "op12_pii": op12_pii,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

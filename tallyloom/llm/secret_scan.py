@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, find_all, materialize, number_rows, text_or_empty
+from tallyloom.llm.common import RID, as_text, find_each, let, materialize, number_rows, text_or_empty  # noqa: F401
 
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 LEDGER = f"blob string, version string, spans {SPAN}"
@@ -68,22 +68,23 @@ ADDED = RuleSet(
 )
 
 
-def matches(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of one rule, in code points, end exclusive."""
-    spans = find_all(text, rule.pattern)
+def _spans(found: Column, rule: Rule, rank: int) -> Column:
     if rule.least:
         own = (lambda m: F.regexp_extract(m, rule.pattern, rule.group)) if rule.group else (lambda m: m)
-        spans = F.filter(spans, lambda s: F.length(own(s["match"])) >= rule.least)
+        found = F.filter(found, lambda s: F.length(own(s["match"])) >= rule.least)
     return F.transform(
-        spans,
+        found,
         lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), s["end"].alias("end")),
     ).cast(SPAN)
 
 
 def scan(text: Column, rules: RuleSet) -> Column:
-    """All spans of a rule set in order of start, then kind."""
-    each = [matches(text, rule, rules.first + i) for i, rule in enumerate(rules.rules)]
-    return F.array_sort(F.concat(*each))
+    """All spans of a rule set, in code points, end exclusive, in order of start, then kind."""
+
+    def spans(found: Column) -> Column:
+        return F.array_sort(F.concat(*[_spans(found[i], rule, rules.first + i) for i, rule in enumerate(rules.rules)]))
+
+    return let(find_each(text, [rule.pattern for rule in rules.rules]), spans)
 
 
 def scan_new(docs: DataFrame, ledger: DataFrame | None, rule_sets: list[RuleSet], text_col: str = "text") -> DataFrame:
@@ -136,8 +137,3 @@ def findings(
         *[F.any_value(F.when(F.col("version") == r.version, F.col("spans")), ignoreNulls=True).alias(r.version) for r in rule_sets]
     )
     return paths.join(wide, "blob").select(RID, id_col, "blob", *[F.col(f"`{r.version}`") for r in rule_sets])
-
-
-def as_text(spans: Column) -> Column:
-    """``kind:start:end`` of every span, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.format_string("%s:%d:%d", s["kind"], s["start"], s["end"])), ",")
