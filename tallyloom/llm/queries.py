@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, minhash, mixing, pii, quality, repeats, secret_scan, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, manifest, minhash, mixing, pii, quality, repeats, secret_scan, spelling, token_output
 from tallyloom.llm.common import crc_mod, documents
 from tallyloom.session import staging_path
 
@@ -83,6 +83,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(documents(spark, sf_dir), least_length=5, least_count=3, drop_every=97)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     base = [k.name for k in pii.KINDS if not k.scored]
@@ -96,6 +101,21 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = manifest.build(documents(spark, sf_dir), tampered=F.when(hit, manifest.lower_ascii(F.col("text")))).proofs()
+    folded = found.withColumn("folded_root", manifest.fold(F.coalesce("changed", "digest"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(manifest.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_langid": op2_langid,
@@ -107,7 +127,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_token_output": op8_token_output,
     "op9_minhash": op9_minhash,
     "op10_repeats": op10_repeats,
+    "op11_spelling": op11_spelling,
     "op12_pii": op12_pii,
+    "op13_manifest": op13_manifest,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
