@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,3 +206,15 @@ def by_lengths(sizes: Iterable[int], limit: int) -> Iterable[tuple[int, int]]:
 def by_size(items: Iterable[str], limit: int) -> Iterable[tuple[int, int]]:
     """``by_lengths`` of the items."""
     return by_lengths(map(len, items), limit)
+
+
+def arrow_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about ``limit`` bytes of ``column`` (a larger value goes alone).
+
+    A slice shares the memory of its batch, so only what a slice holds is ever
+    turned into Python objects, whatever the session's batch size.
+    """
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
+        for i, j in by_lengths((n or 0 for n in sizes), limit):
+            yield batch.slice(i, j - i)

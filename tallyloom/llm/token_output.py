@@ -19,29 +19,29 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_size, ship, shuffle_partitions, text_or_empty
+from tallyloom.llm.common import arrow_slices, ship, shuffle_partitions, text_or_empty
 
 BLOCK, PERCENTILE = 256, 95
 #: A shard is closed after the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
-#: Words of a generation (a worker keeps two) and pieces of words remembered; texts encoded at a time, in characters.
-CACHE_WORDS, CACHE_PIECES, BATCH_CHARS = 300_000, 700_000, 2 << 20
+#: Words, and pieces of words, remembered by a worker; texts encoded at a time, in bytes.
+CACHE, BATCH_BYTES = 300_000, 8 << 20
 #: New words encoded together.
 TOGETHER = 1000
-# The normaliser and the first pre-tokenizer of a word tokenizer
-# that encodes the pieces of a word one by one, and its pattern for ASCII.
+# The normaliser and the pre-tokenizers of a word tokenizer that
+# encodes the pieces of a word one by one.
 _NORMALIZER = {
     "type": "Sequence",
     "normalizers": [
@@ -50,13 +50,13 @@ _NORMALIZER = {
         {"type": "Lowercase"},
     ],
 }
-_SPLIT = {
-    "type": "Split",
-    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
-    "behavior": "Removed",
-    "invert": True,
-}
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Anything but letters and signs that need no composition and have a lower case each of its own, and ASCII white space.
+_NOT_PLAIN = r"[^\t\n\r !-;=-~\x{a1}-\x{ff}]"
 END_ID = 1
 #: A shard row: its partition and number, the ids of the partition's earlier shards, its ids, its image.
 SHARDS = "part int, shard int, before long, n_ids long, image binary"
@@ -85,10 +85,9 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> t
     packed: list[bytes] = [b""] * blocks
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        flat = np.unpackbits(np.ascontiguousarray(v[rows]).astype("<u4").view(np.uint8).reshape(len(rows), block, 4), axis=2, bitorder="little")
-        flat = np.packbits(flat[:, :, :w].reshape(len(rows), block * int(w)), axis=1, bitorder="little")
-        for r, b in zip(rows, flat):
-            packed[r] = b.tobytes()
+        size = -(-block * int(w) // 8)
+        for r, b in zip(rows, _squeeze(v[rows], int(w)).view(np.uint8)):
+            packed[r] = b[:size].tobytes()
     out = []
     for r in range(blocks):
         where = np.flatnonzero(over[r]) if count[r] else np.zeros(0, int)
@@ -102,6 +101,33 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> t
     return (np.cumsum(size) - size).astype("<u4"), b"".join(out)
 
 
+def _squeeze(v: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of every value of a row, one after another from the lowest bit of the first 64-bit word."""
+    n = v.shape[1]
+    out = np.zeros((len(v), -(-n * w // 64)), "<u8")
+    if w:
+        columns = np.ascontiguousarray(v.T).astype(np.uint64) & np.uint64((1 << w) - 1)
+        for j in range(n):
+            at, shift = divmod(j * w, 64)
+            out[:, at] |= columns[j] << np.uint64(shift)
+            if shift + w > 64:
+                out[:, at + 1] |= columns[j] >> np.uint64(64 - shift)
+    return out
+
+
+def _spread(words: np.ndarray, w: int, n: int) -> np.ndarray:
+    """The ``n`` values of every row of ``_squeeze``."""
+    columns, mask = np.ascontiguousarray(words.T), np.uint64((1 << w) - 1)
+    out = np.empty((n, len(words)), np.uint32)
+    for j in range(n):
+        at, shift = divmod(j * w, 64)
+        value = columns[at] >> np.uint64(shift)
+        if shift + w > 64:
+            value = value | columns[at + 1] << np.uint64(64 - shift)
+        out[j] = value & mask
+    return out.T
+
+
 def unpack(index: np.ndarray, data: bytes, n: int, block: int = BLOCK) -> np.ndarray:
     """The ``n`` ids of ``pack``'s blocks."""
     raw = np.frombuffer(data, np.uint8)
@@ -114,10 +140,9 @@ def unpack(index: np.ndarray, data: bytes, n: int, block: int = BLOCK) -> np.nda
             continue
         rows = np.flatnonzero(width == w)
         length = -(-block * int(w) // 8)
-        taken = raw[body[rows][:, None] + np.arange(length)]
-        flat = np.zeros((len(rows), block, 32), np.uint8)
-        flat[:, :, :w] = np.unpackbits(taken, axis=1, bitorder="little")[:, : block * int(w)].reshape(len(rows), block, int(w))
-        v[rows] = np.packbits(flat, axis=2, bitorder="little").view("<u4").reshape(len(rows), block)
+        whole = np.zeros((len(rows), -(-length // 8) * 8), np.uint8)
+        whole[:, :length] = raw[body[rows][:, None] + np.arange(length)]
+        v[rows] = _spread(whole.view("<u8"), int(w), block)
     for r, (i, h) in enumerate(zip(index, heads)):
         if h[2]:
             at = int(i) + 7
@@ -127,15 +152,11 @@ def unpack(index: np.ndarray, data: bytes, n: int, block: int = BLOCK) -> np.nda
     return v.reshape(-1)[:n]
 
 
-def write_shard(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
-    """One shard image of documents and their little-endian 32-bit ids."""
-    all_ids = np.frombuffer(b"".join(ids), "<u4")
-    index, blocks = pack(all_ids)
-    keys = np.array([0 if d is None else d for d in doc_ids], "<i8")
-    valid = np.array([d is not None for d in doc_ids], np.uint8)
-    counts = np.array([len(x) // 4 for x in ids], "<u4")
-    head = _HEAD.pack(_MAGIC, BLOCK, len(doc_ids), len(all_ids), len(index))
-    return b"".join([head, keys.tobytes(), valid.tobytes(), counts.tobytes(), index.tobytes(), blocks])
+def write_shard(keys: np.ndarray, valid: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
+    """One shard image: document ids and whether they are not null, how many ids each has, and all ids."""
+    index, blocks = pack(ids)
+    head = _HEAD.pack(_MAGIC, BLOCK, len(keys), len(ids), len(index))
+    return b"".join([head, keys.astype("<i8").tobytes(), valid.astype(np.uint8).tobytes(), counts.astype("<u4").tobytes(), index.tobytes(), blocks])
 
 
 def read_shard(image: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -156,33 +177,22 @@ class _Words(dict):
     """Ids of words as bytes; words are encoded by the tokenizer in batches."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
-
-        super().__init__({"": b""})
-        self.older: dict[str, bytes] = {}
+        super().__init__()
         self.pieces: dict[str, bytes] = {}
-        self.tokenizer = Tokenizer.from_file(path)
-        # a token whose text always stands alone, to tell words apart that are encoded together
-        alone = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
-        self.mark, self.mark_text = (alone[0][0], alone[0][1].content) if alone else (None, None)
-
-        parts = json.loads(self.tokenizer.to_str())
-        self.by_piece = parts["normalizer"] == _NORMALIZER and (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0] == _SPLIT
+        self.tokenizer, self.mark, self.mark_text, self.bytes_as = _tokenizer(path)
+        self.by_piece = self.bytes_as is not None
 
     def learn(self, words: list[str]) -> None:
-        """Ids of new words; printable ASCII words by their pieces where the tokenizer's rules for these are known."""
-        if self.by_piece:
-            simple = [w for w in words if w.isascii() and w.isprintable() and "<" not in w]
-            pieces = [_PIECE.findall(w.lower()) for w in simple]
-            if len(self.pieces) > CACHE_PIECES:
-                self.pieces.clear()
-            self._encode(list(set(filterfalse(self.pieces.__contains__, chain.from_iterable(pieces)))), self.pieces)
-            for w, own in zip(simple, pieces):
-                self[w] = b"".join(map(self.pieces.__getitem__, own))
-            words = [w for w in words if w not in self]
+        """Ids of new words."""
         self._encode(words, self)
 
+    def learn_pieces(self, pieces: list[str]) -> None:
+        """Ids of new pieces of plain texts, which need neither normaliser nor pre-tokenizer."""
+        one, as_text = self.tokenizer.model.tokenize, self.bytes_as
+        for piece in pieces:
+            text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(as_text)
+            self.pieces[piece] = array("I", [t.id for t in one(text)]).tobytes()
+
     def _encode(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode words, many at a time where a mark can part them."""
         if self.mark is None:
@@ -201,23 +211,119 @@ class _Words(dict):
             into[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # The tokenizer drops white space and never looks across it, so a
-        # text's ids are its words' ids joined; only new words are encoded.
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) > CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        missing = set(filterfalse(self.__contains__, chain.from_iterable(split)))
-        self.update((w, self.older[w]) for w in missing & self.older.keys())
-        self.learn(list(missing.difference(self.older)))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        """Ids of every text as bytes."""
+        ids, counts = self.encode_all(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), np.cumsum(counts)
+        return [raw[4 * (e - c) : 4 * (e - 1)] for e, c in zip(ends.tolist(), counts.tolist())]
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, ``END_ID`` after each text, and how many each text has.
+
+        The tokenizer drops white space and never looks across it, so a text's
+        ids are its words' ids joined.  It encodes the pieces of a word one by
+        one, and Arrow parts plain texts into pieces.
+        """
+        plain = np.zeros(len(texts), bool)
+        if self.by_piece:
+            plain = ~pc.match_substring_regex(texts, _NOT_PLAIN).to_numpy(zero_copy_only=False)
+        parts = []
+        if plain.any():
+            spaced = pc.replace_substring_regex(pc.utf8_lower(texts.filter(pa.array(plain))), _PIECES, r"\0 ")
+            parts.append(self._joined(pc.ascii_split_whitespace(spaced), self.pieces, self.learn_pieces))
+        if not plain.all():
+            words = pc.replace_substring(texts.filter(pa.array(~plain)), "\n", " ")
+            parts.append(self._joined(pc.split_pattern(words, " "), self, self.learn))
+        if len(parts) == 1:
+            return parts[0]
+        ids, counts = map(np.concatenate, zip(*parts))
+        back = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        return ids[_ranges((np.cumsum(counts) - counts)[back], counts[back])], counts[back]
+
+    def _joined(self, split: pa.Array, known: dict[str, bytes], learn: Callable[[list[str]], None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lists of units: units are numbered by Arrow, each different one is looked up once, ids are gathered by offsets."""
+        offsets = split.offsets.to_numpy()
+        numbered = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        own = numbered.dictionary.to_pylist()
+        if len(known) > CACHE:
+            known.clear()
+        learn([u for u in own if u and u not in known])
+        end = np.array([END_ID], "<u4").tobytes()
+        found = [known[u] if u else b"" for u in own]
+        size = np.array([*map(len, found), 4], np.int64) // 4
+        flat = np.frombuffer(b"".join([*found, end]), "<u4")
+        ends = offsets[1:].astype(np.int64) - offsets[0]
+        # the end id stands after the last unit of a text
+        units = np.insert(numbered.indices.to_numpy(), ends, len(own))
+        ids = flat[_ranges((np.cumsum(size) - size)[units], size[units])]
+        total = np.cumsum(size[units])[ends + np.arange(len(ends))]
+        return ids, np.diff(total, prepend=0)
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first[0], first[0] + 1, ...`` (``size[0]`` of them), then the same for the others."""
+    after = np.cumsum(size)
+    return np.repeat(first - (after - size), size) + np.arange(after[-1] if len(after) else 0)
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer; an added token whose text always stands alone (id, text), to tell words apart that are encoded
+    together; and how it writes bytes as letters, if it encodes the pieces of a word one by one by known rules."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(path)
+    alone = [(i, t) for i, t in tokenizer.get_added_tokens_decoder().items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+    mark, mark_text = (alone[0][0], alone[0][1].content) if alone else (None, None)
+    parts = json.loads(tokenizer.to_str())
+    known = parts["normalizer"] == _NORMALIZER and (parts["pre_tokenizer"] or {}).get("pretokenizers") == _PRE_TOKENIZERS
+    if not known or any(t.content < "<" or t.content[0] != "<" for t in tokenizer.get_added_tokens_decoder().values()):
+        return tokenizer, mark, mark_text, None
+    as_text = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    # the letters of the two bytes of every letter from 0x80 to 0xFF
+    as_letters = {}
+    for code in range(0x80, 0x100):
+        letters = as_text(chr(code))[0][0]
+        as_letters |= dict(zip(chr(code).encode("utf-8"), letters))
+    return tokenizer, mark, mark_text, as_letters
 
 
 @lru_cache(maxsize=1)
 def _words(path: str) -> _Words:
+    """The one bounded memory of a worker."""
     return _Words(path)
 
 
+class _Shards:
+    """Documents and their ids on the way into the shards of one partition."""
+
+    def __init__(self, part: int, size: int):
+        self.part, self.number, self.before, self.size = part, 0, 0, size
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.n = 0
+
+    def add(self, keys: np.ndarray, valid: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The shards that are full now: each is closed after the document that brings it to ``size`` ids."""
+        ends = np.cumsum(counts)
+        done = at = 0
+        while done < len(counts):
+            last = int(np.searchsorted(ends, at + self.size - self.n))
+            upto = min(last + 1, len(counts))
+            self.held.append((keys[done:upto], valid[done:upto], counts[done:upto], ids[at : ends[upto - 1]]))
+            self.n += int(ends[upto - 1]) - at
+            done, at = upto, int(ends[upto - 1])
+            if self.n >= self.size:
+                yield self.row()
+
+    def row(self) -> pa.RecordBatch:
+        image = write_shard(*map(np.concatenate, zip(*self.held)))
+        values = {"part": [self.part], "shard": [self.number], "before": [self.before], "n_ids": [self.n], "image": [image]}
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        out = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values.values(), types)], list(values))
+        self.number, self.before, self.held, self.n = self.number + 1, self.before + self.n, [], 0
+        return out
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``END_ID``, and write shards in ascending id order (null ids first).
 
@@ -226,38 +332,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     """
     spark = docs.sparkSession
     ship(spark)
-    end = np.array([END_ID], "<u4").tobytes()
-
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number = TaskContext.get().partitionId(), 0
-        encoder = _words(tokenizer_path)
-        doc_ids: list[int | None] = []
-        ids: list[bytes] = []
-        held = before = 0
-
-        def row() -> pd.DataFrame:
-            image = write_shard(doc_ids, ids)
-            return pd.DataFrame({"part": [part], "shard": [number], "before": [before], "n_ids": [held], "image": [image]})
-
-        for batch in batches:
-            texts, known = batch["text"].tolist(), batch["known"].tolist()
-            keys = [int(k) if v else None for k, v in zip(batch["key"], known)]
-            for i, j in by_size(texts, BATCH_CHARS):
-                for key, own in zip(keys[i:j], encoder.encode(texts[i:j])):
-                    doc_ids.append(key)
-                    ids.append(own + end)
-                    held += len(own) // 4 + 1
-                    if held >= SHARD_IDS:
-                        yield row()
-                        number, before, doc_ids, ids, held = number + 1, before + held, [], [], 0
-        if doc_ids:
-            yield row()
+    size = SHARD_IDS
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, out = _words(tokenizer_path), _Shards(TaskContext.get().partitionId(), size)
+        for part in arrow_slices(batches, "text", BATCH_BYTES):
+            ids, counts = encoder.encode_all(part.column("text"))
+            yield from out.add(part.column("key").to_numpy(), part.column("known").to_numpy(zero_copy_only=False), counts, ids)
+        if out.held:
+            yield out.row()
 
     key = F.col(id_col).cast("long")
     rows = docs.select(key.alias("key"), text_or_empty(text_col).alias("text"))
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "key").sortWithinPartitions("key", "text")
     ready = ordered.select(F.coalesce("key", F.lit(0)).alias("key"), F.col("key").isNotNull().alias("known"), "text")
-    ready.mapInPandas(shards, SHARDS).write.parquet(path)
+    ready.mapInArrow(shards, SHARDS).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -272,20 +361,22 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     total = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
     base = total.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
 
-    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part, before, image in zip(batch["part"], batch["before"], batch["image"]):
-                keys, counts, ids = read_shard(image)
-                ends = np.cumsum(counts, dtype=np.int64)
-                raw = ids.astype("<u4").tobytes()
-                yield pd.DataFrame(
-                    {
-                        "part": part,
-                        "doc_id": pd.array(keys, dtype="Int64"),
-                        "local": before + ends - counts,
-                        "ids": [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist())],
-                    }
-                )
-
-    read = table.select("part", "before", "image").mapInPandas(documents, "part int, doc_id long, local long, ids binary")
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in arrow_slices(batches, "image", 1):
+            part, before, image = (shard.column(c)[0].as_py() for c in ("part", "before", "image"))
+            keys, counts, ids = read_shard(image)
+            ends = np.cumsum(counts, dtype=np.int64)
+            raw = pa.py_buffer(ids.astype("<u4"))
+            offsets = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(keys), part, np.int32)),
+                    pa.array(keys, pa.int64()),
+                    pa.array(before + ends - counts),
+                    pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, raw]),
+                ],
+                ["part", "doc_id", "local", "ids"],
+            )
+
+    read = table.select("part", "before", "image").mapInArrow(documents, "part int, doc_id long, local long, ids binary")
     return read.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "ids")
