@@ -15,21 +15,19 @@ import base64
 import sys
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import islice
 
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tallyloom.llm.common import by_lengths, ship, text_or_empty
+from tallyloom.llm.common import arrow_slices, ship, text_or_empty
 
-#: Pre-tokens of a generation remembered by a worker (it keeps two), and the longest remembered one.
-CACHE_TOKENS, CACHE_LENGTH = 400_000, 32
+#: Pre-tokens of a generation remembered by a task (it keeps two), and the longest remembered one.
+CACHE_TOKENS, CACHE_LENGTH = 200_000, 32
 #: Rows turned at a time are those of about this many characters or ids.
 BATCH_CHARS = 1 << 20
 #: Longer texts are split into pre-tokens piecemeal.
@@ -154,12 +152,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f) if token}
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(load_ranks(path), pattern)
-
-
-@lru_cache(maxsize=2)
 def _vocabulary(path: str) -> list[bytes]:
     ranks = load_ranks(path)
     out = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -182,14 +174,10 @@ def _turned(docs: DataFrame, column: str, out: str, turn: Callable[[], Callable[
     names = schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = turn()
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            size = pc.binary_length(batch.column(at)).to_pylist()
-            for i, j in by_lengths(size, BATCH_CHARS):
-                part = batch.slice(i, j - i)
-                made = pa.array([one(x) for x in part.column(at).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), made], [*names, out])
+        one = turn()  # what it remembers goes with the task
+        for part in arrow_slices(batches, column, BATCH_CHARS):
+            made = pa.array(map(one, part.column(column).to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], [*names, out])
 
     return docs.mapInArrow(run, schema)
 
@@ -204,7 +192,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     """
     ship(docs.sparkSession)
     known = docs.withColumn(text_col, text_or_empty(text_col))
-    return _turned(known, text_col, out, lambda: _encoder(ranks_path, pattern).encode)
+    return _turned(known, text_col, out, lambda: Encoder(load_ranks(ranks_path), pattern).encode)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

@@ -22,12 +22,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, by_size, keep_rows, materialize, ship, store_numbered, store_rows, text_or_empty
+from tallyloom.llm.common import RID, arrow_slices, keep_rows, materialize, ship, store_numbered, store_rows, text_or_empty
 from tallyloom.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -35,10 +35,10 @@ WIDTH, PERCENT = 5, 80
 COORDINATES, ROWS = 128, 4
 #: Turns in which the members of a bucket are compared with one leader.
 LEADERS = 2
-#: Words remembered by a worker; characters sketched at a time.
-CACHE_WORDS, BATCH_CHARS = 300_000, 2 << 20
+#: Words remembered by a task; bytes of text or of sets handled at a time.
+CACHE_WORDS, BATCH_BYTES = 100_000, 2 << 20
 
-_K = np.uint64(0x9E3779B97F4A7C15)
+_K, _MASK = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -60,10 +60,7 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
-
-
-def shingles(text: str, width: int) -> np.ndarray:
+def shingles(text: str, width: int, memory: _Words) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's ``width``-word shingles.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased;
@@ -73,7 +70,7 @@ def shingles(text: str, width: int) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(memory.__getitem__, words), np.uint64, n)
     own = min(width, n)
     out = np.full(n - own + 1, own, np.uint64)
     for i in range(own):
@@ -89,7 +86,7 @@ def sketch(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     x = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     for i in range(2 * t):
-        h = _mixed(x + np.uint64(i + 1) * _K)
+        h = _mixed(x + np.uint64((i + 1) * int(_K) & _MASK))
         place = (h >> shift).astype(np.int64) if i < t else np.full(len(x), i - t)
         value = (np.uint64(i) << np.uint64(54)) | (h & rest_mask)
         np.minimum.at(out, owner * t + place, value)
@@ -116,55 +113,56 @@ def bands(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
 def sketch_table(rows: DataFrame, width: int) -> DataFrame:
     """``(_rid, n_shingles, set_id, bands)`` per row of ``(_rid, text)``; ``set_id`` is a 128-bit hash of the whole set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].tolist()
-            for i, j in by_size(texts, BATCH_CHARS):
-                sets = [shingles(t, width) for t in texts[i:j]]
-                full = [k for k, s in enumerate(sets) if len(s)]
-                keys: list = [None] * len(sets)
-                if full:
-                    for k, row in zip(full, bands(sketch([sets[k] for k in full]))):
-                        keys[k] = row
-                yield pd.DataFrame(
-                    {
-                        RID: batch[RID].iloc[i:j].to_numpy(),
-                        "n_shingles": [len(s) for s in sets],
-                        "set_id": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                        "bands": keys,
-                    }
-                )
-
-    return rows.select(RID, "text").mapInPandas(run, f"{RID} long, n_shingles long, set_id binary, bands array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = _Words()
+        for part in arrow_slices(batches, "text", BATCH_BYTES):
+            sets = [shingles(t, width, memory) for t in part.column("text").to_pylist()]
+            full = [k for k, s in enumerate(sets) if len(s)]
+            keys: list = [None] * len(sets)
+            if full:
+                for k, row in zip(full, bands(sketch([sets[k] for k in full]))):
+                    keys[k] = row
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(RID),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                [RID, "n_shingles", "set_id", "bands"],
+            )
+
+    return rows.select(RID, "text").mapInArrow(run, f"{RID} long, n_shingles long, set_id binary, bands array<long>")
 
 
 def _sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """``(node, shingles)``: the sorted shingle hashes of the given rows as bytes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                {"node": batch[RID], "shingles": [shingles(t, width).astype("<u8").tobytes() for t in batch["text"]]}
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = _Words()
+        for part in arrow_slices(batches, "text", BATCH_BYTES):
+            sets = [shingles(t, width, memory).astype("<u8").tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(RID), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return rows.select(RID, "text").join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInPandas(run, "node long, shingles binary")
+    return rows.select(RID, "text").join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInArrow(run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose full sets have 100 * intersection >= percent * union."""
 
-    @F.pandas_udf("boolean")
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right):
-            p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= percent * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in arrow_slices(batches, "sa", BATCH_BYTES):
+            for part in arrow_slices(iter([whole]), "sb", BATCH_BYTES):
+                keep = []
+                for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist()):
+                    p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").filter(linked("sa", "sb")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(linked, "a long, b long")
 
 
 def _open_entries(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
@@ -202,15 +200,14 @@ def _prefixes(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     order; rare shingles first, few sets share one.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [np.frombuffer(raw, "<i8") for raw in batch["shingles"]]
-            for i, j in by_size(batch["shingles"], BATCH_CHARS):
-                size = [len(x) for x in own[i:j]]
-                yield pd.DataFrame({"shingle": np.concatenate(own[i:j]), "node": np.repeat(batch["node"].to_numpy()[i:j], size)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrow_slices(batches, "shingles", BATCH_BYTES):
+            own = [np.frombuffer(raw, "<i8") for raw in part.column("shingles").to_pylist()]
+            node = np.repeat(part.column("node").to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(node)], ["shingle", "node"])
 
     nodes = open_.select("node", "n", "component").distinct()
-    single = materialize(sets.join(nodes.select("node"), "node", "left_semi").mapInPandas(run, "shingle long, node long"), "open-shingles")
+    single = materialize(sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "shingle long, node long"), "open-shingles")
     use = single.groupBy("shingle").agg(F.count("*").alias("df"))
     order = F.sort_array(F.collect_list(F.struct("df", "shingle")))
     ordered = single.join(use, "shingle").groupBy("node").agg(order.alias("o")).join(nodes, "node")

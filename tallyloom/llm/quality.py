@@ -18,12 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, crc_mod, materialize, number_rows, ship, text_or_empty, whole_row
+from tallyloom.llm.common import RID, by_size, crc_mod, materialize, number_rows, ship, text_or_empty, whole_row
 
 #: Bound of the training sample, in labelled rows chosen by a hash of their id.
 TRAIN_ROWS = 20_000
 BINS, PAIR_BINS, PAIRS = 64, 16, 6
 ROUNDS, PAIR_ROUNDS, RATE, RIDGE = 120, 60, 0.15, 1.0
+#: Characters of texts whose features are counted at a time.
+BATCH_CHARS = 4 << 20
 
 FEATURES = (
     "chars", "words", "word_length", "longest_word", "letters", "upper", "digits", "clause_marks", "symbols", "spaces",
@@ -183,7 +185,9 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     @F.pandas_udf("array<double>")
     def features_of(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(features(texts.tolist())))
+        # a slice at a time: what is built from the texts is several times their size
+        all_texts = texts.tolist()
+        return pd.Series([row for i, j in by_size(all_texts, BATCH_CHARS) for row in features(all_texts[i:j])], dtype=object)
 
     return number_rows(docs, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"), *more)
 
