@@ -160,8 +160,8 @@ class Manifest:
     def proofs(self) -> DataFrame:
         """The leaves with ``subroot``, ``root`` and ``path``."""
         none = F.array().cast(_PATH)
-        top = self.upper[-1].select("digest") if self.upper else self.subroots.select("digest")
-        tops = top.select(F.lit(0).alias("all"), F.col("digest").alias("root"), none.alias("path"))
+        top = self.upper[-1] if self.upper else self.subroots
+        tops = top.select("all", F.col("digest").alias("root"), none.alias("path"))
         above = attach(self.subroots, self.upper, tops, "all").select(self.group, "root", "path")
         return attach(self.leaves, self.levels, above, self.group)
 
