@@ -9,18 +9,23 @@ dropped or sampled.  A key whose values fit one chunk, none of them repeated
 plain "key with its list" result.
 
 One plan at every size (all built-in expressions, deterministic, nothing runs
-before the action):
-
-1. Collapse identical rows into ``(key, content, m)`` -- a partial aggregate,
-   so a hot key with few distinct values shrinks before the shuffle.  Skipped
-   with ``distinct_values=True``.
-2. ``m // chunk_size`` whole lists of one value are made at once, in blocks of
-   at most 1024 per input row and level, spread over the tasks in between.
-3. The rest of every row: keys with more than ``chunk_size`` values left (few)
-   are looked up in a left join, so that a key without a total keeps its rows,
-   and spread over ``ceil(n / chunk_size)`` salts by a hash of their content.
+before the action); the rows are shuffled once:
+
+1. A mergeable heavy-hitter sketch (Spark's ``approx_top_k``) over hashes of the
+   keys, and of (key, value) pairs, in one pass that shuffles sketches only.
+   It names at most ``HEAVY`` of each that surely occur more than
+   ``chunk_size`` times, with a lower bound of their counts.
+2. Rows of named pairs are counted: ``m // chunk_size`` whole lists of one value
+   are made at once, in blocks of at most 1024 per input row and level, spread
+   over the tasks in between; ``m % chunk_size`` copies are left over.
+3. All other rows and those copies: the rows of a named key are spread over
+   ``bound / chunk_size`` salts by a hash of their content.
 4. Running sums within ``(key, salt)`` cut the rows at exact multiples of
    ``chunk_size``, and each chunk's lists are gathered.
+
+The sketch decides only how evenly the work is spread: what it does not name
+has at most about ``7 * rows / COUNTERS`` rows more than ``chunk_size``, and is
+cut by its running sums like the rest.
 """
 
 from __future__ import annotations
@@ -32,10 +37,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_SIZE = 100_000
+#: Keys, and pairs of key and value, that the sketch names at most; its counters; sketches merged into the last one.
+HEAVY, COUNTERS, _SKETCHES = 1000, 16_384, 256
 #: Rows that one row becomes per level when whole lists of one value are made.
 _BLOCK = 1024
 
-_M, _N, _NC, _SALT, _COPIES, _LAST = "_tl_m", "_tl_n", "_tl_nc", "_tl_salt", "_tl_copies", "_tl_last"
+_M, _NC, _SALT, _COPIES, _LAST, _H = "_tl_m", "_tl_nc", "_tl_salt", "_tl_copies", "_tl_last", "_tl_h"
 
 
 def _as_list(cols: str | Sequence[str]) -> list[str]:
@@ -46,16 +53,37 @@ def _div(a: Column, b: int) -> Column:
     return F.floor(a / F.lit(b))
 
 
-def _counted(df: DataFrame, keys: list[str], content: list[str], keep_nulls: bool, distinct_values: bool) -> DataFrame:
-    """``(keys, content, m)``: rows with how often they count; nulls that are not kept count 0 times."""
-    value = F.col(content[-1])
-    one = F.lit(1).cast("long")
-    collapsed = df.filter(value.isNull()) if distinct_values else df
-    rows = collapsed.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
+def _hash(columns: Sequence[str]) -> Column:
+    # a null leaves a hash as it is, so where the nulls are is hashed too
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
+def _sketch(df: DataFrame, hashes: Mapping[str, Column]) -> DataFrame:
+    """One row: ``n`` (rows) and a heavy-hitter sketch of every hash, merged in two levels."""
+    rows = df.select(F.pmod(F.spark_partition_id(), F.lit(_SKETCHES)).alias("_tl_p"), *[h.alias(name) for name, h in hashes.items()])
+    each = [F.expr(f"approx_top_k_accumulate({name}, {COUNTERS})").alias(name) for name in hashes]
+    merged = [F.expr(f"approx_top_k_combine({name}, {COUNTERS})").alias(name) for name in hashes]
+    return rows.groupBy("_tl_p").agg(F.count(F.lit(1)).alias("n"), *each).agg(F.sum("n").alias("n"), *merged)
+
+
+def _heavy(sketch: DataFrame, name: str, least: int) -> DataFrame:
+    """``(_tl_h, least)``: hashes that surely occur more than ``least`` times, with that lower bound; at most ``HEAVY`` rows.
+
+    An estimate of the sketch is too high by 3.5 rows in ``COUNTERS`` at most.
+    """
+    found = sketch.select("n", F.explode(F.expr(f"approx_top_k_estimate({name}, {HEAVY})")).alias("e"))
+    surely = F.col("e.count") - F.ceil(F.col("n") * 3.5 / COUNTERS)
+    return found.select(F.col("e.item").alias(_H), surely.alias("least")).filter(F.col("least") > least)
+
+
+def _counted(rows: DataFrame, keys: list[str], content: list[str], keep_nulls: bool, each: bool = False) -> DataFrame:
+    """``(keys, content, m)``: rows (``each`` of them, or equal ones together) with how often they count; nulls that are not kept count 0 times."""
+    if each:
+        rows = rows.select(*keys, *content, F.lit(1).cast("long").alias(_M))
+    else:
+        rows = rows.groupBy(*keys, *content).agg(F.count(F.lit(1)).alias(_M))
     if not keep_nulls:
-        rows = rows.withColumn(_M, F.when(value.isNull(), F.lit(0).cast("long")).otherwise(F.col(_M)))
-    if distinct_values:
-        rows = rows.unionByName(df.filter(value.isNotNull()).select(*keys, *content, one.alias(_M)))
+        rows = rows.withColumn(_M, F.when(F.col(content[-1]).isNull(), F.lit(0).cast("long")).otherwise(F.col(_M)))
     return rows
 
 
@@ -82,14 +110,20 @@ def _parts(
         raise ValueError("chunk_size must be between 1 and 2**31 - 1")
     if df.isStreaming:
         raise ValueError("grouping values into lists is a batch operation; aggregate streams per window")
-    counted = _counted(df, keys, content, keep_nulls, distinct_values)
-    light = counted.withColumn(_M, F.when(F.col(_M) < chunk_size, F.col(_M)).otherwise(F.col(_M) % chunk_size))
-    light = light.filter((F.col(_M) > 0) | F.col(content[-1]).isNull() & F.lit(not keep_nulls))
-    renamed = [f"_tl_k{i}" for i in range(len(keys))]
-    totals = light.groupBy(*keys).agg(F.sum(_M).alias(_N)).filter(F.col(_N) > chunk_size)
-    totals = totals.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.ceil(F.col(_N) / chunk_size).alias(_NC))
-    cond = reduce(lambda a, b: a & b, [light[k].eqNullSafe(totals[r]) for k, r in zip(keys, renamed)])
-    salted = light.join(totals, cond, "left").drop(*renamed).withColumn(_NC, F.coalesce(_NC, F.lit(1).cast("long")))
+    if distinct_values:
+        sketch = _sketch(df, {"of_key": _hash(keys)})
+        repeated, single = df.filter(F.col(content[-1]).isNull()), df.filter(F.col(content[-1]).isNotNull())
+    else:
+        sketch = _sketch(df, {"of_key": _hash(keys), "of_pair": _hash([*keys, *content])})
+        # a table of at most HEAVY rows
+        pairs = F.broadcast(_heavy(sketch, "of_pair", chunk_size))
+        repeated, single = (df.join(pairs, _hash([*keys, *content]) == F.col(_H), how) for how in ("left_semi", "left_anti"))
+    counted = _counted(repeated, keys, content, keep_nulls)
+    left = counted.withColumn(_M, F.when(F.col(_M) < chunk_size, F.col(_M)).otherwise(F.col(_M) % chunk_size))
+    left = left.filter((F.col(_M) > 0) | F.col(content[-1]).isNull() & F.lit(not keep_nulls))
+    light = left.unionByName(_counted(single, keys, content, keep_nulls, each=True))
+    hot = F.broadcast(_heavy(sketch, "of_key", chunk_size).select(_H, F.ceil(F.col("least") / chunk_size).alias(_NC)))
+    salted = light.join(hot, _hash(keys) == F.col(_H), "left").drop(_H).withColumn(_NC, F.coalesce(_NC, F.lit(1).cast("long")))
     h = F.xxhash64(*keys, *content)
     salted = salted.withColumn(_SALT, F.pmod(h, F.col(_NC)))
     upto = Window.partitionBy(*keys, _SALT).orderBy(F.xxhash64(*content)).rowsBetween(Window.unboundedPreceding, 0)
@@ -123,10 +157,10 @@ def group_values(
     empty list.  ``sort_values`` sorts each chunk's list.  ``chunk`` tells the
     rows of a key apart (0 and up; below 0 for whole lists of one value).
 
-    ``distinct_values=True`` skips collapsing identical rows first, which
-    saves a shuffle of every row; it states that no value repeats often within
-    a key (ids, for instance).  Where that is false the result is the same and
-    the bound holds, but the copies of a value are sorted in one task.
+    ``distinct_values=True`` states that no value repeats often within a key
+    (ids, for instance) and skips the sketch of pairs.  Where that is false the
+    result is the same and the bound holds, but the copies of a value are
+    sorted in one task.
 
     Prefer ``sum_per_key`` / ``count_per_element`` when only a fold of the
     list is wanted: they never build it.
