@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyloom.fixed import JDBC_FACTOR, ROUTING_DEFAULT, ROUTING_RULES
+from tallyloom.functions import map_outputs, output
+from tallyloom.functions.rows import OutputsFn
 from tallyloom.operators import (
     cogroup,
     count_per_element,
@@ -30,8 +34,14 @@ from tallyloom.operators import (
 from tallyloom.operators.routing import SuffixRules, branch_tags, branches
 from tallyloom.sinks import tap, write_branches, write_jdbc, write_lines
 from tallyloom.sources import read_branches, read_jdbc, read_lines, read_table
-from tallyloom.streaming import DEFAULT_WINDOW, event_time, start_window_appends, start_window_upserts, tumbling_sum
-
+from tallyloom.streaming import (
+    DEFAULT_WINDOW,
+    event_time,
+    start_key_upserts,
+    start_window_appends,
+    start_window_upserts,
+    tumbling_sum,
+)
 
 
 # Q1: word count -----------------------------------------------------------
@@ -58,6 +68,22 @@ def word_count_job(spark: SparkSession, in_path: str, out_path: str | None = Non
     return text
 
 
+def word_count_stream_job(
+    lines_df: DataFrame,
+    path: str,
+    checkpoint: str,
+    text: str = "line",
+    compact_every: int = 20,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Running word counts of a stream of texts; ``streaming.latest_keys`` reads ``(word, n)`` from ``path``.
+
+    The words of an unbounded stream are unbounded: one count per word is kept
+    in state, and the output is compacted by word.
+    """
+    return start_key_upserts(word_count_text(lines_df, text), path, checkpoint, ["word"], compact_every, trigger)
+
+
 # Q2: two inputs, word counts co-grouped by word ---------------------------
 
 def word_cogroup(inputs: Mapping[str, DataFrame], line: str = "line", **kwargs) -> DataFrame:
@@ -125,6 +151,76 @@ def line_branch_steps(
     return {tag: steps[tag](rows) if tag in steps else rows for tag, rows in parts.items()}
 
 
+def line_branch_steps_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    steps: Mapping[str, Callable[[DataFrame], DataFrame]],
+    column: str = "line",
+    rules: SuffixRules = ROUTING_RULES,
+    default: str = ROUTING_DEFAULT,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """``line_branch_steps`` on a stream: every micro-batch is routed once and fanned out into the branches' steps.
+
+    A step sees the rows of its output in one micro-batch (without the tag), so
+    it is a per-row transform or a partial aggregate that a reader of the
+    output adds up; outputs without a step pass through.  Each output is
+    written to ``<path>/<tag>/batch=<id>``.  A micro-batch has the same rows
+    and the same number when it is replayed after a failure, and replaces the
+    folders of its number, so a branch that was written before the failure
+    gains nothing and one that was not is completed.
+    """
+    tags = branch_tags(rules, default)
+    unknown = set(steps) - set(tags)
+    if unknown:
+        raise ValueError(f"no output is tagged {sorted(unknown)}")
+    routed = line_routing(df, column, rules, default)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read and routed once, whatever the number of branches
+        try:
+            for tag in tags:
+                rows = batch.filter(F.col("tag") == tag).drop("tag")
+                done = steps[tag](rows) if tag in steps else rows
+                done.write.mode("overwrite").parquet(f"{path}/{tag}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = routed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+def read_stream_branch(spark: SparkSession, path: str, tag: str, schema: StructType | str) -> DataFrame:
+    """What ``line_branch_steps_stream`` wrote for one output, with the micro-batch's number as ``batch``.
+
+    ``schema`` is that of the step's result; an output without any batch yet is empty.
+    """
+    own = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = StructType([*own.fields, StructField("batch", LongType())])
+    try:
+        return spark.read.schema(whole).parquet(f"{path}/{tag}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], whole)
+
+
+def outputs_written(
+    df: DataFrame, path: str, fn: OutputsFn, schemas: Mapping[str, StructType | str]
+) -> dict[str, DataFrame]:
+    """Run a user function with several outputs once and write all of them in one pass; one frame per output.
+
+    A frame reads its own folder and its own columns only.
+    """
+    tagged = map_outputs(df, fn, schemas)
+    write_branches(tagged, path)
+    parts = read_branches(df.sparkSession, path, list(schemas), schema=tagged.schema)
+    return {name: output(rows, name) for name, rows in parts.items()}
+
+
 # Q4: JDBC round trip ------------------------------------------------------
 
 def name_counts(rows: DataFrame, name_position: int = 1, factor: int = JDBC_FACTOR) -> tuple[DataFrame, object]:

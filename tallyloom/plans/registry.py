@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from datetime import timedelta
 from collections.abc import Callable, Sequence
 from functools import reduce
 from html.parser import HTMLParser
@@ -19,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallyloom.fixed import JDBC_FACTOR
 from tallyloom.functions import map_rows
@@ -45,14 +47,18 @@ from tallyloom.plans.jobs import (
     int_parse_stream_job,
     int_stream_job,
     line_branch_steps,
+    line_branch_steps_stream,
     name_counts,
+    outputs_written,
+    read_stream_branch,
     word_count,
+    word_count_stream_job,
     word_count_text,
 )
 from tallyloom.session import staging_path, table_path
 from tallyloom.sinks import tap, write_branches, write_lines
 from tallyloom.sources import read_lines, read_stream_files
-from tallyloom.streaming import event_time, latest_windows, tumbling_sum
+from tallyloom.streaming import batch_metrics, event_time, latest_keys, latest_windows, open_windows, record_metrics, tumbling_sum
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -309,6 +315,55 @@ def q_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_rows(pages, _page_links, "page_id long, link string, n long")
 
 
+class _Page(HTMLParser):
+    """What one parse of a page gives: link targets, comments, start tags."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=False)
+        self.links: Counter = Counter()
+        self.comments: list[str] = []
+        self.tags: Counter = Counter()
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.tags[tag] += 1
+        if tag == "a":
+            self.links.update(value for name, value in attrs if name == "href" and value)
+
+    def handle_comment(self, data: str) -> None:
+        self.comments.append(data)
+
+
+#: The outputs of the page parser, each with a schema of its own.
+PAGE_OUTPUTS = {
+    "links": "page_id long, link string, n long",
+    "comments": "page_id long, position int, comment string",
+    "tags": "page_id long, n_tags long, n_paragraphs long",
+}
+
+
+def _page_outputs(batch: pd.DataFrame) -> dict[str, pd.DataFrame]:
+    """User function with three outputs: none or more links and comments per page, one row of tag counts."""
+    rows: dict[str, list[tuple]] = {name: [] for name in PAGE_OUTPUTS}
+    for page, html in zip(batch["page_id"], batch["html"]):
+        found = _Page(html or "")
+        rows["links"] += [(page, link, n) for link, n in found.links.items()]
+        rows["comments"] += [(page, i, text) for i, text in enumerate(found.comments)]
+        rows["tags"].append((page, found.tags.total(), found.tags["p"]))
+    names = {name: [c.split()[0] for c in schema.split(", ")] for name, schema in PAGE_OUTPUTS.items()}
+    return {name: pd.DataFrame(own, columns=names[name]) for name, own in rows.items()}
+
+
+def _page_output(name: str) -> QueryFn:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pages = _t(spark, sf_dir, "pages").select("page_id", "html")
+        return outputs_written(pages, staging_path(spark, "page-outputs"), _page_outputs, PAGE_OUTPUTS)[name]
+
+    query.__doc__ = f"All pages parsed once by a function with three outputs, written in one pass; the output {name} read back."
+    return query
+
+
 def q_text_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word count over text files: the documents are written as text, read back and counted."""
     path = staging_path(spark, "lines")
@@ -347,6 +402,109 @@ def _finished(query: StreamingQuery) -> None:
         raise query.exception()
 
 
+def _as_stream(df: DataFrame, kind: str, files: int, per_batch: int = 1) -> DataFrame:
+    """``df`` written as about ``files`` files and read as a stream of ``per_batch`` files a micro-batch."""
+    path = staging_path(df.sparkSession, kind)
+    df.repartition(files).write.parquet(path)
+    return read_stream_files(df.sparkSession, path, df.schema, max_files_per_trigger=per_batch)
+
+
+def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running word counts of the documents as they arrive, over several micro-batches, compacted on the way."""
+    docs = _as_stream(_t(spark, sf_dir, "documents").select("text"), "stream-documents", files=8, per_batch=2)
+    path = staging_path(spark, "stream-words")
+    _finished(
+        word_count_stream_job(docs, path, staging_path(spark, "stream-words-ckpt"), "text", compact_every=3, trigger={"availableNow": True})
+    )
+    return latest_keys(spark, path, StructType().add("word", "string").add("n", "long"), ["word"])
+
+
+# Routing rules of the streamed branches over event types.
+EVENT_RULES = [("click", "click"), ("view", "view")]
+EVENT_DEFAULT = "other"
+
+
+def q_stream_branch_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every output of a routed stream with a step of its own: clicks counted by user, views scaled, the rest in upper case."""
+    rows = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    records = _as_stream(rows, "stream-events", files=4)
+    own = "v string, n long"
+    one = F.lit(1).cast("long").alias("n")
+    steps = {
+        "click": lambda df: df.groupBy(F.col("user_id").cast("string").alias("v")).agg(F.count("*").alias("n")),
+        "view": lambda df: df.select(F.col("event_id").cast("string").alias("v"), (F.col("user_id") * JDBC_FACTOR).alias("n")),
+        EVENT_DEFAULT: lambda df: df.select(F.upper("event_type").alias("v"), one),
+    }
+    path = staging_path(spark, "stream-steps")
+    _finished(
+        line_branch_steps_stream(
+            records, path, staging_path(spark, "stream-steps-ckpt"), steps, "event_type", EVENT_RULES, EVENT_DEFAULT, {"availableNow": True}
+        )
+    )
+    parts = {tag: read_stream_branch(spark, path, tag, own).drop("batch") for tag in steps}
+    for tag in ("click", EVENT_DEFAULT):  # partial counts of the micro-batches
+        parts[tag] = parts[tag].groupBy("v").agg(F.sum("n").alias("n"))
+    return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(tag).alias("tag"), "v", "n") for tag, df in parts.items()])
+
+
+def q_stream_tap_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``tap`` counts on a stream, recorded batch by batch by a listener and added up."""
+    records = _as_stream(_t(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), "stream-events", files=4)
+    metrics = {"errors": F.count_if(F.col("event_type") == "error"), "users": F.sum(F.coalesce("user_id", F.lit(0)))}
+    seen, _ = tap(records, "events_seen", metrics)
+    path = staging_path(spark, "stream-metrics")
+    with record_metrics(spark, path, "events_seen", metrics) as recorder:
+        writer = seen.writeStream.format("noop").option("checkpointLocation", staging_path(spark, "stream-metrics-ckpt"))
+        query = writer.trigger(availableNow=True).start()
+        recorder.follow(query.id)
+        _finished(query)
+    add = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return batch_metrics(spark, path, metrics).agg(add("rows"), add("errors"), add("users"))
+
+
+# Slices that a replayed table is cut into by event time, and how late a row may be.
+REPLAY_SLICES, REPLAY_LATE = 6, "1 hour"
+
+
+def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as message records in event-time order: equal slices of the time span, written one after another.
+
+    The file source takes files by their age, so a micro-batch never holds a
+    row older than the batches before it.
+    """
+    events = _t(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("key"), F.get_json_object("props", "$.k").alias("value"), F.col("ts").alias("timestamp")
+    )
+    path = staging_path(spark, "replay")
+    lo, hi = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    events.limit(0).write.parquet(path)
+    if lo is not None:
+        step = (hi - lo) / REPLAY_SLICES + timedelta(microseconds=1)
+        for i in range(REPLAY_SLICES):
+            at = F.col("timestamp")
+            part = events.filter((at >= F.lit(lo + i * step)) & (at < F.lit(lo + (i + 1) * step)))
+            part.coalesce(1).write.mode("append").parquet(path)
+        untimed = events.filter(F.col("timestamp").isNull())
+        untimed.write.mode("append").parquet(path)
+    return read_stream_files(spark, path, events.schema, max_files_per_trigger=1)
+
+
+def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed stream program in append mode: the watermark lies far below the span of the data, so
+    finished windows are written and leave the state; those still open at the end are read from the state."""
+    out, checkpoint = staging_path(spark, "final-sums"), staging_path(spark, "final-sums-ckpt")
+    job = int_stream_job(
+        _replay(spark, sf_dir), out, checkpoint, watermark=REPLAY_LATE, duration="5 seconds", trigger={"availableNow": True}, output_mode="append"
+    )
+    _finished(job)
+    done = spark.read.schema("w_start timestamp, w_end timestamp, s long").parquet(out)
+    return _as_wall_time(done.unionByName(open_windows(spark, checkpoint)))
+
+
+def _as_wall_time(sums: DataFrame) -> DataFrame:
+    return sums.select(F.col("w_start").cast("timestamp_ntz").alias("w_start"), F.col("w_end").cast("timestamp_ntz").alias("w_end"), "s")
+
+
 def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live stream program: every message parsed to int, non-null ones kept, appended to files."""
     out = staging_path(spark, "stream-ints")
@@ -355,8 +513,8 @@ def q_stream_parse_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(F.col("key").cast("long").alias("event_id"), F.col("value").alias("k"))
 
 
-def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windowed stream program as shipped, over micro-batches of files in any order.
+def q_stream_window_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed stream program in update mode, over micro-batches of files in any order.
 
     The watermark is the lateness that the data can have at most: the span of
     its event times (from the file footers), so no row is late.
@@ -370,12 +528,7 @@ def q_stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
             watermark=f"{span} seconds", duration="5 seconds", trigger={"availableNow": True},
         )
     )
-    latest = latest_windows(spark, out)
-    return latest.select(
-        F.col("w_start").cast("timestamp_ntz").alias("w_start"),
-        F.col("w_end").cast("timestamp_ntz").alias("w_end"),
-        "s",
-    )
+    return _as_wall_time(latest_windows(spark, out))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -411,6 +564,11 @@ QUERIES: dict[str, QueryFn] = {
     "catalog_read": q_catalog_read,
     "stream_parse_int": q_stream_parse_int,
     "stream_tumbling_sum": q_stream_tumbling_sum,
+    "stream_window_upserts": q_stream_window_upserts,
+    "stream_word_count": q_stream_word_count,
+    "stream_branch_steps": q_stream_branch_steps,
+    "stream_tap_metrics": q_stream_tap_metrics,
+    **{f"outputs_{name}": _page_output(name) for name in PAGE_OUTPUTS},
 }
 
 
@@ -453,6 +611,17 @@ def _chunk_sql(rows: str, sides: list[str], chunk_size: int) -> str:
     )
 
 
+_PAGE_LINKS = (
+    "SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, "
+    "'<a href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY page_id, link"
+)
+
+_WINDOW_SUMS = (
+    "SELECT time_bucket(INTERVAL '5 seconds', ts) AS w_start, "
+    "time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS w_end, "
+    f"CAST(sum({_K}) AS BIGINT) AS s FROM events GROUP BY 1, 2"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS_OF_DOCS,
     "word_count_kv": f"SELECT 'KV{{' || word || ', ' || n || '}}' AS kv FROM ({_WORDS_OF_DOCS}) WHERE word IS NOT NULL",
@@ -514,17 +683,31 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST(sum({_K}) AS BIGINT) AS s FROM events GROUP BY 1, 2"
     ),
     "nth_column": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
-    "map_rows": (
-        "SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, "
-        "'<a href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY page_id, link"
-    ),
+    "map_rows": _PAGE_LINKS,
     "text_word_count": _WORDS_OF_DOCS,
     "catalog_read": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
     "stream_parse_int": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",
-    "stream_tumbling_sum": (
-        "SELECT time_bucket(INTERVAL '5 seconds', ts) AS w_start, "
-        "time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS w_end, "
-        f"CAST(sum({_K}) AS BIGINT) AS s FROM events GROUP BY 1, 2"
+    "stream_tumbling_sum": _WINDOW_SUMS,
+    "stream_window_upserts": _WINDOW_SUMS,
+    "stream_word_count": _WORDS_OF_DOCS,
+    "stream_branch_steps": (
+        "SELECT 'click' AS tag, CAST(user_id AS VARCHAR) AS v, count(*) AS n FROM events WHERE suffix(event_type, 'click') GROUP BY 2 "
+        "UNION ALL SELECT 'view' AS tag, CAST(event_id AS VARCHAR) AS v, user_id * 10 AS n FROM events WHERE suffix(event_type, 'view') "
+        "UNION ALL SELECT 'other' AS tag, upper(event_type) AS v, count(*) AS n FROM events "
+        "WHERE NOT suffix(event_type, 'click') AND NOT suffix(event_type, 'view') GROUP BY 2"
+    ),
+    "stream_tap_metrics": (
+        "SELECT count(*) AS rows, count(*) FILTER (WHERE event_type = 'error') AS errors, "
+        "CAST(coalesce(sum(user_id), 0) AS BIGINT) AS users FROM events"
+    ),
+    "outputs_links": _PAGE_LINKS,
+    "outputs_comments": (
+        "SELECT page_id, CAST(unnest(range(len(c))) AS INTEGER) AS position, unnest(c) AS comment "
+        "FROM (SELECT page_id, regexp_extract_all(html, '(?s)<!--(.*?)-->', 1) AS c FROM pages)"
+    ),
+    "outputs_tags": (
+        "SELECT page_id, CAST(len(regexp_extract_all(html, '<[a-zA-Z][^>]*>')) AS BIGINT) AS n_tags, "
+        "CAST(len(regexp_extract_all(html, '(?i)<p(\\s[^>]*)?/?>')) AS BIGINT) AS n_paragraphs FROM pages"
     ),
 }
 

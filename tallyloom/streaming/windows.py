@@ -69,6 +69,11 @@ def _conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
+def rocksdb_state(spark: SparkSession):
+    """Queries started within keep their state in RocksDB."""
+    return _conf(spark, _STATE_STORE, _ROCKSDB)
+
+
 def start_window_upserts(
     agg: DataFrame,
     path: str,
@@ -93,7 +98,7 @@ def start_window_upserts(
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    with _conf(agg.sparkSession, _STATE_STORE, _ROCKSDB):
+    with rocksdb_state(agg.sparkSession):
         return writer.start()
 
 
@@ -115,10 +120,22 @@ def start_window_appends(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    with _conf(agg.sparkSession, _STATE_STORE, _ROCKSDB):
+    with rocksdb_state(agg.sparkSession):
         return writer.start()
 
 
+def open_windows(spark: SparkSession, checkpoint: str, out: str = "s") -> DataFrame:
+    """``(w_start, w_end, out)``: the windows still in the state of a stopped ``tumbling_sum`` query without keys.
+
+    Read from the checkpoint's state store: what an append-mode query has not
+    written yet because the watermark has not passed the window's end.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    total = F.coalesce(F.col(f"value.{state.schema['value'].dataType.names[0]}"), F.lit(0))
+    window = f"key.{state.schema['key'].dataType.names[0]}"
+    return state.select(F.col(f"{window}.start").alias("w_start"), F.col(f"{window}.end").alias("w_end"), total.alias(out))
+
+
 def latest_windows(spark: SparkSession, path: str, value: str = "s") -> DataFrame:
     """The newest value of every window (and key) written by ``start_window_upserts``."""
     rows = spark.read.parquet(path)
