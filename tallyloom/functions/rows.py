@@ -66,7 +66,7 @@ def map_outputs(df: DataFrame, fn: OutputsFn, schemas: Mapping[str, StructType |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            emitted = fn(batch.to_pandas())
+            emitted = fn(batch.to_pandas(date_as_object=True))
             unknown = set(emitted) - set(whole.names[1:])
             if unknown:
                 raise ValueError(f"no output is named {sorted(unknown)}")
