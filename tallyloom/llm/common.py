@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import ship_package as ship  # noqa: F401
@@ -17,6 +18,8 @@ from tallyloom.session import staging_path, table_path
 RID = "_rid"
 #: Running sums are built in blocks of this many elements.
 _SUM_BLOCK = 128
+#: Files whose ranks are broadcast.
+MAX_FILES = 100_000
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -44,16 +47,42 @@ def number_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
 
     The number depends on how the scan is split, which may differ from one scan
     to the next: numbers of two scans must never meet in a join.  What is read
-    more than once is numbered by ``store_numbered`` or ``store_rows``.  Only
-    the named columns are taken, so no other column can clash with those an
-    operator adds.
+    more than once is numbered by ``identified``.  Only the named columns are
+    taken, so no other column can clash with those an operator adds.
     """
     return docs.select(F.monotonically_increasing_id().alias(RID), *columns)
 
 
-def store_numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
-    """``number_rows``, written and read back: the number is stored with its row and never computed again."""
-    return materialize(number_rows(docs, *columns), "numbered")
+def identified(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``columns`` of ``docs`` with a row number ``_rid`` that is the same in every scan.
+
+    Rows of Parquet files are known by the file's rank among the file names
+    and their place in the file, so nothing is copied; the ranks, one short row
+    per file, are stored, and broadcast up to ``MAX_FILES`` files.  Other rows,
+    and those of more files, are numbered once and written with their number.
+    """
+    if docs.isStreaming:
+        raise ValueError("a stream has no stored rows")
+    ranks = _file_ranks(docs)
+    if ranks is None:
+        return materialize(number_rows(docs, *columns), "numbered")
+    place = docs.metadataColumn("_metadata")
+    rows = docs.select(place["file_path"].alias("_file"), place["row_index"].alias("_place"), *columns)
+    met = rows.join(F.broadcast(ranks), "_file")
+    return met.select((F.shiftleft("_rank", 40) + F.col("_place")).alias(RID), *[F.col(f"`{c}`") for c in rows.columns[2:]])
+
+
+def _file_ranks(docs: DataFrame) -> DataFrame | None:
+    """``(_file, _rank)`` of the Parquet files that ``docs`` reads directly; None for any other input, or for too many files."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        docs.select(place["row_index"]).schema  # fails where the rows are not those of Parquet files
+        files = materialize(docs.select(place["file_path"].alias("_file")).distinct(), "files")
+    except AnalysisException:
+        return None
+    if files.count() > MAX_FILES:
+        return None
+    return materialize(files.withColumn("_rank", F.row_number().over(Window.orderBy("_file")).cast("long")).coalesce(1), "file-ranks")
 
 
 def whole_row(docs: DataFrame) -> Column:
@@ -61,14 +90,14 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
-def store_rows(docs: DataFrame) -> DataFrame:
-    """``(_rid, row)``: whole rows under a stored number."""
-    return store_numbered(docs, whole_row(docs))
+def identified_rows(docs: DataFrame) -> DataFrame:
+    """``(_rid, row)``: whole rows under a number that is the same in every scan."""
+    return identified(docs, whole_row(docs))
 
 
-def keep_rows(stored: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``store_rows`` whose number is in ``kept (_rid)``, with their own columns."""
-    return stored.join(kept.select(RID), RID, "left_semi").select("row.*")
+def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``identified_rows`` whose number is in ``kept (_rid)``, with their own columns."""
+    return rows.join(kept.select(RID), RID, "left_semi").select("row.*")
 
 
 def crc_mod(column: str, divisor: int) -> Column:

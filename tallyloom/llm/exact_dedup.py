@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, keep_rows, materialize, store_numbered, store_rows, text_or_empty
+from tallyloom.llm.common import RID, keep_rows, materialize, identified, identified_rows, text_or_empty
 
 #: White space runs that are not already one space.
 _SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -44,10 +44,13 @@ def _verified(numbered: DataFrame, table: DataFrame, bits: int) -> DataFrame:
     occurrence = numbered.select(RID, F.posexplode(chunks(F.col("_norm"))).alias("pos", "chunk")).withColumn(
         "id", chunk_id(F.col("chunk"), bits)
     )
-    distinct = materialize(occurrence.select("id", "chunk").distinct().groupBy("id").agg(F.count("*").alias("n")).filter("n > 1"), "chunk-clash")
-    if distinct.isEmpty():
+    # contents are told apart by 128 bits of their SHA-256; those of ambiguous identifiers alone are moved and compared
+    content = F.substring(F.unhex(F.sha2("chunk", 256)), 1, 16).alias("content")
+    sides = occurrence.select("id", content).groupBy("id").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
+    ambiguous = materialize(sides.filter("lo <> hi").select("id"), "chunk-clash")
+    if ambiguous.isEmpty():
         return table
-    clash = occurrence.join(distinct.select("id"), "id", "left_semi")
+    clash = occurrence.join(ambiguous, "id", "left_semi")
     variant = clash.select("id", "chunk").distinct().withColumn(
         "variant", F.row_number().over(Window.partitionBy("id").orderBy("chunk"))
     )
@@ -82,7 +85,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text counts as empty, and all empty texts are one group.  An empty
     table gives an empty result; other input columns are ignored.
     """
-    return _groups(store_numbered(docs, F.col(id_col), normalise(text_col).alias("_norm")), id_col, bits)
+    return _groups(identified(docs, F.col(id_col), normalise(text_col).alias("_norm")), id_col, bits)
 
 
 def _groups(numbered: DataFrame, id_col: str, bits: int = 64) -> DataFrame:
@@ -105,6 +108,6 @@ def _groups(numbered: DataFrame, id_col: str, bits: int = 64) -> DataFrame:
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns unchanged."""
-    stored, row = store_rows(docs), F.col("row")
+    stored, row = identified_rows(docs), F.col("row")
     numbered = stored.select(RID, row[id_col].alias(id_col), normalise(row[text_col]).alias("_norm"))
     return keep_rows(stored, _groups(numbered, id_col).filter("kept"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, arrow_slices, keep_rows, materialize, ship, store_numbered, store_rows, text_or_empty
+from tallyloom.llm.common import RID, arrow_slices, keep_rows, materialize, ship, identified, identified_rows, text_or_empty
 from tallyloom.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -247,7 +247,7 @@ def near_dedup(
     shingles, are linked with nothing and are kept.  Other columns are ignored;
     an empty table gives an empty result.
     """
-    return _near(store_numbered(docs, F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")), width, percent)
+    return _near(identified(docs, F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")), width, percent)
 
 
 def _near(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -296,6 +296,6 @@ def _near(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every group of near copies; columns unchanged."""
-    stored, row = store_rows(docs), F.col("row")
+    stored, row = identified_rows(docs), F.col("row")
     rows = stored.select(RID, row[id_col].alias("doc_id"), text_or_empty(row[text_col]).alias("text"))
     return keep_rows(stored, _near(rows).filter("kept"))

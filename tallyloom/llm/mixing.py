@@ -17,7 +17,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, number_rows, store_rows, text_or_empty
+from tallyloom.llm.common import RID, materialize, number_rows, identified_rows, text_or_empty
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -190,7 +190,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     document with the most taken words once (ties: the shortest, then the first
     of the scan).
     """
-    stored, row = store_rows(docs), F.col("row")
+    stored, row = identified_rows(docs), F.col("row")
     result = _mix(materialize(stored.select(RID, *_sized(row[id_col], row[text_col], row[source_col])), "sizes"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     plan = materialize(result.filter("size > 0").select(RID, "position", "size", "target", "taken", copies.alias("_copies")), "copies")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, by_size, crc_mod, materialize, number_rows, ship, text_or_empty, whole_row
+from tallyloom.llm.common import RID, by_size, crc_mod, number_rows, ship, text_or_empty, whole_row
 
 #: Bound of the training sample, in labelled rows chosen by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -192,17 +192,31 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return number_rows(docs, F.col(id_col).alias("doc_id"), features_of(text_or_empty(text_col)).alias("x"), *more)
 
 
+def _picked(labels: DataFrame, label_col: str, fold: int, folds: int) -> DataFrame:
+    """``(doc_id, y)`` of the training sample, about ``TRAIN_ROWS`` rows."""
+    known = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", folds) != fold))
+    known = known.groupBy("doc_id").agg(F.max(label_col).cast("double").alias("y"))
+    size = max(1, known.count())
+    h = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000))
+    return known.filter(h < 1_000_000 * min(1.0, TRAIN_ROWS / size))
+
+
+def _trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str = "quality", fold: int = 1, folds: int = 3) -> Model:
+    """``train`` on the rows of ``docs`` that the sample names: only their features are counted for it."""
+    order = [F.xxhash64(F.lit("quality"), "doc_id"), "doc_id"]
+    ids = _picked(labels, label_col, fold, folds).select("doc_id").orderBy(*order).limit(TRAIN_ROWS + TRAIN_ROWS // 10)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # at most that many ids
+    return train(feature_table(sample, "doc_id", "text"), labels, label_col, fold, folds)
+
+
 def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", fold: int = 1, folds: int = 3) -> Model:
     """A model from at most ``TRAIN_ROWS`` labelled rows outside the held-out fold (crc32 of the id, modulo ``folds``).
 
     A label is the greatest of a document's labels; null labels are not used.
     Rows that repeat an id train once, by the least of their features.
     """
-    known = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", folds) != fold))
-    known = known.groupBy("doc_id").agg(F.max(label_col).cast("double").alias("y"))
-    size = max(1, known.count())
-    h = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000))
-    picked = known.filter(h < 1_000_000 * min(1.0, TRAIN_ROWS / size)).join(table.select("doc_id", "x"), "doc_id")
+    picked = _picked(labels, label_col, fold, folds).join(table.select("doc_id", "x"), "doc_id")
     once = picked.groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id")
     rows = once.limit(TRAIN_ROWS + TRAIN_ROWS // 10).toPandas().sort_values("doc_id")
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
@@ -237,11 +251,10 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     train once).  Without labelled rows, or with one label only, the score is
     the smoothed share of label 1.  An empty table gives an empty result.
     """
-    table = materialize(feature_table(docs, id_col, text_col), "features")
-    return predict(table, train(table, labels))
+    return predict(feature_table(docs, id_col, text_col), _trained(docs, labels, id_col, text_col))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted to be of low quality; columns unchanged."""
-    table = materialize(feature_table(docs, id_col, text_col, whole_row(docs)), "features")
-    return scored(table, train(table, labels)).filter("score >= 0.5").select("row.*")
+    model = _trained(docs, labels, id_col, text_col)
+    return scored(feature_table(docs, id_col, text_col, whole_row(docs)), model).filter("score >= 0.5").select("row.*")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, materialize, ship, shuffle_partitions, store_numbered, text_or_empty
+from tallyloom.llm.common import RID, materialize, ship, shuffle_partitions, identified, text_or_empty
 
 LEAST = 200
 #: Bytes of an anchor; a 200-byte string has LEAST - ANCHOR + 1 of them.
@@ -385,7 +385,7 @@ def remove_repeats(
     all of it; matches never cross rows; other columns are ignored; an empty
     table gives an empty result.
     """
-    rows = store_numbered(docs, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = identified(docs, F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     found = repeated_intervals(rows, least, k, group_variants)
     spans = found.groupBy(RID).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
     empty = F.array().cast("array<int>")
