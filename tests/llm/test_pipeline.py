@@ -76,7 +76,7 @@ def test_repeated_rows_leave_one(spark, docs):
 def test_registration():
     names = entry.queries()
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
