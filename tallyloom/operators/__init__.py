@@ -1,5 +1,5 @@
 from tallyloom.operators.aggregates import count_per_element, sum_all, sum_per_key
-from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, fold_repeats, fold_sum, group_values
+from tallyloom.operators.grouping import DEFAULT_CHUNK_SIZE, cogroup, cogroup_stored, fold_repeats, fold_sum, group_values
 from tallyloom.operators.routing import branch_tags, branches, route
 from tallyloom.operators.transforms import (
     key_ones,
@@ -20,6 +20,7 @@ __all__ = [
     "branch_tags",
     "branches",
     "cogroup",
+    "cogroup_stored",
     "count_per_element",
     "fold_repeats",
     "fold_sum",

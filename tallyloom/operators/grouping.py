@@ -233,6 +233,26 @@ def cogroup(
     return gathered.select(*keys, "chunk", *inputs).unionByName(whole.select(*keys, "chunk", *single))
 
 
+def cogroup_stored(left: DataFrame, right: DataFrame, key: str, value: str, tags: Sequence[str]) -> DataFrame:
+    """``(key, <tag1>, <tag2>)``: co-group of two inputs that are stored by key (``sinks.write_bucketed``).
+
+    Each input has at most one row per key (per-key aggregates), so every list
+    has at most one element.  With the same number of buckets on both sides the
+    join finds the rows of a key in the same bucket and shuffles nothing; on
+    inputs that are not stored by key it is an ordinary outer join.  A second
+    row for a key would give a second row here, and a null key of one input
+    does not meet that of the other (a join on equality alone keeps to the
+    buckets): use ``cogroup`` where either may be.
+    """
+    a = left.select(F.col(key).alias("_tl_a"), F.struct(F.col(value).alias("v")).alias("_tl_x"))
+    b = right.select(F.col(key).alias("_tl_b"), F.struct(F.col(value).alias("v")).alias("_tl_y"))
+    met = a.join(b, F.col("_tl_a") == F.col("_tl_b"), "full_outer")
+    # a side's struct is null where the side has no row; null values are no list elements
+    values = lambda side: F.filter(F.array(F.col(f"{side}.v")), lambda v: v.isNotNull())
+    own_key = F.when(F.col("_tl_x").isNotNull(), F.col("_tl_a")).otherwise(F.col("_tl_b"))
+    return met.select(own_key.alias(key), values("_tl_x").alias(tags[0]), values("_tl_y").alias(tags[1]))
+
+
 def fold_sum(
     grouped: DataFrame,
     key: str | Sequence[str] = "key",

@@ -27,6 +27,7 @@ from tallyloom.functions import map_rows
 from tallyloom.operators import (
     branches,
     cogroup,
+    cogroup_stored,
     count_per_element,
     fold_repeats,
     group_values,
@@ -56,8 +57,8 @@ from tallyloom.plans.jobs import (
     word_count_text,
 )
 from tallyloom.session import staging_path, table_path
-from tallyloom.sinks import tap, write_branches, write_lines
-from tallyloom.sources import read_lines, read_stream_files
+from tallyloom.sinks import tap, write_branches, write_bucketed, write_lines
+from tallyloom.sources import read_lines, read_stream_files, read_table
 from tallyloom.streaming import batch_metrics, event_time, latest_keys, latest_windows, open_windows, record_metrics, tumbling_sum
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -382,6 +383,28 @@ def q_catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column
 
 
+#: Buckets of the tables that the bucketed query writes.
+BUCKETS = 8
+
+
+def q_bucketed_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and balances summed per customer and co-grouped, from two tables stored by customer:
+    once they are written, neither the sums nor the co-group shuffle anything."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyloom_runs")
+    stored = {}
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    customers = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.round(F.col("c_acctbal") * 100).cast("long").alias("v"))
+    for kind, rows in (("orders", orders), ("customers", customers)):
+        name = f"tallyloom_runs.{kind}_{uuid.uuid4().hex}"
+        write_bucketed(rows, name, "k", BUCKETS, path=staging_path(spark, f"bucketed-{kind}"))
+        stored[kind] = read_table(spark, name)
+        stored[kind].schema  # resolved; the table is external, its files stay
+        spark.sql(f"DROP TABLE {name}")
+    sums = {kind: sum_per_key(rows, "k", "v", 1, "v") for kind, rows in stored.items()}
+    grouped = cogroup_stored(sums["orders"], sums["customers"], "k", "v", ["orders", "customers"])
+    return grouped.select("k", F.get("orders", F.lit(0)).alias("orders"), F.get("customers", F.lit(0)).alias("cents"))
+
+
 def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of message records ``(key, value, timestamp)``.
 
@@ -562,6 +585,7 @@ QUERIES: dict[str, QueryFn] = {
     "map_rows": q_map_rows,
     "text_word_count": q_text_word_count,
     "catalog_read": q_catalog_read,
+    "bucketed_cogroup": q_bucketed_cogroup,
     "stream_parse_int": q_stream_parse_int,
     "stream_tumbling_sum": q_stream_tumbling_sum,
     "stream_window_upserts": q_stream_window_upserts,
@@ -686,6 +710,11 @@ ORACLE_SQL: dict[str, str] = {
     "map_rows": _PAGE_LINKS,
     "text_word_count": _WORDS_OF_DOCS,
     "catalog_read": "SELECT CAST(event_id AS VARCHAR) AS first_col FROM events",
+    "bucketed_cogroup": (
+        "SELECT coalesce(o.k, c.k) AS k, o.v AS orders, c.v AS cents FROM "
+        "(SELECT o_custkey AS k, CAST(sum(o_orderkey) AS BIGINT) AS v FROM orders GROUP BY o_custkey) o FULL OUTER JOIN "
+        "(SELECT c_custkey AS k, CAST(sum(round(c_acctbal * 100)) AS BIGINT) AS v FROM customer GROUP BY c_custkey) c ON c.k = o.k"
+    ),
     "stream_parse_int": f"SELECT event_id, {_K} AS k FROM events WHERE {_K} IS NOT NULL",
     "stream_tumbling_sum": _WINDOW_SUMS,
     "stream_window_upserts": _WINDOW_SUMS,

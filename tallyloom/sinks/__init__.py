@@ -91,6 +91,21 @@ def write_jdbc_stream(df: DataFrame, checkpoint: str, url: str, table: str, **op
     return df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).start()
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None, mode: str = "errorifexists") -> None:
+    """A catalog table stored by key: ``buckets`` hash buckets, sorted within.
+
+    Grouping by the key, and co-grouping several tables with the same number of
+    buckets, then need no exchange: the rows of a key are in one bucket of
+    each.  The rows are shuffled to the buckets once, here, so that a task
+    writes whole buckets.  ``path`` makes the table external.
+    """
+    placed = df.repartition(buckets, key)
+    writer = placed.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
 def write_branches(df: DataFrame, path: str, tag: str = "tag", mode: str = "errorifexists", fmt: str = "parquet") -> None:
     """All routed outputs in one pass: one sub folder ``tag=<t>`` per branch.
 
@@ -161,6 +176,7 @@ __all__ = [
     "tap",
     "write_branches",
     "write_branches_stream",
+    "write_bucketed",
     "write_jdbc",
     "write_jdbc_stream",
     "write_lines",

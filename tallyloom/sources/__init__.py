@@ -4,6 +4,7 @@ and file streams.  Each returns a lazy DataFrame; nothing is read on the driver.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -141,6 +142,80 @@ def jdbc_bounds(
     return int(lo), int(hi) + 1
 
 
+#: Values that a database hands over at most for the ranges of a read.
+RANGE_SAMPLE = 10_000
+
+
+def _literal(value: object) -> str:
+    """A value as the database reads it."""
+    if isinstance(value, dt.datetime):
+        return "{ts '" + value.strftime("%Y-%m-%d %H:%M:%S.%f") + "'}"
+    if isinstance(value, dt.date):
+        return "{d '" + value.isoformat() + "'}"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, float):
+        return repr(value)
+    return str(value)
+
+
+def range_predicates(column: str, cuts: Sequence[object]) -> list[str]:
+    """One condition per range between the ascending ``cuts``: every row, nulls too, meets exactly one of them.
+
+    Text is compared by the database's own order, which may not be that of the
+    cuts; a range of text therefore leaves out what earlier ranges hold.
+    """
+    if not cuts:
+        return ["1 = 1"]
+    marks = [_literal(c) for c in cuts]
+    out = [f"{column} < {marks[0]} OR {column} IS NULL"]
+    for i in range(1, len(marks) + 1):
+        upper = [f"{column} < {marks[i]}"] if i < len(marks) else []
+        lower = [f"NOT ({column} < {m})" for m in marks[:i]] if isinstance(cuts[0], str) else [f"{column} >= {marks[i - 1]}"]
+        out.append(" AND ".join([*lower, *upper]))
+    return out
+
+
+def jdbc_ranges(
+    spark: SparkSession,
+    url: str,
+    column: str,
+    num_partitions: int,
+    query: str | None = None,
+    table: str | None = None,
+    sample: int = RANGE_SAMPLE,
+    sample_query: str | None = None,
+    **options,
+) -> list[str]:
+    """Predicates that split a query or table into ``num_partitions`` ranges of similar row counts, for ``read_jdbc``.
+
+    The ranges follow the content: the database counts the rows and hands over
+    every so-many-th value of ``column`` (numbers, dates, timestamps or text),
+    at most ``sample`` of them, and the ranges are cut at its quantiles.  A
+    value that fills several ranges by itself starts one, and the others are left out.
+    ``sample_query`` replaces that query where a database has no
+    ``ROW_NUMBER() OVER ()``.
+    """
+    if num_partitions < 1 or sample < 1:
+        raise ValueError("num_partitions and sample must be positive")
+    source = f"({query}) q" if query is not None else table
+    conn = {k: options[k] for k in ("driver", "user", "password", "extra") if options.get(k) is not None}
+    ask = lambda sql: spark.read.format("jdbc").options(**jdbc_options(url, query=sql, **conn)).load()
+    if sample_query is None:
+        total = ask(f"SELECT COUNT(*) AS n FROM {source} WHERE {column} IS NOT NULL").first()[0]
+        step = max(1, -(-int(total) // sample))
+        numbered = f"SELECT {column} AS v, ROW_NUMBER() OVER () AS rn FROM {source} WHERE {column} IS NOT NULL"
+        sample_query = f"SELECT v FROM ({numbered}) s WHERE MOD(rn, {step}) = 0"
+    values = sorted(r[0] for r in ask(sample_query).limit(sample + 1).collect() if r[0] is not None)
+    cuts: list[object] = []
+    for i in range(1, num_partitions):
+        if values:
+            at = values[len(values) * i // num_partitions]
+            if at > values[0] and at not in cuts:
+                cuts.append(at)
+    return range_predicates(column, cuts)
+
+
 def read_branches(
     spark: SparkSession, path: str, tags: Sequence[str], tag: str = "tag", schema: StructType | str | None = None
 ) -> dict[str, DataFrame]:
@@ -244,9 +319,11 @@ def read_stream_files(
 
 __all__ = [
     "from_rows",
+    "range_predicates",
     "read_branches",
     "jdbc_bounds",
     "jdbc_options",
+    "jdbc_ranges",
     "kafka_options",
     "kafka_records",
     "read_jdbc",

@@ -9,7 +9,7 @@ from conftest import natural, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyloom.operators import cogroup, fold_repeats, fold_sum, group_values, sum_per_key
+from tallyloom.operators import cogroup, cogroup_stored, fold_repeats, fold_sum, group_values, sum_per_key
 from tallyloom.plans import word_cogroup
 from tallyloom.sources import from_rows, read_stream_files
 
@@ -209,3 +209,13 @@ def test_more_copies_than_one_block_of_lists(spark):
     df = spark.range(0, 3001).select(F.lit("k").alias("key"), F.lit(7).alias("value"))
     out = group_values(df, chunk_size=1)
     assert out.count() == 3001 and out.select("chunk").distinct().count() == 3001
+
+
+def test_cogroup_of_stored_tables_is_the_cogroup(spark):
+    a = from_rows(spark, [("x", 1), ("y", None)], "key string, value int")
+    b = from_rows(spark, [("y", 2), ("z", 4)], "key string, value int")
+    plain = rows(cogroup({"a": a, "b": b}), "key", "a", "b")
+    assert rows(cogroup_stored(a, b, "key", "value", ["a", "b"]), "key", "a", "b") == plain
+    assert plain == [("x", [1], []), ("y", [], [2]), ("z", [], [4])]
+    null = from_rows(spark, [(None, 3)], "key string, value int")
+    assert rows(cogroup_stored(null, null, "key", "value", ["a", "b"]), "a", "b") == [([], [3]), ([3], [])]

@@ -86,3 +86,16 @@ def test_single_branch_filter_pushed_to_parquet(spark):
     plan = final_plan(spark, "branch_bolt")
     assert "PushedFilters: [IsNotNull(p_name), StringEndsWith(p_name,bolt)]" in plan
     assert shuffles(plan) == 0
+
+
+def test_bucketed_tables_are_grouped_and_cogrouped_without_a_shuffle(spark):
+    plan = final_plan(spark, "bucketed_cogroup")
+    assert shuffles(plan) == 0 and plan.count("Bucketed: true") == 2
+
+
+def test_grouping_shuffles_its_rows_once(spark):
+    """Besides sketches, counted repeats and the query's own fold, rows move by (key, salt) alone."""
+    plan = final_plan(spark, "group_values_hot")
+    by_salt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "_tl_salt" in line]
+    assert len(by_salt) == 1
+    assert "approx_top_k" in plan and "SortMergeJoin" not in plan

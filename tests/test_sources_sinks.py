@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.plans import catalog_first_column, jdbc_round_trip, word_count_job
 from tallyloom.session import shared_dir
-from tallyloom.sinks import tap, write_jdbc, write_lines
+from tallyloom.sinks import once, tap, write_jdbc, write_lines
 from tallyloom.sources import (
     from_rows,
     jdbc_options,
+    jdbc_ranges,
     kafka_options,
     read_jdbc,
     read_kafka,
@@ -181,3 +182,101 @@ def test_jdbc_partitioned_read_finds_its_bounds(spark):
     )
     assert df.rdd.getNumPartitions() == 3
     assert sorted(r.NID for r in df.collect()) == [1, 2, 3, 4]
+
+
+OUT_TYPES = "NAME VARCHAR(50), COUNT VARCHAR(50)"
+
+
+def _out(spark, url):
+    return rows(read_jdbc(spark, url, table="name_counts_out", driver=DERBY), "NAME", "COUNT")
+
+
+def test_an_insert_with_a_retried_task_holds_every_row_once(spark, monkeypatch):
+    url = _derby(spark, "once")
+    real = once.write_jdbc
+
+    def task_run_again(df, *args, **kwargs):
+        """A task commits its rows, is lost, and runs again: the first half of the rows arrives a second time."""
+        real(df, *args, **kwargs)
+        real(df.filter(F.col("tl_row") < 2), *args, **{**kwargs, "mode": "append"})
+
+    monkeypatch.setattr(once, "write_jdbc", task_run_again)
+    df = from_rows(spark, [("a", "1"), ("b", "2"), ("c", "3"), ("d", "1")], "name string, count string").coalesce(1)
+    assert once.write_jdbc_once(df, url, "name_counts_out", "job", column_types=OUT_TYPES, driver=DERBY)
+    assert _out(spark, url) == [("a", "1"), ("b", "2"), ("c", "3"), ("d", "1")]
+    # a rerun of the job inserts nothing; the primary key is not even asked
+    assert not once.write_jdbc_once(df, url, "name_counts_out", "job", column_types=OUT_TYPES, driver=DERBY)
+    assert len(_out(spark, url)) == 4
+    with once._connection(spark, url, DERBY, None, None) as conn:
+        names = conn.getMetaData().getTables(None, "APP", None, None)
+        left = set()
+        while names.next():
+            left.add(names.getString("TABLE_NAME"))
+    assert left == {"PEOPLE", "NAME_COUNTS_OUT", "TL_COMMITS"}  # no staging table stays
+
+
+def test_a_failed_move_leaves_neither_rows_nor_a_ledger_entry(spark):
+    url = _derby(spark, "oncefail")
+    twice = from_rows(spark, [("a", "1"), ("a", "2")], "name string, count string")
+    with pytest.raises(Exception):
+        once.write_jdbc_once(twice, url, "name_counts_out", "job", column_types=OUT_TYPES, driver=DERBY)
+    assert _out(spark, url) == []
+    good = from_rows(spark, [("a", "1")], "name string, count string")
+    assert once.write_jdbc_once(good, url, "name_counts_out", "job", column_types=OUT_TYPES, driver=DERBY)
+    assert _out(spark, url) == [("a", "1")]
+    with pytest.raises(ValueError, match="no columns"):
+        once.write_jdbc_once(good.withColumn("x", F.lit(1)), url, "name_counts_out", "job2", driver=DERBY)
+
+
+def test_a_replayed_micro_batch_is_inserted_once(spark, scratch):
+    url = _derby(spark, "oncestream")
+    for part in ([("a", "1")], [("b", "2"), ("c", "3")]):
+        from_rows(spark, part, "name string, count string").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    stream = read_stream_files(spark, f"{scratch}/in", "name string, count string", max_files_per_trigger=1)
+    for checkpoint in ("one", "two"):  # a lost checkpoint replays every batch under its number
+        query = once.write_jdbc_once_stream(
+            stream, f"{scratch}/{checkpoint}", url, "name_counts_out", "stream", {"availableNow": True}, column_types=OUT_TYPES, driver=DERBY
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+        assert _out(spark, url) == [("a", "1"), ("b", "2"), ("c", "3")]
+
+
+def _skewed(spark, name):
+    """Keys with a gap and a crowd: 900 of 1,000 within a thousandth of the span, 20 nulls besides."""
+    url = _derby(spark, name)
+    with once._connection(spark, url, DERBY, None, None) as conn:
+        once._run(conn, "create table skewed (k bigint, t varchar(40), d date, v int)")
+        statement = conn.prepareStatement("insert into skewed values (?, ?, ?, ?)")
+        for i in range(1020):
+            k = None if i >= 1000 else i if i < 900 else i * 1000
+            statement.setObject(1, k, spark.sparkContext._jvm.java.sql.Types.BIGINT)
+            statement.setObject(2, None if k is None else f"it's {k % 251:03d}x", spark.sparkContext._jvm.java.sql.Types.VARCHAR)
+            day = None if k is None else spark.sparkContext._jvm.java.sql.Date.valueOf(f"20{10 + i % 7}-0{1 + i % 9}-1{i % 10}")
+            statement.setObject(3, day, spark.sparkContext._jvm.java.sql.Types.DATE)
+            statement.setObject(4, i, spark.sparkContext._jvm.java.sql.Types.INTEGER)
+            statement.addBatch()
+        statement.executeBatch()
+        statement.close()
+    return url
+
+
+@pytest.mark.parametrize("column", ["k", "t", "d"])
+def test_ranges_by_content_are_even_and_cover_every_row(spark, column):
+    url = _skewed(spark, f"ranges{column}")
+    where = jdbc_ranges(spark, url, column, 8, table="skewed", sample=300, driver=DERBY)
+    df = read_jdbc(spark, url, table="skewed", predicates=where, driver=DERBY)
+    assert df.rdd.getNumPartitions() == len(where) == 8
+    sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    assert sorted(r.V for r in df.collect()) == list(range(1020))
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_ranges_of_few_values_and_empty_tables(spark):
+    url = _derby(spark, "fewranges")
+    where = jdbc_ranges(spark, url, "name", 4, query="select * from people", driver=DERBY)
+    df = read_jdbc(spark, url, query="select * from people", predicates=where, driver=DERBY)
+    assert sorted(r.ID for r in df.collect()) == ["1", "2", "3", "4"]
+    assert jdbc_ranges(spark, url, "name", 4, table="name_counts_out", driver=DERBY) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        jdbc_ranges(spark, url, "name", 0, table="people", driver=DERBY)
