@@ -4,9 +4,10 @@ A text is cut into sections (after blank lines), sections into paragraphs
 (lines), paragraphs into phrases (after a clause end, at most 64 characters);
 the cuts are exact, so the pieces joined are the text.  A phrase's node is its
 SHA-256, a paragraph's node hashes its phrases, a section's its paragraphs, the
-root its sections.  Equal roots mean equal texts; of two trees, equal branches
-need no further look, and the first and last phrases that differ locate the
-edit.
+root its sections.  Equal roots mean equal texts.  Two trees are compared from
+the root down: sections first, within the first that differs its paragraphs,
+within the first of those its phrases, and the same from the end.  Branches
+with equal nodes need no further look, and the two ways down locate the edit.
 """
 
 from __future__ import annotations
@@ -29,19 +30,22 @@ def phrases(text: Column) -> Column:
     )
 
 
-def leaves(pieces: Column) -> Column:
-    """The phrase nodes in order, as they stand in the tree."""
-    return F.transform(F.flatten(F.flatten(pieces)), lambda x: F.sha2(x, 256))
+def phrase_nodes(pieces: Column) -> Column:
+    """The phrase nodes, nested like the pieces."""
+    return F.transform(pieces, lambda s: F.transform(s, lambda p: F.transform(p, lambda x: F.sha2(x, 256))))
 
 
 def _node(level: str, children: Column) -> Column:
     return F.sha2(F.concat(F.lit(level), F.array_join(children, "")), 256)
 
 
-def sections(pieces: Column) -> Column:
-    """The section nodes in order."""
-    paragraph = lambda p: _node("p", F.transform(p, lambda x: F.sha2(x, 256)))
-    return F.transform(pieces, lambda s: _node("s", F.transform(s, paragraph)))
+def paragraph_nodes(phrase_nodes: Column) -> Column:
+    """The paragraph nodes of every section."""
+    return F.transform(phrase_nodes, lambda s: F.transform(s, lambda p: _node("p", p)))
+
+
+def section_nodes(paragraph_nodes: Column) -> Column:
+    return F.transform(paragraph_nodes, lambda s: _node("s", s))
 
 
 def root(section_nodes: Column) -> Column:
@@ -49,25 +53,50 @@ def root(section_nodes: Column) -> Column:
 
 
 def _leading(a: Column, b: Column) -> Column:
-    """How many elements two arrays have in common at their start."""
+    """How many elements two arrays have in common at their start; 0 if either is null."""
     differs = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-    return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b)).cast("bigint"))
+    common = F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b)))
+    return F.when(a.isNotNull() & b.isNotNull(), common).otherwise(0).cast("int")
+
+
+def _descend(trees: DataFrame, a: str, b: str, out: str, end: bool) -> DataFrame:
+    """``trees`` with ``<out>_s, <out>_p, <out>_f``: the way down to where two trees differ first (or last, counted from the end).
 
+    ``s`` sections are equal, then ``p`` paragraphs of the next section, then
+    ``f`` phrases of the next paragraph; ``<out>`` counts the phrases of all these.
+    """
+    turn = F.reverse if end else (lambda x: x)
+    col = lambda tree, level: turn(F.col(f"{tree}_{level}"))
+    s, p, f = (F.col(f"{out}_{x}") for x in "spf")
+    within = lambda tree: turn(F.get(col(tree, "phrases"), s))  # noqa: E731  the paragraphs of the section that differs
+    found = trees.withColumn(f"{out}_s", _leading(col(a, "sections"), col(b, "sections")))
+    found = found.withColumn(
+        f"{out}_p", _leading(turn(F.get(col(a, "paragraphs"), s)), turn(F.get(col(b, "paragraphs"), s)))
+    )
+    found = found.withColumn(f"{out}_f", _leading(turn(F.get(within(a), p)), turn(F.get(within(b), p))))
+    equal = F.size(F.flatten(F.flatten(F.slice(col(a, "phrases"), F.lit(1), s))))
+    return found.withColumn(out, equal + F.coalesce(F.size(F.flatten(F.slice(within(a), F.lit(1), p))), F.lit(0)) + f)
 
-def likeness(a: Column, b: Column, same_root: Column) -> Column:
-    """0 to 1: 1 for equal roots, else the greater of two shares, kept below 1.
 
-    One is the part of the phrases that agree from the start and from the end
-    (an edit at one place); the other is the Dice coefficient of the sets of
-    phrases (moved passages).
+def compare(trees: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """``trees`` with ``<out>_near`` (0 to 1), ``<out>_lead`` and ``<out>_trail``: how the trees ``a`` and ``b`` are alike.
+
+    The phrases of equal branches at the start and at the end (``lead``,
+    ``trail``) agree as they are; what is between is compared as sets of
+    phrases (moved passages).  ``near`` is the Dice coefficient of both, 1 for
+    equal roots and less for others.
     """
-    sizes = F.size(a) + F.size(b)
-    lead = _leading(a, b)
-    trail = F.least(_leading(F.reverse(a), F.reverse(b)), F.least(F.size(a), F.size(b)) - lead)
-    placed = (lead + trail) / F.greatest(F.size(a), F.size(b), F.lit(1))
-    distinct = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
-    shared = 2 * F.size(F.array_intersect(a, b)) / F.greatest(distinct, F.lit(1))
-    return F.when(same_root, F.lit(1.0)).otherwise(F.least(F.greatest(placed, shared), 1 - 1 / (sizes + 1.0)))
+    found = _descend(_descend(trees, a, b, f"{out}_lead", False), a, b, f"{out}_back", True)
+    flat = lambda tree: F.flatten(F.flatten(F.col(f"{tree}_phrases")))
+    lead, trail = F.col(f"{out}_lead"), F.col(f"{out}_trail")
+    found = found.withColumn(f"{out}_trail", F.least(F.col(f"{out}_back"), F.least(F.size(flat(a)), F.size(flat(b))) - lead))
+    middle = lambda tree: F.array_distinct(F.slice(flat(tree), lead + 1, F.size(flat(tree)) - lead - trail))
+    found = found.withColumn("_a", middle(a)).withColumn("_b", middle(b))
+    both = 2 * (lead + trail)
+    total = both + F.size("_a") + F.size("_b")
+    near = (both + 2 * F.size(F.array_intersect("_a", "_b"))) / F.greatest(total, F.lit(1))
+    near = F.when(F.col(f"{a}_root") == F.col(f"{b}_root"), F.lit(1.0)).otherwise(F.least(near, 1 - 1 / (total + 1.0)))
+    return found.withColumn(f"{out}_near", near).drop("_a", "_b")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -109,16 +138,15 @@ def edited(text: Column, next_text: Column) -> Column:
 
 
 def fingerprints(pairs: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """``pairs`` with, for every ``text column: prefix``, ``<prefix>_pieces/_leaves/_sections/_root`` of its tree."""
+    """``pairs`` with, for every ``text column: prefix``, ``<prefix>_pieces/_phrases/_paragraphs/_sections/_root`` of its tree."""
     out = pairs
     for text, name in columns.items():
         out = out.withColumn(f"{name}_pieces", phrases(F.col(text)))
-    for name in columns.values():
-        out = out.withColumn(f"{name}_leaves", leaves(F.col(f"{name}_pieces"))).withColumn(
-            f"{name}_sections", sections(F.col(f"{name}_pieces"))
-        )
-    for name in columns.values():
-        out = out.withColumn(f"{name}_root", root(F.col(f"{name}_sections")))
+    for level, below, nodes in (
+        ("phrases", "pieces", phrase_nodes), ("paragraphs", "phrases", paragraph_nodes), ("sections", "paragraphs", section_nodes), ("root", "sections", root),
+    ):
+        for name in columns.values():
+            out = out.withColumn(f"{name}_{level}", nodes(F.col(f"{name}_{below}")))
     return out
 
 
@@ -126,24 +154,30 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Fingerprints of every text and of its edited text, and their likenesses.
 
     Columns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, edit_start``; ``edit_start`` is the place (code
-    points) of the first phrase that differs between the text and its edited
-    text, null where the roots are equal.  A null text counts as empty; a lone
-    row is its own next row; repeated rows are kept; other columns are ignored;
-    an empty table gives an empty result.
+    near_edited, near_next, edit_start, edit_end, edit_path``.  ``edit_path`` is
+    the way down to the first difference between the text and its edited text
+    (numbers of the section, of its paragraph, of its phrase); ``edit_start``
+    is the place (code points) of that phrase in the text, ``edit_end`` the
+    place where the phrases that agree to the end begin; all three are null
+    where the roots are equal.  A null text counts as empty; a lone row is its
+    own next row; repeated rows are kept; other columns are ignored; an empty
+    table gives an empty result.
     """
     pairs = with_next(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     trees = fingerprints(pairs, {"text": "own", "edited": "new", "next_text": "next"})
-    same = F.col("own_root") == F.col("new_root")
-    lead = _leading(F.col("own_leaves"), F.col("new_leaves")).cast("int")
-    before = F.slice(F.flatten(F.flatten("own_pieces")), F.lit(1), lead)
-    return trees.select(
+    found = compare(compare(trees, "own", "new", "edit"), "own", "next", "after")
+    differ = F.col("own_root") != F.col("new_root")
+    flat = F.flatten(F.flatten("own_pieces"))
+    chars = lambda pieces: F.length(F.array_join(pieces, "")).cast("long")
+    return found.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.col("own_root").alias("fingerprint"),
         F.col("new_root").alias("edited_fingerprint"),
-        likeness(F.col("own_leaves"), F.col("new_leaves"), same).alias("near_edited"),
-        likeness(F.col("own_leaves"), F.col("next_leaves"), F.col("own_root") == F.col("next_root")).alias("near_next"),
-        F.when(~same, F.length(F.array_join(before, "")).cast("long")).alias("edit_start"),
+        F.col("edit_near").alias("near_edited"),
+        F.col("after_near").alias("near_next"),
+        F.when(differ, chars(F.slice(flat, F.lit(1), F.col("edit_lead")))).alias("edit_start"),
+        F.when(differ, chars(F.slice(flat, F.lit(1), F.size(flat) - F.col("edit_trail")))).alias("edit_end"),
+        F.when(differ, F.array("edit_lead_s", "edit_lead_p", "edit_lead_f")).alias("edit_path"),
     )
