@@ -146,10 +146,13 @@ def _streams(sizes: DataFrame, plan: DataFrame, rows: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per input row: ``_rid, doc_id, size, source_size, target, taken``.
+    """One row per input row: ``_rid, doc_id, size, source_size, target, taken, slots``.
 
     ``taken`` is the number of the row's words that the mix takes, repeats
-    counted; it never exceeds ``MAX_REPEAT`` times ``size``.  Null and empty
+    counted; it never exceeds ``MAX_REPEAT`` times ``size``.  ``slots`` are the
+    row's places in the mix, first the slot in which its words come first, then
+    that of their first repeat, and so on; read in the order of slots, the
+    sources come evenly mixed at every length.  Null and empty
     texts have size 0 and nothing taken; a null source is a source of its own,
     last in order; repeated rows count each; an empty table gives an empty
     result.  Ties in the shuffle go by id, size and place in the scan, and
@@ -162,7 +165,8 @@ def _mix(sizes: DataFrame) -> DataFrame:
     """``mix`` of stored ``(_rid, doc_id, source, size)``, with the ``position`` of the source."""
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     plan = materialize(_plan(source_targets(sizes), total), "mix-plan")
-    uses = schedule(plan).groupBy("position", "block").agg(F.count("*").alias("uses"))
+    # a block is used once an epoch, so at most MAX_REPEAT times
+    uses = schedule(plan).groupBy("position", "block").agg(F.count("*").alias("uses"), F.sort_array(F.collect_list("slot")).alias("at"))
     streams = materialize(_streams(sizes, plan, rows), "streams")
     first, last = F.col("start"), F.col("start") + F.col("size")
     pieces = streams.filter("size > 0").select(
@@ -173,17 +177,19 @@ def _mix(sizes: DataFrame) -> DataFrame:
     taken = (
         pieces.join(uses, ["position", "block"])
         .groupBy(RID)
-        .agg(F.sum(words * F.col("uses")).cast("long").alias("taken"))
+        .agg(F.sum(words * F.col("uses")).cast("long").alias("taken"), *[F.min(F.get("at", F.lit(i))).alias(f"at{i}") for i in range(MAX_REPEAT)])
+        .select(RID, "taken", F.array_compact(F.array(*[f"at{i}" for i in range(MAX_REPEAT)])).alias("slots"))
     )
     return streams.join(taken, RID, "left").select(
-        RID, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "position"
-    )
+        RID, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        F.coalesce("slots", F.array().cast("array<bigint>")).alias("slots"), "position"
+    )
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix as whole documents: every row as often as its taken words, rounded, hold its size.
+    """The mix as whole documents in the order of the schedule: every row as often as its taken words, rounded, hold its size.
 
-    Columns are those of ``docs``.  Rows without words are left out (they
+    Columns are those of ``docs``; a copy stands at the slot of its words.  Rows without words are left out (they
     weigh nothing).  A source takes a prefix of its stream once more than the
     rest, so only the document at the end of that prefix is rounded.  A source
     with a target above 0 of which rounding would leave nothing gives the
@@ -193,10 +199,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     stored, row = identified_rows(docs), F.col("row")
     result = _mix(materialize(stored.select(RID, *_sized(row[id_col], row[text_col], row[source_col])), "sizes"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    plan = materialize(result.filter("size > 0").select(RID, "position", "size", "target", "taken", copies.alias("_copies")), "copies")
+    plan = materialize(result.filter("size > 0").select(RID, "position", "size", "target", "taken", "slots", copies.alias("_copies")), "copies")
     most = F.max(F.struct("taken", (-F.col("size")).alias("s"), (-F.col(RID)).alias("r"))).alias("most")
     lost = plan.groupBy("position").agg(most, F.max("_copies").alias("n"), F.max("target").alias("t")).filter("n = 0 AND t > 0")
     plan = plan.join(lost.select((-F.col("most.r")).alias(RID), F.lit(1).alias("once")), RID, "left")
-    plan = plan.select(RID, F.coalesce("once", "_copies").alias("_copies")).filter("_copies > 0")
-    copied = stored.join(plan, RID).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
-    return copied.select("row.*")
+    plan = plan.select(RID, "slots", F.coalesce("once", "_copies").alias("_copies")).filter("_copies > 0")
+    copied = stored.join(plan, RID).select(RID, "row", "slots", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy"))
+    slot = F.coalesce(F.get("slots", F.col("copy")), F.try_element_at("slots", F.lit(-1)))
+    return copied.select(slot.alias("slot"), RID, "copy", "row").orderBy("slot", RID, "copy").select("row.*")
