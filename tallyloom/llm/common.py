@@ -67,9 +67,10 @@ def identified(docs: DataFrame, *columns: str | Column) -> DataFrame:
     if ranks is None:
         return materialize(number_rows(docs, *columns), "numbered")
     place = docs.metadataColumn("_metadata")
-    rows = docs.select(place["file_path"].alias("_file"), place["row_index"].alias("_place"), *columns)
+    # in a struct, no column clashes with those of the join
+    rows = docs.select(place["file_path"].alias("_file"), place["row_index"].alias("_place"), F.struct(*columns).alias("_row"))
     met = rows.join(F.broadcast(ranks), "_file")
-    return met.select((F.shiftleft("_rank", 40) + F.col("_place")).alias(RID), *[F.col(f"`{c}`") for c in rows.columns[2:]])
+    return met.select((F.shiftleft("_rank", 40) + F.col("_place")).alias(RID), "_row.*")
 
 
 def _file_ranks(docs: DataFrame) -> DataFrame | None:
