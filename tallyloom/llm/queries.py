@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, manifest, minhash, mixing, pii, quality, repeats, secret_scan, spelling, token_output
+from tallyloom.llm import bpe, exact_dedup, fingerprint, langid, manifest, minhash, mixing, oracles, pii, quality, repeats, secret_scan, spelling, token_output
 from tallyloom.llm.common import crc_mod, documents
 from tallyloom.session import staging_path
 
@@ -137,7 +137,7 @@ QUERIES: dict[str, QueryFn] = {
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL | {
     "op5_exact_dedup": (
         f"WITH n AS (SELECT doc_id, {_NORMALISED} AS t FROM documents), "
         "g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t) "
