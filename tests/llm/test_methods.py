@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from awkward import docs, docs_dir, prose  # noqa: F401  (fixtures)
 
-from tallyloom.llm import common, fingerprint, mixing, secret_scan
+from oracle import compare, duck
+
+from tallyloom.llm import common, fingerprint, mixing, queries, secret_scan
 
 TREE = "sections array<string>, paragraphs array<array<string>>, phrases array<array<array<string>>>, root string"
 
@@ -114,3 +116,10 @@ def test_rows_are_known_by_their_place(spark, scratch):
     assert first == again and len(set(first.values())) == 1000
     derived = {r.id: r._rid for r in common.identified(stored.filter("id < 10").distinct(), "id").collect()}
     assert len(set(derived.values())) == 10
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_its_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    ok, message = compare(queries.queries()[name](spark, folder), duck(folder), queries.oracle_sql()[name])
+    assert ok, message
