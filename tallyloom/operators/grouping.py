@@ -59,11 +59,13 @@ def _hash(columns: Sequence[str]) -> Column:
 
 
 def _sketch(df: DataFrame, hashes: Mapping[str, Column]) -> DataFrame:
-    """One row: ``n`` (rows) and a heavy-hitter sketch of every hash, merged in two levels."""
+    """One row (none for no input): ``n`` (rows) and a heavy-hitter sketch of every hash, merged in two levels."""
     rows = df.select(F.pmod(F.spark_partition_id(), F.lit(_SKETCHES)).alias("_tl_p"), *[h.alias(name) for name, h in hashes.items()])
     each = [F.expr(f"approx_top_k_accumulate({name}, {COUNTERS})").alias(name) for name in hashes]
     merged = [F.expr(f"approx_top_k_combine({name}, {COUNTERS})").alias(name) for name in hashes]
-    return rows.groupBy("_tl_p").agg(F.count(F.lit(1)).alias("n"), *each).agg(F.sum("n").alias("n"), *merged)
+    parts = rows.groupBy("_tl_p").agg(F.count(F.lit(1)).alias("n"), *each)
+    # by a constant: there is no group, and nothing to merge, without rows
+    return parts.groupBy(F.lit(0).alias("_tl_all")).agg(F.sum("n").alias("n"), *merged)
 
 
 def _heavy(sketch: DataFrame, name: str, least: int) -> DataFrame:
