@@ -261,7 +261,8 @@ def _near(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
     entries = materialize(
         nodes.select(F.explode("bands").alias("key"), F.col(RID).alias("node"), F.col("n_shingles").alias("n")), "band-entries"
     )
-    buckets = entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    # stored, so that both sides of the join are dealt out by it and a hot bucket's entries can be split
+    buckets = materialize(entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "buckets")
     shared = materialize(entries.join(buckets, "key"), "shared-entries")
     # a node that meets many others is likely their common original: the leader of its buckets
     weight = shared.groupBy("node").agg(F.sum("c").alias("w"))

@@ -333,7 +333,9 @@ def repeated_intervals(rows: DataFrame, least: int = LEAST, k: int = ANCHOR, gro
     ship(rows.sparkSession)
     occurrences = _occurrences(rows, least, k)
     places = F.lit(1) + F.coalesce(F.array_size("more"), F.lit(0))
+    # stored, so that both sides of the join are dealt out by it and a hot anchor's occurrences can be split
     repeated = occurrences.groupBy("anchor").agg(F.sum(places).alias("n")).filter("n > 1").select("anchor")
+    repeated = materialize(repeated, "repeated-anchors")
     hits = materialize(occurrences.join(repeated, "anchor"), "anchor-hits")
     one = F.min(F.struct(RID, "at", "lo", "hi")).alias("one")
     variants = hits.groupBy("anchor", "context").agg(F.sum(places).alias("n"), one)

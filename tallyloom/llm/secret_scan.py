@@ -136,4 +136,5 @@ def findings(
     wide = ledger.groupBy("blob").agg(
         *[F.any_value(F.when(F.col("version") == r.version, F.col("spans")), ignoreNulls=True).alias(r.version) for r in rule_sets]
     )
-    return paths.join(wide, "blob").select(RID, id_col, "blob", *[F.col(f"`{r.version}`") for r in rule_sets])
+    # stored, so that both sides of the join are dealt out by it and a hot blob's paths can be split
+    return paths.join(materialize(wide, "findings"), "blob").select(RID, id_col, "blob", *[F.col(f"`{r.version}`") for r in rule_sets])
