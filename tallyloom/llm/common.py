@@ -20,6 +20,8 @@ RID = "_rid"
 _SUM_BLOCK = 128
 #: Files whose ranks are broadcast.
 MAX_FILES = 100_000
+#: Stored rows that one task takes with ease: so few are broadcast, and not dealt out any further.
+TASK_ROWS = 50_000
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -42,6 +44,19 @@ def materialize(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(stored: DataFrame, rows: int) -> DataFrame:
+    """``stored``, of that many short rows, in no more tasks than ``TASK_ROWS`` each ask for.
+
+    What one task holds is grouped and joined without a shuffle.
+    """
+    return stored.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
+def spread(stored: DataFrame) -> DataFrame:
+    """A stored table of short rows as a side of a join: broadcast if it has at most ``TASK_ROWS``."""
+    return F.broadcast(stored) if stored.count() <= TASK_ROWS else stored
+
+
 def number_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` of ``docs`` with a row number ``_rid``, unique and ascending in scan order.
 

@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RID, arrow_slices, keep_rows, materialize, ship, identified, identified_rows, text_or_empty
-from tallyloom.llm.components import components
+from tallyloom.llm.common import RID, arrow_slices, keep_rows, materialize, ship, spread, identified, identified_rows, text_or_empty
+from tallyloom.llm.components import components, extended
 
 WIDTH, PERCENT = 5, 80
 #: At similarity 0.8 all bands miss with probability (1 - 0.8**4)**32 < 1e-7.
@@ -144,7 +144,7 @@ def _sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width, memory).astype("<u8").tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(RID), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return rows.select(RID, "text").join(nodes.withColumnRenamed("node", RID), RID, "left_semi").mapInArrow(run, "node long, shingles binary")
+    return rows.select(RID, "text").join(spread(nodes).withColumnRenamed("node", RID), RID, "left_semi").mapInArrow(run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -162,14 +162,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(linked, "a long, b long")
+    return spread(pairs).join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(linked, "a long, b long")
 
 
-def _open_entries(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
+def _open_entries(open_: DataFrame, joined: DataFrame) -> DataFrame:
     """Entries of the buckets whose members are not yet in one component, with their components."""
-    if joined is None:
-        return shared.withColumn("component", F.col("node"))
-    labelled = shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = open_.drop("component").join(spread(joined), "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     return labelled.join(split.select("key"), "key", "left_semi")
 
@@ -206,7 +204,7 @@ def _prefixes(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             node = np.repeat(part.column("node").to_numpy(), [len(x) for x in own])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(node)], ["shingle", "node"])
 
-    nodes = open_.select("node", "n", "component").distinct()
+    nodes = spread(materialize(open_.select("node", "n", "component").distinct(), "open-nodes"))
     single = materialize(sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "shingle long, node long"), "open-shingles")
     use = single.groupBy("shingle").agg(F.count("*").alias("df"))
     order = F.sort_array(F.collect_list(F.struct("df", "shingle")))
@@ -256,38 +254,40 @@ def _near(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
     ids = rows.select(RID, "doc_id")
     table = materialize(sketch_table(rows, width), "sketches")
     full = table.filter("n_shingles > 0")
-    first = full.groupBy("set_id").agg(F.min(RID).alias("node"))
+    # stored, so that both sides of the joins are dealt out by them and a hot set's or bucket's rows can be split
+    first = materialize(full.groupBy("set_id").agg(F.min(RID).alias("node")), "distinct-sets")
     nodes = full.join(first.select(F.col("node").alias(RID)), RID)
     entries = materialize(
         nodes.select(F.explode("bands").alias("key"), F.col(RID).alias("node"), F.col("n_shingles").alias("n")), "band-entries"
     )
-    # stored, so that both sides of the join are dealt out by it and a hot bucket's entries can be split
     buckets = materialize(entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "buckets")
     shared = materialize(entries.join(buckets, "key"), "shared-entries")
     # a node that meets many others is likely their common original: the leader of its buckets
-    weight = shared.groupBy("node").agg(F.sum("c").alias("w"))
-    shared = materialize(shared.join(weight, "node").select("key", "node", "n", "w"), "shared-entries")
+    weight = materialize(shared.groupBy("node").agg(F.sum("c").alias("w")), "weights")
+    open_ = shared.join(spread(weight), "node").select("key", "node", "n", "w", F.col("node").alias("component"))
+    open_ = materialize(open_, "open-entries")
     sets = materialize(_sets(rows, weight.select("node"), width), "shingle-sets")
-    links = joined = tried = None
+    joined = tried = None
     for turn in range(LEADERS + 1):
-        open_ = materialize(_open_entries(shared, joined), "open-entries")
         if open_.isEmpty():
             break
         pairs = _star_pairs(open_, turn, percent) if turn < LEADERS else _cross_pairs(open_, sets, percent)
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.join(spread(tried), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         found = materialize(verified(pairs, sets, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if joined is None or not found.isEmpty():
-            joined = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    if joined is None:
-        joined = shared.select("node", F.col("node").alias("component")).limit(0)
-    member = full.select(RID, "set_id").join(first, "set_id").join(joined, "node", "left")
-    member = member.select(RID, F.coalesce("component", "node").alias("component"))
-    placed = ids.join(table.select(RID, "n_shingles"), RID).join(member, RID, "left")
-    placed = placed.withColumn("component", F.coalesce("component", F.col(RID)))
+        if not found.isEmpty():
+            links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
+            joined = components(links) if joined is None else extended(joined, links)
+            if turn < LEADERS:
+                open_ = materialize(_open_entries(open_, joined), "open-entries")
+    # rows without shingles have no set to meet
+    known = table.withColumn("set_id", F.coalesce("set_id", F.encode(F.col(RID).cast("string"), "utf-8"))).drop("bands")
+    known = known.join(first, "set_id", "left").withColumn("node", F.coalesce("node", RID))
+    if joined is not None:
+        known = known.join(spread(joined), "node", "left").withColumn("node", F.coalesce("component", "node"))
+    placed = ids.join(known.select(RID, "n_shingles", F.col("node").alias("component")), RID)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col(RID).alias("rid"))
     heads = placed.groupBy("component").agg(F.min(order).alias("first"))
     return placed.join(heads, "component").select(
