@@ -1,12 +1,15 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte positions.  Every adjacent pair that is a
-vocabulary entry waits in the bucket of its rank; a hierarchy of two bitmap
-levels says which buckets hold anything, so the lowest rank is found by
-find-first-set on one word per level.  The leftmost position of that bucket
-merges next; entries whose pair has changed meanwhile are stale and skipped.
-Every step costs two words and a small heap operation, at any length of the
-pre-token.
+The pre-tokens of a batch that are not remembered merge together: each is a
+linked list of byte positions.  Every adjacent pair that is a vocabulary entry
+waits in the bucket of its rank; a hierarchy of two bitmap levels says which
+buckets hold anything, so the lowest rank is found by find-first-set on one
+word per level.  The positions of that bucket merge next, the leftmost first,
+until it is empty or a lower rank waits; entries whose pair has changed
+meanwhile are stale and skipped.  No pair reaches over the end of a pre-token,
+so pre-tokens do not change each other's merges, and one lookup in the queue
+serves all of them.  Every step costs two words and a small heap operation, at
+any length of a pre-token.
 """
 
 from __future__ import annotations
@@ -14,22 +17,26 @@ from __future__ import annotations
 import base64
 import sys
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tallyloom.llm.common import arrow_slices, ship, text_or_empty
+from tallyloom.llm.common import arrow_slices, by_size, ship, text_or_empty
 
 #: Pre-tokens of a generation remembered by a task (it keeps two), and the longest remembered one.
 CACHE_TOKENS, CACHE_LENGTH = 200_000, 32
 #: Rows turned at a time are those of about this many characters or ids.
 BATCH_CHARS = 1 << 20
+#: Texts encoded together are those of about this many characters, and pre-tokens that
+#: merge together of so many bytes: what is at work then fits a core's cache.
+TOGETHER_CHARS, MERGE_BYTES = 1 << 16, 1 << 13
 #: Longer texts are split into pre-tokens piecemeal.
 _LONG_TEXT, _PIECES = 1 << 20, 100_000
 
@@ -48,101 +55,153 @@ class Encoder(dict):
         self.shift = (max(ranks.values(), default=0).bit_length() + 1) // 2
         self.pattern = regex.compile(pattern)
         self.older: dict[str, bytes] = {}
-
-    def __missing__(self, token: str) -> bytes:
-        out = self.older.get(token)
-        if out is None:
-            ids = array("I", self.merge(token.encode("utf-8")))
-            if sys.byteorder == "big":
-                ids.byteswap()
-            out = ids.tobytes()
-        if len(token) <= CACHE_LENGTH:
-            if len(self) >= CACHE_TOKENS:  # keep the last two generations
-                self.older = dict(self)
-                self.clear()
-            self[token] = out
-        return out
-
-    def merge(self, piece: bytes) -> list[int]:
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        get, longest, shift = ranks.get, self.longest, self.shift
+        self.single, self.double = np.full(1 << 8, -1, np.int64), np.full(1 << 16, -1, np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 1:
+                self.single[token[0]] = rank
+            elif len(token) == 2:
+                self.double[token[0] << 8 | token[1]] = rank
+
+    def learn(self, tokens: Iterable[str]) -> None:
+        """Every one of ``tokens`` gets its ids, those known from before or merged now."""
+        unseen = []
+        for token in tokens:
+            if token not in self:
+                out = self.older.get(token)
+                if out is None:
+                    raw = token.encode("utf-8")
+                    whole = self.ranks.get(raw)
+                    if whole is None:
+                        unseen.append((token, raw))
+                        continue
+                    out = whole.to_bytes(4, "little")
+                self[token] = out
+        raws = [raw for _, raw in unseen]
+        for i, j in by_size(raws, MERGE_BYTES):
+            self.update(zip((token for token, _ in unseen[i:j]), self.merge(raws[i:j])))
+
+    def forget(self, tokens: Iterable[str]) -> None:
+        """Keeps the last two generations, without those of ``tokens`` that are long."""
+        for token in tokens:
+            if len(token) > CACHE_LENGTH:
+                del self[token]
+        if len(self) > CACHE_TOKENS:
+            self.older = dict(self)
+            self.clear()
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of non-empty pieces, each merged for itself."""
+        get, longest, shift = self.ranks.get, self.longest, self.shift
         mask = (1 << shift) - 1
-        n = len(piece)
-        after = list(range(1, n + 2))  # the start of the next part
+        data = b"".join(pieces)
+        n = len(data)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        raw = np.frombuffer(data, np.uint8)
+        first = np.zeros(n + 1, np.uint8)  # is it the start of a piece?
+        first[0] = 1
+        first[ends] = 1
+        first = first.tobytes()
+        two = np.append(self.double[raw[:-1].astype(np.int64) << 8 | raw[1:]], -1)
+        two[ends - 1] = -1
+        own = array("q", self.single[raw].tobytes())  # rank of the part
+        starts = bytearray(b"\1") * n  # is it the start of a part?
+        pair = two.tolist()  # rank of a part joined with the next one
+        after = list(range(1, n + 1))  # the start of the next part
         before = list(range(-1, n))
-        pair = [-1] * (n + 1)  # rank of a part joined with the next one
         buckets: dict[int, list[int]] = {}  # by rank: positions, some of them stale
         leaves: dict[int, int] = {}  # by high bits of a rank: which low bits have a bucket
         top = 0  # which high bits have a leaf
-        for i in range(n - 1):
-            r = get(piece[i : i + 2])
-            if r is not None:
-                pair[i] = r
-                if r in buckets:
-                    buckets[r].append(i)  # ascending, so a heap
-                else:
-                    buckets[r] = [i]
-                    high = r >> shift
-                    leaves[high] = leaves.get(high, 0) | 1 << (r & mask)
-                    top |= 1 << high
+        fresh: list[tuple[int, int]] = []  # pairs that a merge makes
+        filled = np.flatnonzero(two >= 0)
+        filled = filled[np.argsort(two[filled], kind="stable")]
+        cuts = np.flatnonzero(np.diff(two[filled], prepend=-1))
+        positions, bounds = filled.tolist(), [*cuts.tolist(), len(filled)]
+        for r, i, j in zip(two[filled[cuts]].tolist(), bounds, bounds[1:]):
+            buckets[r] = positions[i:j]  # ascending, so a heap
+            high = r >> shift
+            leaves[high] = leaves.get(high, 0) | 1 << (r & mask)
+            top |= 1 << high
         while top:
             high = (top & -top).bit_length() - 1
             leaf = leaves[high]
-            low = leaf & -leaf
-            rank = high << shift | low.bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
+            rank = high << shift | (leaf & -leaf).bit_length() - 1
+            bucket, lower = buckets[rank], False
+            while bucket and not lower:
                 i = heappop(bucket)
-            else:
-                i = bucket[0]
+                if pair[i] != rank:
+                    continue  # stale
+                j = after[i]
+                k = after[j]
+                after[i] = k
+                before[k] = i
+                pair[j] = -1
+                starts[j] = 0
+                own[i] = rank
+                # the merged part with the next one, and the one before with the merged part
+                if first[k]:
+                    pair[i] = -1
+                else:
+                    to = after[k]
+                    r = pair[i] = get(data[i:to], -1) if to - i <= longest else -1
+                    if r >= 0:
+                        fresh.append((r, i))
+                if not first[i]:
+                    at = before[i]
+                    r = pair[at] = get(data[at:k], -1) if k - at <= longest else -1
+                    if r >= 0:
+                        fresh.append((r, at))
+                while fresh:
+                    r, at = fresh.pop()
+                    lower |= r < rank
+                    if r in buckets:
+                        heappush(buckets[r], at)
+                    else:
+                        buckets[r] = [at]
+                        over = r >> shift
+                        leaves[over] = leaves.get(over, 0) | 1 << (r & mask)
+                        top |= 1 << over
+            if not bucket:
                 del buckets[rank]
-                leaf ^= low
+                leaf = leaves[high] ^ 1 << (rank & mask)
                 if leaf:
                     leaves[high] = leaf
                 else:
                     del leaves[high]
                     top ^= 1 << high
-            if pair[i] != rank:
-                continue  # stale
-            j = after[i]
-            k = after[j]
-            after[i] = k
-            before[k] = i
-            pair[j] = -1
-            # the merged part with the next one, and the one before with the merged part
-            end = after[k] if k < n else 0
-            for at, to in ((i, end), (before[i], k)):
-                if at < 0:
-                    continue
-                r = get(piece[at:to]) if 0 < to - at <= longest else None
-                if r is None:
-                    pair[at] = -1
-                elif pair[at] != r:
-                    pair[at] = r
-                    if r in buckets:
-                        heappush(buckets[r], at)
-                    else:
-                        buckets[r] = [at]
-                        high = r >> shift
-                        leaves[high] = leaves.get(high, 0) | 1 << (r & mask)
-                        top |= 1 << high
-        out, i = [], 0
-        while i < n:
-            j = after[i]
-            out.append(ranks[piece[i:j]])
-            i = j
+        parts = np.frombuffer(starts, bool)
+        ids = np.frombuffer(own, np.int64)[parts]
+        if (ids < 0).any():
+            raise KeyError(bytes([raw[np.flatnonzero(parts)[np.argmin(ids)]]]))
+        blob = ids.astype("<u4").tobytes()
+        bounds = [0, *(np.cumsum(parts)[ends - 1] * 4).tolist()]
+        return [blob[i:j] for i, j in zip(bounds, bounds[1:])]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text."""
+        out = []
+        for i, j in by_size(texts, TOGETHER_CHARS):
+            group = texts[i:j]
+            if max(map(len, group)) < _LONG_TEXT:
+                out += self._ids([self.pattern.findall(text) for text in group])
+            else:
+                out += map(self._long, group)
+        return out
+
+    def _ids(self, found: list[list[str]]) -> list[bytes]:
+        tokens = set().union(*found)
+        self.learn(tokens)
+        out = [b"".join(map(self.__getitem__, own)) for own in found]
+        self.forget(tokens)
         return out
 
     def encode(self, text: str) -> bytes:
-        if len(text) < _LONG_TEXT:
-            return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+        return self.encode_all([text])[0]
+
+    def _long(self, text: str) -> bytes:
         found = (m.group() for m in self.pattern.finditer(text))
         parts = []
-        while part := b"".join(map(self.__getitem__, islice(found, _PIECES))):
-            parts.append(part)
+        while part := list(islice(found, _PIECES)):
+            parts += self._ids([part])
         return b"".join(parts)
 
 
@@ -168,15 +227,15 @@ def _from_bytes(ids: bytes) -> array:
     return out
 
 
-def _turned(docs: DataFrame, column: str, out: str, turn: Callable[[], Callable[[object], bytes]]) -> DataFrame:
-    """``docs`` with the binary column ``out``: ``turn()`` applied to every value of ``column``, a bounded batch at a time."""
+def _turned(docs: DataFrame, column: str, out: str, turn: Callable[[], Callable[[list], list[bytes]]]) -> DataFrame:
+    """``docs`` with the binary column ``out``: ``turn()`` applied to the values of ``column``, a bounded batch at a time."""
     schema = StructType([f for f in docs.schema if f.name != out] + [StructField(out, BinaryType())])
     names = schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = turn()  # what it remembers goes with the task
+        each = turn()  # what it remembers goes with the task
         for part in arrow_slices(batches, column, BATCH_CHARS):
-            made = pa.array(map(one, part.column(column).to_pylist()), pa.binary())
+            made = pa.array(each(part.column(column).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], [*names, out])
 
     return docs.mapInArrow(run, schema)
@@ -192,16 +251,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     """
     ship(docs.sparkSession)
     known = docs.withColumn(text_col, text_or_empty(text_col))
-    return _turned(known, text_col, out, lambda: Encoder(load_ranks(ranks_path), pattern).encode)
+    return _turned(known, text_col, out, lambda: Encoder(load_ranks(ranks_path), pattern).encode_all)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the binary column ``out``: the bytes that the ids stand for (null ids: none)."""
     ship(docs.sparkSession)
 
-    def turn() -> Callable[[bytes], bytes]:
+    def turn() -> Callable[[list[bytes]], list[bytes]]:
         token = _vocabulary(ranks_path).__getitem__
-        return lambda ids: b"".join(map(token, _from_bytes(ids)))
+        return lambda column: [b"".join(map(token, _from_bytes(ids))) for ids in column]
 
     known = docs.withColumn(ids_col, F.coalesce(F.col(ids_col), F.lit(b"")))
     return _turned(known, ids_col, out, turn)
