@@ -15,11 +15,9 @@ any length of a pre-token.
 from __future__ import annotations
 
 import base64
-import sys
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -62,25 +60,24 @@ class Encoder(dict):
             elif len(token) == 2:
                 self.double[token[0] << 8 | token[1]] = rank
 
-    def learn(self, tokens: Iterable[str]) -> None:
-        """Every one of ``tokens`` gets its ids, those known from before or merged now."""
-        unseen = []
+    def learn(self, tokens: list[str]) -> None:
+        """Every one of ``tokens`` gets its ids, known from the older generation or merged now."""
+        unseen, raws = [], []
         for token in tokens:
-            if token not in self:
-                out = self.older.get(token)
-                if out is None:
-                    raw = token.encode("utf-8")
-                    whole = self.ranks.get(raw)
-                    if whole is None:
-                        unseen.append((token, raw))
-                        continue
-                    out = whole.to_bytes(4, "little")
-                self[token] = out
-        raws = [raw for _, raw in unseen]
+            ids = self.older.get(token)
+            if ids is None:
+                raw = token.encode("utf-8")
+                whole = self.ranks.get(raw)
+                if whole is None:
+                    unseen.append(token)
+                    raws.append(raw)
+                    continue
+                ids = whole.to_bytes(4, "little")
+            self[token] = ids
         for i, j in by_size(raws, MERGE_BYTES):
-            self.update(zip((token for token, _ in unseen[i:j]), self.merge(raws[i:j])))
+            self.update(zip(unseen[i:j], self.merge(raws[i:j])))
 
-    def forget(self, tokens: Iterable[str]) -> None:
+    def forget(self, tokens: list[str]) -> None:
         """Keeps the last two generations, without those of ``tokens`` that are long."""
         for token in tokens:
             if len(token) > CACHE_LENGTH:
@@ -103,15 +100,14 @@ class Encoder(dict):
         first = first.tobytes()
         two = np.append(self.double[raw[:-1].astype(np.int64) << 8 | raw[1:]], -1)
         two[ends - 1] = -1
-        own = array("q", self.single[raw].tobytes())  # rank of the part
-        starts = bytearray(b"\1") * n  # is it the start of a part?
+        own = self.single[raw].tolist()  # rank of the part that starts here; -2: none does
         pair = two.tolist()  # rank of a part joined with the next one
         after = list(range(1, n + 1))  # the start of the next part
         before = list(range(-1, n))
         buckets: dict[int, list[int]] = {}  # by rank: positions, some of them stale
         leaves: dict[int, int] = {}  # by high bits of a rank: which low bits have a bucket
         top = 0  # which high bits have a leaf
-        fresh: list[tuple[int, int]] = []  # pairs that a merge makes
+        fresh: list[tuple[int, int]] = []  # pairs whose rank has no bucket
         filled = np.flatnonzero(two >= 0)
         filled = filled[np.argsort(two[filled], kind="stable")]
         cuts = np.flatnonzero(np.diff(two[filled], prepend=-1))
@@ -135,7 +131,7 @@ class Encoder(dict):
                 after[i] = k
                 before[k] = i
                 pair[j] = -1
-                starts[j] = 0
+                own[j] = -2
                 own[i] = rank
                 # the merged part with the next one, and the one before with the merged part
                 if first[k]:
@@ -143,23 +139,28 @@ class Encoder(dict):
                 else:
                     to = after[k]
                     r = pair[i] = get(data[i:to], -1) if to - i <= longest else -1
-                    if r >= 0:
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    elif r >= 0:
                         fresh.append((r, i))
+                    lower |= 0 <= r < rank
                 if not first[i]:
                     at = before[i]
                     r = pair[at] = get(data[at:k], -1) if k - at <= longest else -1
-                    if r >= 0:
+                    if r in buckets:
+                        heappush(buckets[r], at)
+                    elif r >= 0:
                         fresh.append((r, at))
+                    lower |= 0 <= r < rank
                 while fresh:
                     r, at = fresh.pop()
-                    lower |= r < rank
                     if r in buckets:
                         heappush(buckets[r], at)
-                    else:
-                        buckets[r] = [at]
-                        over = r >> shift
-                        leaves[over] = leaves.get(over, 0) | 1 << (r & mask)
-                        top |= 1 << over
+                        continue
+                    buckets[r] = [at]
+                    over = r >> shift
+                    leaves[over] = leaves.get(over, 0) | 1 << (r & mask)
+                    top |= 1 << over
             if not bucket:
                 del buckets[rank]
                 leaf = leaves[high] ^ 1 << (rank & mask)
@@ -168,8 +169,9 @@ class Encoder(dict):
                 else:
                     del leaves[high]
                     top ^= 1 << high
-        parts = np.frombuffer(starts, bool)
-        ids = np.frombuffer(own, np.int64)[parts]
+        own = np.array(own, np.int64)
+        parts = own != -2
+        ids = own[parts]
         if (ids < 0).any():
             raise KeyError(bytes([raw[np.flatnonzero(parts)[np.argmin(ids)]]]))
         blob = ids.astype("<u4").tobytes()
@@ -188,10 +190,10 @@ class Encoder(dict):
         return out
 
     def _ids(self, found: list[list[str]]) -> list[bytes]:
-        tokens = set().union(*found)
-        self.learn(tokens)
+        new = list(filterfalse(self.__contains__, set().union(*found)))
+        self.learn(new)
         out = [b"".join(map(self.__getitem__, own)) for own in found]
-        self.forget(tokens)
+        self.forget(new)
         return out
 
     def encode(self, text: str) -> bytes:
@@ -219,14 +221,6 @@ def _vocabulary(path: str) -> list[bytes]:
     return out
 
 
-def _from_bytes(ids: bytes) -> array:
-    out = array("I")
-    out.frombytes(ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out
-
-
 def _turned(docs: DataFrame, column: str, out: str, turn: Callable[[], Callable[[list], list[bytes]]]) -> DataFrame:
     """``docs`` with the binary column ``out``: ``turn()`` applied to the values of ``column``, a bounded batch at a time."""
     schema = StructType([f for f in docs.schema if f.name != out] + [StructField(out, BinaryType())])
@@ -259,8 +253,17 @@ def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "d
     ship(docs.sparkSession)
 
     def turn() -> Callable[[list[bytes]], list[bytes]]:
-        token = _vocabulary(ranks_path).__getitem__
-        return lambda column: [b"".join(map(token, _from_bytes(ids))) for ids in column]
+        tokens = pa.array(_vocabulary(ranks_path), pa.large_binary())
+
+        def each(column: list[bytes]) -> list[bytes]:
+            taken = tokens.take(pa.array(np.frombuffer(b"".join(column), "<u4").astype(np.uint32)))
+            _, places, data = taken.buffers()
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in column)])
+            bounds = np.frombuffer(places, np.int64, len(taken) + 1)[ends].tolist()
+            whole = data.to_pybytes() if data else b""
+            return [whole[i:j] for i, j in zip(bounds, bounds[1:])]
+
+        return each
 
     known = docs.withColumn(ids_col, F.coalesce(F.col(ids_col), F.lit(b"")))
     return _turned(known, ids_col, out, turn)

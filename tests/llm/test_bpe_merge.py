@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from tallyloom.llm import bpe
@@ -58,3 +59,12 @@ def test_texts_of_all_lengths(monkeypatch):
 def test_a_byte_without_a_rank_is_an_error():
     with pytest.raises(KeyError):
         Encoder({b"a": 0, b"b": 1, b"ab": 2}, r"\S+").encode("abxab")
+
+
+def test_decode_of_nothing_and_of_all_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = bpe._vocabulary(path)
+    every = np.arange(len(tokens), dtype="<u4").tobytes()
+    for rows in ([(1, b""), (2, None)], [(1, every), (2, b""), (3, every[:40]), (4, None)]):
+        got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary"), path).select("doc_id", "decoded").collect()
+        assert {r.doc_id: bytes(r.decoded) for r in got} == {i: b"".join(tokens[x] for x in np.frombuffer(ids or b"", "<u4")) for i, ids in rows}
